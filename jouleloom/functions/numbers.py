@@ -56,13 +56,31 @@ def round_half_even(x: Column, digits: int) -> Column:
 
 
 def fixed2(x: Column) -> Column:
-    """Text with two decimals; not-a-number and infinities in lower case."""
+    """Text with two decimals; not-a-number and infinities in lower case.
+
+    Whole part and fraction are rounded apart, so large numbers keep their exact cents.
+    """
+
+    def text(v: Column) -> Column:
+        whole = F.floor(F.abs(v))
+        cents = F.rint(round_half_even(F.abs(v) - whole.cast("double"), 2) * 100).cast("bigint")
+        return bind(
+            F.struct(whole.alias("w"), cents.alias("c")),
+            lambda t: F.concat(
+                F.when(v < 0, "-").otherwise(""),
+                (t["w"] + F.floor(t["c"] / 100)).cast("string"),
+                F.lit("."),
+                F.lpad((t["c"] % 100).cast("string"), 2, "0"),
+            ),
+        )
+
     return bind(
         x.cast("double"),
         lambda v: F.when(F.isnan(v), "nan")
         .when(v == float("inf"), "inf")
         .when(v == float("-inf"), "-inf")
-        .when(v.isNotNull(), F.format_string("%.2f", round_half_even(v, 2))),
+        .when(F.abs(v) < 2.0**62, text(v))
+        .when(v.isNotNull(), F.format_string("%.2f", v)),
     )
 
 

@@ -10,17 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jouleloom.keys import JOB, SEG, SUB, TIME
-from jouleloom.operators.frames import (
-    Frames,
-    first_usable_group,
-    job_facts,
-    quarantined_files,
-    truncate_time,
-)
+from jouleloom.keys import JOB, ROW, SEG, SUB, TIME
+from jouleloom.operators.frames import Frames, job_facts, truncate_time
+from jouleloom.operators.scan import Order, row_positions
 from jouleloom.session import written
 
 SEGMENT_ROWS = 262_144  # input rows one task should scan
@@ -46,17 +41,17 @@ class Prepared:
 
 def special_jobs(facts: DataFrame, groups: str, segment_rows: int) -> DataFrame:
     """The jobs that need special treatment, and which."""
-    files = quarantined_files(facts).select("file_label", F.lit(True).alias("bad"))
-    rows = facts.join(files, "file_label", "left").withColumn(
-        "skip", F.col("bad").isNotNull() | (F.size("usable") == 0)
-    )
-    if groups == "first":
-        first = first_usable_group(facts).select("file_label", F.col("group_name").alias("first"))
-        rows = rows.join(first, "file_label", "left").withColumn(
-            "skip", F.col("skip") | F.coalesce(F.col("group_name") != F.col("first"), F.lit(True))
-        )
-    elif groups != "all":
+    if groups not in ("first", "all"):
         raise ValueError("groups must be 'first' or 'all'")
+    # Facts are one row per job, so a window over a file's groups is small.
+    file = Window.partitionBy("file_label")
+    bad = F.max(F.col("bad_time") | F.col("bad_epoch")).over(file)
+    unusable = F.size("usable") == 0
+    skip = bad | unusable
+    if groups == "first":
+        first = F.min(F.when(~unusable, F.col("group_name"))).over(file)
+        skip = skip | (F.col("group_name") != first)
+    rows = facts.withColumn("skip", skip)
     span = (F.col("t_max") - F.col("t_min")).cast("double") + 1
     width = F.greatest(F.lit(1), F.ceil(span * segment_rows / F.col("n_rows")))
     is_long = (F.col("n_rows") > segment_rows) & F.col("t_min").isNotNull()
@@ -119,3 +114,23 @@ def _segment_of() -> Column:
     """Equal slices of the job's time span; rows without a time come first."""
     slice_ = F.expr(f"(`{TIME}` - t0) div width")
     return F.when(F.col("width").isNull(), F.lit(0)).otherwise(F.coalesce(slice_, F.lit(-1))).cast("bigint")
+
+
+def dataset_positions(prepared: Prepared) -> DataFrame:
+    """Rows of every dataset as (job, prefix, ElapsedTime, row_idx, position), position from 0.
+
+    The position is the row index by time, what a dataset without a row number of its own needs.
+    """
+    frames = prepared.frames
+    names = [F.when(F.col(f"`{p}`").isNotNull(), F.lit(p)) for p in frames.prefixes]
+    kept = [*JOB, TIME, ROW, *([SEG] if prepared.split else [])]
+    rows = frames.df.select(*kept, F.coalesce(*names).alias("prefix"))
+    if prepared.hot is not None:
+        crowded = prepared.hot.withColumn("hot", F.lit(True))
+        chunk = F.array(F.coalesce(TIME, F.lit(-1)), F.floor(F.col(ROW) / prepared.chunk_rows))
+        plain = F.array().cast("array<bigint>")
+        rows = rows.join(crowded, [*JOB, SEG], "left").withColumn(
+            SUB, F.when(F.col("hot"), chunk.cast("array<bigint>")).otherwise(plain)
+        )
+    order = Order((*JOB, "prefix"), (TIME, ROW), prepared.segment)
+    return row_positions(rows, order, "position").select(*JOB, "prefix", TIME, ROW, "position")
