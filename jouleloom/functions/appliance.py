@@ -34,26 +34,31 @@ def appliance_equiv(
     """Struct `(name, amount, unit)` of the appliance whose running time is nearest the target.
 
     Running times of 1 to 120 minutes are preferred; only if no appliance has one, all compete.
-    `least` over structs ordered by (distance, catalog position) picks the winner.
+    The least struct, ordered by distance and then catalog position, wins.
     """
 
-    def entry(j: Column, position: int) -> Column:
-        name, watts = catalog[position]
-        seconds = j / F.lit(float(watts))
-        return F.struct(
-            F.abs(seconds / 60.0 - F.lit(target_min)).alias("distance"),
-            F.lit(position).alias("position"),
-            F.lit(name).alias("name"),
-            seconds.alias("seconds"),
-        )
-
-    def in_range(j: Column, position: int) -> Column:
-        return (j / F.lit(float(catalog[position][1])) / 60.0).between(1.0, 120.0)
+    known = F.array(
+        *[
+            F.struct(F.lit(i).alias("position"), F.lit(name).alias("name"), F.lit(float(watts)).alias("watts"))
+            for i, (name, watts) in enumerate(catalog)
+        ]
+    )
 
     def best(j: Column) -> Column:
-        everything = [entry(j, i) for i in range(len(catalog))]
-        preferred = [F.when(in_range(j, i), e) for i, e in enumerate(everything)]
-        return F.coalesce(F.least(*preferred), F.least(*everything))
+        def timed(a: Column) -> Column:
+            seconds = j / a["watts"]
+            return F.struct(
+                F.abs(seconds / 60.0 - target_min).alias("distance"),
+                a["position"].alias("position"),
+                a["name"].alias("name"),
+                seconds.alias("seconds"),
+            )
+
+        def pick(all_: Column) -> Column:
+            preferred = F.filter(all_, lambda e: (e["seconds"] / 60.0).between(1.0, 120.0))
+            return F.coalesce(F.array_min(preferred), F.array_min(all_))
+
+        return bind(F.transform(known, timed), pick)
 
     def described(e: Column) -> Column:
         s = e["seconds"]

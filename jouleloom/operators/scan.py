@@ -71,8 +71,8 @@ def scan(
     position -- output name of the 1-based row position within the key
     lags     -- output -> input column: the previous row's value
     sums     -- output -> input column: running sum; null where the input is null
-    gaps     -- columns to complete with `gap_lo(c)` / `gap_hi(c)`: struct(away, v), the nearest
-                non-null value at or before / at or after and how many rows away it is
+    gaps     -- columns to complete with the nearest non-null value at or before / at or after
+                (`lo(c)`, `hi(c)`) and how many rows away it is (`lo_away(c)`, `hi_away(c)`)
     flags    -- output -> input boolean column: true if it is true anywhere in the key
 
     The reverse windows come first and the forward ones last, so a following scan in the same
@@ -88,9 +88,7 @@ def scan(
         # The next non-null value is the last one in reverse order: a frame to the end of the
         # partition would rescan it for every row.
         rows = rows.withColumn(_BACK, F.row_number().over(order.backward()).cast("bigint"))
-        rows = rows.withColumns(
-            {gap_hi(c): F.last(_point(c, _BACK), ignorenulls=True).over(down) for c in gaps}
-        )
+        rows = rows.withColumns(_nearest(gaps, hi, hi_away, _BACK, down))
     local: dict[str, Column] = {}
     if position or gaps or (split and lags):
         local[_POS] = F.row_number().over(fw).cast("bigint")
@@ -102,33 +100,47 @@ def scan(
         local[out] = F.max(_c(c)).over(whole)
     rows = rows.withColumns(local)
     if gaps:
-        rows = rows.withColumns(
-            {gap_lo(c): F.last(_point(c, _POS), ignorenulls=True).over(upto) for c in gaps}
-        )
+        rows = rows.withColumns(_nearest(gaps, lo, lo_away, _POS, upto))
     if split:
         rows = _carry_over(rows, order, lags, sums, gaps, flags)
-    for c in gaps:
-        for side, here in ((gap_lo(c), _POS), (gap_hi(c), _BACK)):
-            found = _c(side)
-            away = F.struct((_c(here) - found["at"]).alias("away"), found["v"].alias("v"))
-            rows = rows.withColumn(side, F.when(found.isNotNull(), away))
+    if gaps:
+        away = {lo_away(c): _c(_POS) - _c(lo_away(c)) for c in gaps}
+        away |= {hi_away(c): _c(_BACK) - _c(hi_away(c)) for c in gaps}
+        rows = rows.withColumns(away)
     if position:
         rows = rows.withColumn(position, _c(_POS))
     return rows.drop(_POS, _BACK)
 
 
-def _point(column: str, at: str) -> Column:
-    return F.when(_c(column).isNotNull(), F.struct(_c(at).alias("at"), _c(column).alias("v")))
+def _nearest(gaps: Sequence[str], value, at, position: str, window) -> dict[str, Column]:
+    """Last non-null value of every column in the window, and its position."""
+    found = {value(c): F.last(_c(c), ignorenulls=True).over(window) for c in gaps}
+    for c in gaps:
+        where = F.when(_c(c).isNotNull(), _c(position))
+        found[at(c)] = F.last(where, ignorenulls=True).over(window)
+    return found
 
 
-def gap_lo(column: str) -> str:
+def lo(column: str) -> str:
     return f"lo~{column}"
 
 
-def gap_hi(column: str) -> str:
+def lo_away(column: str) -> str:
+    return f"lo~away~{column}"
+
+
+def hi(column: str) -> str:
     return f"hi~{column}"
 
 
+def hi_away(column: str) -> str:
+    return f"hi~away~{column}"
+
+
+def _point(column: str, at: str) -> Column:
+    return F.when(_c(column).isNotNull(), F.struct(_c(at).alias("at"), _c(column).alias("v")))
+
+
 def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataFrame:
     """Add what earlier and later segments contribute to every segment."""
     aggs = [F.count(F.lit(1)).alias("c~n")]
@@ -176,8 +188,10 @@ def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataF
     for out in sums:
         done[out] = _c(out) + _c(f"k~sum~{out}")
     for c in gaps:
-        done[gap_lo(c)] = F.coalesce(moved(gap_lo(c), "k~before"), _c(f"k~lo~{c}"))
-        done[gap_hi(c)] = F.coalesce(moved(gap_hi(c), "k~after"), _c(f"k~hi~{c}"))
+        for value, at, side, by in ((lo, lo_away, "lo", "k~before"), (hi, hi_away, "hi", "k~after")):
+            carried_point = _c(f"k~{side}~{c}")
+            done[value(c)] = F.coalesce(_c(value(c)), carried_point["v"])
+            done[at(c)] = F.coalesce(_c(at(c)) + _c(by), carried_point["at"])
     for out in flags:
         done[out] = _c(f"k~flag~{out}")
     for at, by in ((_POS, "k~before"), (_BACK, "k~after")):
@@ -198,12 +212,12 @@ def interpolate(df: DataFrame, columns: Sequence[str], order: Order, **also) ->
     scanned = scan(typed, order, gaps=columns, **also)
 
     def filled(c: str) -> Column:
-        lo, hi = _c(gap_lo(c)), _c(gap_hi(c))
-        step = (hi["v"] - lo["v"]) / F.nullif(lo["away"] + hi["away"], F.lit(0))
-        return F.coalesce(_c(c), lo["v"] + lo["away"] * step)
+        rows_apart = _c(lo_away(c)) + _c(hi_away(c))
+        step = (_c(hi(c)) - _c(lo(c))) / F.nullif(rows_apart, F.lit(0))
+        return F.coalesce(_c(c), _c(lo(c)) + _c(lo_away(c)) * step)
 
     out = scanned.withColumns({c: filled(c) for c in columns})
-    return out.drop(*[g(c) for c in columns for g in (gap_lo, gap_hi)])
+    return out.drop(*[g(c) for c in columns for g in (lo, lo_away, hi, hi_away)])
 
 
 def cumulative(df: DataFrame, column: str, order: Order, out: str) -> DataFrame:

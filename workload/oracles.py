@@ -154,7 +154,7 @@ ORACLES["power_resolve"] = f"""{profile(NO_ENERGY)} select {AT}, qz(w,6) "NodePo
 ORACLES["elapsed_difference"] = f"""{profile()} select {AT}, dt "ElapsedTime_Diff" from pr"""
 ORACLES["energy_from_power"] = f"""{profile()}
 select {AT}, dt::double "ElapsedTime_Diff", qz(w,4) "NodePower", qz(inc,4) "Energy_Increment_J",
-  qz(used,4) "Energy_used_J" from pr"""
+  qz(qz(used,4),2) "Energy_used_J" from pr"""
 ORACLES["power_from_energy"] = f"""{filled("et<>'error'", "t*2.0+v")},
 m as (select *, t - lag(t) over w step, coalesce(c0 - lag(c0) over w, 0) inc from it
   window w as (partition by f, g order by rn))
@@ -184,7 +184,7 @@ aq as (select r.*, coalesce(an,'negligible usage') an, coalesce(aa,0.0::double)
 
 
 _METRICS = f"""{profile()},
-p6 as (select f, g, t, qz(w,6) w, qz(used,6) used from pr where has_power),
+p6 as (select f, g, t, qz(w,6) w, qz(used,2) used from pr where has_power),
 mt as (select f, g, f||g kf, max(used) ets, max(t)::double tts,
   arg_max({{'w': w, 't': t}}, {{'w': w, 't': -t}}) filter (w is not null) pk from p6 group by f, g),
 {appliance('mt', 'ets', 'kf')},
@@ -193,7 +193,7 @@ mx as (select *, case when tts<>0 then ets/tts else 'nan'::double end av,
   case when tts<>0 then ets*tts else 'nan'::double end edp from aq)"""
 ORACLES["job_metrics_of_events"] = f"""{_METRICS}
 select {JOB}, qz(ets,4) energy_to_solution_j, qz(tts,4) time_to_solution_s, qz(av,4) average_power_w,
-  qz(pw,4) peak_power_w, qz(pt,4) peak_power_time_s, qz(edp,0) energy_delay_product,
+  qz(pw,4) peak_power_w, qz(pt,4) peak_power_time_s, cast(qz(edp,-2) as decimal(38,0))::double energy_delay_product,
   an appliance_name, qz(aa,4) appliance_amount, au appliance_unit, sentence appliance_description from mx"""
 
 
@@ -258,7 +258,7 @@ def ranged(x: str, low: float, high: float | None, dtype: str) -> str:
     return f"case when {keep} then cast(trunc({x}) as bigint) end"
 
 
-def cleaned() -> str:
+def cleaned(used: str = "used") -> str:
     """Select list of the cleaned table."""
     rules = [
         ('"ElapsedTime"', "t", 0, 9.2e18, "bigint"),
@@ -275,12 +275,12 @@ def cleaned() -> str:
         ('"ElapsedTime_Diff"', "dt", 0, 31536000000, "bigint"),
         ('"NodePower"', "w", 0, 10000, "float"),
         ('"Energy_Increment_J"', "inc", 0, None, "float"),
-        ('"Energy_used_J"', "used", 0, None, "float"),
+        ('"Energy_used_J"', used, 0, None, "float"),
     ]
     return f"{JOB}, " + ", ".join(f"{ranged(x, lo, hi, ty)} {name}" for name, x, lo, hi, ty in rules)
 
 
-ORACLES["clean_and_narrow"] = f"{profile()} select {cleaned()} from pr"
+ORACLES["clean_and_narrow"] = f"{profile()} select {cleaned('uq')} from (select *, qz(used,2) uq from pr)"
 
 _priced = f"{profile()}, {EVENT_PRICES}, {nearest('pr', 'ps', 'epoch')}"
 _cost = "used/3600000.0*pp"

@@ -225,7 +225,8 @@ def elapsed_difference(spark, sf):
 
 @query
 def energy_from_power(spark, sf):
-    return rounded(event_profile(spark, sf).df.select(*AT, *ENERGY_COLUMNS), 4)
+    rows = rounded(event_profile(spark, sf).df.select(*AT, *ENERGY_COLUMNS), 4)
+    return rows.withColumn("Energy_used_J", quantized(F.col("Energy_used_J"), 2))
 
 
 def _meter():
@@ -247,14 +248,16 @@ def power_from_energy(spark, sf):
 def _metrics(spark, sf):
     profile = event_profile(spark, sf)
     rows = profile.df.where(has_energy_data(profile))
-    return job_metrics(rounded(rows.select(*AT, "NodePower", "Energy_used_J"), 6))
+    # Running sums of two engines differ in the last bits; cut before figures are derived from them.
+    used, power = quantized(F.col("Energy_used_J"), 2), quantized(F.col("NodePower"), 6)
+    return job_metrics(rows.select(*AT, power.alias("NodePower"), used.alias("Energy_used_J")))
 
 
 @query
 def job_metrics_of_events(spark, sf):
     """The flagship: all events to one row of energy figures per job."""
     metrics = _metrics(spark, sf)
-    whole = quantized(F.col("energy_delay_product"), 0).cast("decimal(38,0)")
+    whole = quantized(F.col("energy_delay_product"), -2).cast("decimal(38,0)")
     rows = rounded(metrics.withColumn("energy_delay_product", whole), 4)
     return rows.withColumn("energy_delay_product", F.col("energy_delay_product").cast("double"))
 
@@ -297,7 +300,9 @@ def describe_jobs(spark, sf):
 
 @query
 def clean_and_narrow(spark, sf):
-    return rounded(clean_cast(event_profile(spark, sf).visible()), 3)
+    rows = event_profile(spark, sf).visible()
+    # A running sum may lie between two floats; cut it before it is narrowed.
+    return rounded(clean_cast(rows.withColumn("Energy_used_J", quantized(F.col("Energy_used_J"), 2))), 3)
 
 
 # --- prices ---------------------------------------------------------------------------------
