@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,16 +60,19 @@ def align(prepared: Prepared) -> Timeline:
 
 
 def _align_groups(rows: DataFrame, frames: Frames, part: list[str]) -> DataFrame:
-    lists, flags = [], []
+    # A window instead of an aggregate: no partial lists are built, and one sort does.
+    at_time = Window.partitionBy(*part, TIME).orderBy(ROW)
+    whole = at_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found: dict[str, Column] = {"first~": F.row_number().over(at_time)}
     for p in frames.prefixes:
         data = F.col(f"`{p}`")
         timed = data.isNotNull() & F.col(TIME).isNotNull()
-        lists.append(F.collect_list(F.when(timed, F.struct(F.col(ROW).alias("at"), data.alias("data")))).alias(p))
-        flags.append((F.count(data) > 0).alias(present(p)))
-    grouped = rows.repartition(*part).groupBy(*part, TIME).agg(*lists, *flags)
+        found[p] = F.collect_list(F.when(timed, F.struct(F.col(ROW).alias("at"), data.alias("data")))).over(whole)
+        found[present(p)] = F.count(data).over(whole) > 0
+    met = rows.repartition(*part).withColumns(found).where("`first~` = 1")
     for p in frames.prefixes:
-        grouped = grouped.withColumn(p, F.explode_outer(f"`{p}`"))
-    return _widen(grouped, frames, part, lambda p: (F.col(f"`{p}`")["at"], F.col(f"`{p}`")["data"]))
+        met = met.withColumn(p, F.explode_outer(f"`{p}`"))
+    return _widen(met, frames, part, lambda p: (F.col(f"`{p}`")["at"], F.col(f"`{p}`")["data"]))
 
 
 def _align_chunks(rows: DataFrame, frames: Frames, part: list[str], chunk_rows: int) -> DataFrame:

@@ -2,24 +2,26 @@
 
 Quartiles are exact elements at rank round(q * (n - 1)), half away from zero. One mergeable sketch
 per column first brackets each quartile; then only values inside a bracket are ranked, after equal
-ones have been counted together. So nothing is sorted as a whole, not even for one huge key.
+ones have been counted together, and every bracket is a task of its own. So nothing is sorted as a
+whole, not even for one huge key. A bracket that missed its rank would raise an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jouleloom.functions.numbers import nan
+from jouleloom.operators.scan import Order, scan
 from jouleloom.session import written
 
 QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
 ACCURACY = 10_000  # sketch rank error is n / ACCURACY
-MARGIN = 0.002  # bracket half-width in rank fraction, 20 times that error
-SMALL = 4_096  # below this many values all of them are ranked
+MARGIN = 0.0005  # bracket half-width in rank fraction, five times that error
+SMALL = 8_192  # up to this many values all of them are ranked
 STATISTICS = ("count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -84,14 +86,12 @@ def _quartiles(rows: DataFrame, stats: DataFrame, group: list[str], columns: Seq
     ]
     values = marked.select(*group, F.inline(F.array(*points))).where(F.col("v").isNotNull())
     counted = (
-        values.select(*group, "metric", *_bracketed())
-        .groupBy(*group, "metric", "v", "outside")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        values.select(*group, "metric", "n", *_bracketed())
+        .groupBy(*group, "metric", "zone", "v", "outside")
+        .agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     )
-    ordered = Window.partitionBy(*group, "metric").orderBy("v", "outside")
-    total = F.sum("rows").over(Window.partitionBy(*group, "metric"))
-    upto = F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.select("*", total.alias("n"), upto.alias("upto"))
+    order = Order((*group, "metric"), ("v", "outside"), ("zone",))
+    placed = scan(counted, order, sums={"upto": "rows"})
     picks = []
     for name, q in QUARTILES:
         # floor(x + 0.5) rounds half away from zero, as ranks are not negative
@@ -104,15 +104,24 @@ def _quartiles(rows: DataFrame, stats: DataFrame, group: list[str], columns: Seq
     return placed.groupBy(*group, "metric").agg(*picks)
 
 
-def _bracketed() -> tuple[Column, Column]:
-    """(v, outside): the value itself inside a bracket, else the end of the bracket below it."""
+def _bracketed() -> tuple[Column, Column, Column]:
+    """(zone, v, outside): inside a bracket the value itself, else the end of the bracket below it.
+
+    Zones are numbered in value order: odd ones are the brackets, even ones lie between them.
+    """
     v = F.col("v") + 0.0  # one zero: -0.0 and 0.0 are the same value
     probe, infinite = F.col("probe"), F.lit(float("inf"))
-    low = [probe[2 * i] for i in range(len(QUARTILES))]
-    high = [F.when(probe[2 * i + 1] == infinite, nan()).otherwise(probe[2 * i + 1]) for i in range(len(QUARTILES))]
-    inside = F.col("n") <= SMALL
-    for lo, hi in zip(low, high):
+    ends = [(probe[2 * i], probe[2 * i + 1]) for i in range(len(QUARTILES))]
+    # An infinite upper end stands for everything above, NaN included.
+    ends = [(lo, F.when(hi == infinite, nan()).otherwise(hi)) for lo, hi in ends]
+    small = F.col("n") <= SMALL
+    zone, below = F.when(small, 1), F.when(small, v)
+    for i, (lo, hi) in enumerate(ends):
+        under = ends[i - 1][1] if i else F.lit(float("-inf"))
+        zone = zone.when(v < lo, 2 * i).when(v <= hi, 2 * i + 1)
+        below = below.when(v < lo, under).when(v <= hi, v)
+    zone, below = zone.otherwise(2 * len(ends)), below.otherwise(ends[-1][1])
+    inside = small
+    for lo, hi in ends:
         inside = inside | v.between(lo, hi)
-    below = F.when(v > high[2], high[2]).when(v > high[1], high[1]).when(v > high[0], high[0])
-    below = below.otherwise(F.lit(float("-inf")))
-    return F.when(inside, v).otherwise(below).alias("v"), (~inside).alias("outside")
+    return zone.alias("zone"), below.alias("v"), (~inside).alias("outside")

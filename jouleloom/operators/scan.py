@@ -2,7 +2,8 @@
 
 Short timelines are one window each. Long ones are split into segments (extra partition columns
 whose order follows the row order): windows run inside a segment, one small row per segment is
-carried over to the next ones, and no task ever holds a whole long timeline.
+carried over to the next ones, and no task ever holds a whole long timeline. Where the first
+segment column is null the key is whole and takes no part in that.
 """
 
 from __future__ import annotations
@@ -153,7 +154,9 @@ def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataF
         aggs.append(F.max(_point(c, _POS)).alias(f"c~last~{c}"))
     for out in flags:
         aggs.append(F.max(_c(out)).alias(f"c~flag~{out}"))
-    per_segment = rows.groupBy(*map(_c, order.part)).agg(*aggs)
+    # Whole keys have no segment: nothing is carried, and the filter reaches down to the source.
+    in_parts = rows.where(_c(order.segment[0]).isNotNull())
+    per_segment = in_parts.groupBy(*map(_c, order.part)).agg(*aggs)
 
     ws, wr = order.segments(), order.segments(reverse=True)
     before, after = ws.rowsBetween(_START, -1), wr.rowsBetween(_START, -1)
@@ -180,23 +183,23 @@ def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataF
     for out in flags:
         anywhere = Window.partitionBy(*map(_q, order.keys))
         carried.append(F.max(_c(f"c~flag~{out}")).over(anywhere).alias(f"k~flag~{out}"))
-    joined = rows.join(numbered.select(*carried), list(order.part))
+    joined = rows.join(numbered.select(*carried), list(order.part), "left")
 
     done: dict[str, Column] = {}
     for out in lags:
         done[out] = F.when(_c(_POS) == 1, _c(f"k~lag~{out}")).otherwise(_c(out))
     for out in sums:
-        done[out] = _c(out) + _c(f"k~sum~{out}")
+        done[out] = _c(out) + F.coalesce(_c(f"k~sum~{out}"), F.lit(0))
     for c in gaps:
         for value, at, side, by in ((lo, lo_away, "lo", "k~before"), (hi, hi_away, "hi", "k~after")):
             carried_point = _c(f"k~{side}~{c}")
             done[value(c)] = F.coalesce(_c(value(c)), carried_point["v"])
-            done[at(c)] = F.coalesce(_c(at(c)) + _c(by), carried_point["at"])
+            done[at(c)] = F.coalesce(_c(at(c)) + F.coalesce(_c(by), F.lit(0)), carried_point["at"])
     for out in flags:
-        done[out] = _c(f"k~flag~{out}")
-    for at, by in ((_POS, "k~before"), (_BACK, "k~after")):
-        if at in rows.columns:
-            done[at] = _c(at) + _c(by)
+        done[out] = F.coalesce(_c(f"k~flag~{out}"), _c(out))
+    for here, by in ((_POS, "k~before"), (_BACK, "k~after")):
+        if here in rows.columns:
+            done[here] = _c(here) + F.coalesce(_c(by), F.lit(0))
     helpers = [c for c in joined.columns if c.startswith("k~")]
     return joined.withColumns(done).drop(*helpers)
 

@@ -8,9 +8,10 @@ broadcasts it only if its real size allows. Where nothing is special, nothing is
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.keys import JOB, ROW, SEG, SUB, TIME
@@ -43,15 +44,15 @@ def special_jobs(facts: DataFrame, groups: str, segment_rows: int) -> DataFrame:
     """The jobs that need special treatment, and which."""
     if groups not in ("first", "all"):
         raise ValueError("groups must be 'first' or 'all'")
-    # Facts are one row per job, so a window over a file's groups is small.
-    file = Window.partitionBy("file_label")
-    bad = F.max(F.col("bad_time") | F.col("bad_epoch")).over(file)
     unusable = F.size("usable") == 0
-    skip = bad | unusable
+    files = facts.groupBy("file_label").agg(
+        F.max(F.col("bad_time") | F.col("bad_epoch")).alias("bad"),
+        F.min(F.when(~unusable, F.col("group_name"))).alias("first"),
+    )
+    skip = F.col("bad") | unusable
     if groups == "first":
-        first = F.min(F.when(~unusable, F.col("group_name"))).over(file)
-        skip = skip | (F.col("group_name") != first)
-    rows = facts.withColumn("skip", skip)
+        skip = skip | (F.col("group_name") != F.col("first"))
+    rows = facts.join(files, "file_label").withColumn("skip", skip)
     span = (F.col("t_max") - F.col("t_min")).cast("double") + 1
     width = F.greatest(F.lit(1), F.ceil(span * segment_rows / F.col("n_rows")))
     is_long = (F.col("n_rows") > segment_rows) & F.col("t_min").isNotNull()
@@ -71,7 +72,8 @@ def prepare(
     chunk_rows: int = CHUNK_ROWS,
 ) -> Prepared:
     """Validate frames and decide how jobs are split."""
-    special = written(special_jobs(job_facts(frames), groups, segment_rows), "special-jobs")
+    facts = written(job_facts(frames), "job-facts")
+    special = written(special_jobs(facts, groups, segment_rows), "special-jobs")
     found = special.agg(
         F.count(F.lit(1)).alias("jobs"), F.count("width").alias("long"), F.count_if(F.size("drop") > 0).alias("drops")
     ).first()
@@ -111,9 +113,9 @@ def _without_dropped(rows: DataFrame, frames: Frames, kept: dict[str, Column]) -
 
 
 def _segment_of() -> Column:
-    """Equal slices of the job's time span; rows without a time come first."""
-    slice_ = F.expr(f"(`{TIME}` - t0) div width")
-    return F.when(F.col("width").isNull(), F.lit(0)).otherwise(F.coalesce(slice_, F.lit(-1))).cast("bigint")
+    """Equal slices of a long job's time span; rows without a time come first. Null for others."""
+    slice_ = F.coalesce(F.expr(f"(`{TIME}` - t0) div width"), F.lit(-1))
+    return F.when(F.col("width").isNotNull(), slice_).cast("bigint")
 
 
 def dataset_positions(prepared: Prepared) -> DataFrame:
@@ -134,3 +136,19 @@ def dataset_positions(prepared: Prepared) -> DataFrame:
         )
     order = Order((*JOB, "prefix"), (TIME, ROW), prepared.segment)
     return row_positions(rows, order, "position").select(*JOB, "prefix", TIME, ROW, "position")
+
+
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, limit: int = SEGMENT_ROWS
+) -> DataFrame:
+    """0-based position of every row within its key, by any sortable columns.
+
+    If a key has more than `limit` rows, rows are first laid out by sampled ranges and written, so
+    that the ranges are fixed, and each range of a key is numbered by itself.
+    """
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= limit:
+        return row_positions(df, Order(tuple(keys), tuple(order)), out)
+    ranges = df.repartitionByRange(*keys, *order).withColumn(SEG, F.spark_partition_id())
+    fixed = written(ranges, "ranges")
+    return row_positions(fixed, Order(tuple(keys), tuple(order), (SEG,)), out).drop(SEG)

@@ -7,12 +7,13 @@ Landed form, one row per chunk of a dataset: `file_label`, `path_parts` (group f
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.functions.text import dataset_prefix
 from jouleloom.keys import JOB, ROW, TIME
 from jouleloom.operators.frames import Frames
+from jouleloom.plans.segments import SEGMENT_ROWS, numbered
 
 RAW_SCHEMA = (
     "file_label string, path_parts array<string>, kind string, field_names array<string>, "
@@ -24,13 +25,12 @@ def _group() -> Column:
     return F.col("path_parts")[0].alias("group_name")
 
 
-def dataset_catalog(raw: DataFrame) -> DataFrame:
+def dataset_catalog(raw: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
     """One row per dataset in depth-first order: a group's datasets sort by their path parts."""
     datasets = raw.groupBy("file_label", "path_parts").agg(
         *[F.any_value(c).alias(c) for c in ("kind", "field_names", "shape")]
     )
-    in_group = Window.partitionBy(*JOB).orderBy("path_parts")
-    return datasets.select(
+    named = datasets.select(
         "file_label",
         _group(),
         "path_parts",
@@ -38,7 +38,9 @@ def dataset_catalog(raw: DataFrame) -> DataFrame:
         "kind",
         "field_names",
         "shape",
-    ).withColumn("dataset_ord", F.row_number().over(in_group))
+    )
+    ranked = numbered(named, JOB, ["path_parts"], "dataset_ord", limit)
+    return ranked.withColumn("dataset_ord", (F.col("dataset_ord") + 1).cast("int"))
 
 
 def row_width(shape: Column) -> Column:

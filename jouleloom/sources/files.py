@@ -19,7 +19,8 @@ SIGNATURE = bytes.fromhex("894844460D0A1A0A")
 def discover_files(spark: SparkSession, root: str, keep_batch_files: bool = False) -> DataFrame:
     """All containers under `root`, any depth: file_label, path, length, modificationTime.
 
-    Works for every file system Spark can list. File contents are not read.
+    Works for every file system Spark can list. File contents are not read. Spark's listing leaves
+    out files of length zero; `validate_containers` reports them where their path is known.
     """
     listing = (
         spark.read.format("binaryFile")

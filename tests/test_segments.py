@@ -4,12 +4,11 @@ import random
 
 import pytest
 
-from jouleloom.keys import JOB
 from jouleloom.operators.align import align, fill
 from jouleloom.operators.energy import energy_profile, job_metrics
 from jouleloom.operators.frames import stack
 from jouleloom.operators.scan import Order, row_positions, scan
-from jouleloom.plans.segments import prepare
+from jouleloom.plans.segments import dataset_positions, numbered, prepare
 from tests.helpers import rows_of
 
 
@@ -34,8 +33,9 @@ def random_frames(spark, seed, hot=0, meter=False):
     )
 
 
-@pytest.mark.parametrize("meter", [False, True])
-@pytest.mark.parametrize(("hot", "segment_rows", "chunk_rows"), [(0, 10, 100), (0, 3, 100), (80, 8, 5), (80, 15, 1000)])
+@pytest.mark.parametrize(
+    ("hot", "segment_rows", "chunk_rows", "meter"), [(0, 3, 100, False), (0, 10, 100, True), (80, 8, 5, False)]
+)
 def test_split_jobs_equal_whole_jobs(spark, hot, segment_rows, chunk_rows, meter):
     frames = random_frames(spark, 7, hot, meter)
     whole = prepare(frames)
@@ -58,11 +58,24 @@ def test_scan_carries_over_segments(spark):
 
 def test_row_positions_start_at_zero(spark):
     df = spark.createDataFrame([("a", 5), ("a", 3), ("b", 9)], "k string, t int")
-    assert rows_of(row_positions(df, Order(["k"], ["t"]), "row_idx")) == [(0, 3, "a")[:0] + ("a", 0, 3), ("a", 1, 5), ("b", 0, 9)]
+    assert rows_of(row_positions(df, Order(["k"], ["t"]), "row_idx")) == [("a", 0, 3), ("a", 1, 5), ("b", 0, 9)]
 
 
 def test_one_shuffle_for_align_scan_and_energy(spark):
     timeline = energy_profile(fill(align(prepare(random_frames(spark, 3)))))
     plan = timeline.df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
-    assert JOB == ["file_label", "group_name"]
+
+
+def test_numbered_by_sampled_ranges(spark):
+    rng = random.Random(2)
+    data = [("a" if i % 3 else "b", [rng.choice("xyz"), str(rng.randrange(50)), str(i)]) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, path array<string>")
+    assert rows_of(numbered(df, ["k"], ["path"], "n")) == rows_of(numbered(df, ["k"], ["path"], "n", limit=10))
+
+
+def test_dataset_positions_of_split_jobs(spark):
+    frames = random_frames(spark, 5, hot=40)
+    whole, split = prepare(frames), prepare(frames, segment_rows=6, chunk_rows=4)
+    assert split.hot is not None
+    assert rows_of(dataset_positions(whole)) == rows_of(dataset_positions(split))

@@ -1,0 +1,210 @@
+import csv
+
+import pytest
+from pyspark.sql import functions as F
+
+from jouleloom.keys import TIME
+from jouleloom.operators.describe import describe_columns
+from jouleloom.plans.jobs import job_profile, job_report, job_table
+from jouleloom.sinks.reports import write_report
+from jouleloom.sinks.tables import register_jobs, write_job_jdbc, write_jobs
+from jouleloom.sources.datasets import RAW_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray
+from jouleloom.sources.files import (
+    SIGNATURE,
+    discover_files,
+    discover_union,
+    latest_per_label,
+    object_inventory,
+    readable_files,
+    require_files,
+    validate_containers,
+)
+from jouleloom.sources.notices import acceptance_audit, accepted, notice_records, parse_notices
+from jouleloom.sources.objects import rescan_missing, user_objects
+from jouleloom.streaming.intake import stream_jobs
+from tests.helpers import frame, rows_of, table
+from jouleloom.operators.frames import stack
+
+
+def test_discovery_and_validation(spark, tmp_path):
+    sub = tmp_path / "deep" / "er"
+    sub.mkdir(parents=True)
+    (tmp_path / "1_a.h5").write_bytes(SIGNATURE + b"rest")
+    (sub / "2_b.h5").write_bytes(b"\0" * 512 + SIGNATURE)
+    (sub / "3_text.h5").write_bytes(b"this is just some text, not a container")
+    (tmp_path / "4_batch.h5").write_bytes(SIGNATURE)
+    (tmp_path / "5_empty.h5").write_bytes(b"")
+    (tmp_path / "6.csv").write_bytes(b"x")
+    files = discover_files(spark, str(tmp_path))
+    assert [r[0] for r in table(files, "file_label", order=["file_label"])] == ["1_a", "2_b", "3_text"]
+    assert discover_files(spark, str(tmp_path), keep_batch_files=True).count() == 4
+    more = spark.createDataFrame([(n, f"{tmp_path}/{n}.h5") for n in ("5_empty", "7_gone")], "file_label string, path string")
+    good, bad = readable_files(validate_containers(files.select("file_label", "path").unionByName(more)))
+    assert {r[0] for r in table(good, "file_label")} == {"1_a", "2_b"}
+    assert dict(table(bad, "file_label", "reason")) == {"3_text": "not_hdf5", "5_empty": "empty", "7_gone": "missing"}
+    with pytest.raises(ValueError):
+        require_files(files.limit(0))
+
+
+def test_union_and_latest(spark):
+    objects = spark.createDataFrame([("in/a.h5",), ("in/b.csv",), ("other/c.h5",)], "key string")
+    remote = object_inventory(objects, "/in")
+    assert table(remote, "key", "file_label") == [("in/a.h5", "a")]
+    local = spark.createDataFrame([("a", "/d/a.h5"), ("z", "/d/z.h5"), ("z", "/e/z.h5")], "file_label string, path string")
+    both = discover_union(local, remote)
+    assert table(latest_per_label(both), "file_label", "path", order=["file_label"]) == [("a", "in/a.h5"), ("z", "/e/z.h5")]
+    assert discover_union(local, None).count() == 3
+
+
+def raw(spark, rows):
+    return spark.createDataFrame(rows, RAW_SCHEMA)
+
+
+def test_arrays(spark):
+    df = raw(
+        spark,
+        [
+            ("f", ["g", "s"], "scalar", [], [], 0, [7.0], None),
+            ("f", ["g", "one"], "ndarray", [], [2], 0, [1.0, 2.0], None),
+            ("f", ["g", "two"], "ndarray", [], [2, 3], 0, [1.0, 2.0, 3.0, 4.0], None),
+            ("f", ["g", "two"], "ndarray", [], [2, 3], 4, [5.0, 6.0], None),
+            ("f", ["g", "three"], "ndarray", [], [2, 2, 2], 0, [float(i) for i in range(1, 9)], None),
+        ],
+    )
+    cells = {}
+    for path, row, column, value in table(normalize_ndarray(df), "path_parts", "row_idx", "column", "value"):
+        cells.setdefault(path[1], {})[(row, column)] = value
+    assert cells["s"] == {(0, "value"): 7.0}
+    assert cells["one"] == {(0, "value"): 1.0, (1, "value"): 2.0}
+    assert cells["two"] == {(i // 3, f"col_{i % 3}"): float(i + 1) for i in range(6)}
+    assert cells["three"] == {(i // 4, f"col_{i % 4}"): float(i + 1) for i in range(8)}
+
+
+def test_landed_datasets_to_profile(spark):
+    fields = {"ElapsedTime": [0.0, 4.0], "NodePower": [100.0, 200.0]}
+    more = {"ElapsedTime": [1.0, 2.0], "RSS": [2048.0, None]}
+    tail = {"ElapsedTime": [4.0], "RSS": [4096.0]}
+    df = raw(
+        spark,
+        [
+            ("9_x", ["g", "Tasks", "0"], "compound", ["ElapsedTime", "RSS"], [3], 2, None, tail),
+            ("9_x", ["g", "Tasks", "0"], "compound", ["ElapsedTime", "RSS"], [3], 0, None, more),
+            ("9_x", ["g", "Energy"], "compound", ["ElapsedTime", "NodePower"], [2], 0, None, fields),
+            ("9_x", ["g", "Tasks", "1"], "ndarray", [], [2, 2], 0, [1.0, 2.0, 3.0, 4.0], None),
+        ],
+    )
+    catalog = table(dataset_catalog(df), "prefix", "dataset_ord", order=["dataset_ord"])
+    assert catalog == [("Energy", 1), ("Tasks__0", 2), ("Tasks__1", 3)]
+    profile = job_profile(frames_from_raw(df))
+    rows = table(profile.df, TIME, "Energy_used_J", "Tasks__0__RSS", "Tasks__1__col_0", "Tasks__1__col_1", order=[TIME])
+    assert [tuple(None if v is None else round(v, 4) for v in r) for r in rows] == [
+        (0, 0.0, None, 1.0, 2.0),
+        (1, 133.3333, 2048.0, 3.0, 4.0),
+        (2, 300.0, 3072.0, None, None),
+        (4, 700.0, 4096.0, None, None),
+    ]
+
+
+DOCUMENT = """{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"u/x.h5"}}},
+ {"s3":{"bucket":{"name":"b"},"object":{"key":"u/y.csv"}}},{"s3":{"bucket":{}}}]}"""
+
+
+def test_notices(spark):
+    docs = spark.createDataFrame([(1, DOCUMENT), (2, '{"Records":[]}'), (3, "{}")], "id int, value string")
+    records = notice_records(parse_notices(docs))
+    assert table(accepted(records), "id", "bucket", "key", "file_label") == [(1, "b", "u/x.h5", "x")]
+    reasons = sorted(r for (r,) in table(records.where("reason is not null"), "reason"))
+    assert reasons == ["missing_key", "no_records", "no_records", "not_h5"]
+    assert dict(table(acceptance_audit(records), "reason", "records"))["accepted"] == 1
+
+
+def test_objects(spark):
+    df = spark.sql(
+        """select * from values ('u/report.csv', 1024L, timestamp'2024-01-01 00:00:00Z'),
+        ('u/reports/january.csv', null, null), ('otheruser/file.txt', 1L, null),
+        ('u/z', 1L, timestamp'2024-01-01 00:00:00.5Z') t(key, size, last_modified)"""
+    )
+    assert table(user_objects(df, "u"), "key", "size", "last_modified", order=["key"]) == [
+        ("u/report.csv", 1024, "2024-01-01T00:00:00+00:00"),
+        ("u/reports/january.csv", 0, None),
+        ("u/z", 1, "2024-01-01T00:00:00.500000+00:00"),
+    ]
+    inventory = spark.createDataFrame([("a",), ("b",)], "file_label string")
+    assert table(rescan_missing(inventory, inventory.where("file_label = 'a'")), "file_label") == [("b",)]
+
+
+def energy(spark, label, power):
+    rows = [(0.0, power, 1700000000), (1.0, power, 1700000001)]
+    return frame(spark, "ElapsedTime double, NodePower double, EpochTime bigint", rows, label)
+
+
+def test_tables_are_replaced_per_file(spark, tmp_path):
+    path = str(tmp_path / "jobs")
+    both = energy(spark, "1_a", 5.0).unionByName(energy(spark, "2_b", 6.0))
+    write_jobs(job_table(stack({"Energy": both})), path)
+    for _ in range(2):
+        write_jobs(job_table(stack({"Energy": energy(spark, "1_a", 9.0)})), path)
+    found = register_jobs(spark.read.parquet(path), "jobs").groupBy("file_label").agg(F.max("NodePower"), F.count("*"))
+    assert rows_of(found) == [(2, "1_a", 9.0), (2, "2_b", 6.0)]
+
+
+def test_jdbc_table_is_replaced(spark):
+    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    url = "jdbc:derby:memory:jobs;create=true"
+    for power in (5.0, 9.0):
+        table_of_job = job_table(stack({"Energy": energy(spark, "1_a", power)})).select("file_label", "group_name", TIME, "NodePower")
+        name = write_job_jdbc(table_of_job, "1_a", url, **options)
+    assert name == "job_1_a"
+    read = spark.read.format("jdbc").options(url=url, dbtable=f'"{name}"', **options).load()
+    assert [r[1] for r in read.collect()] == [9.0, 9.0]
+
+
+def test_report_files(spark, tmp_path):
+    prices = spark.createDataFrame([(1700000000, 80.0)], "EpochTime bigint, Price_EUR_per_MWh double")
+    report = job_report(stack({"Energy": energy(spark, "1_a", 5.0)}), prices)
+    write_report(report, str(tmp_path))
+    for part, name, lines in (("combined", "1_a__g__combined", 2), ("stats", "1_a__g__combined_stats", 10), ("summary", "1_a__g__combined_summary", 6)):
+        folder = tmp_path / part / f"export={name}"
+        rows = [r for f in folder.glob("*.csv") for r in csv.DictReader(f.open())]
+        assert len(rows) >= lines - 2 and rows, part
+        if part == "summary":
+            assert rows[0]["Metric"] == "Energy-to-solution" and rows[0]["Value"] == "5.00"
+    assert list((tmp_path / "prices").glob("*.csv"))
+
+
+def test_describe(spark):
+    df = spark.createDataFrame([(1.0, "x"), (2.0, "x"), (3.0, "y"), (4.0, "y"), (None, "y")], "a double, s string")
+    row = describe_columns(df).first()
+    assert (row["count"], row["null_count"], row["mean"], round(row["std"], 6)) == (4, 1, 2.5, 1.290994)
+    assert [row[c] for c in ("min", "q25", "q50", "q75", "max")] == [1.0, 2.0, 3.0, 3.0, 4.0]
+
+
+def test_describe_of_many_values_brackets_exact_ranks(spark):
+    df = spark.range(0, 60_001, 1, 4).select(
+        (F.pmod(F.col("id") * 7919, F.lit(60_001)).cast("double")).alias("a"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("b"),
+        F.when(F.col("id") % 3 == 0, float("nan")).otherwise(-F.col("id").cast("double")).alias("c"),
+    )
+    rows = {r["metric"]: r for r in describe_columns(df).collect()}
+    values = {c: sorted((r[0] for r in df.select(c).collect()), key=lambda v: (v != v, v)) for c in "abc"}
+    for c, v in values.items():
+        for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            expected = v[int(q * (len(v) - 1) + 0.5)]
+            assert rows[c][name] == expected or (expected != expected and rows[c][name] != rows[c][name]), (c, name)
+    assert rows["c"]["max"] == -1.0
+
+
+def test_stream_builds_notified_jobs(spark, tmp_path):
+    events, out = tmp_path / "events", tmp_path / "out"
+    events.mkdir()
+    (events / "1.json").write_text(DOCUMENT.replace("\n", " "))
+
+    def load(objects):
+        data = energy(spark, "x", 5.0).unionByName(energy(spark, "other", 6.0))
+        return stack({"Energy": data.join(objects.select("file_label"), "file_label", "left_semi")})
+
+    for _ in range(2):
+        stream_jobs(spark, str(events), str(out), str(tmp_path / "cp"), load).awaitTermination()
+    assert {r[0] for r in table(spark.read.parquet(str(out / "jobs")), "file_label")} == {"x"}
+    assert spark.read.parquet(str(out / "rejected")).count() == 2
+    assert dict(table(spark.read.parquet(str(out / "audit")), "reason", "records"))["accepted"] == 1

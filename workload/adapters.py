@@ -112,7 +112,7 @@ def quantized(x: Column, digits: int) -> Column:
     show. The last addition turns a negative zero into zero.
     """
     scale = float(10**digits)
-    return F.rint(x.cast("double") * scale - 0.1289) / scale + F.lit(0.0)
+    return F.rint(x.cast("double") * scale - 0.12893761) / scale + F.lit(0.0)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

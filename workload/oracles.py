@@ -407,7 +407,7 @@ def spell_out(sql: str) -> str:
             end += 1
         x, digits = sql[start + 3 : end - 1].rsplit(",", 1)
         scale = f"1e{int(digits)}"
-        sql = f"{sql[:start]}(round(({x})::double*{scale}-0.1289::double)/{scale}+0.0::double){sql[end:]}"
+        sql = f"{sql[:start]}(round(({x})::double*{scale}-0.12893761::double)/{scale}+0.0::double){sql[end:]}"
     return sql
 
 
