@@ -1,4 +1,4 @@
-from jouleloom.functions.appliance import appliance_equiv, appliance_sentence
+from jouleloom.functions.appliance import with_appliance
 from jouleloom.functions.numbers import fixed2, is_finite, nan, round_half_even, truncate_to_long
 from jouleloom.functions.text import (
     dataset_prefix,
@@ -14,8 +14,6 @@ from jouleloom.functions.text import (
 )
 
 __all__ = [
-    "appliance_equiv",
-    "appliance_sentence",
     "dataset_prefix",
     "file_stem",
     "fixed2",
@@ -31,4 +29,5 @@ __all__ = [
     "table_name",
     "truncate_to_long",
     "unit_name",
+    "with_appliance",
 ]

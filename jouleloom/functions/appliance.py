@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jouleloom.functions.numbers import bind, float_text, round_half_even
+from jouleloom.functions.numbers import float_text, scaled_half_even
 from jouleloom.functions.text import unit_name
 
 # Appliance and its power in watts. The order decides ties.
@@ -26,79 +26,67 @@ APPLIANCES: tuple[tuple[str, int], ...] = (
 TOO_SMALL = "Energy use too small to compare with everyday appliances."
 
 
-def appliance_equiv(
-    joules: Column,
+APPLIANCE_COLUMNS = ["appliance_name", "appliance_amount", "appliance_unit", "appliance_description"]
+
+
+def with_appliance(
+    df: DataFrame,
+    joules: str,
     catalog: Sequence[tuple[str, int]] = APPLIANCES,
     target_min: float = 10.0,
-) -> Column:
-    """Struct `(name, amount, unit)` of the appliance whose running time is nearest the target.
+) -> DataFrame:
+    """Add name, amount, unit and sentence of the appliance whose running time is nearest the target.
 
     Running times of 1 to 120 minutes are preferred; only if no appliance has one, all compete.
-    The least struct, ordered by distance and then catalog position, wins.
+    Steps are small projections over non-null numbers, so that each compiles to a method the JVM
+    accepts for just-in-time compilation; one large expression would run interpreted.
     """
-
-    known = F.array(
-        *[
-            F.struct(F.lit(i).alias("position"), F.lit(name).alias("name"), F.lit(float(watts)).alias("watts"))
-            for i, (name, watts) in enumerate(catalog)
-        ]
+    given = F.col(f"`{joules}`").cast("double")
+    some = F.coalesce((given > 0) & ~F.isnan(given), F.lit(False))
+    places = range(len(catalog))
+    steps = df.withColumns({"some~": some, "j~": F.coalesce(F.when(some, given), F.lit(1.0))})
+    steps = steps.withColumns({f"min~{i}": F.col("`j~`") / float(w) / 60.0 for i, (_, w) in enumerate(catalog)})
+    minutes = [F.col(f"`min~{i}`") for i in places]
+    steps = steps.withColumns({f"far~{i}": F.abs(minutes[i] - target_min) for i in places})
+    far = [F.col(f"`far~{i}`") for i in places]
+    preferred = [minutes[i].between(1.0, 120.0) for i in places]
+    steps = steps.withColumn("near~", F.least(*[F.when(preferred[i], far[i]) for i in places]))
+    steps = steps.withColumns({"all~": F.isnull("`near~`"), "best~": F.coalesce("`near~`", F.least(*far))})
+    # The first appliance at the least distance wins.
+    chosen = F
+    for i in places:
+        chosen = chosen.when((far[i] == F.col("`best~`")) & (F.col("`all~`") | preferred[i]), i)
+    steps = steps.withColumn("pick~", chosen)
+    watts = F.array(*[F.lit(float(w)) for _, w in catalog])
+    steps = steps.withColumn("secs~", F.coalesce(F.col("`j~`") / F.get(watts, "`pick~`"), F.lit(0.0)))
+    s = F.col("`secs~`")
+    steps = steps.withColumns(
+        {
+            "raw~": F.when(s < 60, s).when(s < 3600, s / 60.0).otherwise(s / 3600.0),
+            "scale~": F.when(s < 3600, 10.0).otherwise(100.0),
+        }
     )
-
-    def best(j: Column) -> Column:
-        def timed(a: Column) -> Column:
-            seconds = j / a["watts"]
-            return F.struct(
-                F.abs(seconds / 60.0 - target_min).alias("distance"),
-                a["position"].alias("position"),
-                a["name"].alias("name"),
-                seconds.alias("seconds"),
-            )
-
-        def pick(all_: Column) -> Column:
-            preferred = F.filter(all_, lambda e: (e["seconds"] / 60.0).between(1.0, 120.0))
-            return F.coalesce(F.array_min(preferred), F.array_min(all_))
-
-        return bind(F.transform(known, timed), pick)
-
-    def described(e: Column) -> Column:
-        s = e["seconds"]
-        return F.struct(
-            e["name"].alias("name"),
-            F.when(s < 60, round_half_even(s, 1))
-            .when(s < 3600, round_half_even(s / 60.0, 1))
-            .otherwise(round_half_even(s / 3600.0, 2))
-            .alias("amount"),
-            F.when(s < 60, "s").when(s < 3600, "m").otherwise("h").alias("unit"),
-        )
-
-    nothing = F.struct(
-        F.lit("negligible usage").alias("name"), F.lit(0.0).alias("amount"), F.lit("s").alias("unit")
+    steps = steps.withColumn("amount~", scaled_half_even(F.col("`raw~`"), F.col("`scale~`")))
+    amount = F.col("`amount~`")
+    name = F.get(F.array(*[F.lit(n) for n, _ in catalog]), "`pick~`")
+    steps = steps.withColumns(
+        {
+            "appliance_name": F.when(F.col("`some~`"), name).otherwise("negligible usage"),
+            "appliance_amount": F.when(F.col("`some~`"), amount).otherwise(0.0),
+            "appliance_unit": F.when(F.col("`some~`") & (s >= 3600), "h")
+            .when(F.col("`some~`") & (s >= 60), "m")
+            .otherwise("s"),
+        }
     )
-
-    def equiv(j: Column) -> Column:
-        return F.when(_negligible(j), nothing).otherwise(bind(best(j), described))
-
-    return bind(joules.cast("double"), equiv)
-
-
-def _negligible(j: Column) -> Column:
-    return j.isNull() | (j <= 0) | F.isnan(j)
-
-
-def appliance_sentence(joules: Column, equiv: Column | None = None) -> Column:
-    """One English sentence for the same comparison."""
-    j = joules.cast("double")
-
-    def sentence(e: Column) -> Column:
-        return F.concat(
-            F.lit("That's about the same energy as using "),
-            e["name"],
-            F.lit(" for "),
-            float_text(e["amount"]),
-            F.lit(" "),
-            unit_name(e["unit"]),
-            F.lit("."),
-        )
-
-    text = bind(appliance_equiv(j) if equiv is None else equiv, sentence)
-    return F.when(_negligible(j), TOO_SMALL).otherwise(text)
+    sentence = F.concat(
+        F.lit("That's about the same energy as using "),
+        F.col("appliance_name"),
+        F.lit(" for "),
+        float_text(F.col("appliance_amount")),
+        F.lit(" "),
+        unit_name(F.col("appliance_unit")),
+        F.lit("."),
+    )
+    described = F.when(F.col("`some~`"), sentence).otherwise(TOO_SMALL)
+    helpers = [c for c in steps.columns if c not in df.columns and c not in APPLIANCE_COLUMNS]
+    return steps.withColumn("appliance_description", described).drop(*helpers)

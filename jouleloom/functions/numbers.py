@@ -32,27 +32,27 @@ def truncate_to_long(c: Column) -> Column:
 
 
 def round_half_even(x: Column, digits: int) -> Column:
-    """Round the exact binary value to `digits` decimals, ties to even.
+    """Round the exact binary value to `digits` decimals, ties to even."""
+    return bind(x.cast("double"), lambda v: scaled_half_even(v, F.lit(float(10**digits))))
+
+
+def scaled_half_even(x: Column, scale: Column) -> Column:
+    """Round x to multiples of 1 / scale. Give it plain columns: both are used many times.
 
     `round`/`bround` work on the shortest decimal text, which moves values such as 2.675 (really
-    2.67499...). Here the product with 10^digits is kept as an unevaluated sum `p + err` (the
+    2.67499...). Here the product with the scale is kept as an unevaluated sum `p + err` (the
     error of the product is found by splitting x in two halves), so the tie test is exact.
     """
-    scale = float(10**digits)
-
-    def rounded(x: Column) -> Column:
-        p = x * scale
-        big = x * 134217729.0  # 2^27 + 1
-        hi = big - (big - x)
-        err = (hi * scale - p) + (x - hi) * scale
-        f = F.floor(p).cast("double")
-        side = ((p - f) - 0.5) + err
-        up = (side > 0) | ((side == 0) & (F.pmod(f, F.lit(2.0)) == 1))
-        near = (f + F.when(up, 1.0).otherwise(0.0)) / scale
-        signed = F.when((near == 0) & (x < 0), -0.0).otherwise(near)
-        return F.when(F.abs(p) < 2.0**52, signed).otherwise(x)
-
-    return bind(x.cast("double"), rounded)
+    p = x * scale
+    big = x * 134217729.0  # 2^27 + 1
+    hi = big - (big - x)
+    err = (hi * scale - p) + (x - hi) * scale
+    f = F.floor(p).cast("double")
+    side = ((p - f) - 0.5) + err
+    up = (side > 0) | ((side == 0) & (F.pmod(f, F.lit(2.0)) == 1))
+    near = (f + F.when(up, 1.0).otherwise(0.0)) / scale
+    signed = F.when((near == 0) & (x < 0), -0.0).otherwise(near)
+    return F.when(F.abs(p) < 2.0**52, signed).otherwise(x)
 
 
 def fixed2(x: Column) -> Column:
@@ -86,9 +86,5 @@ def fixed2(x: Column) -> Column:
 
 def float_text(x: Column) -> Column:
     """Shortest decimal text of a rounded amount, without an exponent for large values."""
-    return bind(
-        x,
-        lambda v: F.when(
-            F.abs(v) >= 1e7, F.regexp_replace(F.format_string("%.2f", v), F.lit("0$"), F.lit(""))
-        ).otherwise(v.cast("string")),
-    )
+    plain = F.regexp_replace(F.format_string("%.2f", x), "0$", "")
+    return F.when(F.abs(x) >= 1e7, plain).otherwise(x.cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jouleloom.functions.appliance import appliance_equiv, appliance_sentence
+from jouleloom.functions.appliance import APPLIANCE_COLUMNS, with_appliance
 from jouleloom.functions.numbers import fixed2, nan
 from jouleloom.functions.text import unit_name
 from jouleloom.keys import JOB, TIME
@@ -73,8 +73,7 @@ def job_metrics(profile: DataFrame) -> DataFrame:
     ets, tts = F.col("energy_to_solution_j"), F.col("time_to_solution_s")
     moved = tts.isNotNull() & (tts != 0)
     best = F.col("`peak~`")
-    equiv = F.col("`equiv~`")
-    return (
+    figures = (
         profile.groupBy(*JOB)
         .agg(
             # NaN counts only if there is nothing else.
@@ -82,7 +81,6 @@ def job_metrics(profile: DataFrame) -> DataFrame:
             F.max(t).alias("time_to_solution_s"),
             peak.alias("peak~"),
         )
-        .withColumn("equiv~", appliance_equiv(ets))
         .select(
             *JOB,
             ets,
@@ -93,12 +91,9 @@ def job_metrics(profile: DataFrame) -> DataFrame:
             F.when(moved & ~F.coalesce(F.isnan(ets), F.lit(False)), ets * tts)
             .otherwise(nan())
             .alias("energy_delay_product"),
-            equiv["name"].alias("appliance_name"),
-            equiv["amount"].alias("appliance_amount"),
-            equiv["unit"].alias("appliance_unit"),
-            appliance_sentence(ets, equiv).alias("appliance_description"),
         )
     )
+    return with_appliance(figures, "energy_to_solution_j").select(*figures.columns, *APPLIANCE_COLUMNS)
 
 
 def job_summary(metrics: DataFrame) -> DataFrame:

@@ -72,8 +72,9 @@ def scan(
     position -- output name of the 1-based row position within the key
     lags     -- output -> input column: the previous row's value
     sums     -- output -> input column: running sum; null where the input is null
-    gaps     -- columns to complete with the nearest non-null value at or before / at or after
-                (`lo(c)`, `hi(c)`) and how many rows away it is (`lo_away(c)`, `hi_away(c)`)
+    gaps     -- columns to find the nearest non-null value for, at or before and at or after
+                (`lo(c)`, `hi(c)`), and its position (`lo_at(c)`, and `hi_at(c)` from the end);
+                these and the row's own positions are left for `interpolate`
     flags    -- output -> input boolean column: true if it is true anywhere in the key
 
     The reverse windows come first and the forward ones last, so a following scan in the same
@@ -89,7 +90,7 @@ def scan(
         # The next non-null value is the last one in reverse order: a frame to the end of the
         # partition would rescan it for every row.
         rows = rows.withColumn(_BACK, F.row_number().over(order.backward()).cast("bigint"))
-        rows = rows.withColumns(_nearest(gaps, hi, hi_away, _BACK, down))
+        rows = rows.withColumns(_nearest(gaps, hi, hi_at, _BACK, down))
     local: dict[str, Column] = {}
     if position or gaps or (split and lags):
         local[_POS] = F.row_number().over(fw).cast("bigint")
@@ -101,13 +102,11 @@ def scan(
         local[out] = F.max(_c(c)).over(whole)
     rows = rows.withColumns(local)
     if gaps:
-        rows = rows.withColumns(_nearest(gaps, lo, lo_away, _POS, upto))
+        rows = rows.withColumns(_nearest(gaps, lo, lo_at, _POS, upto))
     if split:
         rows = _carry_over(rows, order, lags, sums, gaps, flags)
     if gaps:
-        away = {lo_away(c): _c(_POS) - _c(lo_away(c)) for c in gaps}
-        away |= {hi_away(c): _c(_BACK) - _c(hi_away(c)) for c in gaps}
-        rows = rows.withColumns(away)
+        return rows
     if position:
         rows = rows.withColumn(position, _c(_POS))
     return rows.drop(_POS, _BACK)
@@ -126,16 +125,16 @@ def lo(column: str) -> str:
     return f"lo~{column}"
 
 
-def lo_away(column: str) -> str:
-    return f"lo~away~{column}"
+def lo_at(column: str) -> str:
+    return f"lo~at~{column}"
 
 
 def hi(column: str) -> str:
     return f"hi~{column}"
 
 
-def hi_away(column: str) -> str:
-    return f"hi~away~{column}"
+def hi_at(column: str) -> str:
+    return f"hi~at~{column}"
 
 
 def _point(column: str, at: str) -> Column:
@@ -191,7 +190,7 @@ def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataF
     for out in sums:
         done[out] = _c(out) + F.coalesce(_c(f"k~sum~{out}"), F.lit(0))
     for c in gaps:
-        for value, at, side, by in ((lo, lo_away, "lo", "k~before"), (hi, hi_away, "hi", "k~after")):
+        for value, at, side, by in ((lo, lo_at, "lo", "k~before"), (hi, hi_at, "hi", "k~after")):
             carried_point = _c(f"k~{side}~{c}")
             done[value(c)] = F.coalesce(_c(value(c)), carried_point["v"])
             done[at(c)] = F.coalesce(_c(at(c)) + F.coalesce(_c(by), F.lit(0)), carried_point["at"])
@@ -215,12 +214,12 @@ def interpolate(df: DataFrame, columns: Sequence[str], order: Order, **also) ->
     scanned = scan(typed, order, gaps=columns, **also)
 
     def filled(c: str) -> Column:
-        rows_apart = _c(lo_away(c)) + _c(hi_away(c))
-        step = (_c(hi(c)) - _c(lo(c))) / F.nullif(rows_apart, F.lit(0))
-        return F.coalesce(_c(c), _c(lo(c)) + _c(lo_away(c)) * step)
+        back, ahead = _c(_POS) - _c(lo_at(c)), _c(_BACK) - _c(hi_at(c))
+        step = (_c(hi(c)) - _c(lo(c))) / F.nullif(back + ahead, F.lit(0))
+        return F.coalesce(_c(c), _c(lo(c)) + back * step).alias(c)
 
-    out = scanned.withColumns({c: filled(c) for c in columns})
-    return out.drop(*[g(c) for c in columns for g in (lo, lo_away, hi, hi_away)])
+    helpers = {g(c) for c in columns for g in (lo, lo_at, hi, hi_at)} | {_POS, _BACK}
+    return scanned.select(*[filled(c) if c in columns else _c(c) for c in scanned.columns if c not in helpers])
 
 
 def cumulative(df: DataFrame, column: str, order: Order, out: str) -> DataFrame:

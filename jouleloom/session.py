@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles methods above 8000 bytes of bytecode. Wide projections grow beyond
+    # that when fused; running such a stage operator by operator is many times faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -28,6 +31,13 @@ def build_session(name: str = "jouleloom", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session somebody else built; all of them can change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, named by `spark.checkpoint.dir`.
 

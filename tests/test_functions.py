@@ -3,8 +3,6 @@ import random
 from pyspark.sql import functions as F
 
 from jouleloom.functions import (
-    appliance_equiv,
-    appliance_sentence,
     dataset_prefix,
     file_stem,
     fixed2,
@@ -17,6 +15,7 @@ from jouleloom.functions import (
     storage_key,
     table_name,
     unit_name,
+    with_appliance,
 )
 
 
@@ -58,12 +57,13 @@ def test_appliance(spark):
         12000000.0: ("a hair dryer", 1.85, "h"),
         1e9: ("a hair dryer", 154.32, "h"),
     }
-    found = each(spark, list(cases), "double", appliance_equiv)
-    assert [tuple(r) for r in found] == list(cases.values())
-    sentences = each(spark, [36000.0, 0.0, 1e15], "double", appliance_sentence)
-    assert sentences[0] == "That's about the same energy as using a light bulb for 10.0 minutes."
-    assert sentences[1] == "Energy use too small to compare with everyday appliances."
-    assert sentences[2] == "That's about the same energy as using a hair dryer for 154320987.65 hours."
+    df = spark.createDataFrame(list(enumerate([*cases, 1e15])), "i int, j double")
+    rows = with_appliance(df, "j").orderBy("i").collect()
+    assert [tuple(r)[2:5] for r in rows[:-1]] == list(cases.values())
+    sentence = {r["j"]: r["appliance_description"] for r in rows}
+    assert sentence[36000.0] == "That's about the same energy as using a light bulb for 10.0 minutes."
+    assert sentence[0.0] == "Energy use too small to compare with everyday appliances."
+    assert sentence[1e15] == "That's about the same energy as using a hair dryer for 154320987.65 hours."
     assert each(spark, ["s", "m", "h", "d"], "string", unit_name) == ["seconds", "minutes", "hours", "d"]
 
 

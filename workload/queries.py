@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 from collections.abc import Callable
@@ -10,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jouleloom.functions import (
-    appliance_equiv,
-    appliance_sentence,
     dataset_prefix,
     file_stem,
     job_id,
@@ -20,6 +19,7 @@ from jouleloom.functions import (
     sanitize_object_name,
     storage_key,
     table_name,
+    with_appliance,
 )
 from jouleloom.keys import JOB, ROW, TIME
 from jouleloom.operators.align import align, timeline_union
@@ -48,7 +48,7 @@ from jouleloom.operators.prices import (
 )
 from jouleloom.plans.jobs import job_report, job_table
 from jouleloom.plans.segments import dataset_positions, prepare
-from jouleloom.session import shared_folder
+from jouleloom.session import shared_folder, tune, written
 from jouleloom.sources.datasets import dataset_catalog, normalize_ndarray
 from jouleloom.sources.files import (
     discover_union,
@@ -93,8 +93,12 @@ ENERGY_COLUMNS = ["ElapsedTime_Diff", "NodePower", "Energy_Increment_J", "Energy
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(tune(spark), sf_dir)
+
+    REGISTRY[fn.__name__] = tuned
+    return tuned
 
 
 # --- frames ---------------------------------------------------------------------------------
@@ -269,20 +273,15 @@ def job_summary_rows(spark, sf):
 
 @query
 def appliance_comparison(spark, sf):
-    joules = F.col("l_extendedprice") * F.col("l_quantity")
-    e = appliance_equiv(F.col("joules"))
-    return (
-        table(spark, sf, "lineitem")
-        .select("l_orderkey", "l_linenumber", joules.alias("joules"))
-        .select("l_orderkey", "l_linenumber", e.alias("e"), "joules")
-        .select(
-            "l_orderkey",
-            "l_linenumber",
-            "e.name",
-            "e.amount",
-            "e.unit",
-            appliance_sentence(F.col("joules"), F.col("e")).alias("sentence"),
-        )
+    joules = (F.col("l_extendedprice") * F.col("l_quantity")).alias("joules")
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", joules)
+    return with_appliance(items, "joules").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("appliance_name").alias("name"),
+        F.col("appliance_amount").alias("amount"),
+        F.col("appliance_unit").alias("unit"),
+        F.col("appliance_description").alias("sentence"),
     )
 
 
@@ -294,8 +293,9 @@ def describe_table(spark, sf):
 
 @query
 def describe_jobs(spark, sf):
-    wide = align(prepare(event_frames(spark, sf))).df
-    return rounded_statistics(describe_columns(wide.select(*AT, *SOURCE_COLUMNS), JOB, [TIME, *SOURCE_COLUMNS]), 4)
+    # Described in two passes, so aligned only once.
+    wide = written(align(prepare(event_frames(spark, sf))).df.select(*AT, *SOURCE_COLUMNS), "aligned")
+    return rounded_statistics(describe_columns(wide, JOB, [TIME, *SOURCE_COLUMNS]), 4)
 
 
 @query
