@@ -83,3 +83,11 @@ def test_json_documents(spark, tmp_path):
     (blocks / "b.json").write_text("not json at all")
     assert table(read_price_index(spark, str(tmp_path / "index.json")), "block", order=["block"]) == [(-2,), (3,)]
     assert table(read_prices(spark, str(blocks)), EPOCH, PRICE, order=[EPOCH]) == [(0, 1.0), (10, 1.5)]
+
+
+def test_every_row_with_a_time_has_a_price(spark):
+    """So interpolating prices over the rows could only change rows without a time: none precede them."""
+    prices = spark.createDataFrame([(50, 1.0), (900, 4.0)], f"{EPOCH} bigint, {PRICE} double")
+    df = spark.range(-100, 1500, 7).select(F.when(F.col("id") % 5 != 0, F.col("id")).alias("x"))
+    found = nearest_prices(df, prices, "x")
+    assert found.where(F.col("x").isNull() != F.col(PRICE).isNull()).count() == 0

@@ -74,7 +74,6 @@ from workload.adapters import (
     rounded,
     rounded_statistics,
     table,
-    timed_events,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
