@@ -22,7 +22,7 @@ def row_key(*columns: str, salt: int = 0) -> Column:
     """A long that depends on the values and on which of them are null."""
     parts: list[Column] = [F.lit(salt)]
     for c in columns:
-        parts += [F.col(c).isNull(), F.col(c)]
+        parts += [F.col(f"`{c}`").isNull(), F.col(f"`{c}`")]
     return F.xxhash64(*parts)
 
 

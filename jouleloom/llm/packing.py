@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jouleloom.llm.common import OWN, numbered, small_batches
-from jouleloom.llm.tokens import Encoder
+from jouleloom.llm.tokens import PlainIds
 from jouleloom.session import written
 
 #: Shorter pieces count as of the last class, so that there are this many classes.
@@ -60,10 +60,10 @@ def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, text: str
 
     @F.pandas_udf(f"struct<doc_tokens:bigint,pieces:{PIECES}>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, lambda ids: ids.tobytes(), b"")
+        encoder = PlainIds(path)
         for texts in batches:
             totals, pieces = [], []
-            for ids in encoder(texts.tolist()):
+            for ids in encoder.of(texts.tolist()):
                 ids += last
                 own = []
                 for start, length in cuts(len(ids) // 4, capacity):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jouleloom.llm import packing, sharding, tokens
+from jouleloom.llm import linededup, packing, sharding, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -51,3 +51,49 @@ def op4_harmonic_packing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf, "documents"), vocabulary(), limit=512)
+
+
+@query
+def op5_line_runs(spark: SparkSession, sf: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"), min_chars=100)
+    return kept.select("doc_id", "n_lines", "n_deleted", "text")
+
+
+ORACLES["op5_line_runs"] = """
+WITH lines AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(len(string_split(text, chr(10))))) AS n
+    FROM documents WHERE text IS NOT NULL
+),
+twice AS (
+    SELECT *, count(*) OVER (PARTITION BY line) AS times FROM lines
+),
+pairs AS (
+    SELECT a.doc_id, a.n, b.doc_id AS other, b.n AS m, length(a.line) AS chars,
+           a.n - row_number() OVER (PARTITION BY a.doc_id, b.doc_id, a.n - b.n ORDER BY a.n) AS island
+    FROM twice a JOIN twice b ON a.line = b.line AND a.times > 1 AND b.times > 1
+    WHERE b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.n < a.n)
+),
+runs AS (
+    SELECT doc_id, min(n) AS first_line, max(n) AS last_line FROM pairs
+    GROUP BY doc_id, other, n - m, island HAVING sum(chars) >= 100
+),
+marked AS (
+    SELECT l.doc_id, l.n, l.line,
+           EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = l.doc_id AND l.n BETWEEN r.first_line AND r.last_line) AS gone
+    FROM lines l
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+           coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text
+    FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_deleted, 0) AS n_deleted, coalesce(k.text, d.text) AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+@query
+def op10_simhash_components(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"), size=3, max_bits=2)
+    return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))

@@ -1,10 +1,8 @@
 """Token counts and token ids of whole texts, in Arrow batches.
 
-Texts are cut into pieces, a run of ASCII white space and the run of other characters after it. The
-byte-level pattern of the tokenizer never lets a token reach from a non-space character into the space
-that follows, and it looks at nothing to the left, so every such cut is a safe boundary: the ids of a text
-are the ids of its pieces in order. Pieces repeat, so their ids are remembered; those not seen before go to
-the tokenizer in batches of about equal bytes.
+Long texts are cut at safe boundaries: before a single space between two ASCII letters. The byte-level
+pattern of the tokenizer ends a word there whatever stands around it, so the ids of a text are the ids of
+its parts in order. Parts go to the tokenizer in batches of about equal bytes.
 """
 
 from __future__ import annotations
@@ -22,21 +20,22 @@ from pyspark.sql.types import LongType
 
 from jouleloom.llm.common import small_batches
 
-PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-#: White space beyond ASCII may join with what follows; such texts are cut between letters only.
-WIDE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-BETWEEN_LETTERS = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
+SAFE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
+#: Characters of a part, and of the parts in one batch.
+PART = 1 << 15
+BATCH = 1 << 18
 
-#: Pieces remembered by one worker, and characters handed to the tokenizer at once.
-MEMO = 300_000
-BATCH = 1 << 16
+#: Scripts whose letters, digits and spaces are the same in all versions of Unicode in use.
+PLAIN = re.compile("[\t-\r -~\xa1-ɏͰ-ӿ]*")
+# Fixed value: the pattern of the byte-level tokenizer, which splits a text before merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def parts_of(text: str, size: int = BATCH) -> list[str]:
-    """`text` in parts of at least `size` characters (but the last), cut between two words of ASCII letters."""
+def parts_of(text: str, size: int = PART) -> list[str]:
+    """`text` in parts that end at the first safe boundary after `size` characters."""
     out, start = [], 0
     while len(text) - start > size:
-        cut = BETWEEN_LETTERS.search(text, start + size)
+        cut = SAFE.search(text, start + size)
         if cut is None:
             break
         out.append(text[start : cut.start()])
@@ -44,19 +43,17 @@ def parts_of(text: str, size: int = BATCH) -> list[str]:
     return [*out, text[start:]]
 
 
-class Encoder:
-    """`keep` of the ids of texts, added up: their number, or their bytes as little-endian unsigned 32 bits."""
+class Tokens:
+    """The tokenizer of a file: tokenizers for .json, sentencepiece for .model. Nothing is added or cut off."""
 
-    def __init__(self, path: str, keep: Callable[[np.ndarray], object], empty: object):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task, as Spark counts cores
-        self.keep, self.empty, self.memo = keep, empty, {}
-        self.add = sum if empty == 0 else b"".join
+        self.byte_level, self.special = False, []
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda texts: model.encode(texts, num_threads=1)
-            self.by_piece = False
             return
         from tokenizers import Tokenizer
 
@@ -65,75 +62,102 @@ class Encoder:
         tokenizer.no_padding()
         self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         with open(path, encoding="utf-8") as f:
-            said = json.load(f)
-        first = said["pre_tokenizer"] or {}
-        self.by_piece = (
-            said["normalizer"] is None
-            and said["post_processor"] is None
+            self.said = json.load(f)
+        first, added = self.said["pre_tokenizer"] or {}, self.said["added_tokens"]
+        self.special = [t["content"] for t in added]
+        # Else the tokenizer may look across what is a safe boundary here, and texts are not cut.
+        self.byte_level = (
+            self.said["normalizer"] is None
+            and self.said["post_processor"] is None
             and first.get("type") == "ByteLevel"
             and first.get("use_regex", True)
             and not first.get("add_prefix_space")
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in said["added_tokens"])
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in added)
         )
-        if self.by_piece:
-            names = tokenizer.get_vocab(with_added_tokens=True)
-            special = {t["content"] for t in said["added_tokens"]}
-            self.widths = np.zeros(max(names.values()) + 1, np.int64)
-            for name, i in names.items():  # in the byte-level alphabet a character stands for a byte
-                self.widths[i] = len(name.encode()) if name in special else len(name)
-
-    def learn(self, pieces: list[str]) -> None:
-        """Put the ids of unseen pieces into the memo."""
-        alone = [p for p in pieces if p[0] not in " \t\n\v\f\r" or p[-1] in " \t\n\v\f\r"]
-        for p, ids in zip(alone, self.encode(alone), strict=True):
-            self.memo[p] = self.keep(np.array(ids, "<u4"))
-        other = set(alone)
-        joined = [p for p in pieces if p not in other]
+
+    def of(self, texts: list[str | None]) -> Iterator[list[list[int]]]:
+        """For every text the ids of its parts; null and empty texts have none."""
+        waiting: list[list[str]] = []
+        size = 0
+        for text in texts:
+            waiting.append([] if not text else parts_of(text) if self.byte_level else [text])
+            size += len(text or "")
+            if size >= BATCH:
+                yield from self.batch(waiting)
+                waiting, size = [], 0
+        yield from self.batch(waiting)
+
+    def batch(self, texts: list[list[str]]) -> Iterator[list[list[int]]]:
+        """The parts of some texts, encoded together in runs of at most about BATCH characters."""
+        parts = [p for t in texts for p in t]
+        ids: list[list[int]] = []
         start = 0
-        while start < len(joined):
+        while start < len(parts):
             end, size = start, 0
-            while end < len(joined) and size < BATCH:
-                size += len(joined[end])
+            while end < len(parts) and (size == 0 or size + len(parts[end]) <= BATCH):
+                size += len(parts[end])
                 end += 1
-            group = joined[start:end]
+            ids += self.encode(parts[start:end])
             start = end
-            ids = np.array(self.encode(["".join(group)])[0], "<u4")
-            ends = np.cumsum(self.widths[ids])
-            borders = np.cumsum([len(p.encode()) for p in group])
-            stops = np.searchsorted(ends, borders, side="left") + 1
-            if not np.array_equal(ends[stops - 1], borders):
-                raise AssertionError("a token crosses a boundary that was taken for safe")
-            begin = 0
-            for p, stop in zip(group, stops.tolist(), strict=True):
-                self.memo[p] = self.keep(ids[begin:stop])
-                begin = stop
-
-    def whole(self, text: str) -> object:
-        parts = parts_of(text) if self.by_piece else [text]
-        return self.add(self.keep(np.array(ids, "<u4")) for ids in self.encode(parts))
-
-    def __call__(self, texts: list[str | None]) -> list:
-        """One value per text; a null text counts as empty."""
-        out, group, size = [], [], 0
-        for text in texts:
-            group.append(text or "")
-            size += len(group[-1])
-            if size >= 1 << 21:
-                out += self.some(group)
-                group, size = [], 0
-        return out + self.some(group)
-
-    def some(self, texts: list[str]) -> list:
-        if not self.by_piece:
-            return [self.whole(t) if t else self.empty for t in texts]
-        cut = [None if WIDE.search(t) else PIECE.findall(t) for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        unseen = {p for pieces in cut if pieces for p in pieces if p not in self.memo}
-        if unseen:
-            self.learn(list(unseen))
-        known = self.memo.__getitem__
-        return [self.whole(t) if pieces is None else self.add(map(known, pieces)) for t, pieces in zip(texts, cut, strict=True)]
+        at = 0
+        for t in texts:
+            yield ids[at : at + len(t)]
+            at += len(t)
+
+
+class PlainIds:
+    """Ids of texts as little-endian unsigned 32 bits, the same as those of `Tokens`, sooner.
+
+    Where the merges of a byte-level file come in the order of the ids they make, another public encoder
+    makes the same merges over the same vocabulary in a third of the time. It takes the texts of PLAIN
+    characters without a special string; the others, and other files, go to `Tokens`.
+    """
+
+    def __init__(self, path: str):
+        self.tokens = Tokens(path)
+        self.quick = None
+        ranks = self.ranks() if self.tokens.byte_level else None
+        if ranks:
+            import tiktoken
+
+            self.quick = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ranks(self) -> dict[bytes, int] | None:
+        """Bytes of every entry of the vocabulary to its id; None if merges don't follow the ids."""
+        model = self.tokens.said["model"]
+        vocabulary, special = model["vocab"], set(self.tokens.special)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+            return None
+        made = [vocabulary[a + b] for a, b in merges]
+        letters = {c: b for b, c in byte_letters().items()}
+        known = {n: i for n, i in vocabulary.items() if n not in special}
+        if any(x >= y for x, y in zip(made, made[1:], strict=False)) or set(made) | {vocabulary[c] for c in letters} != set(known.values()):
+            return None
+        if made and max(vocabulary[c] for c in letters) > made[0]:
+            return None
+        return {bytes(letters[c] for c in name): i for name, i in known.items()}
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes | None] = []
+        for t in texts:
+            if not t:
+                out.append(b"")
+            elif self.quick and PLAIN.fullmatch(t) and not any(s in t for s in self.tokens.special):
+                out.append(b"".join(self.quick.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes() for p in parts_of(t)))
+            else:
+                out.append(None)
+        open_ = [i for i, ids in enumerate(out) if ids is None]
+        for i, parts in zip(open_, self.tokens.of([texts[i] for i in open_]), strict=True):
+            out[i] = b"".join(np.array(p, "<u4").tobytes() for p in parts)
+        return out
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 def token_length(path: str) -> Callable[[Column], Column]:
@@ -141,9 +165,9 @@ def token_length(path: str) -> Callable[[Column], Column]:
 
     @F.pandas_udf(LongType())
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(path, len, 0)
+        tokens = Tokens(path)
         for texts in batches:
-            yield pd.Series(encoder(texts.tolist()), dtype="int64")
+            yield pd.Series([sum(map(len, parts)) for parts in tokens.of(texts.tolist())], dtype="int64")
 
     return lengths.asNondeterministic()
 
@@ -156,7 +180,6 @@ def token_counts(df: DataFrame, path: str, limit: int, text: str = "text", keep:
     """
     small_batches(df.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
-    return (
-        df.select(*keep, F.octet_length(whole).cast("bigint").alias("n_bytes"), token_length(path)(whole).alias("n_tokens"))
-        .withColumn("over_limit", F.col("n_tokens") > limit)
-    )
+    return df.select(
+        *keep, F.octet_length(whole).cast("bigint").alias("n_bytes"), token_length(path)(whole).alias("n_tokens")
+    ).withColumn("over_limit", F.col("n_tokens") > limit)
