@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jouleloom.llm import linededup, packing, sharding, simhash, tokens
+from jouleloom.llm import decontam, htmltext, langid, linededup, packing, quality, sharding, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -42,6 +42,18 @@ def op1_jump_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return grown.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op2_perplexity_rules(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality.quality(table(spark, sf, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", "quality.*")
+
+
+@query
+def op3_benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_words", "score", "start", "stop")
+
+
 @query
 def op4_harmonic_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack(table(spark, sf, "documents"), vocabulary(), capacity=1024, end_id=0)
@@ -93,6 +105,28 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 
+@query
+def op7_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages come without a date of their capture, so the responses made of them carry a fixed one."""
+    pages = table(spark, sf, "pages")
+    responses = pages.select("page_id", "url", warc.response_record(F.col("url"), F.col("html"), "2024-01-01T00:00:00Z").alias("record"))
+    derived = warc.derivatives(responses, keep=("page_id", "url"))
+    return derived.withColumn("source_headers", F.to_json("source_headers"))
+
+
+@query
+def op8_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    net = langid.train(docs.where(~held_out))
+    return langid.identify_language(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_tag_path_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    return htmltext.extract_text(table(spark, sf, "pages"))
+
+
 @query
 def op10_simhash_components(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"), size=3, max_bits=2)
