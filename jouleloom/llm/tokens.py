@@ -109,7 +109,8 @@ class PlainIds:
     """Ids of texts as little-endian unsigned 32 bits, the same as those of `Tokens`, sooner.
 
     Where the merges of a byte-level file come in the order of the ids they make, another public encoder
-    makes the same merges over the same vocabulary in a third of the time. It takes the texts of PLAIN
+    makes the same merges over the same vocabulary in a third of the time (tests hold it against `Tokens`). It
+    takes the texts of PLAIN
     characters without a special string; the others, and other files, go to `Tokens`.
     """
 
