@@ -26,15 +26,15 @@ def row_key(*columns: str, salt: int = 0) -> Column:
     return F.xxhash64(*parts)
 
 
-def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, chunks: int = 1024) -> DataFrame:
+def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, chunks: int = 1024, spread: Column | None = None) -> DataFrame:
     """Number the rows of every group from 0 without gaps, in column `out`.
 
-    A group is cut into `chunks` parts by the hash of `order`; rows are counted per part, numbered inside
+    A group is cut into `chunks` parts by `spread`, a long that follows from `order`, or its hash; rows are counted per part, numbered inside
     it, and moved by the counts of the parts before. No task sees a whole group, however hot it is. `df` is
     read twice: hand in something written or cheap. Rows that agree in `order` may swap numbers.
     """
     part, first, local = OWN + "part", OWN + "first", OWN + "local"
-    parted = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int"))
+    parted = df.withColumn(part, F.pmod(F.xxhash64(*order) if spread is None else spread, F.lit(chunks)).cast("int"))
     before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         parted.groupBy(*groups, part)

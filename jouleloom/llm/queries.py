@@ -42,6 +42,42 @@ def op1_jump_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return grown.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+#: The CRC is that of the bytes one by one, from a table made by its rule.
+ORACLES["op1_jump_sharding"] = """
+WITH RECURSIVE crc_steps(byte, n, value) AS (
+    SELECT i, 0, i::BIGINT FROM range(256) t(i)
+    UNION ALL
+    SELECT byte, n + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END FROM crc_steps WHERE n < 8
+),
+crc_table AS (SELECT list(value ORDER BY byte) AS entries FROM crc_steps WHERE n = 8),
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+           ('0x' || left(md5(coalesce('=' || doc_id, 'null')), 16))::UBIGINT::HUGEINT AS key,
+           xor(list_reduce(
+               list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
+               lambda a, x: xor(a >> 8, entries[(xor(a, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32
+    FROM documents, crc_table
+),
+jumps(r, shards, key, here, there) AS (
+    SELECT r, n, key, -1::BIGINT, 0::BIGINT FROM docs, (VALUES (40), (41)) s(n)
+    UNION ALL
+    SELECT r, shards, next, there, floor((there + 1) * (2147483648.0::DOUBLE / ((next // 8589934592)::DOUBLE + 1)))::BIGINT
+    FROM (SELECT *, (key * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM jumps WHERE there < shards)
+),
+landed AS (
+    SELECT r, max(here) FILTER (shards = 40)::INT AS shard, max(here) FILTER (shards = 41)::INT AS grown_shard
+    FROM jumps GROUP BY r
+),
+placed AS (
+    SELECT *, ('0x' || right(md5(concat(coalesce('=' || doc_id, 'null'), chr(31), '=' || size, chr(31), '=' || text_crc32)), 8))::BIGINT % 1024 AS part
+    FROM docs JOIN landed USING (r)
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY part, doc_id, size, text_crc32) - 1 AS slot, grown_shard
+FROM placed
+"""
+
+
 @query
 def op2_perplexity_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.quality(table(spark, sf, "documents"), keep=["doc_id"])

@@ -17,13 +17,18 @@ MODULUS = "18446744073709551616"
 STEPS = 16
 
 
-def stable_key(*columns: str) -> Column:
-    """Unsigned 64 bits of the MD5 of the values' text, as a decimal; a null counts as a value of its own.
+def fingerprint(*columns: str) -> Column:
+    """The MD5 of the values' text; a null counts as a value of its own.
 
     Only the values matter, not the order of rows, the number of files or the version of the engine.
     """
     parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in columns]
-    return F.conv(F.left(F.md5(F.concat_ws("\x1f", *parts)), F.lit(16)), 16, 10).cast("decimal(20,0)")
+    return F.md5(F.concat_ws("\x1f", *parts))
+
+
+def stable_key(*columns: str) -> Column:
+    """The first 64 bits of the fingerprint, unsigned, as a decimal."""
+    return F.conv(F.left(fingerprint(*columns), F.lit(16)), 16, 10).cast("decimal(20,0)")
 
 
 def jump_hash(key: Column, shards: int) -> Column:
@@ -37,8 +42,7 @@ def jump_hash(key: Column, shards: int) -> Column:
         raise ValueError("at least one shard is needed")
 
     def step(state: Column, _: Column) -> Column:
-        moved = F.expr(f"CAST(1 AS DECIMAL(20,0))")  # noqa: F541
-        product = state["key"] * F.lit(MULTIPLIER).cast("decimal(19,0)") + moved
+        product = state["key"] * F.lit(MULTIPLIER).cast("decimal(19,0)") + F.lit(1).cast("decimal(1,0)")
         key = F.pmod(product, F.lit(MODULUS).cast("decimal(20,0)")).cast("decimal(20,0)")
         high = F.floor(key / F.lit(2**33).cast("decimal(10,0)")).cast("double")
         at = state["next"]
@@ -71,7 +75,8 @@ def shard_slots(df: DataFrame, keys: Sequence[str], order: Sequence[str], shards
 
     No task holds a whole shard (see `numbered`). Rows that agree in `order` are interchangeable.
     """
-    return numbered(assign_shards(df, keys, shards, shard), [shard], order, slot)
+    spread = F.conv(F.right(fingerprint(*order), F.lit(8)), 16, 10).cast("bigint")
+    return numbered(assign_shards(df, keys, shards, shard), [shard], order, slot, spread=spread)
 
 
 def write_shards(df: DataFrame, keys: Sequence[str], shards: int, path: str, files_per_shard: int = 8) -> None:
