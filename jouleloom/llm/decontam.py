@@ -84,12 +84,12 @@ def passages(text: str, numbers: dict[str, int], keys: np.ndarray, reach: int) -
         return
     starts, stops = np.maximum(at - reach, 0), np.minimum(at + SIZE + reach, len(own))
     first = np.flatnonzero(np.concatenate(([True], starts[1:] > stops[:-1])))
-    whole, step = LONG + 2 * reach, LONG
+    overlap = 2 * reach + SIZE
     for i, j in zip(first, np.append(first[1:], len(at)), strict=True):
         begin, end = int(starts[i]), int(stops[j - 1])
-        # Longer ones overlap by more than an alignment that counts can span.
-        for a in range(begin, max(end - 2 * reach, begin + 1), step):
-            b = min(a + whole, end)
+        # Long ones are divided and overlap by as much as lies around a hit.
+        for a in range(begin, max(end - overlap, begin + 1), LONG):
+            b = min(a + LONG + overlap, end)
             inside = grams[i:j][(at[i:j] >= a) & (at[i:j] + SIZE <= b)]
             if len(inside):
                 yield a, own[a:b], np.unique(inside)

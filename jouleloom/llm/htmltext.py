@@ -137,7 +137,10 @@ class Page:
             self.parents.append(stack[-2])
             if tag in UNPARSED:
                 closing = re.compile(f"</{tag}", re.I).search(html, at)
-                at = closing.start() if closing else end
+                stop = closing.start() if closing else end
+                if tag == "title" and stop > at:
+                    self.nodes.append((stack[-1], unescape(html[at:stop]), self.block, True))
+                at = stop
 
     def path(self, element: int) -> tuple[int, ...]:
         """The elements from the root to `element`."""

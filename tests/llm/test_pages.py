@@ -1,0 +1,108 @@
+import base64
+import gzip
+import hashlib
+import re
+from html import unescape
+
+import pytest
+from pyspark.sql import functions as F
+
+from jouleloom.llm import htmltext, warc
+from jouleloom.llm.queries import REGISTRY
+
+
+def article_of(html):
+    inside = re.search(r"<article>(.*)</article>", html, re.S)[1]
+    return " ".join(unescape(re.sub(r"</?b>", "", re.sub(r"<(?!/?b>)[^>]*>", " ", inside))).split())
+
+
+def test_query_gives_the_article(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for r in REGISTRY["op9_tag_path_ratios"](spark, sf).collect():
+        assert r["text"] == article_of(pages[r["page_id"]]) and r["n_chars"] == len(r["text"])
+
+
+PROSE = "First paragraph, with some words. It goes on and on, for a while, until it ends."
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (f"<body><nav><a href=x>Menu, here.</a></nav><div class=post><h1>Title</h1><p>{PROSE}<p>Short.<ul><li>Item<li>Other</ul></div><footer>End</footer>", f"Title {PROSE} Short. Item Other"),
+        (f"<header>Site</header><main><header><h1>Top</h1></header><p>{PROSE}</p><form>Sign up, now.</form></main><aside><p>{PROSE}</p></aside>", f"Top {PROSE}"),
+        (f"<article><p>{PROSE}</p><section id='comments'><p>{PROSE} {PROSE}</p></section><div class='cookie-notice'>{PROSE}</div></article>", PROSE),
+        ("<p>a &amp; b&nbsp;&lt;c&gt; d<b>e</b>f<br>g</p><script>if (a<b) x('</p>')</script><style>p{}</style><!-- no -->", "a & b <c> def g"),
+        (f"<div hidden>{PROSE}</div><div role='navigation'>x, y.</div><div class=\"sideBar\">z</div><p title='a>b'>{PROSE}</p>", PROSE),
+        (f"<div><div><table><tr><td><p>{PROSE}</p></td><td class=ad>Buy, now!</td></table></div></div>", PROSE),
+        ("no markup, at all", "no markup, at all"), ("", ""), ("<html><body></body></html>", ""), ("<p>unclosed <b>tags <i>here", "unclosed tags here"), ("<", "<"), ("a < b, c > d", "a < b, c > d"),
+    ],
+)
+def test_main_text(html, text):
+    assert htmltext.main_text(html) == text
+
+
+def test_text_of_nulls_long_pages_repeats_clashes_and_no_rows(spark):
+    long = "<body>" + f"<p>{PROSE}</p>" * 20_000
+    rows = [(1, "u", None), (None, None, ""), (2, "u", long), (2, "u", long), (3, "u", "<p>x")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit(0))
+    got = sorted(((r["page_id"] or 0, r["n_chars"]) for r in htmltext.extract_text(df).collect()))
+    size = 20_000 * (len(PROSE) + 1) - 1
+    assert got == [(0, 0), (1, 0), (2, size), (2, size), (3, 1)]
+    assert htmltext.extract_text(df.limit(0)).count() == 0
+
+
+def parse(text):
+    named, block = warc.split_record(text.encode())
+    assert len(block) == int(named["Content-Length"])
+    assert named["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
+    return named, block.decode()
+
+
+def test_derivatives_of_pages(spark, sf):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = REGISTRY["op7_warc_derivatives"](spark, sf).collect()
+    assert len(rows) == 2 * len(pages) and len({r["record_id"] for r in rows}) == len(rows)
+    by = {(r["page_id"], r["record_type"]): r for r in rows}
+    for i, page in pages.items():
+        about, text = by[i, "metadata"], by[i, "conversion"]
+        assert about["refers_to"] == text["refers_to"] and about["target_uri"] == page["url"]
+        named, block = parse(about["record"])
+        told = warc.fields(block.split("\r\n"))
+        assert named["WARC-Refers-To"] == about["refers_to"] and named["WARC-Target-URI"] == page["url"]
+        assert named["WARC-Payload-Digest"] == told["source-payload-digest"] == warc.digest(page["html"].encode())
+        assert int(told["n-outlinks"]) == len(re.findall(r"<a ", page["html"])) and told["http-status"] == "HTTP/1.1 200 OK"
+        named, block = parse(text["record"])
+        assert named["Content-Type"].startswith("text/plain") and article_of(page["html"]) in block and "<script" not in block
+
+
+def response(payload=b"<html lang=fr><title>T</title><a href='/x'>go</a><p>caf\xe9</p>", kind="text/html; charset=iso-8859-1"):
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nX-Long: a\r\n b\r\nSet-Cookie: 1\r\nSet-Cookie: 2\r\n\r\n".encode() + payload
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Target-URI: http://a/\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: {len(http)}\r\n\r\n"
+    return head.encode() + http + b"\r\n\r\n"
+
+
+def test_records_of_other_makers_and_files(spark, tmp_path):
+    other = response().replace(b"WARC-Type: response", b"WARC-Type: request")
+    rows = [(response(), 1), (None, 2), (b"", 3), (other, 4), (response(b""), 5), (response(b"\x89PNG", "image/png"), 6), (response(b"plain <b>", "text/plain"), 7), (response(), 1), (b"junk", 8), (response(b"<p>x" * 100_000), 9)]
+    df = spark.createDataFrame(rows, "record binary, n int").withColumn("record_type", F.lit(0))
+    made = warc.derivatives(df, keep=("n",))
+    got = made.collect()
+    assert sorted((r["n"], r["record_type"][0]) for r in got) == [(1, "c"), (1, "c"), (1, "m"), (1, "m"), (5, "c"), (5, "m"), (6, "m"), (7, "c"), (7, "m"), (9, "c"), (9, "m")]
+    about = next(r for r in got if r["n"] == 1 and r["record_type"] == "metadata")
+    assert about["source_headers"]["HTTP-X-Long"] == "a b" and about["source_headers"]["HTTP-Set-Cookie"] == "1, 2" and about["refers_to"] == "<urn:uuid:1>"
+    told = warc.fields(parse(about["record"])[1].split("\r\n"))
+    assert (told["charset"], told["language"], told["title"], told["outlink"]) == ("iso-8859-1", "fr", "T", "/x")
+    assert parse(next(r["record"] for r in got if r["n"] == 1 and r["record_type"] == "conversion"))[1].split() == ["go", "café"]
+    assert parse(next(r["record"] for r in got if r["n"] == 7 and r["record_type"] == "conversion"))[1] == "plain <b>"
+    assert warc.derivatives(df.limit(0)).count() == 0
+    warc.write_warc(made.coalesce(1), str(tmp_path / "warc"))
+    raw = gzip.decompress(next((tmp_path / "warc").glob("*.gz")).read_bytes())
+    n = 0
+    while raw:  # records one after the other, by their lengths alone
+        assert raw.startswith(b"WARC/1.1\r\n")
+        named, block = warc.split_record(raw)
+        raw = raw[raw.index(b"\r\n\r\n") + 4 + len(block) :]
+        assert raw.startswith(b"\r\n\r\n")
+        raw, n = raw[4:], n + 1
+    assert n == 11
