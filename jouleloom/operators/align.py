@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,16 +60,14 @@ def align(prepared: Prepared) -> Timeline:
 
 
 def _align_groups(rows: DataFrame, frames: Frames, part: list[str]) -> DataFrame:
-    # A window instead of an aggregate: no partial lists are built, and one sort does.
-    at_time = Window.partitionBy(*part, TIME).orderBy(ROW)
-    whole = at_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    found: dict[str, Column] = {"first~": F.row_number().over(at_time)}
+    # Rows lie by `part`, so the groups need no further exchange; a list is built once per time.
+    found = []
     for p in frames.prefixes:
         data = F.col(f"`{p}`")
         timed = data.isNotNull() & F.col(TIME).isNotNull()
-        found[p] = F.collect_list(F.when(timed, F.struct(F.col(ROW).alias("at"), data.alias("data")))).over(whole)
-        found[present(p)] = F.count(data).over(whole) > 0
-    met = rows.repartition(*part).withColumns(found).where("`first~` = 1")
+        found.append(F.collect_list(F.when(timed, F.struct(F.col(ROW).alias("at"), data.alias("data")))).alias(p))
+        found.append((F.count(data) > 0).alias(present(p)))
+    met = rows.repartition(*part).groupBy(*part, TIME).agg(*found)
     for p in frames.prefixes:
         met = met.withColumn(p, F.explode_outer(f"`{p}`"))
     return _widen(met, frames, part, lambda p: (F.col(f"`{p}`")["at"], F.col(f"`{p}`")["data"]))
@@ -78,19 +76,29 @@ def _align_groups(rows: DataFrame, frames: Frames, part: list[str]) -> DataFrame
 def _align_chunks(rows: DataFrame, frames: Frames, part: list[str], chunk_rows: int) -> DataFrame:
     """The same result for crowded segments, joined by chunks of each frame's rows.
 
-    A chunk is `chunk_rows` consecutive row numbers of one dataset. The skeleton lists which
-    chunks meet at a time, so a time with very many rows is spread over many join keys.
+    The skeleton lists which chunks meet at a time, so a time with very many rows is spread over many
+    join keys, each with about `chunk_rows` resulting rows. Rows of a time are ordered by the row number
+    of the first dataset, then of the second, and so on. For chunks to keep that order, all datasets
+    before the one that is cut into ranges are cut into single rows and all after it are left whole. That
+    follows from the size of a dataset's chunk: `chunk_rows` by the product of the later datasets' rows.
     """
     at = [*part, TIME]
-    flags = [(F.count(f"`{p}`") > 0).alias(present(p)) for p in frames.prefixes]
-    meets = rows.groupBy(*at).agg(*flags)
+    counts = [F.count(F.when(F.col(f"`{p}`").isNotNull(), 1)).alias(f"n~{p}") for p in frames.prefixes]
+    meets = rows.groupBy(*at).agg(*counts)
+    later, sizes = F.lit(1.0), {}
+    for p in reversed(frames.prefixes):
+        sizes[f"size~{p}"] = F.greatest(F.lit(1), F.floor(F.lit(chunk_rows) / later)).cast("bigint")
+        later = later * F.greatest(F.col(f"`n~{p}`"), F.lit(1))
+    meets = meets.withColumns({**sizes, **{present(p): F.col(f"`n~{p}`") > 0 for p in frames.prefixes}})
     chunked: dict[str, DataFrame] = {}
+    wide = meets.select(*at, *[f"`{present(p)}`" for p in frames.prefixes])
     for p in frames.prefixes:
         timed = rows.where(F.col(f"`{p}`").isNotNull() & F.col(TIME).isNotNull())
-        number = F.floor(F.col(ROW) / chunk_rows).alias(f"chunk~{p}")
-        chunked[p] = timed.select(*at, number, F.col(ROW).alias(tie(p)), F.col(f"`{p}`"))
-        meets = meets.join(chunked[p].select(*at, f"`chunk~{p}`").distinct(), at, "left")
-    wide = meets
+        sized = timed.join(meets.select(*at, f"`n~{p}`", f"`size~{p}`"), at)
+        whole = F.col(f"`size~{p}`") >= F.col(f"`n~{p}`")
+        number = F.when(whole, 0).otherwise(F.floor(F.col(ROW) / F.col(f"`size~{p}`"))).alias(f"chunk~{p}")
+        chunked[p] = sized.select(*at, number, F.col(ROW).alias(tie(p)), F.col(f"`{p}`"))
+        wide = wide.join(chunked[p].select(*at, f"`chunk~{p}`").distinct(), at, "left")
     for p in frames.prefixes:
         wide = wide.join(chunked[p], [*at, f"chunk~{p}"], "left")
     chunks = [F.coalesce(f"`chunk~{p}`", F.lit(-1)) for p in frames.prefixes]

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.functions.numbers import truncate_to_long
-from jouleloom.keys import present
+from jouleloom.keys import SEP, present
 from jouleloom.operators.align import Timeline
 from jouleloom.operators.frames import epoch_candidates
 
@@ -57,13 +58,24 @@ def resolve_epoch(timeline: Timeline) -> Timeline:
     return timeline.with_df(timeline.df.withColumn("EpochTime", truncate_to_long(resolve_first(ranked))))
 
 
+@dataclass(frozen=True)
+class Derived:
+    """Columns named `<dataset>__<source>` give `<dataset>__<name>`, divided by `per`."""
+
+    source: str
+    name: str
+    per: float
+
+
+# Which figures are derived, under which name, and in which unit.
+def derived_figures(cores: int) -> tuple[Derived, ...]:
+    return (Derived("RSS", "RSS_MB", 1024.0), Derived("CPUUtilization", "CPUUtilization_normalized", float(cores)))
+
+
 def add_task_derivatives(df: DataFrame, cores: int = CORES) -> DataFrame:
     """Memory in megabytes and utilisation per core, from the values before cleaning."""
-    derived: dict[str, Column] = {}
-    for column in df.columns:
-        if column.endswith("__RSS"):
-            derived[column.replace("__RSS", "__RSS_MB")] = F.col(f"`{column}`") / 1024.0
-        if column.endswith("__CPUUtilization"):
-            name = column.replace("__CPUUtilization", "__CPUUtilization_normalized")
-            derived[name] = F.col(f"`{column}`") / float(cores)
-    return df.withColumns(derived) if derived else df
+    wanted = {d.source: d for d in derived_figures(cores)}
+    split = [(c, *c.rpartition(SEP)) for c in df.columns]
+    return df.withColumns(
+        {f"{dataset}{SEP}{wanted[field].name}": F.col(f"`{c}`") / wanted[field].per for c, dataset, sep, field in split if sep and field in wanted}
+    )

@@ -153,8 +153,13 @@ def epoch_candidates(columns: Sequence[tuple[str, str]]) -> list[tuple[str, str]
     return [c for c in columns if c[1] == "Energy"] + [c for c in columns if c[1] != "Energy"]
 
 
-def quarantined_files(facts: DataFrame) -> DataFrame:
-    """(file_label, reason) of files set aside because of a value that cannot be converted."""
+def quarantined_files(facts: DataFrame, first_only: bool = False) -> DataFrame:
+    """(file_label, reason) of files set aside because of a value that cannot be converted.
+
+    With `first_only` a file counts by its first usable group, as nothing of the later ones is used.
+    """
+    if first_only:
+        facts = facts.join(first_usable_group(facts), JOB, "left_semi")
     return (
         facts.groupBy("file_label")
         .agg(F.max("bad_time").alias("bad_time"), F.max("bad_epoch").alias("bad_epoch"))

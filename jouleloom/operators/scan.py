@@ -222,19 +222,6 @@ def interpolate(df: DataFrame, columns: Sequence[str], order: Order, **also) ->
     return scanned.select(*[filled(c) if c in columns else _c(c) for c in scanned.columns if c not in helpers])
 
 
-def cumulative(df: DataFrame, column: str, order: Order, out: str) -> DataFrame:
-    """Running sum in row order; null in, null out, and the sum goes on after."""
-    return scan(df, order, sums={out: column})
-
-
-def elapsed_diff(df: DataFrame, order: Order, column: str, out: str) -> DataFrame:
-    """Difference to the previous row, 0 where there is none or either side is null."""
-    lagged = scan(df, order, lags={"scan~prev": column})
-    return lagged.withColumn(out, F.coalesce((_c(column) - _c("scan~prev")).cast("double"), F.lit(0.0))).drop(
-        "scan~prev"
-    )
-
-
 def row_positions(df: DataFrame, order: Order, out: str) -> DataFrame:
     """0-based position of a row within its key."""
     return scan(df, order, position=out).withColumn(out, _c(out) - 1)

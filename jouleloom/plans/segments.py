@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.keys import JOB, ROW, SEG, SUB, TIME
-from jouleloom.operators.frames import Frames, job_facts, truncate_time
+from jouleloom.operators.frames import Frames, first_usable_group, job_facts, quarantined_files, truncate_time
 from jouleloom.operators.scan import Order, row_positions
 from jouleloom.session import written
 
@@ -44,15 +44,14 @@ def special_jobs(facts: DataFrame, groups: str, segment_rows: int) -> DataFrame:
     """The jobs that need special treatment, and which."""
     if groups not in ("first", "all"):
         raise ValueError("groups must be 'first' or 'all'")
-    unusable = F.size("usable") == 0
-    files = facts.groupBy("file_label").agg(
-        F.max(F.col("bad_time") | F.col("bad_epoch")).alias("bad"),
-        F.min(F.when(~unusable, F.col("group_name"))).alias("first"),
-    )
-    skip = F.col("bad") | unusable
+    bad = quarantined_files(facts, groups == "first").select("file_label", F.lit(True).alias("bad"))
+    rows = facts.join(bad, "file_label", "left")
+    skip = F.coalesce(F.col("bad"), F.lit(False)) | (F.size("usable") == 0)
     if groups == "first":
-        skip = skip | (F.col("group_name") != F.col("first"))
-    rows = facts.join(files, "file_label").withColumn("skip", skip)
+        chosen = first_usable_group(facts).withColumnRenamed("group_name", "chosen")
+        rows = rows.join(chosen, "file_label", "left")
+        skip = skip | ~F.col("group_name").eqNullSafe(F.col("chosen"))
+    rows = rows.withColumn("skip", skip)
     span = (F.col("t_max") - F.col("t_min")).cast("double") + 1
     width = F.greatest(F.lit(1), F.ceil(span * segment_rows / F.col("n_rows")))
     is_long = (F.col("n_rows") > segment_rows) & F.col("t_min").isNotNull()

@@ -41,7 +41,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, named by `spark.checkpoint.dir`.
 
-    A folder of our own is used only where the session names none, as in tests on one machine.
+    Only a session on a single machine, as in tests, gets a folder of its own where none is named; on a
+    cluster a local folder would be a different one on every machine, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -49,6 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="jouleloom-")
     spark.sparkContext.setCheckpointDir(own)
     return own

@@ -1,6 +1,7 @@
 """Splitting a job over tasks must not change any result."""
 
 import random
+import time
 
 import pytest
 
@@ -8,6 +9,7 @@ from jouleloom.operators.align import align, fill
 from jouleloom.operators.energy import energy_profile, job_metrics
 from jouleloom.operators.frames import stack
 from jouleloom.operators.scan import Order, row_positions, scan
+from jouleloom.plans.jobs import job_table
 from jouleloom.plans.segments import dataset_positions, numbered, prepare
 from tests.helpers import rows_of
 
@@ -79,3 +81,43 @@ def test_dataset_positions_of_split_jobs(spark):
     whole, split = prepare(frames), prepare(frames, segment_rows=6, chunk_rows=4)
     assert split.hot is not None
     assert rows_of(dataset_positions(whole)) == rows_of(dataset_positions(split))
+
+
+def test_order_of_a_split_time_is_that_of_the_whole(spark):
+    """Two crowded datasets that straddle chunk borders, and a third that is interpolated across them."""
+    rng = random.Random(4)
+    keys = "file_label string, group_name string, row_idx bigint, ElapsedTime double"
+    crowd = {n: [("a_x", "g", i, float(i // 6 * 5), rng.uniform(0, 9)) for i in range(24)] for n in ("RSS", "ReadMB")}
+    sparse = [("a_x", "g", i, float(i), rng.uniform(0, 300)) for i in range(0, 20, 7)]
+    frames = stack(
+        {
+            "A": spark.createDataFrame(crowd["RSS"], f"{keys}, RSS double"),
+            "Energy": spark.createDataFrame(sparse, f"{keys}, NodePower double"),
+            "B": spark.createDataFrame(crowd["ReadMB"], f"{keys}, ReadMB double"),
+        }
+    )
+    whole = fill(align(prepare(frames)))
+    for chunk_rows in (1, 4, 9, 50):
+        split = prepare(frames, segment_rows=2, chunk_rows=chunk_rows)
+        assert split.hot is not None
+        assert rows_of(fill(align(split)).visible()) == rows_of(whole.visible())
+
+
+def test_time_to_align_grows_with_rows_per_time(spark):
+    def seconds(n):
+        rows = spark.range(n).selectExpr("'a_x' file_label", "'g' group_name", "id row_idx", "1.0D ElapsedTime", "id * 0.5D NodePower")
+        began = time.perf_counter()
+        assert align(prepare(stack({"Energy": rows}))).df.count() == n
+        return time.perf_counter() - began
+
+    seconds(1_000)
+    small = min(seconds(10_000) for _ in range(2))
+    assert seconds(40_000) < 6 * small
+
+
+def test_later_groups_do_not_spoil_the_first(spark):
+    keys = "file_label string, group_name string, row_idx bigint, ElapsedTime double, NodePower double"
+    rows = [("a_x", "g0", 0, 0.0, 5.0), ("a_x", "g0", 1, 1.0, 6.0), ("a_x", "g1", 0, -1.0, 5.0), ("b_x", "g0", 0, -1.0, 5.0), ("b_x", "g1", 0, 1.0, 5.0)]
+    frames = stack({"Energy": spark.createDataFrame(rows, keys)})
+    assert [r["file_label"] for r in job_table(frames).collect()] == ["a_x", "a_x"]
+    assert job_table(frames, groups="all").count() == 0
