@@ -201,12 +201,11 @@ def mix(keys: np.ndarray, seed: int) -> np.ndarray:
 
 
 def sorted_hash_array(slots: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots in ascending order, their values, and where each run of equal high bits begins."""
-    order = np.argsort(slots, kind="stable")
-    slots = np.append(slots[order], np.uint32(0xFFFFFFFF)).astype(np.uint32)
-    bits = min(SLOT_BITS, max(1, len(order).bit_length() + 1))
+    """Ascending slots and their values, each with an end mark, and where each run of equal high bits begins."""
+    bits = min(SLOT_BITS, max(1, len(slots).bit_length() + 1))
     highs = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(SLOT_BITS - bits)
-    return slots, np.append(values[order], 0).astype(np.float32), np.searchsorted(slots[:-1], highs).astype(np.int32)
+    begin = np.searchsorted(slots, highs).astype(np.int32)
+    return np.append(slots, 0xFFFFFFFF).astype(np.uint32), np.append(values, 0).astype(np.float32), begin
 
 
 class HashArray:
@@ -271,26 +270,36 @@ def language_seed(lang: str) -> int:
 
 
 def layout(tables: list[tuple[DataFrame, DataFrame]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The model's arrays. Entries that meet in a slot share the mean; at most 2^SLOT_BITS remain per array."""
+    """The model's arrays. Entries that meet in a slot share the mean; at most 2^SLOT_BITS remain per array.
 
-    def slots(batches: Iterator[pd.DataFrame], order: int, is_context: bool) -> Iterator[pd.DataFrame]:
+    Executors sort and pack them, up to 2^16 slots at a time; eight bytes per entry come to the driver.
+    """
+
+    def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = np.zeros(len(b), np.int64)
-            for lang, rows in b.groupby("lang").indices.items():
-                out[rows] = slot(b["key"].to_numpy()[rows], language_seed(lang), order, is_context)
-            yield pd.DataFrame({"slot": out, "value": b["value"]})
+            for (lang, array), rows in b.groupby(["lang", "array"]).indices.items():
+                out[rows] = slot(b["key"].to_numpy()[rows], language_seed(lang), array // 2 + 1, bool(array % 2))
+            yield pd.DataFrame({"array": b["array"], "slot": out, "value": b["value"]})
+
+    def pack(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("slot")
+        packed = own["slot"].to_numpy("<u4").tobytes(), own["value"].to_numpy("<f4").tobytes()
+        return pd.DataFrame([(own["array"].iloc[0], own["piece"].iloc[0], *packed)], columns=["array", "piece", "slots", "values"])
 
     parts = []
-    for k, (p, back) in enumerate(tables, 1):
-        for is_context, t in ((False, p.toDF("lang", "key", "value")), (True, back.toDF("lang", "key", "value"))):
-            found = t.mapInPandas(lambda b, k=k, c=is_context: slots(b, k, c), "slot bigint, value double")
-            mean = found.groupBy("slot").agg(F.log(F.avg("value")).cast("float").alias("value"))
-            parts.append(mean.select(F.lit(2 * (k - 1) + is_context).alias("array"), "slot", "value"))
-    got = reduce(DataFrame.union, parts).toPandas()
+    for k, pair in enumerate(tables):
+        for is_context, t in enumerate(pair):
+            parts.append(t.toDF("lang", "key", "value").withColumn("array", F.lit(2 * k + is_context)))
+    found = reduce(DataFrame.union, parts).mapInPandas(slots, "array int, slot bigint, value double")
+    mean = found.groupBy("array", "slot").agg(F.log(F.avg("value")).alias("value")).withColumn("piece", F.shiftright("slot", 16))
+    packed = mean.groupBy("array", "piece").applyInPandas(pack, "array int, piece bigint, slots binary, values binary")
+    got = sorted(packed.collect(), key=lambda r: (r["array"], r["piece"]))
     entries = []
     for i in range(2 * ORDER):
-        own = got[got["array"] == i]
-        entries.append(sorted_hash_array(own["slot"].to_numpy(np.uint32), own["value"].to_numpy(np.float32)))
+        own = [r for r in got if r["array"] == i]
+        joined = [np.frombuffer(b"".join(bytes(r[name]) for r in own), kind) for name, kind in (("slots", "<u4"), ("values", "<f4"))]
+        entries.append(sorted_hash_array(*joined))
     return entries
 
 
