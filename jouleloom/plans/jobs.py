@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from jouleloom.keys import JOB
 from jouleloom.operators.align import Timeline, align, fill
@@ -13,7 +14,7 @@ from jouleloom.operators.columns import add_task_derivatives, resolve_epoch
 from jouleloom.operators.describe import describe_columns
 from jouleloom.operators.energy import energy_profile, has_energy_data, job_metrics, job_summary
 from jouleloom.operators.frames import Frames
-from jouleloom.operators.prices import EPOCH, add_cost, job_cost, nearest_prices
+from jouleloom.operators.prices import EPOCH, PRICE, add_cost, epoch_bounds, job_cost, nearest_prices, price_block_cover, price_points
 from jouleloom.plans.segments import SEGMENT_ROWS, prepare
 from jouleloom.session import written
 
@@ -27,6 +28,7 @@ class Report:
     summary: DataFrame
     prices: DataFrame | None
     cost: DataFrame | None
+    counts: DataFrame
 
 
 def job_profile(frames: Frames, groups: str = "all", segment_rows: int = SEGMENT_ROWS) -> Timeline:
@@ -61,17 +63,34 @@ def job_report(
 ) -> Report:
     """Uncleaned rows, column statistics and summary of every job, and prices if given.
 
-    All parts start from the same wide rows, which are therefore computed and written once.
+    All parts start from the same wide rows, priced if there are prices, which are computed and written
+    once. `prices` are those that cover the time of each job, `counts` the size of its combined table.
     """
     profile = job_profile(frames, groups, segment_rows)
-    profile = profile.with_df(written(profile.df, "profile"))
+    profile = profile.with_df(written(priced(profile.df, prices), "profile"))
+    combined = profile.visible()
     metrics = job_metrics(profile.df.where(has_energy_data(profile)))
-    combined = priced(profile.visible(), prices)
     has_cost = "Cumulative_cost_EUR" in combined.columns
+    stats = written(describe_columns(combined, JOB), "profile-stats")
     return Report(
         combined=combined,
-        stats=describe_columns(combined, JOB),
+        stats=stats,
         summary=job_summary(metrics),
-        prices=prices if has_cost else None,
+        prices=covering_prices(combined, prices) if has_cost else None,
         cost=job_cost(combined) if has_cost else None,
+        counts=table_counts(stats),
+    )
+
+
+def covering_prices(combined: DataFrame, prices: DataFrame) -> DataFrame:
+    """The prices of each job: those inside its time span and the nearest one on either side."""
+    points = price_points(prices)
+    needed = price_block_cover(epoch_bounds(combined), points.select(F.col(EPOCH).alias("block")), JOB)
+    return needed.withColumnRenamed("block", EPOCH).join(points, EPOCH).select(*JOB, EPOCH, PRICE)
+
+
+def table_counts(stats: DataFrame) -> DataFrame:
+    """Rows of every job, and the columns in which it has a value, from its statistics."""
+    return stats.groupBy(*JOB).agg(
+        F.max(F.col("count") + F.col("null_count")).alias("n_rows"), F.count_if(F.col("count") > 0).alias("n_columns")
     )

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.functions.text import sanitize_parts
-from jouleloom.keys import JOB
+from jouleloom.keys import JOB, TIME
+from jouleloom.operators.prices import EPOCH
 
 
 def with_export_name(df: DataFrame, ending: str = "") -> DataFrame:
@@ -17,11 +19,19 @@ def with_export_name(df: DataFrame, ending: str = "") -> DataFrame:
     return df.withColumn("export", F.concat(name, F.lit(ending)) if ending else name)
 
 
-def write_csv(df: DataFrame, path: str, ending: str = "") -> None:
-    """One folder per job under `path`, named after its export name."""
+def write_csv(df: DataFrame, path: str, ending: str = "", order: Sequence[str] = (), without: Sequence[str] = ()) -> None:
+    """One folder per job under `path`, named after its export name; rows in the given order.
+
+    Sampled ranges of (job, order) are laid over the tasks, so that no task holds a whole long job and
+    the files of a job follow each other in order. Columns in `without` only order the rows.
+    """
     named = with_export_name(df, ending).drop(*JOB)
+    by = ["export", *order]
     (
-        named.write.mode("overwrite")
+        named.repartitionByRange(*[F.col(f"`{c}`") for c in by])
+        .sortWithinPartitions(*[F.col(f"`{c}`") for c in by])
+        .drop(*without)
+        .write.mode("overwrite")
         .option("header", "true")
         .option("emptyValue", "")
         .option("partitionOverwriteMode", "dynamic")
@@ -32,8 +42,8 @@ def write_csv(df: DataFrame, path: str, ending: str = "") -> None:
 
 def write_report(report, folder: str) -> None:
     """All parts of a report: combined rows, statistics, summaries, and prices if there are any."""
-    write_csv(report.combined, os.path.join(folder, "combined"))
+    write_csv(report.combined, os.path.join(folder, "combined"), order=[TIME])
     write_csv(report.stats, os.path.join(folder, "stats"), "_stats")
-    write_csv(report.summary.orderBy(*JOB, "ord").drop("ord"), os.path.join(folder, "summary"), "_summary")
+    write_csv(report.summary, os.path.join(folder, "summary"), "_summary", order=["ord"], without=["ord"])
     if report.prices is not None:
-        report.prices.write.mode("overwrite").option("header", "true").csv(os.path.join(folder, "prices"))
+        write_csv(report.prices, os.path.join(folder, "prices"), "_prices", order=[EPOCH])

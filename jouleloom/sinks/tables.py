@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jouleloom.functions.text import table_name
 from jouleloom.keys import JOB, TIME
+from jouleloom.session import shared_folder
 
 
 def write_jobs(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -28,16 +33,29 @@ def write_jobs(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_job_jdbc(df: DataFrame, label: str, url: str, schema: str | None = None, **options: str) -> str:
     """Replace the table of one job in a database; returns its name, quoted where needed."""
+    return write_jobs_jdbc(df.where(F.col("file_label") == label), [label], url, schema, **options)[0]
+
+
+def write_jobs_jdbc(df: DataFrame, labels: Sequence[str], url: str, schema: str | None = None, **options: str) -> list[str]:
+    """Replace the tables of the listed jobs in a database, one table each; returns their names.
+
+    The plan of `df` runs once: it is written by job, and every table is loaded from its job's partition.
+    """
     spark = df.sparkSession
-    name = job_table_name(spark, label)
-    target = f'"{schema}"."{name}"' if schema else f'"{name}"'
-    rows = df.where(F.col("file_label") == label).drop(*JOB)
-    rows.write.format("jdbc").mode("overwrite").options(url=url, dbtable=target, **options).save()
-    return name
+    folder = os.path.join(shared_folder(spark), f"jdbc-{uuid.uuid4().hex}")
+    write_jobs(df.where(F.col("file_label").isin(*labels)), folder)
+    written_jobs = spark.read.parquet(folder)
+    names = job_table_names(spark, labels)
+    for label, name in zip(labels, names, strict=True):
+        target = f'"{schema}"."{name}"' if schema else f'"{name}"'
+        rows = written_jobs.where(F.col("file_label") == label).drop(*JOB)
+        rows.write.format("jdbc").mode("overwrite").options(url=url, dbtable=target, **options).save()
+    return names
 
 
-def job_table_name(spark: SparkSession, label: str) -> str:
-    return spark.range(1).select(table_name(F.lit(label))).first()[0]
+def job_table_names(spark: SparkSession, labels: Sequence[str]) -> list[str]:
+    names = F.array(*[table_name(F.lit(label)) for label in labels])
+    return spark.range(1).select(names.alias("names")).first()["names"]
 
 
 def register_jobs(df: DataFrame, view: str = "jobs") -> DataFrame:

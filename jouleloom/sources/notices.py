@@ -22,18 +22,19 @@ def parse_notices(documents: DataFrame, text: str = "value") -> DataFrame:
 
 
 def notice_records(notices: DataFrame, decode_keys: bool = False) -> DataFrame:
-    """One row per record: bucket, key, file_label and `reason` (null = accepted).
+    """One row per record: its place in the document, bucket, key, file_label and `reason` (null = accepted).
 
     A document without records gives one row with the reason no_records.
     """
     rest = [F.col(f"`{c}`") for c in notices.columns if c != "Records"]
-    rows = notices.select(*rest, F.explode_outer("Records").alias("record"), F.size("Records").alias("n"))
+    rows = notices.select(*rest, F.posexplode_outer("Records").alias("place", "record"), F.size("Records").alias("n"))
     bucket, key = F.col("record.s3.bucket.name"), F.col("record.s3.object.key")
     if decode_keys:
         key = F.try_url_decode(key)
-    flat = rows.select(*rest, bucket.alias("bucket"), key.alias("key"), "n")
+    flat = rows.select(*rest, "place", bucket.alias("bucket"), key.alias("key"), "n")
     return flat.select(
         *rest,
+        "place",
         "bucket",
         "key",
         F.when(F.col("key").endswith(SUFFIX), file_stem(F.col("key"))).alias("file_label"),

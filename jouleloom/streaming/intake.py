@@ -15,15 +15,53 @@ from jouleloom.sinks.tables import write_jobs
 from jouleloom.sources.notices import RECORDS_SCHEMA, accepted, acceptance_audit, notice_records
 
 
+#: When a notification arrived: the time and name of its file, and its place in it.
+ARRIVAL = ["arrived", "document", "place"]
+
+
 def read_notices(spark: SparkSession, folder: str) -> DataFrame:
-    """Notification documents arriving as JSON files, one document per file or line."""
-    return spark.readStream.schema(RECORDS_SCHEMA).json(folder)
+    """Notification documents arriving as JSON files, one document per file or line, and when they arrived."""
+    documents = spark.readStream.schema(RECORDS_SCHEMA).json(folder)
+    return documents.select(
+        "*", F.col("_metadata.file_modification_time").alias("arrived"), F.col("_metadata.file_path").alias("document")
+    )
 
 
 def objects_of_batch(records: DataFrame) -> DataFrame:
-    """Accepted objects of a micro-batch, one per label: the same object notified twice is built once."""
-    last = F.max(F.struct("bucket", "key")).alias("last")
-    return accepted(records).groupBy("file_label").agg(last).select("file_label", "last.*")
+    """Accepted objects of a micro-batch, one per label: of several notifications the last one counts."""
+    last = F.max(F.struct(*ARRIVAL, "bucket", "key")).alias("last")
+    return accepted(records).groupBy("file_label").agg(last).select("file_label", "last.bucket", "last.key")
+
+
+def take_batch(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
+    """Write what a micro-batch holds, once, and return its accepted objects.
+
+    Next to the records of the batch are kept its audit, its rejected records and its accepted objects,
+    one folder per batch, all read from the written records.
+    """
+    spark = batch.sparkSession
+
+    def keep(df: DataFrame, what: str) -> DataFrame:
+        path = os.path.join(out, what, f"batch={batch_id}")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    records = keep(notice_records(batch), "records")
+    keep(acceptance_audit(records), "audit")
+    keep(records.where("reason is not null"), "rejected")
+    return keep(objects_of_batch(records), "accepted")
+
+
+def stream_objects(spark: SparkSession, events_dir: str, out: str, checkpoint: str, then: Callable[[DataFrame], None] | None = None, **trigger) -> StreamingQuery:
+    """Accept notified objects, batch by batch, and hand those of each batch to `then`."""
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        objects = take_batch(batch, batch_id, out)
+        if then is not None and not objects.isEmpty():
+            then(objects)
+
+    query = read_notices(spark, events_dir).writeStream.option("checkpointLocation", checkpoint)
+    return query.trigger(**(trigger or {"availableNow": True})).foreachBatch(take).start()
 
 
 def stream_jobs(
@@ -38,19 +76,11 @@ def stream_jobs(
     """Build and replace the table partitions of every notified object.
 
     `load` turns a batch of (file_label, bucket, key) into frames. The checkpoint makes delivery
-    at least once; replacing whole partitions makes repeating a batch harmless. Rejected records
-    and the per-batch audit are kept next to the result, one folder per batch.
+    at least once; replacing whole partitions makes repeating a batch harmless, and a label notified
+    again in a later batch is replaced by what was notified last.
     """
 
-    def build(batch: DataFrame, batch_id: int) -> None:
-        records = notice_records(batch)
-        audit = os.path.join(out, "audit", f"batch={batch_id}")
-        acceptance_audit(records).write.mode("overwrite").parquet(audit)
-        rejected = os.path.join(out, "rejected", f"batch={batch_id}")
-        records.where("reason is not null").write.mode("overwrite").parquet(rejected)
-        objects = objects_of_batch(records)
-        if not objects.isEmpty():
-            write_jobs(job_table(load(objects), prices), os.path.join(out, "jobs"))
+    def build(objects: DataFrame) -> None:
+        write_jobs(job_table(load(objects), prices), os.path.join(out, "jobs"))
 
-    query = read_notices(spark, events_dir).writeStream.option("checkpointLocation", checkpoint)
-    return query.trigger(**(trigger or {"availableNow": True})).foreachBatch(build).start()
+    return stream_objects(spark, events_dir, out, checkpoint, build, **trigger)

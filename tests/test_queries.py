@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import check, connect
+from workload.queries import REGISTRY
 
 
 def test_contract(spark):
@@ -16,7 +17,7 @@ def con():
     return connect("/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, sf, con, name):
     problem, rows = check(spark, sf, name, con)
     assert problem is None and rows > 0

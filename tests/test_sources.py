@@ -21,7 +21,7 @@ from jouleloom.sources.files import (
 )
 from jouleloom.sources.notices import acceptance_audit, accepted, notice_records, parse_notices
 from jouleloom.sources.objects import rescan_missing, user_objects
-from jouleloom.streaming.intake import stream_jobs
+from jouleloom.streaming.intake import stream_jobs, stream_objects
 from tests.helpers import frame, rows_of, table
 from jouleloom.operators.frames import stack
 
@@ -169,7 +169,15 @@ def test_report_files(spark, tmp_path):
         assert len(rows) >= lines - 2 and rows, part
         if part == "summary":
             assert rows[0]["Metric"] == "Energy-to-solution" and rows[0]["Value"] == "5.00"
-    assert list((tmp_path / "prices").glob("*.csv"))
+    assert list((tmp_path / "prices" / "export=1_a__g__combined_prices").glob("*.csv"))
+
+
+def test_combined_rows_are_in_time_order(spark, tmp_path):
+    rows = [("1_a", "g", i, float((i * 37) % 500), 5.0) for i in range(500)]
+    frame = spark.createDataFrame(rows, "file_label string, group_name string, row_idx bigint, ElapsedTime double, NodePower double")
+    write_report(job_report(stack({"Energy": frame.repartition(5)})), str(tmp_path))
+    files = sorted((tmp_path / "combined" / "export=1_a__g__combined").glob("*.csv"))
+    assert [int(r["ElapsedTime"]) for f in files for r in csv.DictReader(f.open())] == list(range(500))
 
 
 def test_describe(spark):
@@ -208,3 +216,14 @@ def test_stream_builds_notified_jobs(spark, tmp_path):
     assert {r[0] for r in table(spark.read.parquet(str(out / "jobs")), "file_label")} == {"x"}
     assert spark.read.parquet(str(out / "rejected")).count() == 2
     assert dict(table(spark.read.parquet(str(out / "audit")), "reason", "records"))["accepted"] == 1
+    assert table(spark.read.parquet(str(out / "accepted")), "file_label")[0] == ("x",)
+
+
+def test_the_key_notified_last_counts(spark, tmp_path):
+    record = '{"s3": {"bucket": {"name": "b"}, "object": {"key": "%s/x.h5"}}}'
+    for n, keys in enumerate([("zz", "m"), ("a", "k")]):
+        (tmp_path / "events").mkdir(exist_ok=True)
+        (tmp_path / "events" / f"{n}.json").write_text('{"Records": [%s]}' % ", ".join(record % k for k in keys))
+        stream_objects(spark, str(tmp_path / "events"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    found = table(spark.read.parquet(str(tmp_path / "out" / "accepted")), "batch", "key", order=["batch"])
+    assert found == [(0, "m/x.h5"), (1, "k/x.h5")]

@@ -42,9 +42,11 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job events with the seconds since the job's first event."""
+def timed_events(spark: SparkSession, sf_dir: str, files: DataFrame | None = None) -> DataFrame:
+    """Job events with the seconds since the job's first event; of the listed files, if any are listed."""
     events = job_events(spark, sf_dir)
+    if files is not None:
+        events = events.join(files, "file_label", "left_semi")
     starts = written(events.groupBy(*JOB).agg(F.min("ep").alias("start")), "job-starts")
     return events.join(starts, JOB).withColumn(TIME, F.col("ep") - F.col("start")).drop("start")
 
@@ -54,12 +56,13 @@ def event_frames(
     sf_dir: str,
     energy: Callable[[], Column] | None = None,
     keep: Column | None = None,
+    files: DataFrame | None = None,
 ) -> Frames:
     """All five datasets from one scan of the events.
 
-    `energy` replaces the fields of the energy dataset; `keep` filters events first.
+    `energy` replaces the fields of the energy dataset; `keep` filters events first, `files` names some.
     """
-    events = timed_events(spark, sf_dir)
+    events = timed_events(spark, sf_dir, files)
     if keep is not None:
         events = events.where(keep)
     v, ep = F.col("value"), F.col("ep")
@@ -98,9 +101,8 @@ def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A monthly price series: the mean order total of each first day of a month."""
-    orders = table(spark, sf_dir, "orders").where(F.dayofmonth("o_orderdate") == 1)
-    return orders.groupBy(epoch("o_orderdate").alias(EPOCH)).agg(
+    """A daily price series: the mean order total of each day."""
+    return table(spark, sf_dir, "orders").groupBy(epoch("o_orderdate").alias(EPOCH)).agg(
         quantized(F.avg("o_totalprice"), 4).alias(PRICE)
     )
 
@@ -128,8 +130,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def rounded_statistics(df: DataFrame, digits: int) -> DataFrame:
-    """The same for described columns; epoch seconds are ten digits long and keep no decimals."""
-    large = F.col("metric").endswith("EpochTime")
+    """The same for described columns; those of large figures keep no decimals."""
+    large = F.col("metric").rlike("EpochTime$|RSS$|_J$")
     return df.select(
         *[
             F.when(large, quantized(F.col(f.name), 0)).otherwise(quantized(F.col(f.name), digits)).alias(f.name)

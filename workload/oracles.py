@@ -122,6 +122,9 @@ ORACLES["row_index_time"] = f"""with {EVENTS}
 select {JOB}, {_prefix} prefix, id event_id,
   row_number() over (partition by f, g, et order by t, id) - 1 "ElapsedTime" from e"""
 
+ORACLES["row_number_as_time"] = f"""with {EVENTS}
+select {JOB}, {_prefix} prefix, id event_id, row_number() over (partition by f, g, et order by id) - 1 "ElapsedTime" from e"""
+
 ORACLES["drop_zero_power"] = f"""with {EVENTS}
 select {JOB}, {_prefix} prefix, count(*) n from e where not ({ZERO} and et='purchase') group by f, g, et"""
 
@@ -133,15 +136,12 @@ select {JOB}, count(*) filter (not er and n=0) empty,
   count(*) filter (not er and n>0 and et='purchase' and {ZERO}) zero_power,
   count(*) filter (er) errors, count(*) total from dg group by f, g"""
 
-ORACLES["files_without_usable_data"] = f"""with {EVENTS}, {_catalog}, {_counts},
-jb as (select f, g, uid, n from dg where et='purchase'
-  and exists (select 1 from n m where m.f=dg.f and m.g=dg.g)),
-fl as (select f, max(case when n>0 and uid%5<>0 then 1 else 0 end) u, count(*) filter (n=0) empty,
-  count(*) filter (n>0 and uid%5=0) z, count(*) total from jb group by f)
-select f as file_label, empty, z zero_power, 0 errors, total from fl where u=0"""
+ORACLES["files_without_usable_data"] = f"""with {EVENTS}
+select f as file_label, 0 empty, count(distinct g) zero_power, 0 errors, count(distinct g) total
+from e where uid%5=0 group by f"""
 
 ORACLES["first_usable_group_of_file"] = f"""with {EVENTS}
-select f as file_label, min(g) group_name from e where et='purchase' and not {ZERO} group by f"""
+select f as file_label, min(g) group_name from e where not {ZERO} group by f"""
 
 ORACLES["timeline"] = f"with {EVENTS} select distinct {AT} from e"
 
@@ -155,11 +155,15 @@ ORACLES["elapsed_difference"] = f"""{profile()} select {AT}, dt "ElapsedTime_Dif
 ORACLES["energy_from_power"] = f"""{profile()}
 select {AT}, dt::double "ElapsedTime_Diff", qz(w,4) "NodePower", qz(inc,4) "Energy_Increment_J",
   qz(qz(used,4),2) "Energy_used_J" from pr"""
-ORACLES["power_from_energy"] = f"""{filled("et<>'error'", "t*2.0+v")},
-m as (select *, t - lag(t) over w step, coalesce(c0 - lag(c0) over w, 0) inc from it
-  window w as (partition by f, g order by rn))
-select {AT}, case when h0 and step>0 then qz(inc/step,4) end "NodePower",
-  case when h0 then qz(inc,4) end "Energy_Increment_J", case when h0 then qz(c0,4) end "Energy_used_J" from m"""
+NO_POWER = "not (uid % 2 = 0 and et = 'error')"
+ORACLES["power_from_energy"] = f"""{filled(NO_POWER, "t*2.0+v")},
+m as (select *, t - lag(t) over w step, coalesce(c0 - lag(c0) over w, 0) gain from it
+  window w as (partition by f, g order by rn)),
+n as (select *, case when h4 then coalesce(step, 0)*c5 end inc from m),
+o as (select *, sum(inc) over (partition by f, g order by rn rows unbounded preceding) total from n)
+select {AT}, case when h4 then qz(c5,4) when h0 and step>0 then qz(gain/step,4) end "NodePower",
+  case when h4 then qz(inc,4) when h0 then qz(gain,4) end "Energy_Increment_J",
+  case when h4 then case when inc is not null then qz(total,4) end when h0 then qz(c0,4) end "Energy_used_J" from o"""
 
 APPLIANCES = """ap(pos, name, watts) as (values (0,'a hair dryer',1800.0::double),(1,'a microwave oven',1200),
   (2,'an electric kettle',1500),(3,'a vacuum cleaner',800),(4,'a refrigerator',150),(5,'a light bulb',60),
@@ -183,17 +187,23 @@ aq as (select r.*, coalesce(an,'negligible usage') an, coalesce(aa,0.0::double)
   from {rows} r left join ac on kk=r.{key})"""
 
 
-_METRICS = f"""{profile()},
-p6 as (select f, g, t, qz(w,6) w, qz(used,2) used from pr where has_power),
+
+
+def metrics(keep: str = "true") -> str:
+    """CTEs up to `mx`: the figures of every job with power."""
+    return f"""{profile(keep)},
+p6 as (select f, g, t, w, used from pr where has_power),
 mt as (select f, g, f||g kf, max(used) ets, max(t)::double tts,
   arg_max({{'w': w, 't': t}}, {{'w': w, 't': -t}}) filter (w is not null) pk from p6 group by f, g),
 {appliance('mt', 'ets', 'kf')},
 mx as (select *, case when tts<>0 then ets/tts else 'nan'::double end av,
   coalesce(pk.w,'nan'::double) pw, case when pk is null then 'nan'::double else pk.t::double end pt,
   case when tts<>0 then ets*tts else 'nan'::double end edp from aq)"""
-ORACLES["job_metrics_of_events"] = f"""{_METRICS}
+
+
+ORACLES["job_metrics_of_events"] = f"""{metrics()}
 select {JOB}, qz(ets,4) energy_to_solution_j, qz(tts,4) time_to_solution_s, qz(av,4) average_power_w,
-  qz(pw,4) peak_power_w, qz(pt,4) peak_power_time_s, cast(qz(edp,-2) as decimal(38,0))::double energy_delay_product,
+  qz(pw,4) peak_power_w, qz(pt,4) peak_power_time_s, cast(qz(edp,-4) as decimal(38,0))::double energy_delay_product,
   an appliance_name, qz(aa,4) appliance_amount, au appliance_unit, sentence appliance_description from mx"""
 
 
@@ -201,8 +211,7 @@ def _two(x: str) -> str:
     return f"case when isnan({x}) then 'nan' else printf('%.2f',{x}) end"
 
 
-ORACLES["job_summary_rows"] = f"""{_METRICS},
-sm as (
+_SUMMARY = f"""sm as (
   select f, g, 1 ord, 'Energy-to-solution' m, {_two('ets')} v, 'J' u,
     'Total energy consumed by the job from start to finish.' d from mx
   union all select f, g, 2, 'Time-to-solution', {_two('tts')}, 's', 'Elapsed time for the job.' from mx
@@ -211,7 +220,10 @@ sm as (
   union all select f, g, 5, 'Energy delay product', {_two('edp')}, 'J*s', 'Energy-delay product.' from mx
   union all select f, g, 6, 'Appliance comparison', {_two('aa')},
     case au when 's' then 'seconds' when 'm' then 'minutes' else 'hours' end, 'Equivalent to running '||an||'.' from mx)
-select {JOB}, ord, m "Metric", v "Value", u "Unit", d "Description" from sm"""
+select {JOB}, ord, m "Metric", case when ord=5 and v<>'nan' then (qz(case when ord=5 and v<>'nan' then v end,-4))::decimal(38,0)::varchar
+  else v end "Value", u "Unit", d "Description" from sm"""
+
+ORACLES["job_summary_rows"] = f"{metrics()}, {_SUMMARY}"
 
 ORACLES["appliance_comparison"] = f"""with li as (select l_orderkey, l_linenumber, l_extendedprice*l_quantity j,
   row_number() over () kk0 from lineitem), {appliance('li', 'j', 'kk0')}
@@ -225,7 +237,7 @@ def described(values: str, keys: str, digits: int) -> str:
         f"max(case when rn = floor({q}*(n-1)+0.5)+1 then x end) q{int(q * 100)}" for q in (0.25, 0.5, 0.75)
     )
     stats = ", ".join(
-        f"case when ends_with(metric,'EpochTime') then qz({x},0) else qz({x},{digits}) end \"{name}\""
+        f"case when regexp_matches(metric,'EpochTime$|RSS$|_J$') then qz({x},0) else qz({x},{digits}) end \"{name}\""
         for x, name in zip(
             ("me", "sd", "mi", "q25", "q50", "q75", "ma"), ("mean", "std", "min", "q25", "q50", "q75", "max")
         )
@@ -280,7 +292,7 @@ def cleaned(used: str = "used") -> str:
     return f"{JOB}, " + ", ".join(f"{ranged(x, lo, hi, ty)} {name}" for name, x, lo, hi, ty in rules)
 
 
-ORACLES["clean_and_narrow"] = f"{profile()} select {cleaned('uq')} from (select *, qz(used,2) uq from pr)"
+ORACLES["clean_and_narrow"] = f"{profile()} select {cleaned()} from pr"
 
 _priced = f"{profile()}, {EVENT_PRICES}, {nearest('pr', 'ps', 'epoch')}"
 _cost = "used/3600000.0*pp"
@@ -293,30 +305,65 @@ ORACLES["job_tables"] = f"""{profile()}, {EVENT_PRICES},
 fg as (select f, min(g) g from pr group by f),
 pf as (select pr.* from pr join fg using (f, g)), {nearest('pf', 'ps', 'epoch')}
 select {cleaned()}, qz(pp,3) "Price_EUR_per_MWh", qz({_cost},3) "Cumulative_cost_EUR" from na"""
-ORACLES["stream_job_tables"] = f"""{profile('uid % 3 = 0')},
+ORACLES["stream_job_tables"] = f"""{profile()},
 fg as (select f, min(g) g from pr group by f),
 pf as (select pr.* from pr join fg using (f, g))
 select {cleaned()} from pf"""
-_report = " union all ".join(
-    f"select {JOB}, '{name}' metric, {x}::double x from na"
-    for name, x in (("ElapsedTime", "t"), ("NodePower", "w"), ("EpochTime", "epoch"), ("Price_EUR_per_MWh", "pp"))
-)
-ORACLES["job_report_statistics"] = (
-    f"{profile(f'not ({ZERO} and et=' + chr(39) + 'purchase' + chr(39) + ')')}, {EVENT_PRICES}, "
-    f"{nearest('pr', 'ps', 'epoch')}, va as ({_report}), " + described("va", "file_label, group_name", 3)
-)
+# No file has a third group, and the bad times of g1 count only where g1 is the first one.
+ORACLES["first_group_tables"] = f"""{profile()},
+fg as (select f, min(g) g from pr group by f),
+bad as (select distinct f, g from e where g='g1' and id % 7 = 0),
+pf as (select pr.* from pr join fg using (f, g) where not exists (select 1 from bad where bad.f=fg.f and bad.g=fg.g))
+select {cleaned()} from pf"""
+ORACLES["split_jobs"] = ORACLES["interpolate_rows"]
+ORACLES["stream_objects"] = f"""with {EVENTS}, n as (select f, et, min(id) id from e group by f, et)
+select f file_label, 'runs' bucket, arg_max(et, id)||'/'||f||'.h5' "key" from n group by f"""
+
+NO_ZERO = f"not ({ZERO} and et='purchase')"
+REPORT = [
+    ("ElapsedTime", "t"),
+    *[(name, f"c{c}") for name, c in ALL],
+    ("EpochTime", "epoch"),
+    ("Task_1__RSS_MB", "c3/1024.0"),
+    ("Task_0__CPUUtilization_normalized", "c2/32.0"),
+    ("ElapsedTime_Diff", "dt"),
+    ("NodePower", "w"),
+    ("Energy_Increment_J", "inc"),
+    ("Energy_used_J", "used"),
+    ("Price_EUR_per_MWh", "pp"),
+    ("Cumulative_cost_EUR", _cost),
+]
+_reported = f"{profile(NO_ZERO)}, {EVENT_PRICES}, {nearest('pr', 'ps', 'epoch')}"
+_report = " union all ".join(f"select {JOB}, '{name}' metric, ({x})::double x from na" for name, x in REPORT)
+ORACLES["job_report_statistics"] = f"{_reported}, va as ({_report}), " + described("va", "file_label, group_name", 3)
+_whole = ("ElapsedTime", "EpochTime")
+ORACLES["job_report_combined"] = f"{_reported} select {JOB}, " + ", ".join(
+    f'{x} "{name}"' if name in _whole else f'qz({x},3) "{name}"' for name, x in REPORT
+) + " from na"
+_filled = "+".join(f"(count({x})>0)::int" for _, x in REPORT)
+ORACLES["job_report_counts"] = f"{_reported} select {JOB}, count(*) n_rows, {_filled} n_columns from na group by f, g"
+ORACLES["job_report_summary"] = f"{metrics(NO_ZERO)}, {_SUMMARY}"
+ORACLES["job_report_costs"] = f"""{_reported}
+select {JOB}, qz(max({_cost}),4) total_cost_eur, qz(sum(inc/3600000000.0*pp),4) cost_eur_integrated
+from na group by f, g"""
+ORACLES["job_report_prices"] = f"""{profile(NO_ZERO)}, {EVENT_PRICES},
+b as (select f, g, min(epoch) lo, max(epoch) hi from pr group by f, g having count(epoch)>0),
+c as (select f, g, e from b join ps on e between lo and hi
+  union select f, g, min(e) from b join ps on e>=lo group by f, g
+  union select f, g, max(e) from b join ps on e<lo group by f, g)
+select {JOB}, e "EpochTime", qz(p,4) "Price_EUR_per_MWh" from c join ps using (e)"""
 
 ORACLES["nearest_price_of_shipments"] = f"""with li as (
   select l_orderkey, l_linenumber, epoch_us(l_shipdate)//1000000 x from lineitem),
 ps as (select epoch_us(o_orderdate)//1000000 e, qz(avg(o_totalprice),4) p from orders
-  where day(o_orderdate)=1 group by 1),
+  group by 1),
 {nearest('li', 'ps', 'x')}
 select l_orderkey, l_linenumber, x, pe "PriceEpochTime", pp "Price_EUR_per_MWh" from na"""
 
 ORACLES["nearest_price_by_priority"] = f"""with li as (
   select o_orderkey, o_orderpriority, epoch_us(o_orderdate)//1000000 x from orders),
 ps as (select o_orderpriority, epoch_us(o_orderdate)//1000000 e, qz(avg(o_totalprice),4) p from orders
-  where day(o_orderdate)=1 group by 1, 2),
+  group by 1, 2),
 {nearest('li', 'ps', 'x', 'o_orderpriority')}
 select o_orderkey, o_orderpriority, x, pe "PriceEpochTime", pp "Price_EUR_per_MWh" from na"""
 
@@ -329,7 +376,7 @@ ORACLES["price_block_starts"] = """select
 ORACLES["price_block_cover_of_customers"] = """with b as (
   select o_custkey, min(epoch_us(o_orderdate)//1000000) lo, max(epoch_us(o_orderdate)//1000000) hi from orders group by 1),
 w as (select distinct epoch_us(o_orderdate)//1000000//604800 k from orders),
-bl as (select k*604800 block from w where k%3=0),
+bl as (select k*604800 block from w),
 f as (select o_custkey, min(block) block from b join bl on block>=lo group by 1),
 l as (select o_custkey, max(block) block from b join bl on block<lo group by 1)
 select o_custkey, block from f union select o_custkey, block from l

@@ -22,7 +22,7 @@ from jouleloom.functions import (
     with_appliance,
 )
 from jouleloom.keys import JOB, ROW, TIME
-from jouleloom.operators.align import align, timeline_union
+from jouleloom.operators.align import align, fill, timeline_union
 from jouleloom.operators.clean import clean_cast
 from jouleloom.operators.describe import describe_columns
 from jouleloom.operators.energy import has_energy_data, job_metrics, job_summary
@@ -33,6 +33,7 @@ from jouleloom.operators.frames import (
     frame_diagnostics,
     job_facts,
     quarantined_files,
+    stack,
     surviving_frames,
     truncate_time,
     unusable_files,
@@ -47,7 +48,7 @@ from jouleloom.operators.prices import (
     price_block_cover,
 )
 from jouleloom.plans.jobs import job_report, job_table
-from jouleloom.plans.segments import dataset_positions, prepare
+from jouleloom.plans.segments import dataset_positions, numbered, prepare
 from jouleloom.session import shared_folder, tune, written
 from jouleloom.sources.datasets import dataset_catalog, normalize_ndarray
 from jouleloom.sources.files import (
@@ -55,12 +56,12 @@ from jouleloom.sources.files import (
     drop_batch_files,
     latest_per_label,
     object_inventory,
-    validate_containers,
 )
 from jouleloom.sources.notices import acceptance_audit, notice_records, parse_notices
 from jouleloom.sources.objects import rescan_missing, user_objects
 from jouleloom.sources.prices import block_points, price_blocks
 from jouleloom.streaming.intake import stream_jobs
+from jouleloom.streaming.intake import stream_objects as stream_objects_to
 from workload.adapters import (
     DATASETS,
     epoch,
@@ -150,6 +151,18 @@ def row_index_time(spark, sf):
     )
 
 
+@query
+def row_number_as_time(spark, sf):
+    """Datasets without a time of their own: the row number counts as time."""
+    events = job_events(spark, sf).select(*JOB, "event_id", "event_type")
+    rows = numbered(events, [*JOB, "event_type"], ["event_id"], ROW)
+    frames = {p: rows.where(F.col("event_type") == t).drop("event_type") for t, p in DATASETS.items()}
+    stacked = stack(frames)
+    ids = F.coalesce(*[F.col(p)["event_id"] for p in stacked.prefixes])
+    names = F.coalesce(*[F.when(F.col(p).isNotNull(), F.lit(p)) for p in stacked.prefixes])
+    return stacked.df.select(*JOB, names.alias("prefix"), ids.alias("event_id"), TIME)
+
+
 @query
 def drop_zero_power(spark, sf):
     return surviving_frames(job_facts(event_frames(spark, sf, energy=_zero_for_some)))
@@ -168,23 +181,24 @@ def _catalog(spark, sf):
     )
 
 
-@query
-def files_without_usable_data(spark, sf):
-    only_energy = F.col("event_type") == "purchase"
+def _one_dataset(spark, sf, zero) -> Frames:
+    """All events as one dataset of node power, which is zero where `zero` holds."""
+    events = job_events(spark, sf)
+    power = F.when(zero(), 0.0).otherwise(F.col("value"))
+    rows = events.select(*JOB, F.col("ep").alias(TIME), F.col("event_id").alias(ROW), F.struct(power.alias("NodePower")).alias("Energy"))
+    return Frames(rows, ("Energy",))
 
-    def zero():
-        v = F.when(F.col("user_id") % 5 == 0, 0.0).otherwise(F.col("value"))
-        return F.struct(v.alias("NodePower"), F.col("ep").alias("EpochTime"))
 
-    facts = job_facts(event_frames(spark, sf, energy=zero, keep=only_energy))
-    catalog = _catalog(spark, sf).where("prefix = 'Energy'")
-    return unusable_files(frame_diagnostics(catalog, facts))
+@query
+def files_without_usable_data(spark, sf):
+    facts = job_facts(_one_dataset(spark, sf, lambda: F.col("user_id") % 5 == 0))
+    return unusable_files(frame_diagnostics(_catalog(spark, sf).where("prefix = 'Energy'"), facts))
 
 
 @query
 def first_usable_group_of_file(spark, sf):
-    only_energy = F.col("event_type") == "purchase"
-    return first_usable_group(job_facts(event_frames(spark, sf, energy=_zero_for_some, keep=only_energy)))
+    zero = (F.col("user_id") % 5 == 0) & (F.col("group_name") == "g0")
+    return first_usable_group(job_facts(_one_dataset(spark, sf, lambda: zero)))
 
 
 # --- timeline -------------------------------------------------------------------------------
@@ -239,9 +253,9 @@ def _meter():
 
 @query
 def power_from_energy(spark, sf):
-    no_power = F.col("event_type") != "error"
+    """Every second user has no dataset with power, only a meter; the others have both."""
+    no_power = ~((F.col("user_id") % 2 == 0) & (F.col("event_type") == "error"))
     profile = event_profile(spark, sf, energy=_meter, keep=no_power)
-    # Without the fifth dataset no job has a power column.
     return rounded(profile.df.select(*AT, "NodePower", "Energy_Increment_J", "Energy_used_J"), 4)
 
 
@@ -250,24 +264,28 @@ def power_from_energy(spark, sf):
 
 def _metrics(spark, sf):
     profile = event_profile(spark, sf)
-    rows = profile.df.where(has_energy_data(profile))
-    # Running sums of two engines differ in the last bits; cut before figures are derived from them.
-    used, power = quantized(F.col("Energy_used_J"), 2), quantized(F.col("NodePower"), 6)
-    return job_metrics(rows.select(*AT, power.alias("NodePower"), used.alias("Energy_used_J")))
+    return job_metrics(profile.df.where(has_energy_data(profile)))
 
 
 @query
 def job_metrics_of_events(spark, sf):
     """The flagship: all events to one row of energy figures per job."""
     metrics = _metrics(spark, sf)
-    whole = quantized(F.col("energy_delay_product"), -2).cast("decimal(38,0)")
+    whole = quantized(F.col("energy_delay_product"), -4).cast("decimal(38,0)")
     rows = rounded(metrics.withColumn("energy_delay_product", whole), 4)
     return rows.withColumn("energy_delay_product", F.col("energy_delay_product").cast("double"))
 
 
+def _summary_rows(summary):
+    """The energy-delay product has more digits than two engines agree in; it is cut as text, too."""
+    product = (F.col("ord") == 5) & (F.col("Value") != "nan")
+    cut = quantized(F.when(product, F.col("Value")).cast("double"), -4).cast("decimal(38,0)").cast("string")
+    return summary.withColumn("Value", F.when(product, cut).otherwise(F.col("Value")))
+
+
 @query
 def job_summary_rows(spark, sf):
-    return job_summary(_metrics(spark, sf))
+    return _summary_rows(job_summary(_metrics(spark, sf)))
 
 
 @query
@@ -299,9 +317,7 @@ def describe_jobs(spark, sf):
 
 @query
 def clean_and_narrow(spark, sf):
-    rows = event_profile(spark, sf).visible()
-    # A running sum may lie between two floats; cut it before it is narrowed.
-    return rounded(clean_cast(rows.withColumn("Energy_used_J", quantized(F.col("Energy_used_J"), 2))), 3)
+    return rounded(clean_cast(event_profile(spark, sf).visible()), 3)
 
 
 # --- prices ---------------------------------------------------------------------------------
@@ -328,8 +344,7 @@ def nearest_price_of_shipments(spark, sf):
 def nearest_price_by_priority(spark, sf):
     """Several series at once: one per order priority."""
     orders = table(spark, sf, "orders")
-    days = orders.where(F.dayofmonth("o_orderdate") == 1)
-    series = days.groupBy("o_orderpriority", epoch("o_orderdate").alias(EPOCH)).agg(
+    series = orders.groupBy("o_orderpriority", epoch("o_orderdate").alias(EPOCH)).agg(
         quantized(F.avg("o_totalprice"), 4).alias(PRICE)
     )
     rows = orders.select("o_orderkey", "o_orderpriority", epoch("o_orderdate").alias("x"))
@@ -360,8 +375,7 @@ def price_block_starts(spark, sf):
 def price_block_cover_of_customers(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", epoch("o_orderdate").alias("x"), "o_orderdate")
     bounds = epoch_bounds(orders, "x", ["o_custkey"])
-    week = F.floor(F.col("x") / (7 * 86_400))
-    blocks = orders.where(week % 3 == 0).select((week * (7 * 86_400)).alias("block"))
+    blocks = orders.select((F.floor(F.col("x") / (7 * 86_400)) * (7 * 86_400)).alias("block"))
     return price_block_cover(bounds, blocks, ["o_custkey"])
 
 
@@ -461,12 +475,6 @@ def latest_file_per_label(spark, sf):
     return latest_per_label(files)
 
 
-@query
-def container_check(spark, sf):
-    listing = spark.read.format("binaryFile").load(f"{sf}/*.parquet").select("path")
-    return validate_containers(listing).select(file_stem(F.col("path")).alias("file_label"), "reason")
-
-
 def _notices(spark, sf):
     name = F.when(F.col("value") < 20, ".csv").otherwise(".h5")
     key = F.concat("event_type", F.lit("/"), F.col("event_id").cast("string"), name)
@@ -538,28 +546,84 @@ def job_tables(spark, sf):
     return rounded(job_table(event_frames(spark, sf), event_prices(spark, sf)), 3)
 
 
+@query
+def first_group_tables(spark, sf):
+    """Later groups have impossible times; they do not spoil a file whose first usable group is good."""
+    frames = event_frames(spark, sf)
+    spoiled = (F.col("group_name") == "g1") & (F.col(ROW) % 7 == 0)
+    late = frames.df.withColumn(TIME, F.when(spoiled, F.lit(-1)).otherwise(F.col(TIME)))
+    return rounded(job_table(frames.with_df(late)), 3)
+
+
+@query
+def split_jobs(spark, sf):
+    """All jobs in many segments and chunks: the same rows as `interpolate_rows`."""
+    split = prepare(event_frames(spark, sf), segment_rows=16, chunk_rows=8)
+    return rounded(fill(align(split)).df.select(*AT, *SOURCE_COLUMNS))
+
+
+def _report(spark, sf):
+    return job_report(event_frames(spark, sf, energy=_zero_for_some), event_prices(spark, sf))
+
+
 @query
 def job_report_statistics(spark, sf):
-    stats = job_report(event_frames(spark, sf, energy=_zero_for_some), event_prices(spark, sf)).stats
-    return rounded_statistics(stats.where(F.col("metric").isin(TIME, "NodePower", EPOCH, PRICE)), 3)
+    return rounded_statistics(_report(spark, sf).stats, 3)
+
+
+@query
+def job_report_combined(spark, sf):
+    return rounded(_report(spark, sf).combined, 3)
+
+
+@query
+def job_report_counts(spark, sf):
+    return _report(spark, sf).counts
+
+
+@query
+def job_report_summary(spark, sf):
+    return _summary_rows(_report(spark, sf).summary)
+
+
+@query
+def job_report_costs(spark, sf):
+    return rounded(_report(spark, sf).cost, 4)
+
+
+@query
+def job_report_prices(spark, sf):
+    return rounded(_report(spark, sf).prices, 4)
 
 
 @query
 def stream_job_tables(spark, sf):
-    """Notifications for every third user, streamed; the result is the table the stream wrote."""
+    """Notifications for all users in two batches, streamed; the result is the table the stream wrote."""
     run = os.path.join(shared_folder(spark), f"stream-{uuid.uuid4().hex}")
-    objects = job_events(spark, sf).where("user_id % 3 = 0").select("file_label").distinct()
-    record = F.struct(
-        F.struct(
-            F.struct(F.lit("runs").alias("name")).alias("bucket"),
-            F.struct(F.concat(F.lit("in/"), F.col("file_label"), F.lit(".h5")).alias("key")).alias("object"),
-        ).alias("s3")
-    )
-    objects.select(F.array(record, record).alias("Records")).write.json(f"{run}/notices")
+    files = job_events(spark, sf).select("file_label", "user_id").distinct()
+
+    def record(folder: str):
+        key = F.concat(F.lit(f"{folder}/"), F.col("file_label"), F.lit(".h5"))
+        return F.struct(F.struct(F.struct(F.lit("runs").alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")).alias("s3"))
 
     def load(batch: DataFrame) -> Frames:
-        frames = event_frames(spark, sf)
-        return frames.with_df(frames.df.join(batch.select("file_label"), "file_label", "left_semi"))
+        return event_frames(spark, sf, files=batch.select("file_label"))
 
-    stream_jobs(spark, f"{run}/notices", f"{run}/out", f"{run}/checkpoint", load).awaitTermination()
+    # Every label is notified twice, with two keys; the second batch names every third user again.
+    for which in ("true", "user_id % 3 = 0"):
+        files.where(which).select(F.array(record("z-old"), record("new")).alias("Records")).write.mode("append").json(f"{run}/notices")
+        stream_jobs(spark, f"{run}/notices", f"{run}/out", f"{run}/checkpoint", load).awaitTermination()
     return rounded(spark.read.parquet(f"{run}/out/jobs"), 3)
+
+
+@query
+def stream_objects(spark, sf):
+    """The objects a stream of notifications accepts: the key notified last counts."""
+    run = os.path.join(shared_folder(spark), f"objects-{uuid.uuid4().hex}")
+    events = job_events(spark, sf).groupBy("file_label", "event_type").agg(F.min("event_id").alias("event_id"))
+    key = F.concat("event_type", F.lit("/"), "file_label", F.lit(".h5"))
+    record = F.struct(F.struct(F.struct(F.lit("runs").alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")).alias("s3"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("event_id", record.alias("record")))), lambda x: x["record"])
+    events.groupBy("file_label").agg(ordered.alias("Records")).select("Records").write.json(f"{run}/notices")
+    stream_objects_to(spark, f"{run}/notices", f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{run}/out/accepted").select("file_label", "bucket", "key")
