@@ -12,6 +12,7 @@ from jouleloom.keys import JOB, ROW, SEG, SEP, SUB, TIME, is_hidden, present, ti
 from jouleloom.operators.frames import Frames
 from jouleloom.operators.scan import Order, interpolate
 from jouleloom.plans.segments import Prepared
+from jouleloom.session import written
 
 PREV_TIME = "prev~time"
 
@@ -123,9 +124,16 @@ def numeric_columns(timeline: Timeline) -> list[str]:
 
 
 def fill(timeline: Timeline) -> Timeline:
-    """Interpolate all numeric columns; the same scan finds previous times and present datasets."""
+    """Interpolate all numeric columns; the same scan finds previous times and present datasets.
+
+    A split scan uses its input twice, so what it gives for split jobs is written: the next scan would
+    run it twice again.
+    """
     flags = {present(p): present(p) for p in dict.fromkeys(p for _, p, _ in timeline.sources)}
     df = interpolate(
         timeline.df, numeric_columns(timeline), timeline.order, lags={PREV_TIME: TIME}, flags=flags
     )
+    if timeline.order.segment:
+        split = written(df.where(F.col(SEG).isNotNull()), "filled-segments")
+        df = df.where(F.col(SEG).isNull()).unionByName(split)
     return timeline.with_df(df)

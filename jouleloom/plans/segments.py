@@ -52,16 +52,10 @@ def special_jobs(facts: DataFrame, groups: str, segment_rows: int) -> DataFrame:
         rows = rows.join(chosen, "file_label", "left")
         skip = skip | ~F.col("group_name").eqNullSafe(F.col("chosen"))
     rows = rows.withColumn("skip", skip)
-    span = (F.col("t_max") - F.col("t_min")).cast("double") + 1
-    width = F.greatest(F.lit(1), F.ceil(span * segment_rows / F.col("n_rows")))
     is_long = (F.col("n_rows") > segment_rows) & F.col("t_min").isNotNull()
     return rows.select(
-        *JOB,
-        "skip",
-        F.col("zero_power").alias("drop"),
-        F.when(is_long, F.col("t_min")).alias("t0"),
-        F.when(is_long, width).alias("width"),
-    ).where("skip or size(drop) > 0 or width is not null")
+        *JOB, "skip", F.col("zero_power").alias("drop"), F.when(is_long & ~F.col("skip"), F.col("n_rows")).alias("long")
+    ).where("skip or size(drop) > 0 or long is not null")
 
 
 def prepare(
@@ -74,7 +68,7 @@ def prepare(
     facts = written(job_facts(frames), "job-facts")
     special = written(special_jobs(facts, groups, segment_rows), "special-jobs")
     found = special.agg(
-        F.count(F.lit(1)).alias("jobs"), F.count("width").alias("long"), F.count_if(F.size("drop") > 0).alias("drops")
+        F.count(F.lit(1)).alias("jobs"), F.sum("long").alias("long"), F.count_if(F.size("drop") > 0).alias("drops")
     ).first()
     frames = truncate_time(frames)
     if not found["jobs"]:
@@ -87,20 +81,23 @@ def prepare(
             for p in frames.prefixes
         }
         rows = _without_dropped(rows, frames, kept)
-    helpers = ["skip", "drop", "t0", "width"]
     if not found["long"]:
-        return Prepared(frames.with_df(rows.drop(*helpers)))
-    rows = rows.withColumn(SEG, _segment_of())
+        return Prepared(frames.with_df(rows.drop("skip", "drop", "long")))
+    # Sampled ranges of (job, time): segments of about equal size whatever the times look like, and all
+    # rows of a time in one of them. Written, so that the ranges are fixed and the source is read once.
+    spread = rows.where("long is not null").drop("skip", "drop", "long")
+    spread = spread.repartitionByRange(-(-found["long"] // segment_rows), *JOB, TIME)
+    segments = written(spread.withColumn(SEG, F.spark_partition_id().cast("bigint")), "long-jobs")
+    others = rows.where("long is null").drop("skip", "drop", "long").withColumn(SEG, F.lit(None).cast("bigint"))
     hot = written(
-        rows.where("width is not null")
-        .groupBy(*JOB, SEG)
+        segments.groupBy(*JOB, SEG)
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > HOT_FACTOR * segment_rows)
         .select(*JOB, SEG),
         "hot-segments",
     )
     return Prepared(
-        frames.with_df(rows.drop(*helpers)), True, None if hot.isEmpty() else hot, chunk_rows
+        frames.with_df(others.unionByName(segments)), True, None if hot.isEmpty() else hot, chunk_rows
     )
 
 
@@ -111,12 +108,6 @@ def _without_dropped(rows: DataFrame, frames: Frames, kept: dict[str, Column]) -
     return rows.withColumns(kept).where(some)
 
 
-def _segment_of() -> Column:
-    """Equal slices of a long job's time span; rows without a time come first. Null for others."""
-    slice_ = F.coalesce(F.expr(f"(`{TIME}` - t0) div width"), F.lit(-1))
-    return F.when(F.col("width").isNotNull(), slice_).cast("bigint")
-
-
 def dataset_positions(prepared: Prepared) -> DataFrame:
     """Rows of every dataset as (job, prefix, ElapsedTime, row_idx, position), position from 0.
 

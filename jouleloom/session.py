@@ -61,9 +61,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts lineage so that a lost executor never recomputes it, and gives Catalyst the real size in
-    bytes: later joins broadcast it only if it is below `spark.sql.autoBroadcastJoinThreshold`.
+    bytes: later joins broadcast it only if it is below `spark.sql.autoBroadcastJoinThreshold`. All that an
+    application writes lies in one folder named after it, to be removed when the application has ended:
+    results read it as long as they are in use.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

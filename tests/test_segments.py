@@ -121,3 +121,26 @@ def test_later_groups_do_not_spoil_the_first(spark):
     frames = stack({"Energy": spark.createDataFrame(rows, keys)})
     assert [r["file_label"] for r in job_table(frames).collect()] == ["a_x", "a_x"]
     assert job_table(frames, groups="all").count() == 0
+
+
+def test_an_outlier_leaves_segments_balanced(spark):
+    keys = "file_label string, group_name string, row_idx bigint, ElapsedTime double, NodePower double"
+    rows = [("a_x", "g", i, float(i), 5.0) for i in range(1999)] + [("a_x", "g", 1999, 1.7e9, 5.0)]
+    frames = stack({"Energy": spark.createDataFrame(rows, keys)})
+    split = prepare(frames, segment_rows=100)
+    sizes = [r["count"] for r in split.frames.df.groupBy("seg_id").count().collect()]
+    assert split.hot is None and max(sizes) < 300 and len(sizes) <= 20
+    whole = energy_profile(fill(align(prepare(frames))))
+    assert rows_of(energy_profile(fill(align(split))).visible()) == rows_of(whole.visible())
+
+
+def test_a_split_plan_reads_its_source_once(spark, tmp_path):
+    frames = random_frames(spark, 3)
+    frames.df.write.parquet(str(tmp_path / "source"))
+    stored = frames.with_df(spark.read.schema(frames.df.schema).parquet(str(tmp_path / "source")))
+    timeline = energy_profile(fill(align(prepare(stored, segment_rows=10))))
+    plan = timeline.df._jdf.queryExecution().optimizedPlan().treeString()
+    files = [p for p in timeline.df.inputFiles() if "/source/" in p]
+    assert len(set(files)) == len(list((tmp_path / "source").glob("*.parquet")))
+    leaves = timeline.df._jdf.queryExecution().executedPlan().toString()
+    assert leaves.count("/source") <= 1, plan
