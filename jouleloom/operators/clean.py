@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jouleloom.functions.numbers import is_finite
 
@@ -26,8 +27,10 @@ class Rule:
     def fits(self, column: str) -> bool:
         return column in self.exact or any(column.endswith(f"__{s}") for s in self.suffix)
 
-    def apply(self, column: str) -> Column:
+    def apply(self, column: str, is_text: bool = False) -> Column:
         value = F.col(f"`{column}`")
+        if is_text:
+            value = value.try_cast("double")  # text that is no number is out of range
         keep = is_finite(value) & (value >= F.lit(self.low))
         if self.high is not None:
             keep = keep & (value <= F.lit(self.high))
@@ -59,6 +62,7 @@ def clean_cast(df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFram
 
     def cleaned(column: str) -> Column:
         rule = next((r for r in rules if r.fits(column)), None)
-        return rule.apply(column) if rule else F.col(f"`{column}`")
+        is_text = isinstance(df.schema[column].dataType, T.StringType)
+        return rule.apply(column, is_text) if rule else F.col(f"`{column}`")
 
     return df.select(*[cleaned(c) for c in df.columns])

@@ -77,5 +77,5 @@ def add_task_derivatives(df: DataFrame, cores: int = CORES) -> DataFrame:
     wanted = {d.source: d for d in derived_figures(cores)}
     split = [(c, *c.rpartition(SEP)) for c in df.columns]
     return df.withColumns(
-        {f"{dataset}{SEP}{wanted[field].name}": F.col(f"`{c}`") / wanted[field].per for c, dataset, sep, field in split if sep and field in wanted}
+        {f"{dataset}{SEP}{wanted[field].name}": F.col(f"`{c}`").try_cast("double") / wanted[field].per for c, dataset, sep, field in split if sep and field in wanted}
     )

@@ -28,12 +28,28 @@ STATISTICS = ("count", "null_count", "mean", "std", "min", "q25", "q50", "q75",
 def describe_columns(
     df: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key and numeric column, with the nine statistics."""
+    """One row per key and column, with the nine statistics of numbers.
+
+    If there are text or boolean columns, all rows have min_text and max_text, too; such columns have these
+    two and the counts, and no other statistic.
+    """
     keys = list(keys)
-    if columns is None:
-        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in keys]
+    named = {f.name: f.dataType for f in df.schema.fields if f.name not in keys}
+    wanted = list(named) if columns is None else list(columns)
+    numbers = [c for c in wanted if isinstance(named[c], T.NumericType)]
+    texts = [c for c in wanted if isinstance(named[c], (T.StringType, T.BooleanType))]
     group = keys or ["all~"]
     rows = df if keys else df.withColumn("all~", F.lit(0))
+    described = _described_numbers(rows, group, numbers) if numbers else None
+    if texts:
+        other = _described_texts(rows, group, texts)
+        described = other if described is None else described.unionByName(other, allowMissingColumns=True)
+    if described is None:
+        raise ValueError("no column to describe")
+    return described.select(*keys, *[c for c in described.columns if c not in group])
+
+
+def _described_numbers(rows: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
     rows = rows.select(
         *[F.col(f"`{k}`") for k in group], *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]
     )
@@ -42,8 +58,20 @@ def describe_columns(
     ranked = _quartiles(rows, stats, group, columns)
     narrow = stats.select(*group, F.inline(F.array(*[_stat_row(c) for c in columns])))
     result = narrow.join(ranked, [*group, "metric"], "left")
-    numbers = ["mean", "std", "min", "q25", "q50", "q75", "max"]
-    return result.select(*keys, "metric", "count", "null_count", *numbers)
+    return result.select(*group, "metric", "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+def _described_texts(rows: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """Counts, first and last value, from one aggregation."""
+    none = [F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+    aggs = []
+    for c in columns:
+        v = F.col(f"`{c}`")
+        found = F.count(v).alias("count"), F.count_if(v.isNull()).alias("null_count")
+        ends = F.min(v).cast("string").alias("min_text"), F.max(v).cast("string").alias("max_text")
+        aggs.append(F.struct(F.lit(c).alias("metric"), *found, *none, *ends).alias(f"text~{c}"))
+    per_key = rows.groupBy(*[F.col(f"`{k}`") for k in group]).agg(*aggs)
+    return per_key.select(*group, F.inline(F.array(*[F.col(f"`text~{c}`") for c in columns])))
 
 
 def _stats(rows: DataFrame, group: list[str], columns: Sequence[str]) -> DataFrame:

@@ -2,11 +2,14 @@
 
 Landed form, one row per chunk of a dataset: `file_label`, `path_parts` (group first), `kind`
 (scalar, ndarray or compound), `field_names`, `shape`, `chunk_offset` (flat element or row number),
-`num_values` (scalar and ndarray, row-major), `fields` (compound: name -> values).
+`num_values` (scalar and ndarray, row-major), `fields` (compound: name -> values). Whole numbers, text and
+flags keep their type in columns of the same kind (TYPED_SCHEMA), which may be left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,17 @@ RAW_SCHEMA = (
     "shape array<bigint>, chunk_offset bigint, num_values array<double>, fields map<string,array<double>>"
 )
 
+#: Type of a value -> columns with the values of an array and of the fields of records, and its SQL type.
+TYPES = {
+    "num": ("num_values", "fields", "double"),
+    "int": ("int_values", "int_fields", "bigint"),
+    "text": ("text_values", "text_fields", "string"),
+    "flag": ("flag_values", "flag_fields", "boolean"),
+}
+TYPED_SCHEMA = RAW_SCHEMA + "".join(
+    f", {values} array<{kind}>, {fields} map<string,array<{kind}>>" for t, (values, fields, kind) in TYPES.items() if t != "num"
+)
+
 
 def _group() -> Column:
     return F.col("path_parts")[0].alias("group_name")
@@ -27,8 +41,8 @@ def _group() -> Column:
 
 def dataset_catalog(raw: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
     """One row per dataset in depth-first order: a group's datasets sort by their path parts."""
-    datasets = raw.groupBy("file_label", "path_parts").agg(
-        *[F.any_value(c).alias(c) for c in ("kind", "field_names", "shape")]
+    datasets = raw.withColumn("types", _types(raw)).groupBy("file_label", "path_parts").agg(
+        *[F.any_value(c).alias(c) for c in ("kind", "field_names", "shape")], F.max("types").alias("types")
     )
     named = datasets.select(
         "file_label",
@@ -38,18 +52,34 @@ def dataset_catalog(raw: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
         "kind",
         "field_names",
         "shape",
+        "types",
     )
     ranked = numbered(named, JOB, ["path_parts"], "dataset_ord", limit)
     return ranked.withColumn("dataset_ord", (F.col("dataset_ord") + 1).cast("int"))
 
 
+def _types(raw: DataFrame) -> Column:
+    """Types of the chunk's values: (field, type) of records, and type alone, under "", of an array."""
+    found = [F.array().cast("array<struct<field:string,type:string>>")]
+    for t, (values, fields, _) in TYPES.items():
+        if values in raw.columns:
+            found.append(F.when(F.col(values).isNotNull(), F.array(_typed(t)(F.lit("")))))
+        if fields in raw.columns:
+            found.append(F.transform(F.map_keys(fields), _typed(t)))
+    return F.array_sort(F.flatten(F.array_compact(F.array(*found))))
+
+
+def _typed(kind: str) -> Callable[[Column], Column]:
+    return lambda field: F.struct(field.alias("field"), F.lit(kind).alias("type"))
+
+
 def row_width(shape: Column) -> Column:
     """Number of columns an array becomes: the product of all dimensions but the first."""
     trailing = F.slice(shape, 2, F.greatest(F.size(shape) - 1, F.lit(0)))
     return F.aggregate(trailing, F.lit(1).cast("bigint"), lambda product, d: product * d)
 
 
-def normalize_ndarray(raw: DataFrame) -> DataFrame:
+def normalize_ndarray(raw: DataFrame, values: str = "num_values") -> DataFrame:
     """Scalars and arrays as (file_label, path_parts, row_idx, column, value).
 
     Scalars and one-dimensional arrays have one column, `value`; others `col_0`, `col_1`, ...
@@ -60,7 +90,7 @@ def normalize_ndarray(raw: DataFrame) -> DataFrame:
         F.size("shape").alias("dims"),
         row_width(F.col("shape")).alias("width"),
         "chunk_offset",
-        F.posexplode("num_values").alias("pos", "value"),
+        F.posexplode(values).alias("pos", "value"),
     )
     flat = F.col("chunk_offset") + F.col("pos")
     numbered = F.concat(F.lit("col_"), (flat % F.col("width")).cast("string"))
@@ -73,8 +103,41 @@ def normalize_ndarray(raw: DataFrame) -> DataFrame:
     )
 
 
-def dataset_columns(catalog: DataFrame) -> dict[str, list[str]]:
-    """Prefix -> column names in order, over all files; sized by the schema, not by the data."""
+def _array_rows(raw: DataFrame, kind: str, columns: list[str]) -> DataFrame:
+    """(job, prefix~, row, columns) of the arrays of one type.
+
+    A chunk of whole rows is cut into them where it is; only rows that lie in two chunks are put together
+    by a shuffle.
+    """
+    values = TYPES[kind][0]
+    arrays = raw.where((F.col("kind") != "compound") & (F.size(values) > 0)).withColumn("width~", row_width(F.col("shape")))
+    width, offset, size = F.col("width~"), F.col("chunk_offset"), F.size(values)
+    whole = (offset % width == 0) & (size % width == 0)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.floor(size / width) - 1)
+    cells = F.transform(starts, lambda i: F.slice(values, (i * width + 1).cast("int"), width.cast("int")))
+    own = arrays.where(whole).select(*JOB, "prefix~", "shape", offset, width, F.posexplode(cells).alias("pos", "cells~"))
+
+    def cell(c: str) -> Column:
+        if c == "value":
+            return F.when(F.size("shape") <= 1, F.col("cells~")[0])
+        at = int(c.removeprefix("col_"))
+        return F.when(F.size("shape") > 1, F.get("cells~", F.lit(at)))
+
+    row = (F.floor(F.col("chunk_offset") / F.col("width~")) + F.col("pos")).alias(ROW)
+    rows = own.select(*JOB, "prefix~", row, *[cell(c).alias(f"{kind}~{c}") for c in columns])
+    pieces = normalize_ndarray(arrays.where(~whole), values).withColumns(
+        {"prefix~": dataset_prefix(F.col("path_parts")), "group_name": _group()}
+    )
+    picked = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"{kind}~{c}") for c in columns]
+    return rows.unionByName(pieces.groupBy(*JOB, "prefix~", ROW).agg(*picked)) if picked else rows
+
+
+def dataset_columns(catalog: DataFrame) -> dict[str, dict[str, str]]:
+    """Prefix -> column -> type, in order, over all files; sized by the schema, not by the data.
+
+    A column that is whole in one file and not in another is a number; otherwise different types become
+    text.
+    """
     compound = F.col("kind") == "compound"
     wide = F.transform(
         F.sequence(F.lit(0).cast("bigint"), row_width(F.col("shape")) - 1),
@@ -85,26 +148,37 @@ def dataset_columns(catalog: DataFrame) -> dict[str, list[str]]:
         .when(F.size("shape") <= 1, F.array(F.lit("value")))
         .otherwise(wide)
     )
+    field = F.when(F.col("kind") == "compound", F.col("column")).otherwise("")
+    own = F.filter("types", lambda t: t["field"] == F.col("field"))
     listed = (
-        catalog.select("prefix", "dataset_ord", F.posexplode(names).alias("at", "column"))
+        catalog.select("prefix", "dataset_ord", "kind", "types", F.posexplode(names).alias("at", "column"))
+        .withColumn("field", field)
+        .withColumn("type", F.coalesce(F.try_element_at(own, F.lit(1))["type"], F.lit("num")))
         .groupBy("prefix", "column")
-        .agg(F.min("dataset_ord").alias("ord"), F.min("at").alias("at"))
+        .agg(F.min("dataset_ord").alias("ord"), F.min("at").alias("at"), F.collect_set("type").alias("types"))
         .orderBy("ord", "prefix", "at", "column")
     )
-    columns: dict[str, list[str]] = {}
+    columns: dict[str, dict[str, str]] = {}
     for r in listed.collect():
-        columns.setdefault(r["prefix"], []).append(r["column"])
+        found = set(r["types"])
+        kind = found.pop() if len(found) == 1 else "num" if found == {"num", "int"} else "text"
+        columns.setdefault(r["prefix"], {})[r["column"]] = kind
     return columns
 
 
-def frames_from_raw(raw: DataFrame, columns: dict[str, list[str]] | None = None) -> Frames:
+def frames_from_raw(raw: DataFrame, columns: dict[str, dict[str, str]] | None = None) -> Frames:
     """Landed datasets as stacked frames; rows without `ElapsedTime` count as their own time."""
     if columns is None:
         columns = dataset_columns(dataset_catalog(raw))
     named = raw.withColumns({"prefix~": dataset_prefix(F.col("path_parts")), "group_name": _group()})
     every = list(dict.fromkeys(c for names in columns.values() for c in names))
-    empty = F.array().cast("array<double>")
-    zipped = F.arrays_zip(*[F.coalesce(F.col("fields")[c], empty).alias(c) for c in every])
+    landed = {t: (values, fields, sql) for t, (values, fields, sql) in TYPES.items() if values in raw.columns}
+
+    def values_of(t: str, c: str) -> Column:
+        _, fields, sql = landed[t]
+        return F.coalesce(F.col(fields)[c], F.array().cast(f"array<{sql}>")).alias(f"{t}~{c}")
+
+    zipped = F.arrays_zip(*[values_of(t, c) for t in landed for c in every])
     compound = named.where(F.col("kind") == "compound").select(
         *JOB,
         "`prefix~`",
@@ -112,28 +186,30 @@ def frames_from_raw(raw: DataFrame, columns: dict[str, list[str]] | None = None)
         F.array_contains("field_names", F.lit(TIME)).alias("timed~"),
         F.posexplode(zipped).alias("pos", "row~"),
     )
-    from_records = compound.select(
+    rows = compound.select(
         *JOB,
         "`prefix~`",
         "`timed~`",
         (F.col("chunk_offset") + F.col("pos")).alias(ROW),
-        *[F.col("`row~`")[c].alias(c) for c in every],
+        *[F.col("`row~`")[f"{t}~{c}"].alias(f"{t}~{c}") for t in landed for c in every],
     )
-    cells = normalize_ndarray(raw).withColumns(
-        {"prefix~": dataset_prefix(F.col("path_parts")), "group_name": _group()}
-    )
-    picked = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in every]
-    from_arrays = cells.groupBy(*JOB, "prefix~", ROW).agg(*picked).withColumn("timed~", F.lit(False))
-    rows = from_records.unionByName(from_arrays)
-
-    time = F.when(F.col("`timed~`"), F.col(TIME)) if TIME in every else F.lit(None).cast("double")
+    cells = [c for c in every if c == "value" or c.removeprefix("col_").isdigit()]
+    for t in landed:
+        arrays = _array_rows(named, t, cells).withColumn("timed~", F.lit(False))
+        rows = rows.unionByName(arrays, allowMissingColumns=True)
+
+    def column(c: str, kind: str) -> Column:
+        if kind in ("int", "flag"):
+            return F.col(f"`{kind}~{c}`")
+        sources = [t for t in landed if kind == "text" or t in ("num", "int")]
+        return F.coalesce(*[F.col(f"`{t}~{c}`").cast(TYPES[kind][2]) for t in sources])
+
+    time = column(TIME, "num") if TIME in every else F.lit(None).cast("double")
     row_time = F.when(F.col("`timed~`"), time).otherwise(F.col(ROW).cast("double"))
+    kept = {p: {c: kind for c, kind in names.items() if c != TIME} for p, names in columns.items()}
+    kept = {p: names for p, names in kept.items() if names}
     structs = [
-        F.when(
-            F.col("`prefix~`") == prefix, F.struct(*[F.col(f"`{c}`") for c in names if c != TIME])
-        ).alias(prefix)
-        for prefix, names in columns.items()
-        if any(c != TIME for c in names)
+        F.when(F.col("`prefix~`") == p, F.struct(*[column(c, kind).alias(c) for c, kind in names.items()])).alias(p)
+        for p, names in kept.items()
     ]
-    kept = tuple(p for p, names in columns.items() if any(c != TIME for c in names))
-    return Frames(rows.select(*JOB, row_time.alias(TIME), ROW, *structs), kept)
+    return Frames(rows.select(*JOB, row_time.alias(TIME), ROW, *structs), tuple(kept))

@@ -9,6 +9,7 @@ from jouleloom.functions import fixed2
 from jouleloom.keys import JOB, TIME
 from jouleloom.operators.align import align, fill
 from jouleloom.operators.clean import clean_cast
+from jouleloom.operators.columns import add_task_derivatives
 from jouleloom.operators.energy import has_energy_data, job_metrics, job_summary
 from jouleloom.operators.frames import job_facts, quarantined_files, stack, surviving_frames
 from jouleloom.plans.jobs import job_profile, job_table
@@ -203,3 +204,9 @@ def test_rows_multiply_by_counts(spark):
 def test_text_of_summary_numbers(spark):
     assert spark.range(1).select(fixed2(F.lit(0.125))).first()[0] == "0.12"
     assert rows_of(spark.range(1)) == [(0,)]
+
+
+def test_text_in_a_ruled_column_is_no_error(spark):
+    df = spark.createDataFrame([("x",), ("7.9",), (None,)], "`A__RSS` string")
+    cleaned = clean_cast(add_task_derivatives(df)).collect()
+    assert sorted((r["A__RSS"], round(r["A__RSS_MB"], 4)) for r in cleaned if r["A__RSS"] is not None) == [(7, 0.0077)]

@@ -8,7 +8,7 @@ from jouleloom.operators.describe import describe_columns
 from jouleloom.plans.jobs import job_profile, job_report, job_table
 from jouleloom.sinks.reports import write_report
 from jouleloom.sinks.tables import register_jobs, write_job_jdbc, write_jobs
-from jouleloom.sources.datasets import RAW_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray
+from jouleloom.sources.datasets import RAW_SCHEMA, TYPED_SCHEMA, dataset_catalog, dataset_columns, frames_from_raw, normalize_ndarray
 from jouleloom.sources.files import (
     SIGNATURE,
     discover_files,
@@ -105,6 +105,30 @@ def test_landed_datasets_to_profile(spark):
     ]
 
 
+def test_landed_types_and_chunk_borders(spark):
+    big = 2**60 + 1
+    base = {"file_label": "f", "field_names": [], "chunk_offset": 0, "shape": [1]}
+    rows = [
+        {**base, "path_parts": ["g", "text"], "kind": "ndarray", "shape": [2], "text_values": ["a", None]},
+        {**base, "path_parts": ["g", "int"], "kind": "ndarray", "shape": [3, 2], "int_values": [big, 1, 2]},
+        {**base, "path_parts": ["g", "int"], "kind": "ndarray", "shape": [3, 2], "chunk_offset": 3, "int_values": [3, 4, big]},
+        {**base, "path_parts": ["g", "whole"], "kind": "ndarray", "shape": [3, 2], "flag_values": [True, False]},
+        {**base, "path_parts": ["g", "whole"], "kind": "ndarray", "shape": [3, 2], "chunk_offset": 2, "flag_values": [None, True, True, True]},
+        {**base, "path_parts": ["g", "rec"], "kind": "compound", "field_names": ["ElapsedTime", "name", "n"], "int_fields": {"ElapsedTime": [5, 6], "n": [big, None]}, "text_fields": {"name": ["x", "y"]}},
+        {**base, "file_label": "h", "path_parts": ["g", "rec"], "kind": "compound", "field_names": ["ElapsedTime", "n"], "fields": {"ElapsedTime": [7.0], "n": [0.5]}},
+    ]
+    names = [f.split()[0] for f in TYPED_SCHEMA.split(", ")]
+    df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], TYPED_SCHEMA)
+    columns = dataset_columns(dataset_catalog(df))
+    assert columns["rec"] == {"ElapsedTime": "num", "name": "text", "n": "num"} and columns["int"] == {"col_0": "int", "col_1": "int"}
+    frames = frames_from_raw(df).df
+    get = lambda p, *c: table(frames.where(f"{p} is not null").select("file_label", "ElapsedTime", f"{p}.*"), *c, order=["file_label", "ElapsedTime"])
+    assert get("text", "ElapsedTime", "value") == [(0.0, "a"), (1.0, None)]
+    assert get("int", "col_0", "col_1") == [(big, 1), (2, 3), (4, big)]
+    assert get("whole", "col_0", "col_1") == [(True, False), (None, True), (True, True)]
+    assert get("rec", "ElapsedTime", "name", "n") == [(5.0, "x", float(big)), (6.0, "y", None), (7.0, None, 0.5)]
+
+
 DOCUMENT = """{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"u/x.h5"}}},
  {"s3":{"bucket":{"name":"b"},"object":{"key":"u/y.csv"}}},{"s3":{"bucket":{}}}]}"""
 
@@ -187,6 +211,16 @@ def test_describe(spark):
     assert [row[c] for c in ("min", "q25", "q50", "q75", "max")] == [1.0, 2.0, 3.0, 3.0, 4.0]
 
 
+def test_describe_of_text_and_flags(spark):
+    df = spark.createDataFrame([(1, "b", True, 2.0), (1, None, False, None), (2, None, None, 1.0)], "k int, s string, f boolean, v double")
+    rows = {(r["k"], r["metric"]): r for r in describe_columns(df, ["k"]).collect()}
+    text = lambda k, m: tuple(rows[k, m][c] for c in ("count", "null_count", "min_text", "max_text", "min", "mean"))
+    assert text(1, "s") == (1, 1, "b", "b", None, None) and text(2, "s") == (0, 1, None, None, None, None)
+    assert text(1, "f") == (2, 0, "false", "true", None, None) and text(2, "f") == (0, 1, None, None, None, None)
+    assert (rows[1, "v"]["count"], rows[1, "v"]["min"], rows[1, "v"]["min_text"]) == (1, 2.0, None)
+    assert describe_columns(df.select("s")).first()["max_text"] == "b"
+
+
 def test_describe_of_many_values_brackets_exact_ranks(spark):
     df = spark.range(0, 60_001, 1, 4).select(
         (F.pmod(F.col("id") * 7919, F.lit(60_001)).cast("double")).alias("a"),

@@ -260,6 +260,17 @@ _wide = " union all ".join(
     [f"select {JOB}, 'ElapsedTime' metric, t::double x from al"]
     + [f"select {JOB}, '{name}', c{c} from al" for name, c in ALL]
 )
+_text = " union all ".join(
+    f"select c_nationkey, '{name}' metric, count({x}) \"count\", count(*)-count({x}) null_count, "
+    + ", ".join(f'null::double "{s}"' for s in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    + f", min({x})::varchar min_text, max({x})::varchar max_text from customer group by c_nationkey"
+    for name, x in (("c_name", "c_name"), ("c_mktsegment", "c_mktsegment"), ("in_debt", "(c_acctbal<0)"))
+)
+ORACLES["describe_customers"] = (
+    "with va as (select c_nationkey, 'c_acctbal' metric, c_acctbal::double x from customer), num as (with "
+    + described("va", "c_nationkey", 4)
+    + f") select *, null::varchar min_text, null::varchar max_text from num union all {_text}"
+)
 ORACLES["describe_jobs"] = f"{aligned()}, va as ({_wide}), " + described("va", "file_label, group_name", 4)
 
 
@@ -404,6 +415,11 @@ ORACLES["array_rows"] = """with u as (select vec_id, label, unnest(embedding)::d
   generate_subscripts(embedding,1)-1 pos from embeddings)
 select vec_id::varchar file_label, case when label%2=0 then pos//8 else pos end row_idx,
   case when label%2=0 then 'col_'||(pos%8) else 'value' end "column", qz(x,6) "value" from u"""
+ORACLES["landed_frames"] = f"""with {_paths}
+select host file_label, 'g' group_name, page_id::bigint "ElapsedTime", page_id::bigint row_idx, url, length(html)::bigint chars,
+  starts_with(url,'https') secure, null::bigint col_0, null::bigint col_1 from pa
+union all select 'v'||vec_id, 'g', 0, 0, null, null, null, label::bigint, label::bigint+9007199254740993 from embeddings
+union all select 'v'||vec_id, 'g', 1, 1, null, null, null, label::bigint*2, label::bigint-1 from embeddings"""
 ORACLES["table_names"] = f"""with {_paths}
 select page_id, 'job_'||replace(array_to_string(below,'/'),'/','_') table_name from pa"""
 

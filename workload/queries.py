@@ -50,7 +50,7 @@ from jouleloom.operators.prices import (
 from jouleloom.plans.jobs import job_report, job_table
 from jouleloom.plans.segments import dataset_positions, numbered, prepare
 from jouleloom.session import shared_folder, tune, written
-from jouleloom.sources.datasets import dataset_catalog, normalize_ndarray
+from jouleloom.sources.datasets import TYPED_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray
 from jouleloom.sources.files import (
     discover_union,
     drop_batch_files,
@@ -308,6 +308,15 @@ def describe_table(spark, sf):
     return rounded_statistics(describe_columns(table(spark, sf, "lineitem"), columns=columns), 6)
 
 
+@query
+def describe_customers(spark, sf):
+    """Text, flags and numbers of the same table."""
+    customers = table(spark, sf, "customer")
+    columns = ["c_name", "c_mktsegment", "c_acctbal"]
+    rows = customers.select("c_nationkey", *columns, (F.col("c_acctbal") < 0).alias("in_debt"))
+    return rounded_statistics(describe_columns(rows, ["c_nationkey"]), 4)
+
+
 @query
 def describe_jobs(spark, sf):
     # Described in two passes, so aligned only once.
@@ -435,6 +444,37 @@ def array_rows(spark, sf):
     return rounded(normalize_ndarray(raw).drop("path_parts"), 6)
 
 
+@query
+def landed_frames(spark, sf):
+    """Pages as records of text, whole numbers and flags, embeddings' labels as arrays: through one landing."""
+    pages = _paths(spark, sf).select(
+        F.col("host").alias("file_label"),
+        F.array(F.lit("g"), F.lit("meta")).alias("path_parts"),
+        F.lit("compound").alias("kind"),
+        F.array(*map(F.lit, (TIME, "url", "chars", "secure"))).alias("field_names"),
+        F.array(F.lit(1)).cast("array<bigint>").alias("shape"),
+        F.col("page_id").cast("bigint").alias("chunk_offset"),
+        F.create_map(F.lit(TIME), F.array(F.col("page_id").cast("bigint")), F.lit("chars"), F.array(F.length("html").cast("bigint"))).alias("int_fields"),
+        F.create_map(F.lit("url"), F.array("url")).alias("text_fields"),
+        F.create_map(F.lit("secure"), F.array(F.col("url").startswith("https"))).alias("flag_fields"),
+    )
+    label = F.col("label").cast("bigint")
+    vectors = table(spark, sf, "embeddings").select(
+        F.concat(F.lit("v"), F.col("vec_id")).alias("file_label"),
+        F.array(F.lit("g"), F.lit("label")).alias("path_parts"),
+        F.lit("ndarray").alias("kind"),
+        F.array().cast("array<string>").alias("field_names"),
+        F.array(F.lit(2), F.lit(2)).cast("array<bigint>").alias("shape"),
+        F.lit(0).cast("bigint").alias("chunk_offset"),
+        F.array(label, label + 2**53 + 1, label * 2, label - 1).alias("int_values"),
+    )
+    none = spark.createDataFrame([], TYPED_SCHEMA)
+    raw = none.unionByName(pages, allowMissingColumns=True).unionByName(vectors, allowMissingColumns=True)
+    return frames_from_raw(raw).df.select(
+        *JOB, F.col(TIME).cast("bigint").alias(TIME), ROW, "meta.url", "meta.chars", "meta.secure", "label.col_0", "label.col_1"
+    )
+
+
 @query
 def table_names(spark, sf):
     return _paths(spark, sf).select("page_id", table_name(F.array_join("below", "/")).alias("table_name"))
