@@ -27,7 +27,10 @@ ORDER = 5
 #: ORDER * 2 * 2^SLOT_BITS entries of eight bytes, however large the corpus is.
 SLOT_BITS = 23
 #: n-grams that a task collects before it hands on what it has.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
+#: Bytes of text whose n-grams are in memory at once, but for a longer text; and n-grams looked up at once.
+GROUP = 1 << 19
+LOOKUP = 1 << 17
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
@@ -105,12 +108,21 @@ def tally(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray
 
 
 def by_language(langs: pd.Series, texts: pd.Series) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
-    """(language, rows, their texts) of a batch; texts of no byte are left out."""
-    raw = [(t or "").encode() for t in texts]
-    for lang, rows in langs.fillna("").groupby(langs.fillna("")).indices.items():
-        rows = np.array([r for r in rows if raw[r]], np.int64)
-        if len(rows):
-            yield lang, rows, [raw[r] for r in rows]
+    """(language, rows, their texts) of a batch, in groups of about GROUP bytes; texts of no byte are left out."""
+    waiting: dict[str, tuple[list[int], list[bytes], int]] = {}
+    for row, (lang, text) in enumerate(zip(langs, texts, strict=True)):
+        if not text:
+            continue
+        lang = lang or ""
+        rows, raw, size = waiting.get(lang, ([], [], 0))
+        rows.append(row)
+        raw.append(text.encode())
+        waiting[lang] = rows, raw, size + len(raw[-1])
+        if waiting[lang][2] >= GROUP:
+            yield lang, np.array(rows), raw
+            del waiting[lang]
+    for lang, (rows, raw, _) in waiting.items():
+        yield lang, np.array(rows), raw
 
 
 def gram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
@@ -239,6 +251,10 @@ class Model:
         self.arrays = [HashArray(*e) for e in entries]
 
     def log_probability(self, packed: np.ndarray, seed: int) -> np.ndarray:
+        parts = [self._log_probability(packed[i : i + LOOKUP], seed) for i in range(0, len(packed), LOOKUP)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.float32)
+
+    def _log_probability(self, packed: np.ndarray, seed: int) -> np.ndarray:
         """Of the last byte of each n-gram given the bytes before it: the longest n-gram known, and the
         weights of the contexts that were too long."""
         out = np.zeros(len(packed), np.float32)

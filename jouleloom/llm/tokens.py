@@ -54,13 +54,16 @@ class Tokens:
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda texts: model.encode(texts, num_threads=1)
+            self.count = lambda texts: list(map(len, self.encode(texts)))
             return
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.encode = lambda texts: [e.ids for e in encode(texts)]
+        self.count = lambda texts: list(map(len, encode(texts)))  # ids never become Python objects
         with open(path, encoding="utf-8") as f:
             self.said = json.load(f)
         first, added = self.said["pre_tokenizer"] or {}, self.said["added_tokens"]
@@ -75,33 +78,37 @@ class Tokens:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in added)
         )
 
-    def of(self, texts: list[str | None]) -> Iterator[list[list[int]]]:
-        """For every text the ids of its parts; null and empty texts have none."""
+    def lengths(self, texts: list[str | None]) -> list[int]:
+        return [sum(parts) for parts in self.of(texts, self.count)]
+
+    def of(self, texts: list[str | None], what: Callable[[list[str]], list] | None = None) -> Iterator[list]:
+        """For every text the ids of its parts, or `what` is made of them; null and empty texts have none."""
+        what = what or self.encode
         waiting: list[list[str]] = []
         size = 0
         for text in texts:
             waiting.append([] if not text else parts_of(text) if self.byte_level else [text])
             size += len(text or "")
             if size >= BATCH:
-                yield from self.batch(waiting)
+                yield from self.batch(waiting, what)
                 waiting, size = [], 0
-        yield from self.batch(waiting)
+        yield from self.batch(waiting, what)
 
-    def batch(self, texts: list[list[str]]) -> Iterator[list[list[int]]]:
+    def batch(self, texts: list[list[str]], what: Callable[[list[str]], list]) -> Iterator[list]:
         """The parts of some texts, encoded together in runs of at most about BATCH characters."""
         parts = [p for t in texts for p in t]
-        ids: list[list[int]] = []
+        made: list = []
         start = 0
         while start < len(parts):
             end, size = start, 0
             while end < len(parts) and (size == 0 or size + len(parts[end]) <= BATCH):
                 size += len(parts[end])
                 end += 1
-            ids += self.encode(parts[start:end])
+            made += what(parts[start:end])
             start = end
         at = 0
         for t in texts:
-            yield ids[at : at + len(t)]
+            yield made[at : at + len(t)]
             at += len(t)
 
 
@@ -168,7 +175,7 @@ def token_length(path: str) -> Callable[[Column], Column]:
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = Tokens(path)
         for texts in batches:
-            yield pd.Series([sum(map(len, parts)) for parts in tokens.of(texts.tolist())], dtype="int64")
+            yield pd.Series(tokens.lengths(texts.tolist()), dtype="int64")
 
     return lengths.asNondeterministic()
 
