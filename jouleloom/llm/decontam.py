@@ -25,6 +25,9 @@ from jouleloom.session import written
 SIZE = 4
 SPAN = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: The lowest threshold that can be asked for, and how far passages reach for it, in longest items.
+LEAST = 0.3
+REACH = 3
 #: Characters of benchmark text that are searched in one scan; a larger benchmark takes several.
 BLOCK_CHARS = 32_000_000
 #: Cells in a row of the alignment tables of one batch of pairs.
@@ -98,10 +101,10 @@ def passages(text: str, numbers: dict[str, int], keys: np.ndarray, reach: int) -
 def scan(docs: DataFrame, items: Items) -> DataFrame:
     """(one, two, id, start, words, grams): the passages of `docs` (one, two, id, text).
 
-    Twice the longest item on either side of a hit has room for all that an alignment can skip and still
-    score half of it.
+    REACH times the longest item on either side of a hit has room for all that an alignment can skip and
+    still score LEAST: with matches for 2 and gaps for 1 it spans less than 2 - LEAST + 1 items.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((items.numbers, items.keys, 2 * items.longest))
+    shared = docs.sparkSession.sparkContext.broadcast((items.numbers, items.keys, REACH * items.longest))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers, keys, reach = shared.value
@@ -210,12 +213,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float, item: str =
     """(one, two, id, item, n_words, score, start, stop) of documents and items that align well.
 
     `docs` has the keys one and two, id (as a string) and text. The score is that of the best local
-    alignment as a part of an item copied whole; at `threshold` or more, half at least, it counts. Items of
+    alignment as a part of an item copied whole; at `threshold` or more, LEAST at least, it counts. Items of
     fewer than SIZE words are not searched for, and neither null items nor null texts match anything. Copies
     of an item (id and text) are one item.
     """
-    if threshold < 0.5:
-        raise ValueError("passages are kept for scores of one half or more")
+    if threshold < LEAST:
+        raise ValueError(f"passages are kept for scores of {LEAST} or more")
     spark = docs.sparkSession
     small_batches(spark)
     known = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), F.col(item_text).alias("text")).distinct()
@@ -243,7 +246,7 @@ def keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
     return df.select(*names, F.col(f"`{id_column}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
 
 
-def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id_column: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = 0.4, id_column: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item, n_words, score, start, stop): documents that hold a benchmark item, and where (words, from 0).
 
     See `matches`. Rows that agree in id and text come out once per item. Other columns are not read. Empty
@@ -253,7 +256,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id_column
     return found.withColumn("id", F.col("id").cast(df.schema[id_column].dataType)).drop("one", "two")
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def decontaminate(df: DataFrame, benchmark: DataFrame, threshold: float = 0.4, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `df`, all columns as they are, that hold no benchmark item; see `matches`."""
     one, two = OWN + "one", OWN + "two"
     found = matches(keyed(df, id_column, text), benchmark, threshold).select(F.col("one").alias(one), F.col("two").alias(two)).distinct()

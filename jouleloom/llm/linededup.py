@@ -136,7 +136,7 @@ def later_runs(docs: DataFrame, min_chars: int, text: str = "text") -> DataFrame
     kept = written(kept.select(*POSITION, "h1", "h2", "chars"), "lines-placed")
     levels = suffix_levels(kept)
     if not levels:
-        return docs.sparkSession.createDataFrame([], "one bigint, two bigint, runs array<struct<start:bigint,stop:bigint>>")
+        return docs.sparkSession.range(0).selectExpr("id AS one", "id AS two", "CAST(array() AS array<struct<start:bigint,stop:bigint>>) AS runs")
     # All lines of a run repeat, so sums over the repeated lines of a document give its characters.
     so_far = F.sum("chars").over(Window.partitionBy("doc").orderBy("line"))
     sums = kept.select(*POSITION, (so_far - F.col("chars")).alias("before"), so_far.alias("until"))

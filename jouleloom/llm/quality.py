@@ -188,7 +188,7 @@ def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         by_order[k] = written(by_order[k + 1].groupBy("lang", suffix(k + 1).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "ngram-counts")
     out: list[tuple[DataFrame, DataFrame]] = []
     for k in range(1, ORDER + 1):
-        seen = by_order[k].withColumn("context", context()).join(F.broadcast(discounts(by_order[k])), "lang")  # a row per language
+        seen = by_order[k].withColumn("context", context()).join(written(discounts(by_order[k]), "ngram-discounts"), "lang")
         taken = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         seen = seen.withColumn("taken", taken)
         back = seen.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("taken") / F.sum("n")).alias("back"))

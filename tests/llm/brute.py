@@ -165,7 +165,7 @@ def smith_waterman(a, b, match=2, mismatch=-1, gap=-1):
     return best
 
 
-def leaks(docs, items, threshold=0.5):
+def leaks(docs, items, threshold=0.4):
     """{(doc_id, item_id): score} by aligning every document with every item."""
     out = {}
     for d, text in docs:
