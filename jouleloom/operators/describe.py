@@ -3,7 +3,7 @@
 Quartiles are exact elements at rank round(q * (n - 1)), half away from zero. One mergeable sketch
 per column first brackets each quartile; then only values inside a bracket are ranked, after equal
 ones have been counted together, and every bracket is a task of its own. So nothing is sorted as a
-whole, not even for one huge key. A bracket that missed its rank would raise an error.
+whole, not even for one huge key. If a bracket ever missed its rank, all are made wider and ranked again.
 """
 
 from __future__ import annotations
@@ -53,9 +53,15 @@ def _described_numbers(rows: DataFrame, group: list[str], columns: list[str]) ->
     rows = rows.select(
         *[F.col(f"`{k}`") for k in group], *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]
     )
-    # Written once, used twice below; its size decides whether the second pass broadcasts it.
-    stats = written(_stats(rows, group, columns), "column-stats")
-    ranked = _quartiles(rows, stats, group, columns)
+    margin = MARGIN
+    while True:
+        # Written once, used twice below; its size decides whether the second pass broadcasts it.
+        stats = written(_stats(rows, group, columns, margin), "column-stats")
+        ranked = written(_quartiles(rows, stats, group, columns), "column-quartiles")
+        if ranked.where("missed").isEmpty():
+            break
+        margin *= 8
+    ranked = ranked.drop("missed")
     narrow = stats.select(*group, F.inline(F.array(*[_stat_row(c) for c in columns])))
     result = narrow.join(ranked, [*group, "metric"], "left")
     return result.select(*group, "metric", "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -74,8 +80,8 @@ def _described_texts(rows: DataFrame, group: list[str], columns: list[str]) -> D
     return per_key.select(*group, F.inline(F.array(*[F.col(f"`text~{c}`") for c in columns])))
 
 
-def _stats(rows: DataFrame, group: list[str], columns: Sequence[str]) -> DataFrame:
-    probes = [p for _, q in QUARTILES for p in (q - MARGIN, q + MARGIN)]
+def _stats(rows: DataFrame, group: list[str], columns: Sequence[str], margin: float) -> DataFrame:
+    probes = [p for _, q in QUARTILES for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
     aggs = []
     for c in columns:
         v = F.col(f"`{c}`")
@@ -120,15 +126,14 @@ def _quartiles(rows: DataFrame, stats: DataFrame, group: list[str], columns: Seq
     )
     order = Order((*group, "metric"), ("v", "outside"), ("zone",))
     placed = scan(counted, order, sums={"upto": "rows"})
-    picks = []
+    picks, missed = [], F.lit(False)
     for name, q in QUARTILES:
         # floor(x + 0.5) rounds half away from zero, as ranks are not negative
         rank = F.floor(F.lit(q) * (F.col("n") - 1) + 0.5)
         here = (F.col("upto") > rank) & (F.col("upto") - F.col("rows") <= rank)
-        value = F.when(
-            F.col("outside"), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-        ).otherwise(F.col("v"))
-        picks.append(F.max(F.when(here, value)).alias(name))
+        picks.append(F.max(F.when(here, F.col("v"))).alias(name))
+        missed = missed | (here & F.col("outside"))
+    picks.append(F.coalesce(F.max(missed), F.lit(False)).alias("missed"))
     return placed.groupBy(*group, "metric").agg(*picks)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jouleloom.functions.text import file_stem, normalize_prefix
+from jouleloom.session import written
 
 SUFFIX = ".h5"
 # Fixed value: the first eight bytes of a container.
@@ -103,3 +104,13 @@ def _reason(path: str) -> str | None:
 def readable_files(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable files, quarantine with reason)."""
     return checked.where("reason is null").drop("reason"), checked.where("reason is not null")
+
+
+def files_to_process(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(one readable file per label, quarantine with reason) of discovered files.
+
+    Of several files with one label the last one in discovery order that can be read is taken.
+    """
+    checked = written(validate_containers(found), "checked-files")
+    readable, quarantine = readable_files(checked)
+    return latest_per_label(readable), quarantine

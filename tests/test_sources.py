@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jouleloom.keys import TIME
+from jouleloom.operators import describe
 from jouleloom.operators.describe import describe_columns
 from jouleloom.plans.jobs import job_profile, job_report, job_table
 from jouleloom.sinks.reports import write_report
@@ -13,6 +14,7 @@ from jouleloom.sources.files import (
     SIGNATURE,
     discover_files,
     discover_union,
+    files_to_process,
     latest_per_label,
     object_inventory,
     readable_files,
@@ -236,6 +238,25 @@ def test_describe_of_many_values_brackets_exact_ranks(spark):
     assert rows["c"]["max"] == -1.0
 
 
+def test_brackets_that_miss_are_made_wider(spark, monkeypatch):
+    monkeypatch.setattr(describe, "ACCURACY", 10)
+    monkeypatch.setattr(describe, "SMALL", 10)
+    df = spark.range(0, 5001, 1, 4).select(F.pmod(F.col("id") * 7919, F.lit(5001)).cast("double").alias("a"))
+    row = describe_columns(df).first()
+    assert [row[c] for c in ("q25", "q50", "q75")] == [1250.0, 2500.0, 3750.0]
+
+
+def test_only_usable_files_win_their_label(spark, tmp_path):
+    good, bad = bytes.fromhex("894844460D0A1A0A"), b"text"
+    for name, content in (("a/x.h5", good), ("b/x.h5", bad), ("a/y.h5", bad), ("b/z.h5", good)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    found = spark.createDataFrame([(n.split("/")[1][0], f"{tmp_path}/{n}", 0 if n[0] == "a" else 1) for n in ("a/x.h5", "b/x.h5", "a/y.h5", "b/z.h5", "b/gone.h5")], "file_label string, path string, src_ord int")
+    files, quarantine = files_to_process(found)
+    assert table(files, "file_label", order=["file_label"]) == [("x",), ("z",)]
+    assert sorted(r for (r,) in table(quarantine, "reason")) == ["missing", "not_hdf5", "not_hdf5"]
+
+
 def test_stream_builds_notified_jobs(spark, tmp_path):
     events, out = tmp_path / "events", tmp_path / "out"
     events.mkdir()
