@@ -14,18 +14,23 @@ from jouleloom.keys import JOB, TIME
 from jouleloom.session import shared_folder
 
 
-def write_jobs(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_jobs(df: DataFrame, path: str, fmt: str = "parquet", buckets: int = 0) -> None:
     """Replace the written files' partitions and leave all others alone.
 
-    Rows arrive clustered by job. Within a task they are sorted by file and time, so every task
+    A file has a folder of its own. For millions of files `buckets` puts folders of a hash of the label
+    above them, so that no folder has to list them all; it must stay the same for a table. Rows arrive clustered by job. Within a task they are sorted by file and time, so every task
     has one open file at a time however many jobs it holds. A second write of the same jobs gives
     the same table.
     """
+    folders = ["file_label"]
+    if buckets:
+        df = df.withColumn("label_bucket", F.pmod(F.xxhash64("file_label"), F.lit(buckets)))
+        folders = ["label_bucket", "file_label"]
     (
-        df.sortWithinPartitions(*JOB, TIME)
+        df.sortWithinPartitions(*folders, *JOB, TIME)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("file_label")
+        .partitionBy(*folders)
         .format(fmt)
         .save(path)
     )

@@ -164,12 +164,13 @@ def energy(spark, label, power):
     return frame(spark, "ElapsedTime double, NodePower double, EpochTime bigint", rows, label)
 
 
-def test_tables_are_replaced_per_file(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_tables_are_replaced_per_file(spark, tmp_path, buckets):
     path = str(tmp_path / "jobs")
     both = energy(spark, "1_a", 5.0).unionByName(energy(spark, "2_b", 6.0))
-    write_jobs(job_table(stack({"Energy": both})), path)
+    write_jobs(job_table(stack({"Energy": both})), path, buckets=buckets)
     for _ in range(2):
-        write_jobs(job_table(stack({"Energy": energy(spark, "1_a", 9.0)})), path)
+        write_jobs(job_table(stack({"Energy": energy(spark, "1_a", 9.0)})), path, buckets=buckets)
     found = register_jobs(spark.read.parquet(path), "jobs").groupBy("file_label").agg(F.max("NodePower"), F.count("*"))
     assert rows_of(found) == [(2, "1_a", 9.0), (2, "2_b", 6.0)]
 
