@@ -23,8 +23,11 @@ APPLIANCES: tuple[tuple[str, int], ...] = (
     ("a laptop", 60),
     ("a dishwasher", 1000),
 )
-TOO_SMALL = "Energy use too small to compare with everyday appliances."
 
+# The sentences. %s stand for the appliance, the amount and the unit.
+SENTENCE = "That's about the same energy as using %s for %s %s."
+TOO_SMALL = "Energy use too small to compare with everyday appliances."
+NOTHING = "negligible usage"
 
 APPLIANCE_COLUMNS = ["appliance_name", "appliance_amount", "appliance_unit", "appliance_description"]
 
@@ -71,22 +74,15 @@ def with_appliance(
     name = F.get(F.array(*[F.lit(n) for n, _ in catalog]), "`pick~`")
     steps = steps.withColumns(
         {
-            "appliance_name": F.when(F.col("`some~`"), name).otherwise("negligible usage"),
+            "appliance_name": F.when(F.col("`some~`"), name).otherwise(NOTHING),
             "appliance_amount": F.when(F.col("`some~`"), amount).otherwise(0.0),
             "appliance_unit": F.when(F.col("`some~`") & (s >= 3600), "h")
             .when(F.col("`some~`") & (s >= 60), "m")
             .otherwise("s"),
         }
     )
-    sentence = F.concat(
-        F.lit("That's about the same energy as using "),
-        F.col("appliance_name"),
-        F.lit(" for "),
-        float_text(F.col("appliance_amount")),
-        F.lit(" "),
-        unit_name(F.col("appliance_unit")),
-        F.lit("."),
-    )
+    values = "appliance_name", float_text(F.col("appliance_amount")), unit_name(F.col("appliance_unit"))
+    sentence = F.format_string(SENTENCE, *values)
     described = F.when(F.col("`some~`"), sentence).otherwise(TOO_SMALL)
     helpers = [c for c in steps.columns if c not in df.columns and c not in APPLIANCE_COLUMNS]
     return steps.withColumn("appliance_description", described).drop(*helpers)

@@ -96,32 +96,44 @@ def job_metrics(profile: DataFrame) -> DataFrame:
     return with_appliance(figures, "energy_to_solution_j").select(*figures.columns, *APPLIANCE_COLUMNS)
 
 
+# The rows of the summary in order, as metric, unit and description. %s stands for the time
+# of the peak, or the appliance; the unit of the last row is that of its amount.
+SUMMARY_ROWS = (
+    ("Energy-to-solution", "J", "Total energy consumed by the job from start to finish."),
+    ("Time-to-solution", "s", "Elapsed time for the job."),
+    ("Average power", "W", "Mean power draw."),
+    ("Peak power", "W", "Peak power observed at t=%ss."),
+    ("Energy delay product", "J*s", "Energy-delay product."),
+    ("Appliance comparison", None, "Equivalent to running %s."),
+)
+
+
 def job_summary(metrics: DataFrame) -> DataFrame:
     """Six rows per job: Metric, Value, Unit, Description, all text."""
+    values = {
+        "Energy-to-solution": "energy_to_solution_j",
+        "Time-to-solution": "time_to_solution_s",
+        "Average power": "average_power_w",
+        "Peak power": "peak_power_w",
+        "Energy delay product": "energy_delay_product",
+        "Appliance comparison": "appliance_amount",
+    }
+    filled = {"Peak power": fixed2(F.col("peak_power_time_s")), "Appliance comparison": F.col("appliance_name")}
 
-    def row(name: str, value: Column, unit: Column | str, text: Column | str) -> Column:
-        as_column = [F.lit(x) if isinstance(x, str) else x for x in (unit, text)]
+    def row(metric: str, unit: str | None, text: str) -> Column:
         return F.struct(
-            F.lit(name).alias("Metric"),
-            fixed2(value).alias("Value"),
-            as_column[0].alias("Unit"),
-            as_column[1].alias("Description"),
+            F.lit(metric).alias("Metric"),
+            fixed2(F.col(values[metric])).alias("Value"),
+            (F.lit(unit) if unit else unit_name(F.col("appliance_unit"))).alias("Unit"),
+            (_with(text, filled[metric]) if metric in filled else F.lit(text)).alias("Description"),
         )
 
-    peak_text = F.concat(F.lit("Peak power observed at t="), fixed2(F.col("peak_power_time_s")), F.lit("s."))
-    like_text = F.concat(F.lit("Equivalent to running "), F.col("appliance_name"), F.lit("."))
-    rows = F.array(
-        row(
-            "Energy-to-solution",
-            F.col("energy_to_solution_j"),
-            "J",
-            "Total energy consumed by the job from start to finish.",
-        ),
-        row("Time-to-solution", F.col("time_to_solution_s"), "s", "Elapsed time for the job."),
-        row("Average power", F.col("average_power_w"), "W", "Mean power draw."),
-        row("Peak power", F.col("peak_power_w"), "W", peak_text),
-        row("Energy delay product", F.col("energy_delay_product"), "J*s", "Energy-delay product."),
-        row("Appliance comparison", F.col("appliance_amount"), unit_name(F.col("appliance_unit")), like_text),
-    )
+    rows = F.array(*[row(*fixed) for fixed in SUMMARY_ROWS])
     numbered = metrics.select(*JOB, F.posexplode(rows).alias("at", "row"))
     return numbered.select(*JOB, (F.col("at") + 1).alias("ord"), "row.*")
+
+
+def _with(text: str, value: Column) -> Column:
+    """`text` around a value; null if the value is null."""
+    before, after = text.split("%s")
+    return F.concat(F.lit(before), value, F.lit(after))
