@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -27,8 +28,16 @@ BATCH = 1 << 18
 
 #: Scripts whose letters, digits and spaces are the same in all versions of Unicode in use.
 PLAIN = re.compile("[\t-\r -~\xa1-ɏͰ-ӿ]*")
+PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+BOUNDARY = re.compile(r"(?<=[^ \t-\r])(?=[ \t-\r])")
+#: White space beyond ASCII, which may be one token with what follows.
+WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Pieces, and words, that a task remembers at most; a memo only saves work.
+MEMO = 400_000
+
 # Fixed value: the pattern of the byte-level tokenizer, which splits a text before merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD = regex.compile(PATTERN)
 
 
 def parts_of(text: str, size: int = PART) -> list[str]:
@@ -61,6 +70,7 @@ class Tokens:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        self.merge = tokenizer.model.tokenize
         encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         self.encode = lambda texts: [e.ids for e in encode(texts)]
         self.count = lambda texts: list(map(len, encode(texts)))  # ids never become Python objects
@@ -112,6 +122,68 @@ class Tokens:
             at += len(t)
 
 
+class Lengths:
+    """Token counts of texts by a byte-level tokenizer, its work shared among the texts of a task.
+
+    A piece is a run of ASCII white space and the run of other characters after it: where it begins is a
+    safe boundary, as no token reaches from a non-space character into the space that follows, and the
+    pattern looks at nothing to the left. Pieces repeat, so each is counted once: it is cut into words by
+    the tokenizer's pattern and the words are merged by the tokenizer's model. Pieces that hold a special
+    string or other than PLAIN characters are encoded whole, and texts with other white space go to `Tokens`,
+    as do all texts of other tokenizers.
+    """
+
+    def __init__(self, path: str):
+        self.tokens = Tokens(path)
+        self.letters = byte_letters()
+        self.pieces: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+
+    def of(self, texts: list[str | None]) -> list[int]:
+        if not self.tokens.byte_level:
+            return self.tokens.lengths(texts)
+        out = [0 if not t else None if WIDE.search(t) else self.text(t) for t in texts]
+        open_ = [i for i, n in enumerate(out) if n is None]
+        for i, n in zip(open_, self.tokens.lengths([texts[i] for i in open_]), strict=True):
+            out[i] = n
+        return out
+
+    def text(self, text: str) -> int:
+        """A text in blocks of about BATCH characters, cut between pieces."""
+        total, start = 0, 0
+        while start < len(text):
+            stop = BOUNDARY.search(text, start + BATCH) if len(text) - start > BATCH else None
+            end = stop.start() if stop else len(text)
+            total += self.block(PIECE.findall(text, start, end))
+            start = end
+        return total
+
+    def block(self, pieces: list[str]) -> int:
+        if len(self.pieces) > MEMO:
+            self.pieces.clear()
+        if len(self.words) > MEMO:
+            self.words.clear()
+        known = list(map(self.pieces.get, pieces))
+        for i in [i for i, n in enumerate(known) if n is None]:
+            known[i] = self.pieces.get(pieces[i]) or self.piece(pieces[i])
+        return sum(known)
+
+    def piece(self, piece: str) -> int:
+        if PLAIN.fullmatch(piece) and not any(x in piece for x in self.tokens.special):
+            found = sum(self.words.get(w) or self.word(w) for w in WORD.findall(piece))
+        else:
+            found = self.tokens.lengths([piece])[0]
+        self.pieces[piece] = found
+        return found
+
+    def word(self, word: str) -> int:
+        found = self.words[word] = len(self.merge_of(word))
+        return found
+
+    def merge_of(self, word: str) -> list:
+        return self.tokens.merge(word.encode().decode("latin-1").translate(self.letters))
+
+
 class PlainIds:
     """Ids of texts as little-endian unsigned 32 bits, the same as those of `Tokens`, sooner.
 
@@ -173,9 +245,9 @@ def token_length(path: str) -> Callable[[Column], Column]:
 
     @F.pandas_udf(LongType())
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = Tokens(path)
+        counter = Lengths(path)
         for texts in batches:
-            yield pd.Series(tokens.lengths(texts.tolist()), dtype="int64")
+            yield pd.Series(counter.of(texts.tolist()), dtype="int64")
 
     return lengths.asNondeterministic()
 

@@ -31,11 +31,20 @@ def test_parts_and_plain_ids_equal_the_library(library):
     texts = odd_texts()
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert [[i for p in parts for i in p] for parts in tokens.Tokens(vocabulary()).of(texts)] == want
+    counter = tokens.Lengths(vocabulary())
+    assert counter.of(texts) == counter.of(texts) == [len(ids) for ids in want]
     quick = tokens.PlainIds(vocabulary())
     assert quick.quick is not None
     assert [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in quick.of(texts)] == want
 
 
+def test_counts_do_not_depend_on_blocks_and_memo(library, monkeypatch):
+    monkeypatch.setattr(tokens, "BATCH", 50)
+    monkeypatch.setattr(tokens, "MEMO", 20)
+    texts = odd_texts()[:1500] + ["Many words, and\n\nlines  of them. " * 50]
+    assert tokens.Lengths(vocabulary()).of(texts) == [len(e) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_long_texts_are_cut_where_it_is_safe():
     text = "word and, word\n" * 10_000
     parts = tokens.parts_of(text, 1000)
@@ -53,7 +62,7 @@ def test_other_tokenizers(name):
         want = sentencepiece.SentencePieceProcessor(model_file=path).encode(text)
     else:
         want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
-    assert next(tokens.Tokens(path).of([text])) == [want]
+    assert next(tokens.Tokens(path).of([text])) == [want] and tokens.Lengths(path).of([None, text]) == [0, len(want)]
     assert tokens.PlainIds(path).of([text, None]) == [struct.pack(f"<{len(want)}I", *want), b""]
 
 
