@@ -2,8 +2,8 @@
 
 The model is over UTF-8 bytes, so it knows every script and needs no vocabulary. Byte n-grams of all
 documents are counted by Spark, a modified Kneser-Ney model of them is estimated with joins and
-aggregations, and its probabilities are laid out in arrays sorted by the hash of language and n-gram. Each
-document is scored by the model of its own language and rejected if its perplexity per word lies outside a
+aggregations, and its probabilities are laid out in arrays by the hash of language and n-gram, which are
+sent to all workers; a model too large for that is looked up by joins. Each document is scored by the model of its own language and rejected if its perplexity per word lies outside a
 band of that language, which is taken from the median and the spread of all documents that pass the other
 rules. The mean over a document's words spreads with one over the root of their number; so does the band.
 """
@@ -23,9 +23,13 @@ from jouleloom.session import written
 
 #: Bytes in the longest n-gram; eight at most, as an n-gram is kept in a long.
 ORDER = 5
-#: Model entries are kept by this many bits of a hash, so that the arrays sent to all workers have at most
-#: ORDER * 2 * 2^SLOT_BITS entries of eight bytes, however large the corpus is.
-SLOT_BITS = 23
+#: Bits of the hash of language and n-gram that tell model entries apart.
+SLOT_BITS = 62
+#: A model of more entries, of eight bytes and up to four for the directory, is not sent to the workers.
+BROADCAST = 1 << 24
+#: Bytes of text whose n-grams are looked up together by joins, but for a longer text; and model entries packed at once.
+PART_BYTES = 8 << 20
+PIECE = 1 << 16
 #: n-grams that a task collects before it hands on what it has.
 FLUSH = 1_000_000
 #: Bytes of text whose n-grams are in memory at once, but for a longer text; and n-grams looked up at once.
@@ -212,12 +216,21 @@ def mix(keys: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def directory_bits(n: int) -> int:
+    return min(max(1, n.bit_length()), SLOT_BITS - 32)
+
+
 def sorted_hash_array(slots: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ascending slots and their values, each with an end mark, and where each run of equal high bits begins."""
-    bits = min(SLOT_BITS, max(1, len(slots).bit_length() + 1))
+    """The low 32 bits of ascending slots, their values, and where each run of equal high bits begins.
+
+    There are as many runs as entries or up to twice as many, so the bits kept grow with the entries: of n
+    entries, one that is missing is taken for another with a chance of about 2^-32.
+    """
+    bits = directory_bits(len(slots))
+    slots = slots.astype(np.uint64)
     highs = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(SLOT_BITS - bits)
-    begin = np.searchsorted(slots, highs).astype(np.int32)
-    return np.append(slots, 0xFFFFFFFF).astype(np.uint32), np.append(values, 0).astype(np.float32), begin
+    begin = np.searchsorted(slots, highs).astype(np.uint32)
+    return slots.astype(np.uint32), np.asarray(values).astype(np.float32), begin
 
 
 class HashArray:
@@ -226,21 +239,21 @@ class HashArray:
     def __init__(self, slots: np.ndarray, values: np.ndarray, begin: np.ndarray):
         self.slots, self.values, self.begin = slots, values, begin
         self.bits = (len(begin) - 1).bit_length() - 1
-        self.longest = int(np.diff(begin).max(initial=0))
 
     def find(self, slots: np.ndarray) -> np.ndarray:
         """The place of each slot, or -1."""
-        at = self.begin[slots >> np.uint32(SLOT_BITS - self.bits)]
-        found = np.where(self.slots[at] == slots, at, -1)
-        open_ = np.flatnonzero(self.slots[at] < slots)
-        for _ in range(self.longest):
-            if not len(open_):
-                break
+        run = slots.astype(np.uint64) >> np.uint64(SLOT_BITS - self.bits)
+        at, end = self.begin[run].astype(np.int64), self.begin[run + np.uint64(1)].astype(np.int64)
+        low = slots.astype(np.uint32)
+        found = np.full(len(slots), -1, np.int64)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            here = at[open_]
+            hit = self.slots[here] == low[open_]
+            found[open_[hit]] = here[hit]
+            open_ = open_[~hit]
             at[open_] += 1
-            here, wanted = self.slots[at[open_]], slots[open_]
-            hit = here == wanted
-            found[open_[hit]] = at[open_[hit]]
-            open_ = open_[here < wanted]
+            open_ = open_[at[open_] < end[open_]]
         return found
 
 
@@ -268,14 +281,15 @@ class Model:
             if not len(rows):
                 return out
             at = back.find(slot(keys >> 8, seed, k, True))
-            out[rows] += np.where(at >= 0, back.values[at], np.float32(0))
+            known = at >= 0
+            out[rows[known]] += back.values[at[known]]
             keys = keys & ((1 << 8 * (k - 1)) - 1)
         out[rows] += np.float32(np.log(1 / 256))
         return out
 
 
 def slot(keys: np.ndarray, seed: int, order: int, is_context: bool) -> np.ndarray:
-    return (mix(keys, seed) >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
+    return mix(keys, seed) >> np.uint64(64 - SLOT_BITS)
 
 
 def language_seed(lang: str) -> int:
@@ -285,10 +299,17 @@ def language_seed(lang: str) -> int:
     return (zlib.crc32(lang.encode()) << 31) ^ zlib.crc32(lang.encode()[::-1])
 
 
-def layout(tables: list[tuple[DataFrame, DataFrame]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The model's arrays. Entries that meet in a slot share the mean; at most 2^SLOT_BITS remain per array.
+def entry_counts(tables: list[tuple[DataFrame, DataFrame]]) -> list[int]:
+    """How many n-grams each order has; it has about as many contexts at most."""
+    parts = [p.select(F.lit(k).alias("k")) for k, (p, _) in enumerate(tables)]
+    found = {r["k"]: r["n"] for r in reduce(DataFrame.union, parts).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [found.get(k, 0) for k in range(len(tables))]
+
 
-    Executors sort and pack them, up to 2^16 slots at a time; eight bytes per entry come to the driver.
+def layout(tables: list[tuple[DataFrame, DataFrame]], counts: list[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The model's arrays, one entry for every n-gram and context; `counts` is that of `entry_counts`.
+
+    Executors sort and pack them, about PIECE entries at a time; twelve bytes per entry come to the driver.
     """
 
     def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,25 +317,25 @@ def layout(tables: list[tuple[DataFrame, DataFrame]]) -> list[tuple[np.ndarray,
             out = np.zeros(len(b), np.int64)
             for (lang, array), rows in b.groupby(["lang", "array"]).indices.items():
                 out[rows] = slot(b["key"].to_numpy()[rows], language_seed(lang), array // 2 + 1, bool(array % 2))
-            yield pd.DataFrame({"array": b["array"], "slot": out, "value": b["value"]})
+            yield pd.DataFrame({"array": b["array"], "slot": out, "piece": out >> (SLOT_BITS - b["bits"].to_numpy()), "value": np.log(b["value"])})
 
     def pack(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("slot")
-        packed = own["slot"].to_numpy("<u4").tobytes(), own["value"].to_numpy("<f4").tobytes()
+        packed = own["slot"].to_numpy("<u8").tobytes(), own["value"].to_numpy("<f4").tobytes()
         return pd.DataFrame([(own["array"].iloc[0], own["piece"].iloc[0], *packed)], columns=["array", "piece", "slots", "values"])
 
     parts = []
     for k, pair in enumerate(tables):
+        bits = F.lit(max(1, (counts[k] // PIECE).bit_length()))
         for is_context, t in enumerate(pair):
-            parts.append(t.toDF("lang", "key", "value").withColumn("array", F.lit(2 * k + is_context)))
-    found = reduce(DataFrame.union, parts).mapInPandas(slots, "array int, slot bigint, value double")
-    mean = found.groupBy("array", "slot").agg(F.log(F.avg("value")).alias("value")).withColumn("piece", F.shiftright("slot", 16))
-    packed = mean.groupBy("array", "piece").applyInPandas(pack, "array int, piece bigint, slots binary, values binary")
+            parts.append(t.toDF("lang", "key", "value").withColumn("array", F.lit(2 * k + is_context)).withColumn("bits", bits))
+    found = reduce(DataFrame.union, parts).mapInPandas(slots, "array int, slot bigint, piece bigint, value double")
+    packed = found.groupBy("array", "piece").applyInPandas(pack, "array int, piece bigint, slots binary, values binary")
     got = sorted(packed.collect(), key=lambda r: (r["array"], r["piece"]))
     entries = []
     for i in range(2 * ORDER):
         own = [r for r in got if r["array"] == i]
-        joined = [np.frombuffer(b"".join(bytes(r[name]) for r in own), kind) for name, kind in (("slots", "<u4"), ("values", "<f4"))]
+        joined = [np.frombuffer(b"".join(bytes(r[name]) for r in own), kind) for name, kind in (("slots", "<u8"), ("values", "<f4"))]
         entries.append(sorted_hash_array(*joined))
     return entries
 
@@ -322,7 +343,78 @@ def layout(tables: list[tuple[DataFrame, DataFrame]]) -> list[tuple[np.ndarray,
 def train(df: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The entries of a `Model` of all of `df`."""
     small_batches(df.sparkSession)
-    return layout(estimate(written(gram_counts(df, text, lang), "ngram-counts")))
+    tables = estimate(written(gram_counts(df, text, lang), "ngram-counts"))
+    return layout(tables, entry_counts(tables))
+
+
+# --- look-ups by joins
+
+
+def looked_up(asked: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(lang, gram, log_p) of distinct n-grams (lang, gram), by the same rule as `Model`."""
+    rest = asked.select("lang", "gram", F.col("gram").alias("key"), F.lit(0.0).alias("weight"))
+    out: list[DataFrame] = []
+    for k in range(ORDER, 0, -1):
+        p, back = tables[k - 1]
+        tried = written(rest.join(p.withColumnRenamed("gram", "key"), ["lang", "key"], "left"), "ngram-lookups")
+        out.append(tried.where("p IS NOT NULL").select("lang", "gram", (F.col("weight") + F.log("p")).alias("log_p")))
+        missed = tried.where("p IS NULL").withColumn("context", context("key"))
+        if missed.isEmpty():
+            return reduce(DataFrame.union, out)
+        shorter = F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)).alias("key")
+        weight = F.col("weight") + F.coalesce(F.log("back"), F.lit(0.0))
+        rest = missed.join(back, ["lang", "context"], "left").select("lang", "gram", shorter, weight.alias("weight"))
+    return reduce(DataFrame.union, out).union(rest.select("lang", "gram", F.col("weight") + F.log(F.lit(1 / 256))))
+
+
+def scored_by_joins(df: DataFrame, tables: list[tuple[DataFrame, DataFrame]], text: str, lang: str, out: str) -> DataFrame:
+    """As `scored`, for a model of any size: each part of the texts asks for its different n-grams.
+
+    An n-gram is asked for once by a part at most, so no key is hotter than there are parts.
+    """
+    row = OWN + "row"
+    named = written(df.withColumn(row, F.monotonically_increasing_id()), "quality-rows")
+    texts = named.select(F.col(row).alias("row"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, size = None, 0
+        for b in batches:
+            parts = []
+            for name, t in zip(b["row"], b["text"], strict=True):
+                if part is None or size >= PART_BYTES:
+                    part, size = name, 0
+                parts.append(part)
+                size += len(t.encode())
+            yield b.assign(part=np.array(parts, np.int64))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part, own in b.groupby("part"):
+                for name, _, raw in by_language(own["lang"], own["text"]):
+                    yield pd.DataFrame({"part": part, "lang": name, "gram": tally(grams(raw)[0])[0]})
+
+    def score(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        known = known.sort_values(["code", "gram"])
+        codes, key, logs = (known[c].to_numpy() for c in ("code", "gram", "log_p"))
+        got = pd.DataFrame([statistics(t) for t in own["text"]], columns=[c.split()[0] for c in STATISTICS.split(", ")], dtype="int64")
+        value = np.full(len(own), np.nan)
+        for name, rows, raw in by_language(own["code"].astype(str), own["text"]):
+            packed, ends = grams(raw)
+            begin, end = np.searchsorted(codes, int(name)), np.searchsorted(codes, int(name), "right")
+            found = logs[begin + np.searchsorted(key[begin:end], packed)]
+            value[rows] = -np.add.reduceat(found, np.concatenate(([0], ends[:-1])))
+        got["log_perplexity"] = value / got["n_words"].where(got["n_words"] > 0)
+        return got.assign(row=own["row"].to_numpy())
+
+    texts = written(texts.mapInPandas(cut, "row bigint, lang string, text string, part bigint"), "quality-texts")
+    asked = written(texts.select("part", "lang", "text").mapInPandas(ask, "part bigint, lang string, gram bigint").distinct(), "quality-ngrams")
+    known = looked_up(asked.select("lang", "gram").distinct(), tables)
+    code = F.xxhash64("lang").alias("code")
+    answers = asked.join(known, ["lang", "gram"]).select("part", code, "gram", "log_p")
+    parts = texts.select("part", "row", code, "text").groupBy("part").cogroup(answers.groupBy("part"))
+    scores = parts.applyInPandas(score, f"row bigint, {STATISTICS}, log_perplexity double")
+    names = [c.split()[0] for c in STATISTICS.split(", ")] + ["log_perplexity"]
+    return named.join(scores.select(F.col("row").alias(row), F.struct(*names).alias(out)), row).drop(row)
 
 
 # --- rules
@@ -374,7 +466,11 @@ def quality(df: DataFrame, keep: list[str] | None = None, text: str = "text", la
     """
     keep = [c for c in (df.columns if keep is None else keep) if c != out]
     own, failed, group = OWN + "scored", OWN + "failed", OWN + "lang"
-    rows = scored(df, train(df, text, lang), text, lang, own).withColumn(group, F.coalesce(F.col(lang), F.lit("")))
+    small_batches(df.sparkSession)
+    tables = estimate(written(gram_counts(df, text, lang), "ngram-counts"))
+    counts = entry_counts(tables)
+    rows = scored(df, layout(tables, counts), text, lang, own) if 2 * sum(counts) <= BROADCAST else scored_by_joins(df, tables, text, lang, own)
+    rows = rows.withColumn(group, F.coalesce(F.col(lang), F.lit("")))
     rows = rows.withColumn(failed, (F.col(own + ".n_words") < 10) | (100 * F.col(own + ".n_repeat_words") > 20 * F.col(own + ".n_words")))
     rows = written(rows.select(*[f"`{c}`" for c in keep], own, group, failed), "quality-scored")  # scored once, used twice
     passed = rows.where(~F.col(failed)).select(F.col(group).alias("lang"), own + ".n_words", own + ".log_perplexity")

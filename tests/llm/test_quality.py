@@ -39,6 +39,46 @@ def test_probabilities_equal_the_definition(spark):
         assert got == pytest.approx(want.per_word(text), rel=0.01)
 
 
+def test_unseen_ngrams_miss_in_a_full_array():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 40, 4_000_000))
+    slots = np.sort(quality.slot(keys, 7, 5, False))
+    array = quality.HashArray(*quality.sorted_hash_array(slots, np.zeros(len(slots))))
+    other = np.setdiff1d(rng.integers(0, 1 << 40, 200_000), keys)
+    assert (array.find(quality.slot(other, 7, 5, False)) < 0).all()
+    at = array.find(quality.slot(keys, 7, 5, False))
+    assert len(np.unique(at)) == len(keys) and at.min() == 0
+
+
+def test_unseen_ngrams_equal_the_definition(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz .,") for _ in range(4000)) for _ in range(60)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    tables, want = quality.estimate(quality.gram_counts(df, "text", "lang")), brute.KneserNey(texts)
+    model = quality.Model(quality.train(df))
+    other = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz .,#") for _ in range(3000))
+    packed, _ = quality.grams([other.encode()])
+    logs = [math.log(want.p(int(g).to_bytes(5, "big"))) for g in packed]
+    assert model.log_probability(packed, quality.language_seed("en")) == pytest.approx(logs, rel=1e-4)
+    asked = spark.createDataFrame([("en", g) for g in sorted(set(packed.tolist()))], "lang string, gram bigint")
+    found = {r["gram"]: r["log_p"] for r in quality.looked_up(asked, tables).collect()}
+    assert [found[g] for g in packed.tolist()] == pytest.approx(logs, rel=1e-9)
+
+
+def test_a_model_that_is_not_sent_gives_the_same(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.union(spark.createDataFrame([(-1, None, "xx"), (-2, "", "xx"), (-3, "x y z", None)], docs.schema))
+    want = {r["doc_id"]: r["quality"] for r in quality.quality(docs).collect()}
+    monkeypatch.setattr(quality, "BROADCAST", 0)
+    monkeypatch.setattr(quality, "PART_BYTES", 1 << 16)
+    got = {r["doc_id"]: r["quality"] for r in quality.quality(docs).collect()}
+    assert set(got) == set(want)
+    for d, q in got.items():
+        assert [q[c] for c in ("n_words", "n_symbols", "base_failed", "kept")] == [want[d][c] for c in ("n_words", "n_symbols", "base_failed", "kept")]
+        if q["n_words"]:
+            assert q["log_perplexity"] == pytest.approx(want[d]["log_perplexity"], rel=1e-5)
+
+
 def test_probabilities_sum_to_one(spark):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog"] * 3
     tables = quality.estimate(quality.gram_counts(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"), "text", "lang"))
