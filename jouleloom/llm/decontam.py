@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Every document is scanned once for word n-grams of the benchmark. Around each hit the passage is kept, as
-numbers of benchmark words; nothing else of the document is needed any more. The hits give the corpus
-frequency of every benchmark n-gram. In every few neighbouring n-grams of an item the rarest one that the
-corpus has becomes a seed, so a passage that shares a run of SIZE + SPAN - 1 words with an item always
-holds one of its seeds, however common the passage is. Seeds join passages to items, and each pair is
-scored by local alignment, which tolerates words that were exchanged, left out or put in.
+numbers of benchmark words; nothing else of the document is needed any more. Every n-gram hit is a seed: it
+joins the passage to all items that have it, whatever the rest of the corpus holds. Of these pairs, those
+that share enough words to reach the threshold at all are scored by local alignment, which tolerates words
+that were exchanged, left out or put in.
 """
 
 from __future__ import annotations
@@ -21,9 +20,8 @@ from pyspark.sql import functions as F
 from jouleloom.llm.common import OWN, row_key, small_batches
 from jouleloom.session import written
 
-#: Words of an n-gram, and neighbouring n-grams of which the rarest is a seed.
+#: Words of an n-gram.
 SIZE = 4
-SPAN = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The lowest threshold that can be asked for, and how far passages reach for it, in longest items.
 LEAST = 0.3
@@ -164,30 +162,25 @@ def _align_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int,
     return [(int(b >> 32), int(low - (b & low)), int(s)) if b else (0, 0, 0) for b, s in zip(best, stop, strict=True)]
 
 
-def seeds(grams: DataFrame, frequency: DataFrame) -> DataFrame:
-    """(gram, item): of every SPAN neighbouring n-grams of an item the rarest that the corpus has.
-
-    `grams` has item, place and gram, `frequency` gram and times.
-    """
-    known = grams.join(frequency, "gram").withColumn("span", F.explode(F.sequence(F.col("place") - (SPAN - 1), F.col("place"))))
-    rarest = known.groupBy("item", "span").agg(F.min(F.struct("times", "place", "gram")).alias("rarest"))
-    return rarest.select("item", F.col("rarest.gram").alias("gram")).distinct()
+def enough(passage: np.ndarray, item: np.ndarray, threshold: float) -> bool:
+    """Whether so many words of the item occur in the passage that their alignment can reach the threshold."""
+    return np.isin(item, passage).sum() / len(item) >= threshold
 
 
-def aligned(found: DataFrame, block: DataFrame) -> DataFrame:
-    """(one, two, id, item, n_words, score, start, stop) of the passages and items that a seed joins.
+def aligned(found: DataFrame, block: DataFrame, threshold: float) -> DataFrame:
+    """(one, two, id, item, n_words, score, start, stop) of the passages and items that share an n-gram.
 
     `found` is a written `scan`, `block` has item (number), numbers (of its words) and grams, also written.
+    Pairs that can't reach `threshold` may be left out.
     """
     hits = found.select("one", "two", "start", F.explode("grams").alias("gram"))
-    frequency = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
-    grams = block.select("item", F.posexplode("grams").alias("place", "gram"))
-    chosen = written(seeds(grams, written(frequency, "seed-frequency")), "seeds")
-    pairs = hits.join(chosen, "gram").select("one", "two", "start", "item").distinct()
+    grams = block.select("item", F.explode("grams").alias("gram")).distinct()
+    pairs = hits.join(grams, "gram").select("one", "two", "start", "item").distinct()
     pairs = pairs.join(found.drop("grams"), ["one", "two", "start"]).join(block.select("item", "numbers"), "item")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            b = b[np.array([enough(p, i, threshold) for p, i in zip(b["words"], b["numbers"], strict=True)], bool)]
             best = align(list(zip(b["words"], b["numbers"], strict=True)))
             out = b[["one", "two", "id", "item"]].copy()
             out["n_words"] = [len(i) for i in b["numbers"]]
@@ -230,7 +223,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float, item: str =
         block = written(spark.createDataFrame(parts, "item bigint, numbers array<int>, grams array<bigint>"), "benchmark-block")
         names = spark.createDataFrame([(i, r["item"]) for i, r in enumerate(rows)], f"item bigint, name {kind}")
         found = written(scan(docs, items), "benchmark-passages")
-        scored = aligned(found, block).withColumn("score", F.col("score") / (MATCH * F.col("n_words")))
+        scored = aligned(found, block, threshold).withColumn("score", F.col("score") / (MATCH * F.col("n_words")))
         place = F.struct("score", (-F.col("start")).alias("back"), "stop", "n_words", "id")
         best = scored.where(F.col("score") >= threshold).groupBy("one", "two", "item").agg(F.max(place).alias("best"))
         part = best.join(names, "item").select(

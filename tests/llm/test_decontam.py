@@ -59,6 +59,17 @@ def test_edited_copies_and_frequent_passages(spark):
     assert got == pytest.approx(want) and {k for k in got} == {(d, d % 5) for d in range(60)}
 
 
+@pytest.mark.parametrize("every", [5, 6])
+def test_edited_copies_beside_exact_ones(spark, every):
+    rng = random.Random(every)
+    items = [(i, " ".join(f"w{rng.randint(0, 900)}" for _ in range(30))) for i in range(4)]
+    edit = lambda text, first: " ".join(f"x{k}" if k % every == first else w for k, w in enumerate(text.split()))
+    docs = [(i, "so it is " + edit(t, 2) + " and on") for i, t in items] + [(100 + i, "copy " + t) for i, t in items]
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["id"], r["item"]): r["score"] for r in decontam.leaks(*frames).collect()}
+    assert len(got) == 8 and got == pytest.approx(brute.leaks(docs, items))
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     rng = random.Random(9)
     items = [(i, " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 9)) for _ in range(20))) for i in range(9)]
