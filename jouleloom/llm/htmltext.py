@@ -4,7 +4,8 @@ Every text node has a path of tags from the root. Over all nodes of a path, the
 mean number of punctuation marks tell prose from lists of links. Both ratios are smoothed along the page,
 fused, and nodes above a threshold are content nodes. They point to the element that holds the article,
 whose text is then taken whole, short lines between long paragraphs included. Elements that HTML itself or
-their class, id or role mark as something else than the article take no part.
+their class, id or role mark as something else than the article take no part, unless the article or most of
+the page's text lies in them.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ WORDS = frozenset(
     "share sharing social breadcrumb breadcrumbs pagination pager menu nav navbar navigation topbar toolbar comment comments reply replies "
     "disqus respond footer masthead header skip search".split()
 )
+HEADS = frozenset("header masthead".split())  # inside an article they hold its title
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -56,24 +58,33 @@ KERNEL = np.array([0.25, 0.5, 0.25])
 THRESHOLD = 0.5
 #: An element must hold this part of the content to be looked into further.
 MASS = 0.75
+#: An element whose class or id speaks against it is kept if it has more than this part of the page's text.
+MOST = 0.5
 
+#: Why an element is set apart: by everyday words of its class or id or as a form, by its meaning, or for good.
+WORDED, MEANT, NEVER = 1, 2, 3
 
-def set_apart(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is known not to belong to the article."""
-    if tag in ASIDE or tag in RAW or (tag == "header" and not in_article):
-        return True
+
+def set_apart(tag: str, attributes: str, in_article: bool) -> int:
+    """Why an element is thought not to belong to the article, the strongest reason; 0 if nothing says so."""
+    if tag in RAW:
+        return NEVER
+    reason = 0
+    if tag in ASIDE or (tag == "header" and not in_article):
+        reason = WORDED if tag in ("form", "fieldset") else MEANT
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return reason
+    words = WORDS - HEADS if in_article else WORDS
     for name, *values in MARK.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return NEVER
         if name == "role":
             if value.lower() in ROLES:
-                return True
-        elif name in ("class", "id") and not WORDS.isdisjoint(w.lower() for w in WORD.findall(value)):
-            return True
-    return False
+                reason = max(reason, MEANT)
+        elif name in ("class", "id") and not words.isdisjoint(w.lower() for w in WORD.findall(value)):
+            reason = max(reason, WORDED)
+    return reason
 
 
 class Page:
@@ -81,24 +92,24 @@ class Page:
 
     def __init__(self, html: str):
         self.nodes: list[tuple[int, str, int, bool]] = []  # element, text, block, set apart
-        self.tags, self.parents = ["#root"], [-1]
+        self.tags, self.parents, self.reasons = ["#root"], [-1], [0]
         self.block = 0
-        stack, apart = [0], [False]
+        stack = [0]
         at, end = 0, len(html)
 
         def close(to: int) -> None:
-            del stack[to:], apart[to:]
+            del stack[to:]
 
         while at < end:
             token = TOKEN.search(html, at)
             stop = token.start() if token else end
             if stop > at:
-                self.nodes.append((stack[-1], unescape(html[at:stop]), self.block, apart[-1]))
+                self.nodes.append((stack[-1], unescape(html[at:stop]), self.block, False))
             if token is None:
                 break
             at = token.end()
             if token["cdata"]:
-                self.nodes.append((stack[-1], token["cdata"], self.block, apart[-1]))
+                self.nodes.append((stack[-1], token["cdata"], self.block, False))
             if token["tag"] is None:
                 continue
             tag = token["tag"].lower()
@@ -128,19 +139,58 @@ class Page:
                         close(i)
                         break
             in_article = any(self.tags[e] in ("article", "main") for e in stack)
-            hides = apart[-1] or set_apart(tag, token["attributes"], in_article)
+            reason = set_apart(tag, token["attributes"], in_article)
             if token["attributes"].endswith("/") and tag in ("svg", "math", "path"):
                 continue
             stack.append(len(self.tags))
-            apart.append(hides)
             self.tags.append(tag)
+            self.reasons.append(reason)
             self.parents.append(stack[-2])
             if tag in UNPARSED:
                 closing = re.compile(f"</{tag}", re.I).search(html, at)
                 stop = closing.start() if closing else end
                 if tag == "title" and stop > at:
-                    self.nodes.append((stack[-1], unescape(html[at:stop]), self.block, True))
+                    self.nodes.append((stack[-1], unescape(html[at:stop]), self.block, False))
                 at = stop
+        apart = self.decided()
+        self.nodes = [(e, t, b, apart[e]) for e, t, b, _ in self.nodes]
+
+    def decided(self) -> list[bool]:
+        """Whether each element is set apart, itself or by one around it.
+
+        Nothing but NEVER sets apart an element around the largest article or main, unless one with MOST of its
+        text stands outside: comments and teasers can be articles too. On a page without any, a WORDED element
+        is kept that has MOST of the page's text, and all are if nothing else is left.
+        """
+        count = len(self.tags)
+        mass, never = [0] * count, [False] * count
+        for x in range(1, count):  # parents come before their children
+            never[x] = never[self.parents[x]] or self.reasons[x] == NEVER
+        for e, t, _, _ in self.nodes:
+            if not never[e]:
+                mass[e] += len(t.strip())
+        for x in range(count - 1, 0, -1):
+            mass[self.parents[x]] += mass[x]
+
+        def apart(around: frozenset[int], least: float) -> list[bool]:
+            out = [False] * count
+            for x in range(1, count):
+                reason = self.reasons[x]
+                kept = reason < NEVER and (x in around or (reason == WORDED and mass[x] > least))
+                out[x] = out[self.parents[x]] or (reason > 0 and not kept)
+            return out
+
+        articles = [x for x in range(count) if self.tags[x] in ("article", "main") and mass[x] > 0 and not never[x]]
+        if articles:
+            first = apart(frozenset(), mass[0])
+            largest = max(articles, key=mass.__getitem__)
+            if max((mass[x] for x in articles if not first[x]), default=0) < MOST * mass[largest]:
+                first = apart(frozenset(self.path(largest)), mass[0])
+        else:
+            first = apart(frozenset(), MOST * mass[0])
+        if any(t.strip() and not first[e] for e, t, _, _ in self.nodes):
+            return first
+        return apart(frozenset(), 0)
 
     def path(self, element: int) -> tuple[int, ...]:
         """The elements from the root to `element`."""

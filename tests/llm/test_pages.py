@@ -42,6 +42,24 @@ def test_main_text(html, text):
     assert htmltext.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (f"<div class='content with-sidebar'><p>{PROSE}</p></div><div class=sidebar>Links</div>", PROSE),
+        (f"<div id=page class=no-sidebar><div class=post><p>{PROSE}</p></div><div class=sidebar>Links</div></div>", PROSE),
+        (f"<div class=has-comments><article><p>{PROSE}</p><div id=comments>{PROSE} {PROSE} {PROSE}</div></article></div>", PROSE),
+        (f"<aside class=related-work><article><p>{PROSE}</p></article></aside>", PROSE),
+        (f"<article><div class='post-header'><h1>Title</h1></div><p>{PROSE}</p></article>", f"Title {PROSE}"),
+        (f"<body><form action=x><nav>Menu</nav><div><p>{PROSE}</p></div></form></body>", PROSE),
+        (f"<div class=sidebar>{PROSE}</div><div class=widget>{PROSE}</div>", f"{PROSE} {PROSE}"),
+        (f"<div hidden><article>{PROSE}</article></div><p>Seen.</p>", "Seen."),
+        (f"<main><article>{PROSE}</article><div id=comments><article>{PROSE}</article></div><aside><article>Teaser</article></aside></main>", PROSE),
+    ],
+)
+def test_names_alone_lose_no_article(html, text):
+    assert htmltext.main_text(html) == text
+
+
 def test_text_of_nulls_long_pages_repeats_clashes_and_no_rows(spark):
     long = "<body>" + f"<p>{PROSE}</p>" * 20_000
     rows = [(1, "u", None), (None, None, ""), (2, "u", long), (2, "u", long), (3, "u", "<p>x")]
