@@ -57,6 +57,11 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return os.path.join(shared_folder(spark), spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
@@ -66,6 +71,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     results read it as long as they are in use.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+    path = new_folder(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
