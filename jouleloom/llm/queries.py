@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jouleloom.llm import decontam, htmltext, langid, linededup, packing, quality, sharding, simhash, tokens, warc
+from jouleloom.llm import decontam, filteraudit, htmltext, idfiles, langid, linededup, packing, quality, resample, sharding, simhash, tokens, warc
+from jouleloom.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -69,11 +70,11 @@ landed AS (
     FROM jumps GROUP BY r
 ),
 placed AS (
-    SELECT *, ('0x' || right(md5(concat(coalesce('=' || doc_id, 'null'), chr(31), '=' || size, chr(31), '=' || text_crc32)), 8))::BIGINT % 1024 AS part
+    SELECT *, ('0x' || right(md5(concat(coalesce('=' || doc_id, 'null'), chr(31), '=' || size, chr(31), '=' || text_crc32)), 8))::BIGINT AS spread
     FROM docs JOIN landed USING (r)
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY part, doc_id, size, text_crc32) - 1 AS slot, grown_shard
+       row_number() OVER (PARTITION BY shard ORDER BY spread, doc_id, size, text_crc32) - 1 AS slot, grown_shard
 FROM placed
 """
 
@@ -167,3 +168,122 @@ def op9_tag_path_ratios(spark: SparkSession, sf: str) -> DataFrame:
 def op10_simhash_components(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"), size=3, max_bits=2)
     return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    found = resample.importance_resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"), percent=25, min_words=20, seed=7, size=2, buckets=10000)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: Counts per bucket come from the features' texts; the CRC is that of the bytes one by one, as above.
+ORACLES["op11_importance_resampling"] = """
+WITH RECURSIVE crc_steps(byte, n, value) AS (
+    SELECT i, 0, i::BIGINT FROM range(256) t(i)
+    UNION ALL
+    SELECT byte, n + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END FROM crc_steps WHERE n < 8
+),
+crc_table AS (SELECT list(value ORDER BY byte) AS entries FROM crc_steps WHERE n = 8),
+texts AS (
+    SELECT 'source' AS side, row_number() OVER () AS r, doc_id, text FROM documents
+    UNION ALL SELECT 'target', row_number() OVER (), NULL, text FROM benchmark
+),
+cut AS (
+    SELECT side, r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts
+),
+features AS (
+    SELECT side, r, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM cut
+),
+counted AS (SELECT side, r, feature, count(*) AS n FROM features GROUP BY ALL),
+hashed AS (
+    SELECT feature, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(feature)), '..'), lambda x: ('0x' || x)::BIGINT)),
+        lambda a, x: xor(a >> 8, entries[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+    FROM (SELECT DISTINCT feature FROM counted), crc_table
+),
+sums AS (
+    SELECT bucket, coalesce(sum(n) FILTER (side = 'source'), 0) AS s, coalesce(sum(n) FILTER (side = 'target'), 0) AS t
+    FROM counted JOIN hashed USING (feature) GROUP BY bucket
+),
+totals AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM sums),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM sums, totals
+),
+weights AS (
+    SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+    FROM counted JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 'source' GROUP BY r
+),
+scored AS (
+    SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM cut LEFT JOIN weights USING (r) WHERE side = 'source'
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= (SELECT count(*) * 25 // 100 FROM scored WHERE n_words >= 20) THEN place END AS rank
+FROM placed
+"""
+
+
+@query
+def op12_id_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The ids are written and read back; what comes out is made of the files alone."""
+    folder = new_folder(spark, "id-files")
+    idfiles.write_ids(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), folder, end_id=2)
+    found = idfiles.document_digests(idfiles.read_ids(spark, folder))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filteraudit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"), part="lang")
+
+
+ORACLES["op13_filter_audit"] = """
+WITH RECURSIVE known AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+),
+docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+judged AS (
+    SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+        'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+        'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+        'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)} AS fails
+    FROM docs d LEFT JOIN known k ON k.doc_id = d.doc_id
+),
+rows_of AS (
+    SELECT part, good, toxic, [x.f for x in [{'f': 'A', 'b': fails.A}, {'f': 'B', 'b': fails.B}, {'f': 'C', 'b': fails.C}, {'f': 'D', 'b': fails.D}, {'f': 'E', 'b': fails.E}] if x.b] AS failed
+    FROM judged
+),
+sets AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM rows_of GROUP BY ALL),
+orders(filter_order) AS (
+    SELECT '' UNION ALL
+    SELECT filter_order || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f) WHERE NOT contains(filter_order, f)
+),
+steps AS (
+    SELECT part, filter_order, step, filter_order[step] AS f
+    FROM orders, range(1, 6) s(step), (SELECT DISTINCT part FROM sets) WHERE length(filter_order) = 5
+),
+removal AS (
+    SELECT part, filter_order, failed, n, good, toxic, list_min(list_transform(failed, lambda f: instr(filter_order, f))) AS at
+    FROM sets, orders WHERE length(filter_order) = 5
+),
+sums AS (
+    SELECT s.part, s.filter_order, s.step::INT AS step, any_value(s.f) AS f,
+           coalesce(sum(r.n) FILTER (r.at IS NULL OR r.at > s.step), 0)::BIGINT AS kept,
+           coalesce(sum(r.n) FILTER (r.at = s.step), 0)::BIGINT AS removed,
+           coalesce(sum(r.n) FILTER (r.at < s.step AND list_contains(r.failed, s.f)), 0)::BIGINT AS redundant,
+           coalesce(sum(r.n) FILTER (r.failed = [s.f]), 0)::BIGINT AS unique_fails,
+           coalesce(sum(r.good) FILTER (r.at = s.step), 0)::BIGINT AS good_lost,
+           coalesce(sum(r.toxic) FILTER (r.at = s.step), 0)::BIGINT AS toxic_lost
+    FROM steps s JOIN removal r ON r.part = s.part AND r.filter_order = s.filter_order GROUP BY ALL
+)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM sums
+"""

@@ -13,6 +13,9 @@ CONTRACT = {
     "op8_": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op9_": "page_id bigint, url string, text string, n_chars bigint",
     "op10_": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op12_": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op13_": "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, good_lost bigint, toxic_lost bigint, shapley bigint",
 }
 
 
@@ -30,4 +33,4 @@ def test_columns_and_types(spark, sf, number):
 
 
 def test_one_query_for_each_operator():
-    assert [sum(n.startswith(f"op{k}_") for n in REGISTRY) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in REGISTRY) for k in range(1, 14)] == [1] * 13
