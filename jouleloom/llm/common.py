@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from jouleloom.session import written
+
 #: Names of helper columns start with this, so that no input column clashes with them.
 OWN = "__llm_"
 
@@ -26,25 +28,46 @@ def row_key(*columns: str, salt: int = 0) -> Column:
     return F.xxhash64(*parts)
 
 
-def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, chunks: int = 1024, spread: Column | None = None) -> DataFrame:
+#: Distinct rows that one part of a group holds on average, and equal rows that are numbered together.
+PART_ROWS = 1 << 16
+TOGETHER = 1 << 12
+
+
+def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, spread: Column | None = None) -> DataFrame:
     """Number the rows of every group from 0 without gaps, in column `out`.
 
-    A group is cut into `chunks` parts by `spread`, a long that follows from `order`, or its hash; rows are counted per part, numbered inside
-    it, and moved by the counts of the parts before. No task sees a whole group, however hot it is. `df` is
-    read twice: hand in something written or cheap. Rows that agree in `order` may swap numbers.
+    Rows are in the order of `spread`, a number from 0 to 2^32 - 1 that follows from `order` (by default a
+    hash of it), then of `order`. Rows that agree in all columns are counted first and numbered as one, and
+    ranges of `spread` cut each group into parts, more of them the more rows there are: parts are counted,
+    numbered inside, and moved by the counts of those before. So no task sees a whole group or all copies of a
+    row, however hot they are. Rows that agree in `order` only may swap numbers; these should be few.
     """
-    part, first, local = OWN + "part", OWN + "first", OWN + "local"
-    parted = df.withColumn(part, F.pmod(F.xxhash64(*order) if spread is None else spread, F.lit(chunks)).cast("int"))
+    part, first, local, at, n = (OWN + x for x in ("part", "first", "local", "spread", "copies"))
+    place = F.pmod(F.xxhash64(*order), F.lit(2**32)) if spread is None else spread
+    distinct = written(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n)).withColumn(at, place.cast("bigint")), "numbered-rows")
+    rows, hot = distinct.agg(F.count(F.lit(1)), F.sum(F.when(F.col(n) > TOGETHER, F.col(n)))).first()
+    chunks = -(-rows // PART_ROWS) or 1
+    parted = distinct.withColumn(part, F.shiftright(F.col(at) * F.lit(chunks), 32).cast("int"))
     before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         parted.groupBy(*groups, part)
-        .agg(F.count(F.lit(1)).alias(local))
-        .select(*groups, part, F.coalesce(F.sum(local).over(before), F.lit(0)).alias(first))
-    )
-    inside = Window.partitionBy(*groups, part).orderBy(*order)
-    return (
-        parted.withColumn(local, F.row_number().over(inside) - 1)
-        .join(starts, [*groups, part])
-        .withColumn(out, F.col(first) + F.col(local))
-        .drop(part, first, local)
+        .agg(F.sum(n).alias(local))
+        .select(*[F.col(g).alias(OWN + "of_" + g) for g in groups], F.col(part).alias(part + "_of"), F.coalesce(F.sum(local).over(before), F.lit(0)).alias(first))
     )
+    inside = Window.partitionBy(*groups, part).orderBy(at, *order, *[c for c in df.columns if c not in order]).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col(part) == F.col(part + "_of")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(OWN + "of_" + g))
+    placed = parted.withColumn(local, F.coalesce(F.sum(n).over(inside), F.lit(0))).join(starts, same).withColumn(first, F.col(first) + F.col(local))
+
+    def copies(of: DataFrame, start: Column, stop: Column) -> DataFrame:
+        return of.select(*df.columns, F.explode(F.sequence(start, stop - 1)).alias(out))
+
+    stop = F.col(first) + F.col(n)
+    if not hot:
+        return copies(placed, F.col(first), stop)
+    few = copies(placed.where(F.col(n) <= TOGETHER), F.col(first), stop)
+    many = placed.where(F.col(n) > TOGETHER).withColumn(local, stop)
+    many = many.withColumn(first, F.explode(F.sequence(F.col(first), stop - 1, F.lit(TOGETHER).cast("bigint"))))
+    many = many.repartition(-(-hot // PART_ROWS), first)
+    return few.union(copies(many, F.col(first), F.least(F.col(first) + TOGETHER, F.col(local))))

@@ -50,3 +50,13 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     expected = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(df, ["doc_id"], 4).collect()}
     assert {r["doc_id"]: r["shard"] for r in back.collect()} == expected
+
+
+def test_many_equal_rows_are_numbered_over_tasks(spark):
+    """Copies of a row are counted, so that no task sorts them; they get numbers of their own all the same."""
+    df = spark.range(300_000).selectExpr("IF(id % 3 = 0, id, NULL) AS doc_id", "IF(id % 3 = 0, 'x', '') AS text")
+    got = sharding.shard_slots(df, ["doc_id"], ["doc_id", "text"], 3)
+    per = got.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("slot").alias("d"), F.min("slot").alias("lo"), F.max("slot").alias("hi")).collect()
+    assert sum(r["n"] for r in per) == 300_000 and all((r["d"], r["lo"], r["hi"]) == (r["n"], 0, r["n"] - 1) for r in per)
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 150_000
