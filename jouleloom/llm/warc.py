@@ -11,6 +11,7 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,11 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.llm.common import small_batches
-from jouleloom.llm.htmltext import TOKEN, Page, visible_text
+from jouleloom.llm.htmltext import Page, title_of, visible_text
 
 END = "\r\n"
 LINK = re.compile(r"""(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]{1,16})[ \t]*(?:;[^\r\n]*)?")
 LANGUAGE = re.compile(r"<html[^>]*\slang\s*=\s*[\"']?([\w-]+)", re.I)
 
 COLUMNS = {
@@ -76,6 +78,63 @@ def split_response(block: bytes) -> tuple[str, dict[str, str], bytes]:
     return lines[0], fields(lines[1:]), payload
 
 
+def unchunked(payload: bytes) -> bytes:
+    """A chunked body put together: as far as its chunks go, and as it is if it does not begin with one."""
+    out, at = [], 0
+    while at < len(payload):
+        line = payload.find(b"\r\n", at)
+        size = CHUNK.fullmatch(payload, at, line) if line >= 0 else None
+        if size is None:
+            return b"".join(out) if at else payload
+        n, at = int(size[1], 16), line + 2
+        if n == 0:
+            break
+        out.append(payload[at : at + n])
+        at += n + 2
+    return b"".join(out)
+
+
+def unpacked(payload: bytes, coding: str) -> bytes | None:
+    """A body without its content coding: as far as it can be read, as it is if nothing can (archives keep
+    the header of bodies they have decoded), and none if the coding is not known here."""
+    if coding in ("", "identity", "none"):
+        return payload
+    if coding in ("gzip", "x-gzip", "deflate"):
+        kinds = (31,) if coding != "deflate" else (15, -15)
+        found = (inflated(payload, k) for k in kinds)
+        return next((x for x in found if x is not None), payload)
+    return None
+
+
+def inflated(payload: bytes, kind: int) -> bytes | None:
+    """All members of a compressed body; what comes before damage; None if it does not begin as one."""
+    out, rest = [], payload
+    while rest:
+        stream = zlib.decompressobj(kind)
+        try:
+            for i in range(0, len(rest), 1 << 16):
+                out.append(stream.decompress(rest[i : i + (1 << 16)]))
+                if stream.eof:
+                    rest = stream.unused_data + rest[i + (1 << 16) :]
+                    break
+            else:
+                break
+        except zlib.error:
+            break
+    return b"".join(out) if any(out) or not payload else None
+
+
+def body_of(http: dict[str, str], payload: bytes) -> bytes | None:
+    """What a reader of the response gets: transfer and content codings undone, the last one first."""
+    if "chunked" in (get(http, "Transfer-Encoding") or "").lower():
+        payload = unchunked(payload)
+    for coding in reversed((get(http, "Content-Encoding") or "").lower().split(",")):
+        if payload is None:
+            break
+        payload = unpacked(payload, coding.strip())
+    return payload
+
+
 def write_record(kind: str, named: dict[str, str], block: str) -> dict:
     raw = block.encode()
     header = {"WARC-Type": kind, **named, "WARC-Block-Digest": digest(raw), "Content-Length": str(len(raw))}
@@ -88,7 +147,8 @@ def derive(record: bytes | None) -> list[dict]:
 
     Metadata keep the HTTP status and fields of the source and tell charset, language, title, the number of
     links and the links themselves. The conversion is all text a reader would see; of a payload that is not
-    HTML or text it is left out.
+    HTML or text, or in a coding other than gzip and deflate, it is left out. Chunks and codings are undone first, of a
+    damaged body as far as it goes; digests and the payload's length are those of the payload as stored.
     """
     if not record:
         return []
@@ -99,23 +159,23 @@ def derive(record: bytes | None) -> list[dict]:
     source = get(named, "WARC-Record-ID") or record_id(get(named, "WARC-Target-URI") or "", digest(record))
     uri, date = get(named, "WARC-Target-URI") or "", get(named, "WARC-Date") or ""
     kind = (get(http, "Content-Type") or "text/html").lower()
-    charset = CHARSET.search(kind) or CHARSET.search(payload[:2048].decode("latin-1"))
+    body = body_of(http, payload)
+    is_html, is_text = body is not None and "html" in kind, body is not None and kind.startswith("text/")
+    body = body or b""
+    charset = CHARSET.search(kind) or CHARSET.search(body[:2048].decode("latin-1"))
     charset = charset[1].lower() if charset else "utf-8"
     try:
-        page = payload.decode(charset, "replace")
+        page = body.decode(charset, "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
-    is_html, is_text = "html" in kind, kind.startswith("text/")
-    links, title, language = [], "", None
+        page = body.decode("utf-8", "replace")
+    links, title, language, parsed = [], "", None, None
     if is_html:
-        for token in TOKEN.finditer(page):
-            if token["tag"] and not token["end"] and token["tag"].lower() in ("a", "area"):
-                href = LINK.search(token["attributes"])
-                if href:
-                    links.append(" ".join((href[1] or href[2] or href[3] or "").split()))
-        found = Page(page)
-        title = " ".join("".join(t for e, t, *_ in found.nodes if found.tags[e] == "title").split())
-        language = LANGUAGE.search(page)
+        parsed = Page(page)
+        for attributes in parsed.links:
+            href = LINK.search(attributes)
+            if href:
+                links.append(" ".join((href[1] or href[2] or href[3] or "").split()))
+        title, language = title_of(parsed), LANGUAGE.search(page)
     own_payload = digest(payload)
     source_headers = {**{n: v for n, v in named.items()}, **{f"HTTP-{n}": v for n, v in http.items()}, "HTTP-Status": status}
     told = [
@@ -137,7 +197,7 @@ def derive(record: bytes | None) -> list[dict]:
 
     add("metadata", "application/warc-fields", "".join(f"{n}: {' '.join(v.split())}{END}" for n, v in told if v))
     if is_html or is_text:
-        add("conversion", "text/plain; charset=utf-8", visible_text(page) if is_html else page)
+        add("conversion", "text/plain; charset=utf-8", visible_text(parsed) if parsed else page)
     return out
 
 

@@ -2,7 +2,9 @@ import base64
 import gzip
 import hashlib
 import re
+import zlib
 from html import unescape
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +62,86 @@ def test_names_alone_lose_no_article(html, text):
     assert htmltext.main_text(html) == text
 
 
+def prose(n):
+    return " ".join(f"{PROSE} Again {i}, more of it." for i in range(n))
+
+
+def nested(texts, tag):
+    return "".join(f"<{tag}><p>{t}</p>" for t in texts) + f"</{tag}>" * len(texts)
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (nested([f"{PROSE} No {i}." for i in range(8)], "div"), " ".join(f"{PROSE} No {i}." for i in range(8))),
+        (f"<div>{nested([prose(1), prose(3), prose(9)], 'section')}</div>", f"{prose(1)} {prose(3)} {prose(9)}"),
+        (f"<div>{nested([prose(9), prose(3), prose(1)], 'section')}</div>", f"{prose(9)} {prose(3)} {prose(1)}"),
+        ("".join(f"<div>{PROSE} {i}" for i in range(1000)), " ".join(f"{PROSE} {i}" for i in range(1000))),
+        (f"<article><p>{prose(2)}</p><ul><li><a href=a>One more</a><li><a href=b>And other</a></ul><p>{prose(1)}</p><div><p>Great post, thanks!</p></div></article>", f"{prose(2)} {prose(1)}"),
+        (f"<article><p>{prose(2)}</p><h2>Part</h2><div><p>Well, yes.</p></div><p>{prose(2)}</p><ul><li>End<li>of it</ul><div><div><b>Jo</b>: Nice!</div><div><b>Al</b>: No.</div></div></article>", f"{prose(2)} Part Well, yes. {prose(2)} End of it"),
+        (f'<p><img alt="5" tall">{PROSE}</p><p title=don\'t>x, y. {PROSE}</p>', f"{PROSE} x, y. {PROSE}"),
+        (f'<p><img alt="5" tall"/><a href=/it\'s/>{PROSE}</a> tail, and more of it.</p>', f"{PROSE} tail, and more of it."),
+        (f"<p class='a>{PROSE}</p><p>{PROSE} more", f"{PROSE} {PROSE} more"),
+        (f"<p>{PROSE}</p><div class=\"x", PROSE),
+    ],
+)
+def test_articles_keep_their_text_and_nothing_else(html, text):
+    assert htmltext.main_text(html) == text
+
+
+def bare_page(i):
+    """A page that names nothing: no article, no main, no class, no id, no nav."""
+    top = "".join(f"<span>{w}</span> " for w in ("Start", "World", "Sports", f"Day {i}"))
+    links = "".join(f"<li><a href=/{k}>Story {k}</a>" for k in range(i + 3))
+    body = f"<h1>Title {i}</h1><div>By Jo</div>" + "".join(f"<p>{prose(1 + (i + k) % 4)}</p>" for k in range(3 + i)) + "<ul><li>first<li>second</ul><p>Short.</p>"
+    say = "".join(f"<div><div>User {k}</div><div>So true, {k}.</div></div>" for k in range(2 * i))
+    text = " ".join([f"Title {i}", *(prose(1 + (i + k) % 4) for k in range(3 + i)), "first second", "Short."])
+    return f"<body><div>{top}</div><div><ul>{links}</ul></div><div><div>{body}</div><div>{say}</div></div><div>All rights, {i}.</div></body>", text
+
+
+@pytest.mark.parametrize("i", range(1, 9))
+def test_ratios_alone_find_the_article(i, monkeypatch):
+    html, text = bare_page(i)
+    got = htmltext.main_text(html)
+    assert got.replace("By Jo ", "") == text
+    monkeypatch.setattr(htmltext.Leaves, "content", lambda self: self.size > 0)
+    assert "Start" in htmltext.main_text(html) and "So true" in htmltext.main_text(html)
+
+
+def test_ratios_of_paths():
+    """The fused ratio by explicit loops: means per path, smoothed along the page, averaged per path again."""
+    page = htmltext.Page(bare_page(3)[0])
+    leaves = htmltext.Leaves(page, page.apart())
+    names = ["/".join(reversed([page.tags[x] for x in page.around(e)])) for e in leaves.elements]
+
+    def smooth(values):
+        wide = [values[0], *values, values[-1]]
+        return [0.2 * a + 0.6 * b + 0.2 * c for a, b, c in zip(wide, wide[1:], wide[2:], strict=False)]
+
+    def mean(values, name):
+        own = [v for v, n in zip(values, names, strict=True) if n == name]
+        return sum(own) / len(own)
+
+    text = smooth([mean(leaves.size, n) ** 0.5 for n in names])
+    marks = smooth([mean(leaves.marks, n) ** 0.5 for n in names])
+    both = [a * (1 + b) for a, b in zip(text, marks, strict=True)]
+    fused = [0 if mean(leaves.link, n) > 0.5 * mean(leaves.size, n) else mean(both, n) for n in names]
+    least = 0.6 * sum(f * (s - k) for f, s, k in zip(fused, leaves.size, leaves.link, strict=True)) / (leaves.size - leaves.link).sum()
+    assert leaves.content().tolist() == [f > 0 and f >= min(least, 10 + 10 * 3**0.5) for f in fused]
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    for tag in ("font", "div", "p", "li", "object", "article"):
+        took = []
+        for n in (10_000, 40_000):
+            start = time.perf_counter()
+            text = htmltext.main_text(f"<{tag}>" * n + PROSE + f"</{tag}>" * n + f"<p>{PROSE}</p>")
+            took.append(time.perf_counter() - start)
+        assert PROSE in text and took[1] < 10 * took[0] + 0.2
+
+
 def test_text_of_nulls_long_pages_repeats_clashes_and_no_rows(spark):
     long = "<body>" + f"<p>{PROSE}</p>" * 20_000
     rows = [(1, "u", None), (None, None, ""), (2, "u", long), (2, "u", long), (3, "u", "<p>x")]
@@ -94,6 +176,36 @@ def test_derivatives_of_pages(spark, sf):
         assert named["Content-Type"].startswith("text/plain") and article_of(page["html"]) in block and "<script" not in block
 
 
+class Reader(HTMLParser):
+    """What the standard library's parser finds outside scripts, styles and titles; a space for every block tag."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.out, self.hidden = [], 0
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "title")
+        self.out.append("" if tag == "b" else " ")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "title")
+        self.out.append("" if tag == "b" else " ")
+
+    def handle_data(self, data):
+        self.out.append("" if self.hidden else data)
+
+
+def test_conversions_equal_plain_ones(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = REGISTRY["op7_warc_derivatives"](spark, sf).where("record_type = 'conversion'").collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert parse(r["record"])[1] == " ".join("".join(Reader(pages[r["page_id"]]).out).split())
+
+
 def response(payload=b"<html lang=fr><title>T</title><a href='/x'>go</a><p>caf\xe9</p>", kind="text/html; charset=iso-8859-1"):
     http = f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nX-Long: a\r\n b\r\nSet-Cookie: 1\r\nSet-Cookie: 2\r\n\r\n".encode() + payload
     head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Target-URI: http://a/\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: {len(http)}\r\n\r\n"
@@ -124,3 +236,42 @@ def test_records_of_other_makers_and_files(spark, tmp_path):
         assert raw.startswith(b"\r\n\r\n")
         raw, n = raw[4:], n + 1
     assert n == 11
+
+
+def chunked(raw, size=26):
+    parts = [raw[i : i + size] for i in range(0, len(raw), size)]
+    return b"".join(b"%x;x=1\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\nTrailer: 1\r\n\r\n"
+
+
+def coded(payload, *headers):
+    http = "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n" + "".join(f"{h}\r\n" for h in headers) + "\r\n"
+    block = http.encode() + payload
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:2>\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+HTML = b"<title>T</title><p>hello world, this is text" * 3
+BODIES = {
+    "gzip": ((gzip.compress(HTML), "Content-Encoding: gzip"), HTML), "two members": ((gzip.compress(HTML) + gzip.compress(b"<p>more"), "Content-Encoding: x-gzip"), HTML + b"<p>more"),
+    "deflate": ((zlib.compress(HTML), "Content-Encoding: deflate"), HTML), "raw deflate": ((zlib.compress(HTML)[2:-4], "Content-Encoding: deflate"), HTML),
+    "chunked": ((chunked(HTML), "Transfer-Encoding: chunked"), HTML), "both": ((chunked(gzip.compress(HTML)), "Transfer-Encoding: Chunked", "Content-Encoding: GZIP"), HTML),
+    "twice": ((gzip.compress(zlib.compress(HTML)), "Content-Encoding: deflate, gzip"), HTML), "cut chunks": ((chunked(HTML)[:80], "Transfer-Encoding: chunked"), None),
+    "decoded already": ((HTML, "Transfer-Encoding: chunked", "Content-Encoding: gzip"), HTML), "damaged": ((gzip.compress(HTML * 999)[:300], "Content-Encoding: gzip"), None), "empty": ((b"", "Content-Encoding: gzip"), b""),
+}
+
+
+@pytest.mark.parametrize("name", BODIES)
+def test_codings_are_undone(name):
+    (payload, *headers), want = BODIES[name]
+    about, text = warc.derive(coded(payload, *headers))
+    got = parse(text["record"])[1]
+    told = warc.fields(parse(about["record"])[1].split("\r\n"))
+    assert told["payload-length"] == str(len(payload)) and told["source-payload-digest"] == warc.digest(payload)
+    if want is None:  # as far as it goes
+        assert got.startswith("hello world, this is te") and len(got) < len(HTML) * 999
+    else:
+        assert got == " ".join(re.sub(r"<title>T</title>|<[^>]*>", " ", want.decode()).split())
+
+
+def test_unknown_codings_have_no_conversion():
+    assert [d["record_type"] for d in warc.derive(coded(b"\x1b\x00", "Content-Encoding: br"))] == ["metadata"]
