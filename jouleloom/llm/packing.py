@@ -3,8 +3,9 @@
 A document is cut into full sequences and a rest; the rest is cut where the parts fit the reciprocals of
 the capacity. A piece of length n belongs to class k = capacity div n, and k pieces of a class fill one
 sequence, whatever worker they come from: places are given out by global numbers inside the class, which
-workers know from the counts of the others. Of each class fewer than k pieces are left over, at most
-LEFT pieces altogether whatever the size of the corpus; these few are packed best fit.
+workers know from the counts of the others. Lengths below the root of the capacity have classes of their own, and
+above it there is one for each k below the root, so classes are at most twice the root. Of each fewer than k
+pieces are left over, at most `most_left` altogether whatever the size of the corpus; these are packed best fit.
 """
 
 from __future__ import annotations
@@ -20,36 +21,36 @@ from jouleloom.llm.common import OWN, numbered, small_batches
 from jouleloom.llm.tokens import PlainIds
 from jouleloom.session import written
 
-#: Shorter pieces count as of the last class, so that there are this many classes.
-CLASSES = 64
-#: The most pieces that can be left over.
-LEFT = CLASSES * (CLASSES - 1) // 2
+#: A rest is cut if sequences of such pieces would be padded by more than this part of the capacity.
+SLACK = 64
 
 PIECES = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
 
 
-def class_of(length: int, capacity: int) -> int:
-    return min(capacity // length, CLASSES)
-
-
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document.
 
-    After the full sequences the rest goes as it is if its class leaves it little room, otherwise the
-    largest reciprocal of the capacity below it is cut off; each cut at least halves what remains.
+    After the full sequences the rest goes as it is if a sequence of such rests has little padding, otherwise the
+    largest reciprocal of the capacity below it is cut off; each cut at least halves what remains. Pieces of a few
+    tokens leave less than one of them as padding, so cuts end there.
     """
     out = [(s, capacity) for s in range(0, length - capacity + 1, capacity)]
     start = len(out) * capacity
     while start < length:
         rest = length - start
-        k = class_of(rest, capacity)
-        if k < CLASSES and capacity // k - rest > capacity // CLASSES:
+        k = capacity // rest
+        if capacity - k * rest > capacity // SLACK:
             rest = capacity // (k + 1)
         out.append((start, rest))
         start += rest
     return out
 
 
+def most_left(capacity: int) -> int:
+    """The most pieces that can be left over: in each class one less than fill a sequence."""
+    return sum(k - 1 for k in {capacity // n for n in range(1, capacity + 1)})
+
+
 def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """One row per piece: the columns `keep`, start, length, ids_crc32, doc_tokens and, if asked for, ids.
 
@@ -87,9 +88,9 @@ def harmonic(pieces: DataFrame, capacity: int, keep: tuple[str, ...] = ("doc_id"
     Sequence ids have no gaps: full bins class by class, then the sequences of what is left over.
     """
     order = [*keep, "start", "length", "ids_crc32", "doc_tokens"]
-    k = F.least(F.floor(F.lit(capacity) / F.col("length")), F.lit(CLASSES)).cast("int")
+    k = F.floor(F.lit(capacity) / F.col("length")).cast("int")
     classed = numbered(pieces.withColumn("class", k), ["class"], order, OWN + "n")
-    every = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)  # at most CLASSES rows
+    every = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)  # one row a class
     sizes = (
         pieces.groupBy(k.alias("class"))
         .agg(F.count(F.lit(1)).alias(OWN + "all"))
@@ -99,7 +100,7 @@ def harmonic(pieces: DataFrame, capacity: int, keep: tuple[str, ...] = ("doc_id"
         .drop(OWN + "all")
     )
     placed = written(
-        classed.join(F.broadcast(sizes), "class")  # CLASSES rows
+        classed.join(F.broadcast(sizes), "class")  # one row a class
         .withColumn(OWN + "bin", F.floor(F.col(OWN + "n") / F.col("class")))
         .withColumn("sequence_id", F.when(F.col(OWN + "bin") < F.col(OWN + "bins"), F.col(OWN + "base") + F.col(OWN + "bin")))
         .drop(OWN + "bin", OWN + "bins", OWN + "base"),
@@ -114,14 +115,14 @@ def harmonic(pieces: DataFrame, capacity: int, keep: tuple[str, ...] = ("doc_id"
     columns = [*pieces.columns, "class", "sequence_id", "offset"]
     rest = placed.where(F.col("sequence_id").isNull()).drop("sequence_id", OWN + "n")
     schema = rest.select("*", F.lit(0).cast("bigint").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")).schema
-    # One group of at most LEFT rows; all of them carry the number of full bins.
+    # One group of at most `most_left` rows; all of them carry the number of full bins.
     fitted = rest.groupBy(OWN + "after").applyInPandas(lambda left: best_fit(left, capacity, order), schema)
     fitted = fitted.withColumn("sequence_id", F.col("sequence_id") + F.col(OWN + "after"))
     return alone.select(columns).union(shared.select(columns)).union(fitted.select(columns))
 
 
 def best_fit(left: pd.DataFrame, capacity: int, order: list[str]) -> pd.DataFrame:
-    """Place at most LEFT pieces, the longest first, each where least room remains."""
+    """Place the pieces left over, the longest first, each where least room remains."""
     left = left.sort_values(["length", *[c for c in order if c != "length"]], ascending=False, kind="stable")
     used: list[int] = []
     bins, offsets = [], []

@@ -3,11 +3,14 @@ import struct
 import zlib
 from collections import defaultdict
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from jouleloom.llm import packing, tokens
 from jouleloom.llm.queries import REGISTRY, vocabulary
+from jouleloom.session import written
 
 ODD = [
     "", " ", "  ", "a  b", "x\n\n y ", "<|endoftext|>", "foo<|endoftext|> bar", "日本語 テキスト。 foo", "naïve café ²³ ½", "it's we'll I'M they've 'd",
@@ -88,6 +91,34 @@ def test_cuts_cover_documents(capacity):
         assert sum(x for _, x in pieces) == n and all(0 < x <= capacity for _, x in pieces)
 
 
+@pytest.mark.parametrize("capacity", [64, 100, 1024])
+def test_sequences_of_pieces_of_one_length_have_little_padding(capacity):
+    for n in range(1, capacity + 1):
+        for _, piece in packing.cuts(n, capacity):
+            k = capacity // piece  # a reciprocal is rounded down, by less than a token for each of k pieces
+            assert capacity - k * piece <= max(capacity // packing.SLACK, k)
+
+
+@pytest.mark.parametrize("sizes", [(3,), (5,), (8,), (3, 15), (94,), (500, 700)])
+def test_short_texts_leave_little_padding(spark, sizes):
+    """Pieces of many documents of few tokens: next to no padding but in the last sequences."""
+    rows = [(i, s, length) for i in range(60_000) for s, length in packing.cuts(sizes[i % len(sizes)], 1024)]
+    df = spark.createDataFrame(rows, "doc_id bigint, start bigint, length bigint").selectExpr("*", "0L AS ids_crc32", "0L AS doc_tokens")
+    packed = packing.harmonic(written(df, "pieces"), 1024)
+    bins = packed.groupBy("sequence_id").agg(F.sum("length").alias("used"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r["used"] == r["end"] <= 1024 for r in bins) and sum(r["used"] for r in bins) == sum(r[2] for r in rows)
+    assert sorted(r["sequence_id"] for r in bins) == list(range(len(bins)))
+    assert 1 - sum(r["used"] for r in bins) / (1024 * len(bins)) < 0.03
+
+
+def test_what_is_left_over_is_bounded():
+    assert packing.most_left(1024) < 6 * 1024 and len({1024 // n for n in range(1, 1025)}) <= 64
+    left = pd.DataFrame([(i, n, 0) for n in range(1, 1025) for i in range(1024 // n - 1)][:: 7], columns=["doc_id", "length", "start"])
+    placed = packing.best_fit(left, 1024, ["doc_id", "start", "length"])
+    used = placed.groupby("sequence_id")["length"].sum()
+    assert used.max() <= 1024 and (placed["offset"] + placed["length"]).max() <= 1024
+
+
 def check_packing(rows, ids, capacity):
     """Every id in exactly one piece, sequences without gaps and within capacity; the part that is padding."""
     bins, cover = defaultdict(list), defaultdict(list)
