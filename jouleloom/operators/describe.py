@@ -1,27 +1,30 @@
 """Column statistics: count, null_count, mean, std, min, quartiles and max.
 
 Quartiles are exact elements at rank round(q * (n - 1)), half away from zero. One mergeable sketch
-per column first brackets each quartile; then only values inside a bracket are ranked, after equal
-ones have been counted together, and every bracket is a task of its own. So nothing is sorted as a
-whole, not even for one huge key. If a bracket ever missed its rank, all are made wider and ranked again.
+per column first brackets each quartile, and equal values inside the brackets are counted together. A
+bracket with more than RANKED different values is narrowed: a sketch of its values cuts it into CELLS
+cells, the rows of each are counted, and the cell that holds the rank is the next bracket. Only then values
+are ranked, RANKED at most in a task, however many a key has. If a bracket ever missed its rank, all are
+made wider and counted again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jouleloom.functions.numbers import nan
-from jouleloom.operators.scan import Order, scan
 from jouleloom.session import written
 
 QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
 ACCURACY = 10_000  # sketch rank error is n / ACCURACY
 MARGIN = 0.0005  # bracket half-width in rank fraction, five times that error
-SMALL = 8_192  # up to this many values all of them are ranked
+SMALL = 8_192  # up to this many values all of them are counted
+RANKED = 65_536  # different values that one task ranks at most
+CELLS = 64  # into which a bracket with more of them is cut
 STATISTICS = ("count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -57,11 +60,12 @@ def _described_numbers(rows: DataFrame, group: list[str], columns: list[str]) ->
     while True:
         # Written once, used twice below; its size decides whether the second pass broadcasts it.
         stats = written(_stats(rows, group, columns, margin), "column-stats")
-        ranked = written(_quartiles(rows, stats, group, columns), "column-quartiles")
-        if ranked.where("missed").isEmpty():
+        counted = written(_counted(rows, stats, group, columns), "column-values")
+        targets = written(_targets(counted, group), "column-targets")
+        if targets.where("outside").isEmpty():
             break
         margin *= 8
-    ranked = ranked.drop("missed")
+    ranked = _quartiles(values_at_ranks(counted.where("not outside"), targets, [*group, "metric", "zone"]), group)
     narrow = stats.select(*group, F.inline(F.array(*[_stat_row(c) for c in columns])))
     result = narrow.join(ranked, [*group, "metric"], "left")
     return result.select(*group, "metric", "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -105,8 +109,8 @@ def _stat_row(c: str) -> Column:
     return F.struct(F.lit(c).alias("metric"), *[F.col(f"`{n}~{c}`").alias(out) for n, out in names.items()])
 
 
-def _quartiles(rows: DataFrame, stats: DataFrame, group: list[str], columns: Sequence[str]) -> DataFrame:
-    """Counts of equal values, everything between two brackets as one row, then a running count."""
+def _counted(rows: DataFrame, stats: DataFrame, group: list[str], columns: Sequence[str]) -> DataFrame:
+    """Counts of equal values; everything between two brackets is one row."""
     kept = [f"`{n}~{c}`" for c in columns for n in ("count", "probe")]
     marked = rows.join(stats.select(*group, *kept), group)
     points = [
@@ -119,22 +123,83 @@ def _quartiles(rows: DataFrame, stats: DataFrame, group: list[str], columns: Seq
         for c in columns
     ]
     values = marked.select(*group, F.inline(F.array(*points))).where(F.col("v").isNotNull())
-    counted = (
+    return (
         values.select(*group, "metric", "n", *_bracketed())
         .groupBy(*group, "metric", "zone", "v", "outside")
         .agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     )
-    order = Order((*group, "metric"), ("v", "outside"), ("zone",))
-    placed = scan(counted, order, sums={"upto": "rows"})
-    picks, missed = [], F.lit(False)
-    for name, q in QUARTILES:
-        # floor(x + 0.5) rounds half away from zero, as ranks are not negative
-        rank = F.floor(F.lit(q) * (F.col("n") - 1) + 0.5)
-        here = (F.col("upto") > rank) & (F.col("upto") - F.col("rows") <= rank)
-        picks.append(F.max(F.when(here, F.col("v"))).alias(name))
-        missed = missed | (here & F.col("outside"))
-    picks.append(F.coalesce(F.max(missed), F.lit(False)).alias("missed"))
-    return placed.groupBy(*group, "metric").agg(*picks)
+
+
+def _targets(counted: DataFrame, group: list[str]) -> DataFrame:
+    """Per quartile the zone it lies in, its rank there, and how many different values the zone has."""
+    by = [*group, "metric"]
+    zones = counted.groupBy(*by, "zone").agg(
+        F.max("n").alias("n"), F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("values"), F.max("outside").alias("outside")
+    )
+    # A column has a row for each bracket and each space between two.
+    before = Window.partitionBy(*[F.col(f"`{k}`") for k in by]).orderBy("zone").rowsBetween(Window.unboundedPreceding, -1)
+    placed = zones.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    # floor(x + 0.5) rounds half away from zero, as ranks are not negative
+    wanted = [F.struct(F.lit(name).alias("name"), F.floor(F.lit(q) * (F.col("n") - 1) + 0.5).alias("rank")) for name, q in QUARTILES]
+    each = placed.select(*by, "zone", "rows", "values", "outside", "before", F.inline(F.array(*wanted)))
+    here = each.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
+    return here.select(*by, "zone", "name", (F.col("rank") - F.col("before")).alias("rank"), "values", "outside")
+
+
+def values_at_ranks(values: DataFrame, targets: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
+    """(`keys`, name, v): the value at a rank, from 0, among the values of a key.
+
+    `values` has one row per key and different value v, with `rows` that have it; `targets` has the keys, a name, the
+    rank and how many different `values` the key has. Both are read several times: hand in written tables. No
+    task ranks more than `limit` values.
+    """
+    limit = limit or RANKED
+    by = [*keys, "name"]
+    open_ = targets.select(*by, "rank", "values", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+    done = None
+    while True:
+        small = open_.where(F.col("values") <= limit)
+        done = small if done is None else done.unionByName(small)
+        wide = open_.where(F.col("values") > limit)
+        if wide.isEmpty():
+            return _ranked(_within(values, done, keys), by)
+        open_ = written(_narrowed(_within(values, wide, keys), by), "value-ranges")
+
+
+def _within(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The values of every target between its bounds, which are values, too."""
+    met = values.select(*keys, "v", "rows").join(targets.drop("values"), list(keys))
+    # NaN is above all other values, in comparisons as in the order.
+    return met.where(F.col("low").isNull() | ((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high"))))
+
+
+def _narrowed(values: DataFrame, by: list[str]) -> DataFrame:
+    """For every target the cell of its values that holds the rank."""
+    grid = [i / CELLS for i in range(1, CELLS)]
+    named = [F.col(f"`{k}`") for k in by]
+    finite = F.when(F.isnan("v"), float("inf")).otherwise(F.col("v"))
+    cuts = written(values.groupBy(*named).agg(F.percentile_approx(finite, grid, ACCURACY).alias("cuts")), "value-cuts")
+    cell = F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("cell")
+    cells = values.join(cuts, by).groupBy(*named, "rank", cell).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("values"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    before = Window.partitionBy(*named).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # CELLS rows
+    placed = cells.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    here = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows"))
+    return placed.where(here).select(*named, (F.col("rank") - F.col("before")).alias("rank"), "values", "low", "high")
+
+
+def _ranked(values: DataFrame, by: list[str]) -> DataFrame:
+    """The value at the rank of every target, all of whose values are ranked."""
+    upto = F.sum("rows").over(Window.partitionBy(*[F.col(f"`{k}`") for k in by]).orderBy("v"))
+    placed = values.withColumn("upto", upto)
+    return placed.where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("rows") <= F.col("rank"))).select(*by, "v")
+
+
+def _quartiles(found: DataFrame, group: list[str]) -> DataFrame:
+    """One row per column, the quartiles side by side."""
+    picks = [F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name, _ in QUARTILES]
+    return found.groupBy(*[F.col(f"`{k}`") for k in group], "metric").agg(*picks)
 
 
 def _bracketed() -> tuple[Column, Column, Column]:

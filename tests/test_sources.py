@@ -1,4 +1,6 @@
 import csv
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from jouleloom.keys import TIME
 from jouleloom.operators import describe
 from jouleloom.operators.describe import describe_columns
+from jouleloom.session import written
 from jouleloom.plans.jobs import job_profile, job_report, job_table
 from jouleloom.sinks.reports import write_report
 from jouleloom.sinks.tables import register_jobs, write_job_jdbc, write_jobs
@@ -224,6 +227,38 @@ def test_describe_of_text_and_flags(spark):
     assert describe_columns(df.select("s")).first()["max_text"] == "b"
 
 
+def test_no_task_ranks_more_values_than_allowed(spark, monkeypatch):
+    """A million different values of one key and a few of another: brackets are narrowed until they are small."""
+    ranked, plain = [], describe._ranked
+    monkeypatch.setattr(describe, "RANKED", 100)
+    monkeypatch.setattr(describe, "SMALL", 1000)
+    monkeypatch.setattr(describe, "_ranked", lambda values, by: ranked.append(values.groupBy(*by).count()) or plain(values, by))
+    big = spark.range(1_000_003).select(F.lit("big").alias("k"), (F.pmod(F.col("id") * 7919, F.lit(1_000_003)) ** 1.5).alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    small = spark.range(900).select(F.lit("small").alias("k"), F.sqrt("id").alias("x"), F.lit(float("nan")).alias("y"))
+    rows = {(r["k"], r["metric"]): r for r in describe_columns(big.union(small), ["k"]).collect()}
+    for k, n in (("big", 1_000_003), ("small", 900)):
+        of = (lambda r: r**1.5) if k == "big" else math.sqrt
+        r = rows[k, "x"]
+        assert [r["q25"], r["q50"], r["q75"]] == pytest.approx([of(math.floor(q * (n - 1) + 0.5)) for q in (0.25, 0.5, 0.75)], rel=1e-15)
+    y = rows["big", "y"]
+    assert [y["q25"], y["q50"], y["q75"]] == [1, 3, 5] and math.isnan(rows["small", "y"]["q50"])
+    assert ranked and max(r["count"] for r in ranked[0].collect()) <= 100
+
+
+def test_values_at_ranks_of_repeated_and_odd_values(spark):
+    rng = random.Random(2)
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, 1e-300, -5.5]
+    data = [("a", rng.choice(odd) if rng.random() < 0.3 else rng.randint(0, 400) / 7) for _ in range(3000)] + [("b", 1.0)] * 50
+    order = {k: sorted((v for n, v in data if n == k), key=lambda v: (math.isnan(v), v)) for k in "ab"}
+    values = written(spark.createDataFrame(data, "k string, v double").groupBy("k", "v").agg(F.count(F.lit(1)).alias("rows")), "values")
+    wanted = [(k, str(r), r) for k, n in (("a", 3000), ("b", 50)) for r in (0, n // 3, n // 2, n - 1)]
+    counts = values.groupBy("k").agg(F.count(F.lit(1)).alias("values"))
+    targets = written(spark.createDataFrame(wanted, "k string, name string, rank bigint").join(counts, "k"), "targets")
+    for limit in (1, 2, 10, 10_000):
+        found = {(r["k"], int(r["name"])): r["v"] for r in describe.values_at_ranks(values, targets, ["k"], limit).collect()}
+        assert {a: str(v) for a, v in found.items()} == {(k, r): str(order[k][r]) for k, _, r in wanted}
+
+
 def test_describe_of_many_values_brackets_exact_ranks(spark):
     df = spark.range(0, 60_001, 1, 4).select(
         (F.pmod(F.col("id") * 7919, F.lit(60_001)).cast("double")).alias("a"),
