@@ -128,17 +128,22 @@ def dataset_positions(prepared: Prepared) -> DataFrame:
     return row_positions(rows, order, "position").select(*JOB, "prefix", TIME, ROW, "position")
 
 
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, limit: int = SEGMENT_ROWS
-) -> DataFrame:
-    """0-based position of every row within its key, by any sortable columns.
+def laid_out(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> tuple[DataFrame, Order]:
+    """`df` and the order to scan it in, by any sortable columns.
 
-    If a key has more than `limit` rows, rows are first laid out by sampled ranges and written, so
-    that the ranges are fixed, and each range of a key is numbered by itself.
+    If a key has more than `limit` rows, rows are laid out by sampled ranges and written, so that the ranges
+    are fixed, and each range of a key is a segment.
     """
     largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= limit:
-        return row_positions(df, Order(tuple(keys), tuple(order)), out)
+    if largest <= (limit or SEGMENT_ROWS):
+        return df, Order(tuple(keys), tuple(order))
     ranges = df.repartitionByRange(*keys, *order).withColumn(SEG, F.spark_partition_id())
-    fixed = written(ranges, "ranges")
-    return row_positions(fixed, Order(tuple(keys), tuple(order), (SEG,)), out).drop(SEG)
+    return written(ranges, "ranges"), Order(tuple(keys), tuple(order), (SEG,))
+
+
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, limit: int = SEGMENT_ROWS
+) -> DataFrame:
+    """0-based position of every row within its key, laid out as above."""
+    parts, by = laid_out(df, keys, order, limit)
+    return row_positions(parts, by, out).drop(SEG)

@@ -13,9 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jouleloom.functions.numbers import truncate_to_long
 from jouleloom.functions.text import dataset_prefix
 from jouleloom.keys import JOB, ROW, TIME
-from jouleloom.operators.frames import Frames
+from jouleloom.operators.frames import Frames, time_is_valid
+from jouleloom.operators.samples import CELL, TEXT
 from jouleloom.plans.segments import SEGMENT_ROWS, numbered
 
 RAW_SCHEMA = (
@@ -213,3 +215,72 @@ def frames_from_raw(raw: DataFrame, columns: dict[str, dict[str, str]] | None =
         for p, names in kept.items()
     ]
     return Frames(rows.select(*JOB, row_time.alias(TIME), ROW, *structs), tuple(kept))
+
+
+def samples_from_raw(raw: DataFrame) -> DataFrame:
+    """Landed datasets in long form (see `operators/samples.py`): nothing about their columns comes to the driver.
+
+    Records without `ElapsedTime`, and arrays, have the row number as time.
+    """
+    landed = {t: (values, fields) for t, (values, fields, _) in TYPES.items() if values in raw.columns}
+    named = raw.withColumns({"prefix": dataset_prefix(F.col("path_parts")), "group_name": _group(), "path": F.col("path_parts")})
+    keys = [*JOB, "path", "prefix"]
+    records = named.where(F.col("kind") == "compound")
+    sizes = [F.transform(F.map_values(fields), F.size) for _, fields in landed.values()]
+    longest = F.array_max(F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<int>")) for x in sizes])))
+    rows = records.withColumn("pos", F.explode(F.sequence(F.lit(0), longest - 1))).where(longest > 0)
+
+    def value(t: str, field: Column) -> Column:
+        return F.get(F.col(landed[t][1])[field], F.col("pos")) if t in landed else F.lit(None).cast(TYPES[t][2])
+
+    def number(field: Column) -> Column:
+        return F.coalesce(value("num", field), value("int", field).cast("double"))
+
+    def text(field: Column) -> Column:
+        return F.coalesce(value("text", field), value("flag", field).cast("string"))
+
+    def listed(kind: str, of: Callable[[Column], Column], *types: str) -> Column:
+        """The record's fields of these types; a field that is missing here may be there in another row."""
+        known = F.flatten(F.array(*[F.coalesce(F.map_keys(landed[t][1]), F.array().cast("array<string>")) for t in types if t in landed] or [F.array().cast("array<string>")]))
+        cells = F.transform("field_names", lambda name, at: F.struct(at.alias("at"), name.alias("metric"), of(name).alias("value")))
+        return F.filter(cells, lambda c: (c["metric"] != TIME) & F.array_contains(known, c["metric"])).cast(f"array<{kind}>")
+
+    timed = F.array_contains("field_names", F.lit(TIME))
+    seconds = number(F.lit(TIME))
+    whole = value("int", F.lit(TIME))
+    exact = F.when(whole >= 0, whole).otherwise(F.when(time_is_valid(seconds), truncate_to_long(seconds)))
+    row = F.col("chunk_offset") + F.col("pos")
+    of_records = rows.select(
+        *keys, row.alias(ROW), F.when(timed, exact).otherwise(row).alias(TIME), F.when(timed, ~time_is_valid(seconds)).otherwise(False).alias("bad_time"),
+        listed(CELL, number, "num", "int").alias("cells"), listed(TEXT, text, "text", "flag").alias("texts"),
+    )
+    out = of_records
+    for t, (values, _) in landed.items():
+        of_type = _array_samples(named.where((F.col("kind") != "compound") & (F.size(values) > 0)), t, values, keys)
+        out = out.unionByName(of_type)
+    return out
+
+
+def _array_samples(arrays: DataFrame, kind: str, values: str, keys: list[str]) -> DataFrame:
+    """Rows of the arrays of one type; only rows that lie in two chunks are put together by a shuffle."""
+    width, offset, size = F.col("width~"), F.col("chunk_offset"), F.size(values)
+    arrays = arrays.withColumn("width~", row_width(F.col("shape"))).withColumn("flat~", F.size("shape") <= 1)
+    whole = (offset % width == 0) & (size % width == 0)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.floor(size / width) - 1)
+    cut = F.transform(starts, lambda i: F.slice(values, (i * width + 1).cast("int"), width.cast("int")))
+    own = arrays.where(whole).select(*keys, "flat~", (offset / width).cast("bigint").alias("first"), F.posexplode(cut).alias("pos", "row"))
+    own = own.select(*keys, "flat~", (F.col("first") + F.col("pos")).alias(ROW), F.transform("row", lambda v, i: F.struct(i.alias("i"), v.alias("v"))).alias("row"))
+    flat = F.col("chunk_offset") + F.col("pos")
+    split = arrays.where(~whole).select(*keys, "flat~", "width~", "chunk_offset", F.posexplode(values).alias("pos", "v"))
+    split = split.groupBy(*keys, "flat~", F.floor(flat / width).alias(ROW)).agg(
+        F.array_sort(F.collect_list(F.struct((flat % width).cast("int").alias("i"), F.col("v")))).alias("row")
+    )
+    name = lambda i: F.when(F.col("flat~"), F.lit("value")).otherwise(F.concat(F.lit("col_"), i.cast("string")))
+    to = "double" if kind in ("num", "int") else "string"
+    cells = F.transform("row", lambda c: F.struct(c["i"].alias("at"), name(c["i"]).alias("metric"), c["v"].cast(to).alias("value")))
+    none = {k: F.array().cast(f"array<{k}>") for k in (CELL, TEXT)}
+    is_number = to == "double"
+    return own.unionByName(split).select(
+        *keys, ROW, F.col(ROW).alias(TIME), F.lit(False).alias("bad_time"),
+        (cells.cast(f"array<{CELL}>") if is_number else none[CELL]).alias("cells"), (none[TEXT] if is_number else cells.cast(f"array<{TEXT}>")).alias("texts"),
+    )

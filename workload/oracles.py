@@ -327,6 +327,16 @@ bad as (select distinct f, g from e where g='g1' and id % 7 = 0),
 pf as (select pr.* from pr join fg using (f, g) where not exists (select 1 from bad where bad.f=fg.f and bad.g=fg.g))
 select {cleaned()} from pf"""
 ORACLES["split_jobs"] = ORACLES["interpolate_rows"]
+
+# Every user has datasets of their own: the wide rows, column by column, under the user's names.
+_own = " union all ".join(
+    f"""select {AT}, 'n' || regexp_extract(f, '[0-9]+') || '__{name}' "column", qz(c{c},{3 if name.endswith("EpochTime") else 6}) "value" from it where c{c} is not null"""
+    for name, c in ALL
+)
+ORACLES["own_path_cells"] = f"{filled()} {_own}"
+ORACLES["own_path_energy"] = ORACLES["energy_from_power"]
+ORACLES["own_path_tables"] = f"""select file_label, group_name, "ElapsedTime", "EpochTime", "NodePower", "ElapsedTime_Diff", "Energy_Increment_J", "Energy_used_J",
+  "Price_EUR_per_MWh", "Cumulative_cost_EUR" from ({ORACLES["job_tables"]})"""
 ORACLES["stream_objects"] = f"""with {EVENTS}, n as (select f, et, min(id) id from e group by f, et)
 select f file_label, 'runs' bucket, arg_max(et, id)||'/'||f||'.h5' "key" from n group by f"""
 

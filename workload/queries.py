@@ -7,7 +7,7 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jouleloom.functions import (
@@ -47,10 +47,12 @@ from jouleloom.operators.prices import (
     nearest_prices,
     price_block_cover,
 )
+from jouleloom.operators.samples import aligned_samples, usable_samples
+from jouleloom.plans.fleet import fleet_profile, fleet_table
 from jouleloom.plans.jobs import job_report, job_table
 from jouleloom.plans.segments import dataset_positions, numbered, prepare
 from jouleloom.session import shared_folder, tune, written
-from jouleloom.sources.datasets import TYPED_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray
+from jouleloom.sources.datasets import TYPED_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray, samples_from_raw
 from jouleloom.sources.files import (
     discover_union,
     drop_batch_files,
@@ -75,6 +77,7 @@ from workload.adapters import (
     rounded,
     rounded_statistics,
     table,
+    timed_events,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +332,68 @@ def clean_and_narrow(spark, sf):
     return rounded(clean_cast(event_profile(spark, sf).visible()), 3)
 
 
+# --- fleets whose jobs have datasets of their own ---------------------------------------------
+
+
+def _own_paths(spark, sf):
+    """Events as landed records: every user has datasets under a path that no other user has."""
+    power = F.col("value")
+    fields = {
+        "Energy": {"NodePower": power, "EpochTime": F.col("ep")},
+        "Task_0": {"CPUUtilization": power},
+        "Task_1": {"RSS": power * 1024},
+        "Task_2": {"ReadMB": power},
+        "Task_3": {"CurrPower": power, "EpochTime": F.col("ep")},
+    }
+    events = timed_events(spark, sf).withColumn("dataset", F.create_map(*[F.lit(x) for pair in DATASETS.items() for x in pair])[F.col("event_type")])
+
+    def of_dataset(make):
+        found = F
+        for d, named in fields.items():
+            found = found.when(F.col("dataset") == d, make(named))
+        return found
+
+    def values(kind: str, types: tuple[str, ...], named) -> Column:
+        of_type = [x for c, v in named.items() if (c in types) for x in (F.lit(c), F.array(v.cast(kind)))]
+        return F.create_map(*of_type) if of_type else F.lit(None).cast(f"map<string,array<{kind}>>")
+
+    whole, broken = (TIME, "EpochTime"), ("NodePower", "CPUUtilization", "RSS", "ReadMB", "CurrPower")
+    raw = events.select(
+        "file_label",
+        F.array("group_name", F.concat(F.lit("n"), F.col("user_id").cast("string")), "dataset").alias("path_parts"),
+        F.lit("compound").alias("kind"),
+        of_dataset(lambda named: F.array(F.lit(TIME), *map(F.lit, named))).alias("field_names"),
+        F.array(F.lit(1)).cast("array<bigint>").alias("shape"),
+        F.col("event_id").cast("bigint").alias("chunk_offset"),
+        of_dataset(lambda named: values("double", broken, named)).alias("fields"),
+        of_dataset(lambda named: values("bigint", whole, {TIME: F.col(TIME), **named})).alias("int_fields"),
+    )
+    none = spark.createDataFrame([], TYPED_SCHEMA)
+    return samples_from_raw(none.unionByName(raw, allowMissingColumns=True))
+
+
+@query
+def own_path_cells(spark, sf):
+    """All values of all rows; no two users share a column."""
+    rows = aligned_samples(usable_samples(_own_paths(spark, sf)))
+    cells = rows.select(*AT, F.explode("values").alias("column", "value"))
+    digits = F.when(F.col("column").endswith("EpochTime"), quantized(F.col("value"), 3)).otherwise(quantized(F.col("value"), 6))
+    return cells.withColumn("value", digits)
+
+
+@query
+def own_path_energy(spark, sf):
+    rows = rounded(fleet_profile(_own_paths(spark, sf)).select(*AT, *ENERGY_COLUMNS), 4)
+    return rows.withColumn("Energy_used_J", quantized(F.col("Energy_used_J"), 2))
+
+
+@query
+def own_path_tables(spark, sf):
+    """What all tables have in common, cleaned and priced; the first usable group of each file."""
+    rows = fleet_table(_own_paths(spark, sf), event_prices(spark, sf))
+    return rounded(rows.drop("values", "texts"), 3)
+
+
 # --- prices ---------------------------------------------------------------------------------
 
 
