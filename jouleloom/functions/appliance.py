@@ -81,8 +81,10 @@ def with_appliance(
             .otherwise("s"),
         }
     )
-    values = "appliance_name", float_text(F.col("appliance_amount")), unit_name(F.col("appliance_unit"))
-    sentence = F.format_string(SENTENCE, *values)
+    values = F.col("appliance_name"), float_text(F.col("appliance_amount")), unit_name(F.col("appliance_unit"))
+    # The template is cut here, once; formatting it would be done anew for every row.
+    before, *after = SENTENCE.split("%s")
+    sentence = F.concat(F.lit(before), *[x for v, text in zip(values, after, strict=True) for x in (v, F.lit(text))])
     described = F.when(F.col("`some~`"), sentence).otherwise(TOO_SMALL)
     helpers = [c for c in steps.columns if c not in df.columns and c not in APPLIANCE_COLUMNS]
     return steps.withColumn("appliance_description", described).drop(*helpers)

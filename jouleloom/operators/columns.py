@@ -60,7 +60,7 @@ def resolve_epoch(timeline: Timeline) -> Timeline:
 
 @dataclass(frozen=True)
 class Derived:
-    """Columns named `<dataset>__<source>` give `<dataset>__<name>`, divided by `per`."""
+    """Columns that end with `__<source>` give one with `__<name>` in place of every `__<source>`, divided by `per`."""
 
     source: str
     name: str
@@ -74,8 +74,10 @@ def derived_figures(cores: int) -> tuple[Derived, ...]:
 
 def add_task_derivatives(df: DataFrame, cores: int = CORES) -> DataFrame:
     """Memory in megabytes and utilisation per core, from the values before cleaning."""
-    wanted = {d.source: d for d in derived_figures(cores)}
-    split = [(c, *c.rpartition(SEP)) for c in df.columns]
-    return df.withColumns(
-        {f"{dataset}{SEP}{wanted[field].name}": F.col(f"`{c}`").try_cast("double") / wanted[field].per for c, dataset, sep, field in split if sep and field in wanted}
-    )
+    made = {
+        c.replace(SEP + d.source, SEP + d.name): F.col(f"`{c}`").try_cast("double") / d.per
+        for c in df.columns
+        for d in derived_figures(cores)
+        if c.endswith(SEP + d.source)
+    }
+    return df.withColumns(made)

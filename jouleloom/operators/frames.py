@@ -171,6 +171,12 @@ def quarantined_files(facts: DataFrame, first_only: bool = False) -> DataFrame:
     )
 
 
+def rejected_files(facts: DataFrame, first_only: bool = False) -> DataFrame:
+    """(file_label, reason) of all files that give no table: those set aside, and those without anything usable."""
+    unusable = facts.groupBy("file_label").agg(F.max(F.size("usable")).alias("most")).where("most = 0")
+    return quarantined_files(facts, first_only).unionByName(unusable.select("file_label", F.lit("no_usable_data").alias("reason")))
+
+
 def surviving_frames(facts: DataFrame) -> DataFrame:
     """(job, prefix, n) of the frames that are neither empty nor of zero power."""
     return facts.select(*JOB, F.explode("usable").alias("prefix"), "n").select(

@@ -65,7 +65,7 @@ def with_derived(values: str, cores: int = CORES) -> Column:
     """The values and what follows from them: memory in megabytes, utilisation per core."""
     def derived(d: Derived) -> Column:
         own = F.map_filter(values, lambda c, _: c.endswith(SEP + d.source))
-        named = F.transform_keys(own, lambda c, _: F.concat(F.left(c, F.length(c) - len(d.source)), F.lit(d.name)))
+        named = F.transform_keys(own, lambda c, _: F.replace(c, F.lit(SEP + d.source), F.lit(SEP + d.name)))
         return F.transform_values(named, lambda _, v: v / d.per)
 
     return F.map_concat(values, *[derived(d) for d in derived_figures(cores)])

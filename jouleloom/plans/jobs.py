@@ -13,9 +13,9 @@ from jouleloom.operators.clean import clean_cast
 from jouleloom.operators.columns import add_task_derivatives, resolve_epoch
 from jouleloom.operators.describe import describe_columns
 from jouleloom.operators.energy import energy_profile, has_energy_data, job_metrics, job_summary
-from jouleloom.operators.frames import Frames
+from jouleloom.operators.frames import Frames, rejected_files
 from jouleloom.operators.prices import EPOCH, PRICE, add_cost, epoch_bounds, job_cost, nearest_prices, price_block_cover, price_points
-from jouleloom.plans.segments import SEGMENT_ROWS, prepare
+from jouleloom.plans.segments import SEGMENT_ROWS, Prepared, prepare
 from jouleloom.session import written
 
 
@@ -31,9 +31,22 @@ class Report:
     counts: DataFrame
 
 
+@dataclass(frozen=True)
+class Build:
+    """The tables of all jobs, the files that give none with the reason, and the facts both follow from."""
+
+    table: DataFrame
+    quarantine: DataFrame
+    facts: DataFrame
+
+
 def job_profile(frames: Frames, groups: str = "all", segment_rows: int = SEGMENT_ROWS) -> Timeline:
     """Valid frames on one timeline per job, with derived and energy columns."""
-    timeline = resolve_epoch(fill(align(prepare(frames, groups, segment_rows))))
+    return profile_of(prepare(frames, groups, segment_rows))
+
+
+def profile_of(prepared: Prepared) -> Timeline:
+    timeline = resolve_epoch(fill(align(prepared)))
     return energy_profile(timeline.with_df(add_task_derivatives(timeline.df)))
 
 
@@ -51,8 +64,19 @@ def job_table(
     segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """The cleaned table of every job; by default of a file's first usable group."""
-    profile = job_profile(frames, groups, segment_rows)
-    return clean_cast(priced(profile.visible(), prices))
+    return build_jobs(frames, prices, groups, segment_rows).table
+
+
+def build_jobs(
+    frames: Frames,
+    prices: DataFrame | None = None,
+    groups: str = "first",
+    segment_rows: int = SEGMENT_ROWS,
+) -> Build:
+    """`job_table`, and the files that it leaves out."""
+    prepared = prepare(frames, groups, segment_rows)
+    table = clean_cast(priced(profile_of(prepared).visible(), prices))
+    return Build(table, rejected_files(prepared.facts, groups == "first"), prepared.facts)
 
 
 def job_report(

@@ -32,6 +32,7 @@ class Prepared:
     split: bool = False
     hot: DataFrame | None = None
     chunk_rows: int = CHUNK_ROWS
+    facts: DataFrame | None = None
 
     @property
     def segment(self) -> tuple[str, ...]:
@@ -72,7 +73,7 @@ def prepare(
     ).first()
     frames = truncate_time(frames)
     if not found["jobs"]:
-        return Prepared(frames)
+        return Prepared(frames, facts=facts)
 
     rows = frames.df.join(special, JOB, "left").where(~F.coalesce(F.col("skip"), F.lit(False)))
     if found["drops"]:
@@ -82,7 +83,7 @@ def prepare(
         }
         rows = _without_dropped(rows, frames, kept)
     if not found["long"]:
-        return Prepared(frames.with_df(rows.drop("skip", "drop", "long")))
+        return Prepared(frames.with_df(rows.drop("skip", "drop", "long")), facts=facts)
     # Sampled ranges of (job, time): segments of about equal size whatever the times look like, and all
     # rows of a time in one of them. Written, so that the ranges are fixed and the source is read once.
     spread = rows.where("long is not null").drop("skip", "drop", "long")
@@ -97,7 +98,7 @@ def prepare(
         "hot-segments",
     )
     return Prepared(
-        frames.with_df(others.unionByName(segments)), True, None if hot.isEmpty() else hot, chunk_rows
+        frames.with_df(others.unionByName(segments)), True, None if hot.isEmpty() else hot, chunk_rows, facts
     )
 
 

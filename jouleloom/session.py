@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,9 +60,46 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+#: Where intermediates go now, if not to the folder of the application.
+_CURRENT: ContextVar[str | None] = ContextVar("intermediates", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to."""
-    return os.path.join(shared_folder(spark), spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+    within = _CURRENT.get() or os.path.join(shared_folder(spark), spark.sparkContext.applicationId)
+    return os.path.join(within, f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def intermediates(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for all that is written meanwhile, removed in the end: results must be complete by then.
+
+    For what runs again and again in one application, as the batches of a stream do.
+    """
+    folder = new_folder(spark, name)
+    token = _CURRENT.set(folder)
+    try:
+        yield folder
+    finally:
+        _CURRENT.reset(token)
+        remove(spark, folder)
+
+
+def _on_its_file_system(spark: SparkSession, folder: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder on whatever file system Spark finds it."""
+    system, path = _on_its_file_system(spark, folder)
+    system.delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    system, path = _on_its_file_system(spark, folder)
+    return system.exists(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -2,40 +2,91 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jouleloom.functions.text import table_name
 from jouleloom.keys import JOB, TIME
-from jouleloom.session import shared_folder
+from jouleloom.session import new_folder
+from jouleloom.sinks.registry import BUCKET, Registry, conformed, read_registry, write_registry
 
 
 def write_jobs(df: DataFrame, path: str, fmt: str = "parquet", buckets: int = 0) -> None:
     """Replace the written files' partitions and leave all others alone.
 
     A file has a folder of its own. For millions of files `buckets` puts folders of a hash of the label
-    above them, so that no folder has to list them all; it must stay the same for a table. Rows arrive clustered by job. Within a task they are sorted by file and time, so every task
+    above them, so that no folder has to list them all; it must stay the same for a table. Rows arrive clustered by job.
+    Within a task they are sorted by file and time, so every task
     has one open file at a time however many jobs it holds. A second write of the same jobs gives
     the same table.
+
+    The schema of the table is written beside it and takes in what new jobs bring (see `registry.py`): each
+    column has one type, and `read_jobs` gives all columns whichever batch they came with. One writer at a time.
     """
-    folders = ["file_label"]
+    spark = df.sparkSession
     if buckets:
-        df = df.withColumn("label_bucket", F.pmod(F.xxhash64("file_label"), F.lit(buckets)))
-        folders = ["label_bucket", "file_label"]
+        df = df.withColumn(BUCKET, F.pmod(F.xxhash64("file_label"), F.lit(buckets)).cast("bigint"))
+    known = read_registry(spark, path)
+    if known is None:
+        wanted = Registry(0, fmt, buckets, (df.schema,))
+    elif (known.fmt, known.buckets) != (fmt, buckets):
+        raise ValueError(f"the table at {path} is written as {known.fmt} with {known.buckets} buckets")
+    else:
+        wanted = known.admitting(df.schema)
+    if wanted != known:
+        write_registry(spark, path, wanted)
     (
-        df.sortWithinPartitions(*folders, *JOB, TIME)
+        conformed(df, wanted.schema)
+        .sortWithinPartitions(*wanted.folders, *JOB, TIME)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders)
+        .partitionBy(*wanted.folders)
         .format(fmt)
-        .save(path)
+        .save(_generation(path, len(wanted.generations) - 1))
     )
 
 
+def _generation(path: str, n: int) -> str:
+    """The first generation lies in the folder of the table itself."""
+    return f"{path}/generation={n}" if n else path
+
+
+def read_jobs(spark: SparkSession, path: str) -> DataFrame:
+    """A table of `write_jobs` with all columns of all batches.
+
+    A column that changed its type begins a new generation of files beside the others, which are read as they are
+    and cast. Of a label only the rows of its last generation count. Other readers see the first generation
+    as a plain partitioned table; once there are more, they get an error instead of a part of it.
+    """
+    registry = read_registry(spark, path)
+    if registry is None:
+        raise FileNotFoundError(f"no job table at {path}")
+    parts = []
+    for n, schema in enumerate(registry.generations):
+        folder = _generation(path, n)
+        rows = spark.read.schema(schema).format(registry.fmt).option("basePath", folder)
+        try:
+            parts.append((n, rows.load(f"{folder}/{registry.folders[0]}=*")))
+        except AnalysisException as missing:  # a table without a row has no folder
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            parts.append((n, spark.createDataFrame([], schema)))
+    wide = [conformed(df, registry.schema) for _, df in parts]
+    names = [f"`{c}`" for c in registry.schema.names if c != BUCKET]
+    if len(parts) == 1:
+        return wide[0].select(*names)
+    # Only the names of folders are read for this.
+    labels = [df.select("file_label").distinct().withColumn("generation~", F.lit(n)) for n, df in parts]
+    last = reduce(DataFrame.union, labels).groupBy("file_label").agg(F.max("generation~").alias("generation~"))
+    every = [df.withColumn("generation~", F.lit(n)) for (n, _), df in zip(parts, wide, strict=True)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), every)
+    return rows.join(last, ["file_label", "generation~"], "left_semi").select(*names)
+
+
 def write_job_jdbc(df: DataFrame, label: str, url: str, schema: str | None = None, **options: str) -> str:
     """Replace the table of one job in a database; returns its name, quoted where needed."""
     return write_jobs_jdbc(df.where(F.col("file_label") == label), [label], url, schema, **options)[0]
@@ -47,9 +98,9 @@ def write_jobs_jdbc(df: DataFrame, labels: Sequence[str], url: str, schema: str
     The plan of `df` runs once: it is written by job, and every table is loaded from its job's partition.
     """
     spark = df.sparkSession
-    folder = os.path.join(shared_folder(spark), f"jdbc-{uuid.uuid4().hex}")
+    folder = new_folder(spark, "jdbc")
     write_jobs(df.where(F.col("file_label").isin(*labels)), folder)
-    written_jobs = spark.read.parquet(folder)
+    written_jobs = read_jobs(spark, folder)
     names = job_table_names(spark, labels)
     for label, name in zip(labels, names, strict=True):
         target = f'"{schema}"."{name}"' if schema else f'"{name}"'
@@ -67,3 +118,19 @@ def register_jobs(df: DataFrame, view: str = "jobs") -> DataFrame:
     """Make a result available to SQL."""
     df.createOrReplaceTempView(view)
     return df.sparkSession.table(view)
+
+
+def register_job_function(df: DataFrame, name: str = "job", view: str = "jobs") -> None:
+    """Make the table of each job available to SQL, as `SELECT * FROM job('label')`.
+
+    One function over one table, whatever the number of jobs. Its rows come from
+    the one folder of the label, as the argument becomes a filter on it, and lack the columns that name the job.
+    """
+    register_jobs(df, view)
+    columns = [f.name for f in df.schema if f.name not in JOB]
+    typed = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+    picked = ", ".join(f"`{c}`" for c in columns)
+    df.sparkSession.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION `{name}`(label STRING) RETURNS TABLE ({typed}) "
+        f"RETURN SELECT {picked} FROM `{view}` WHERE `{view}`.file_label = `{name}`.label"
+    )

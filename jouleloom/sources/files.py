@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,17 +10,14 @@ from pyspark.sql import functions as F
 
 from jouleloom.functions.text import file_stem, normalize_prefix
 from jouleloom.session import written
-
-SUFFIX = ".h5"
-# Fixed value: the first eight bytes of a container.
-SIGNATURE = bytes.fromhex("894844460D0A1A0A")
+from jouleloom.sources.containers import SUFFIX, file_system, probe
 
 
 def discover_files(spark: SparkSession, root: str, keep_batch_files: bool = False) -> DataFrame:
     """All containers under `root`, any depth: file_label, path, length, modificationTime.
 
     Works for every file system Spark can list. File contents are not read. Spark's listing leaves
-    out files of length zero; `validate_containers` reports them where their path is known.
+    out files of length zero; `containers.container_files` lists them, too, and tells what can't be read.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -85,20 +81,9 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _reason(path: str) -> str | None:
     from pyarrow import fs
 
-    uri = re.sub(r"^s3[an]://", "s3://", re.sub(r"^(file:)?/+", "file:///", path))
-    system, name = fs.FileSystem.from_uri(uri)
+    system, name = file_system(path)
     info = system.get_file_info(name)
-    if info.type != fs.FileType.File:
-        return "missing"
-    if not info.size:
-        return "empty"
-    with system.open_input_file(name) as f:
-        at = 0
-        while at + len(SIGNATURE) <= info.size:
-            if f.read_at(len(SIGNATURE), at) == SIGNATURE:
-                return None
-            at = at * 2 if at else 512
-    return "not_hdf5"
+    return probe(system, name, info.size) if info.type == fs.FileType.File else "missing"
 
 
 def readable_files(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,8 +13,8 @@ from jouleloom.plans.jobs import job_profile, job_report, job_table
 from jouleloom.sinks.reports import write_report
 from jouleloom.sinks.tables import register_jobs, write_job_jdbc, write_jobs
 from jouleloom.sources.datasets import RAW_SCHEMA, TYPED_SCHEMA, dataset_catalog, dataset_columns, frames_from_raw, normalize_ndarray
+from jouleloom.sources.containers import SIGNATURE
 from jouleloom.sources.files import (
-    SIGNATURE,
     discover_files,
     discover_union,
     files_to_process,

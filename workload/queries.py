@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import functools
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,7 +49,8 @@ from jouleloom.operators.samples import aligned_samples, usable_samples
 from jouleloom.plans.fleet import fleet_profile, fleet_table
 from jouleloom.plans.jobs import job_report, job_table
 from jouleloom.plans.segments import dataset_positions, numbered, prepare
-from jouleloom.session import shared_folder, tune, written
+from jouleloom.session import new_folder, tune, written
+from jouleloom.sinks.tables import read_jobs
 from jouleloom.sources.datasets import TYPED_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray, samples_from_raw
 from jouleloom.sources.files import (
     discover_union,
@@ -704,7 +703,7 @@ def job_report_prices(spark, sf):
 @query
 def stream_job_tables(spark, sf):
     """Notifications for all users in two batches, streamed; the result is the table the stream wrote."""
-    run = os.path.join(shared_folder(spark), f"stream-{uuid.uuid4().hex}")
+    run = new_folder(spark, "stream")
     files = job_events(spark, sf).select("file_label", "user_id").distinct()
 
     def record(folder: str):
@@ -718,13 +717,38 @@ def stream_job_tables(spark, sf):
     for which in ("true", "user_id % 3 = 0"):
         files.where(which).select(F.array(record("z-old"), record("new")).alias("Records")).write.mode("append").json(f"{run}/notices")
         stream_jobs(spark, f"{run}/notices", f"{run}/out", f"{run}/checkpoint", load).awaitTermination()
-    return rounded(spark.read.parquet(f"{run}/out/jobs"), 3)
+    return rounded(read_jobs(spark, f"{run}/out/jobs"), 3)
+
+
+@query
+def stream_changing_tables(spark, sf):
+    """Two batches of a stream whose jobs have other datasets, and a field that is text in the first and a number in the second."""
+    run = new_folder(spark, "changing")
+    files = job_events(spark, sf).select("file_label", "user_id").distinct()
+
+    def record(folder: str):
+        key = F.concat(F.lit(f"{folder}/"), F.col("file_label"), F.lit(".h5"))
+        return F.struct(F.struct(F.struct(F.lit("runs").alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")).alias("s3"))
+
+    def load(batch: DataFrame) -> Frames:
+        old = not batch.where("startswith(key, 'old/')").isEmpty()
+        frames = event_frames(spark, sf, files=batch.select("file_label"), keep=F.col("event_type").isin("purchase", "click") if old else None)
+        note = F.concat(F.lit("L"), F.regexp_extract("file_label", "[0-9]+", 0)) if old else F.col("Task_0.CPUUtilization") * 2
+        noted = F.when(F.col("Task_0").isNotNull(), F.struct("Task_0.CPUUtilization", note.alias("Note")))
+        return Frames(frames.df.withColumn("Task_0", noted), frames.prefixes[:2] if old else frames.prefixes)
+
+    for which, folder in (("user_id % 2 = 0", "old"), ("user_id % 2 = 1 OR user_id % 3 = 0", "new")):
+        files.where(which).select(F.array(record(folder)).alias("Records")).write.mode("append").json(f"{run}/notices")
+        stream_jobs(spark, f"{run}/notices", f"{run}/out", f"{run}/checkpoint", load).awaitTermination()
+    rows = read_jobs(spark, f"{run}/out/jobs")
+    number = F.col("Task_0__Note").try_cast("double").alias("note")
+    return rounded(rows.select("*", number, F.when(number.isNull(), F.col("Task_0__Note")).alias("text")).drop("Task_0__Note"), 3)
 
 
 @query
 def stream_objects(spark, sf):
     """The objects a stream of notifications accepts: the key notified last counts."""
-    run = os.path.join(shared_folder(spark), f"objects-{uuid.uuid4().hex}")
+    run = new_folder(spark, "objects")
     events = job_events(spark, sf).groupBy("file_label", "event_type").agg(F.min("event_id").alias("event_id"))
     key = F.concat("event_type", F.lit("/"), "file_label", F.lit(".h5"))
     record = F.struct(F.struct(F.struct(F.lit("runs").alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")).alias("s3"))
