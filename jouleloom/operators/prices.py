@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jouleloom.keys import JOB
+from jouleloom.operators.exact import exact_sum
 from jouleloom.session import written
 
 PRICE = "Price_EUR_per_MWh"
@@ -125,7 +126,7 @@ def job_cost(df: DataFrame) -> DataFrame:
     """Per job the highest cumulative cost, and the cost of each step at its own price in EUR."""
     step = F.col("Energy_Increment_J") / J_PER_MWH * F.col(PRICE)
     return df.groupBy(*JOB).agg(
-        F.max("Cumulative_cost_EUR").alias("total_cost_eur"), F.sum(step).alias("cost_eur_integrated")
+        F.max("Cumulative_cost_EUR").alias("total_cost_eur"), exact_sum(step).alias("cost_eur_integrated")
     )
 
 

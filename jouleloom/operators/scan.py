@@ -13,7 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from jouleloom.operators.exact import LIMBS, joined, limbs
 
 _START = Window.unboundedPreceding
 
@@ -55,6 +57,11 @@ def _c(name: str) -> Column:
 
 _POS = "scan~pos"
 _BACK = "scan~back"
+SUMMED = "sum~"
+
+
+def _limb(out: str, name: str) -> str:
+    return f"{name}~{out}"
 
 
 def scan(
@@ -71,7 +78,8 @@ def scan(
 
     position -- output name of the 1-based row position within the key
     lags     -- output -> input column: the previous row's value
-    sums     -- output -> input column: running sum; null where the input is null
+    sums     -- output -> input column: running sum; null where the input is null. Sums of broken
+                numbers are exact (see exact.py): segments don't change a bit of them
     gaps     -- columns to find the nearest non-null value for, at or before and at or after
                 (`lo(c)`, `hi(c)`), and its position (`lo_at(c)`, and `hi_at(c)` from the end);
                 these and the row's own positions are left for `interpolate`
@@ -82,6 +90,11 @@ def scan(
     """
     lags, sums, flags = lags or {}, sums or {}, flags or {}
     split = bool(order.segment)
+    broken = [out for out, c in sums.items() if isinstance(df.schema[c].dataType, T.FractionalType)]
+    parts = {_limb(out, name): part for out in broken for name, part in limbs(_c(sums[out]).cast("double")).items()}
+    given = sums
+    sums = {out: c for out, c in sums.items() if out not in broken} | {f"{SUMMED}{name}": name for name in parts}
+    df = df.withColumns(parts)
     fw = order.forward()
     upto, down, whole = fw.rowsBetween(_START, 0), order.backward().rowsBetween(_START, 0), order.whole()
 
@@ -97,7 +110,7 @@ def scan(
     for out, c in lags.items():
         local[out] = F.lag(_c(c)).over(fw)
     for out, c in sums.items():
-        local[out] = F.when(_c(c).isNotNull(), F.sum(_c(c)).over(upto))
+        local[out] = F.sum(_c(c)).over(upto)
     for out, c in flags.items():
         local[out] = F.max(_c(c)).over(whole)
     rows = rows.withColumns(local)
@@ -105,6 +118,10 @@ def scan(
         rows = rows.withColumns(_nearest(gaps, lo, lo_at, _POS, upto))
     if split:
         rows = _carry_over(rows, order, lags, sums, gaps, flags)
+    if given:
+        totals = {out: joined({name: _c(SUMMED + _limb(out, name)) for name in LIMBS}) if out in broken else _c(out) for out in given}
+        rows = rows.withColumns({out: F.when(_c(given[out]).isNotNull(), total) for out, total in totals.items()})
+        rows = rows.drop(*parts, *[SUMMED + name for name in parts])
     if gaps:
         return rows
     if position:
@@ -174,7 +191,7 @@ def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataF
     for out in lags:
         carried.append(F.lag(_c(f"c~lag~{out}")).over(ws).alias(f"k~lag~{out}"))
     for out in sums:
-        carried.append(F.coalesce(F.sum(_c(f"c~sum~{out}")).over(before), F.lit(0)).alias(f"k~sum~{out}"))
+        carried.append(F.sum(_c(f"c~sum~{out}")).over(before).alias(f"k~sum~{out}"))
     for c in gaps:
         last, first = moved(f"c~last~{c}", "k~before"), moved(f"c~first~{c}", "k~after")
         carried.append(F.last(last, ignorenulls=True).over(before).alias(f"k~lo~{c}"))
@@ -187,8 +204,9 @@ def _carry_over(rows: DataFrame, order: Order, lags, sums, gaps, flags) -> DataF
     done: dict[str, Column] = {}
     for out in lags:
         done[out] = F.when(_c(_POS) == 1, _c(f"k~lag~{out}")).otherwise(_c(out))
-    for out in sums:
-        done[out] = _c(out) + F.coalesce(_c(f"k~sum~{out}"), F.lit(0))
+    for out in sums:  # null before the first number
+        carried_sum = _c(f"k~sum~{out}")
+        done[out] = F.coalesce(_c(out) + carried_sum, _c(out), carried_sum)
     for c in gaps:
         for value, at, side, by in ((lo, lo_at, "lo", "k~before"), (hi, hi_at, "hi", "k~after")):
             carried_point = _c(f"k~{side}~{c}")
