@@ -59,8 +59,9 @@ class Folders(DataSourceReader):
 
         system, _ = file_system(self.root)
         listed = system.get_file_info(fs.FileSelector(partition.path, recursive=partition.recursive))
-        scheme = re.match(r"[a-z0-9]+:/*", self.root)
-        start = "" if scheme is None or scheme[0].startswith("file") else re.match(r"[a-z0-9]+://", self.root)[0]
+        # Paths are told as Spark's own listings tell them, but for local files, which have no scheme here.
+        scheme = re.match(r"(?!file:)[a-z0-9]+://", self.root)
+        start = scheme[0] if scheme else ""
         for info in sorted(listed, key=lambda i: i.path):
             name = info.path.rpartition("/")[2]
             if info.type == fs.FileType.File and name.endswith(self.suffix):
@@ -68,11 +69,15 @@ class Folders(DataSourceReader):
 
 
 def file_system(path: str):
-    """The file system of a path and its name there."""
+    """The file system of a path, and its name there; names are taken as they are, percent signs included."""
     from pyarrow import fs
 
-    uri = re.sub(r"^s3[an]://", "s3://", path if re.match(r"[a-z0-9]+:", path) else "file://" + path)
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    found = re.match(r"([a-z][a-z0-9]*):(?://([^/]*))?(/.*)?$", path, re.S)
+    if found is None or found[1] == "file":
+        return fs.LocalFileSystem(), "/" + (found[3] if found else path).lstrip("/")
+    scheme = "s3" if found[1] in ("s3a", "s3n") else found[1]
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{found[2] or ''}/")
+    return system, base.rstrip("/") + (found[3] or "")
 
 
 def probe(system, path: str, size: int) -> str | None:

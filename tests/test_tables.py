@@ -1,6 +1,8 @@
 """From containers to tables: discovery, quarantine, tables whose schema changes, counts, a stream without leftovers."""
 
+import csv
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -9,8 +11,9 @@ from pyspark.sql import types as T
 from jouleloom.keys import TIME
 from jouleloom.operators.frames import stack
 from jouleloom.plans.files import tables_of_files, write_tables
-from jouleloom.plans.jobs import job_table
+from jouleloom.plans.jobs import job_report, job_table
 from jouleloom.session import intermediates, written
+from jouleloom.sinks.named import NamedFiles, write_report_files
 from jouleloom.sinks.registry import merged, read_registry, readable_as, unified
 from jouleloom.sinks.tables import read_jobs, register_job_function, write_jobs
 from jouleloom.sources.containers import SIGNATURE, container_files
@@ -177,6 +180,49 @@ def test_a_stream_changes_its_tables_counts_them_and_leaves_nothing(spark, tmp_p
     assert [(s["notices"]["notices"], s["notices"]["records"]) for s in seen] == [(1, 2), (1, 2)]
 
 
+def test_reports_are_one_named_file_per_job(spark, tmp_path):
+    rng = random.Random(1)
+    times = list(range(700))
+    rng.shuffle(times)
+    schema = POWER + ", EpochTime bigint"
+    jobs = frame(spark, schema, [(float(t), float(t % 9), 1700000000 + t) for t in times], "1_a").unionByName(frame(spark, schema, [(0.0, 5.0, 1700000000), (1.0, None, 1700000001)], "it's 50%: b", "g/2"))
+    prices = spark.createDataFrame([(1700000000, 80.0), (1700000300, 90.0)], "EpochTime bigint, Price_EUR_per_MWh double")
+    report = job_report(stack({"Energy": jobs.repartition(5)}), prices)
+    (tmp_path / "combined").mkdir()
+    (tmp_path / "combined" / "other.csv").write_text("stays")
+    for _ in range(2):
+        write_report_files(report, str(tmp_path))
+    names = {"1_a__g__combined", "it's 50%: b__g_2__combined"}
+    for part, ending in (("combined", ""), ("stats", "_stats"), ("summary", "_summary"), ("prices", "_price")):
+        assert {p.name for p in (tmp_path / part).iterdir()} == {f"{n}{ending}.csv" for n in names} | ({"other.csv"} if part == "combined" else set()), part
+    with (tmp_path / "combined" / "1_a__g__combined.csv").open() as f:
+        rows = list(csv.DictReader(f))
+    assert [int(r["ElapsedTime"]) for r in rows] == list(range(700)) and rows[0].keys() == {c for c in report.combined.columns if c not in ("file_label", "group_name")}
+    assert [float(r["NodePower"]) for r in rows] == [float(t % 9) for t in range(700)]
+    with (tmp_path / "combined" / "it's 50%: b__g_2__combined.csv").open() as f:
+        assert [r["Energy__NodePower"] for r in csv.DictReader(f)] == ["5.0", ""]
+    with (tmp_path / "summary" / "1_a__g__combined_summary.csv").open() as f:
+        assert [r["Metric"] for r in csv.DictReader(f)][:2] == ["Energy-to-solution", "Time-to-solution"]
+
+
+def test_nothing_is_visible_before_all_files_are_made(spark, tmp_path):
+    spark.dataSource.register(NamedFiles)
+    part = tmp_path / "part"
+    part.write_text("1\n")
+    out = tmp_path / "out"
+    rows = [("a.csv", "h\n", [str(part), f"file:{part}"]), ("b.csv", "h\n", [str(part)])]
+    schema = "name string, header string, parts array<string>"
+
+    def write(given):
+        spark.createDataFrame(given, schema).repartition(2).write.format("named_files").mode("append").save(str(out))
+
+    with pytest.raises(Exception):  # noqa: B017 -- whatever the task raises
+        write([*rows, ("c.csv", "h\n", [str(tmp_path / "missing")])])
+    assert not out.exists() or not list(out.iterdir())
+    write(rows)
+    assert {p.name: p.read_text() for p in out.iterdir()} == {"a.csv": "h\n1\n1\n", "b.csv": "h\n1\n"}
+
+
 def test_files_that_vanish_while_listed_are_reported(spark, tmp_path):
     container(tmp_path, "1_a.h5")
     (tmp_path / "1_a.h5").chmod(0)
