@@ -3,7 +3,9 @@
 Landed form, one row per chunk of a dataset: `file_label`, `path_parts` (group first), `kind`
 (scalar, ndarray or compound), `field_names`, `shape`, `chunk_offset` (flat element or row number),
 `num_values` (scalar and ndarray, row-major), `fields` (compound: name -> values). Whole numbers, text and
-flags keep their type in columns of the same kind (TYPED_SCHEMA), which may be left out.
+flags keep their type in columns of the same kind (TYPED_SCHEMA), which may be left out. A field of a record may
+have a shape of its own, in `field_shapes` (name -> shape): its values are those of all records, row-major, and
+it becomes the columns `<field>_0`, `<field>_1`, ...
 """
 
 from __future__ import annotations
@@ -36,6 +38,30 @@ TYPED_SCHEMA = RAW_SCHEMA + "".join(
     f", {values} array<{kind}>, {fields} map<string,array<{kind}>>" for t, (values, fields, kind) in TYPES.items() if t != "num"
 )
 
+#: Shapes of fields, which may be left out, too.
+SHAPES = "field_shapes"
+SHAPED_SCHEMA = TYPED_SCHEMA + f", {SHAPES} map<string,array<bigint>>"
+
+
+def field_width(raw: DataFrame, field: Column) -> Column:
+    """How many values a record has in a field; null if the field has no shape of its own."""
+    if SHAPES not in raw.columns:
+        return F.lit(None).cast("bigint")
+    shape = F.try_element_at(SHAPES, field)
+    return F.when(F.size(shape) > 0, F.aggregate(shape, F.lit(1).cast("bigint"), lambda a, d: a * d))
+
+
+def field_columns(raw: DataFrame, field: Column) -> Column:
+    """(field, column, step, place) of every column that a field becomes."""
+    width = field_width(raw, field)
+
+    def of(name: Column, step: Column, place: Column) -> Column:
+        return F.struct(field.alias("field"), name.alias("column"), step.cast("bigint").alias("step"), place.cast("bigint").alias("place"))
+
+    some = F.filter(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)) - 1), lambda i: i < F.coalesce(width, F.lit(1)))
+    each = F.transform(some, lambda i: of(F.concat(field, F.lit("_"), i.cast("string")), width, i))
+    return F.when(width.isNull(), F.array(of(field, F.lit(1), F.lit(0)))).otherwise(each)
+
 
 def _group() -> Column:
     return F.col("path_parts")[0].alias("group_name")
@@ -44,7 +70,7 @@ def _group() -> Column:
 def dataset_catalog(raw: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
     """One row per dataset in depth-first order: a group's datasets sort by their path parts."""
     datasets = raw.withColumn("types", _types(raw)).groupBy("file_label", "path_parts").agg(
-        *[F.any_value(c).alias(c) for c in ("kind", "field_names", "shape")], F.max("types").alias("types")
+        *[F.any_value(c).alias(c) for c in ("kind", "field_names", "shape", *([SHAPES] if SHAPES in raw.columns else []))], F.max("types").alias("types")
     )
     named = datasets.select(
         "file_label",
@@ -55,6 +81,7 @@ def dataset_catalog(raw: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
         "field_names",
         "shape",
         "types",
+        *([SHAPES] if SHAPES in raw.columns else []),
     )
     ranked = numbered(named, JOB, ["path_parts"], "dataset_ord", limit)
     return ranked.withColumn("dataset_ord", (F.col("dataset_ord") + 1).cast("int"))
@@ -145,18 +172,21 @@ def dataset_columns(catalog: DataFrame) -> dict[str, dict[str, str]]:
         F.sequence(F.lit(0).cast("bigint"), row_width(F.col("shape")) - 1),
         lambda i: F.concat(F.lit("col_"), i.cast("string")),
     )
+    none = F.lit("")
+
+    def plain(names: Column) -> Column:
+        return F.transform(names, lambda c: F.struct(none.alias("field"), c.alias("column"), F.lit(1).cast("bigint").alias("step"), F.lit(0).cast("bigint").alias("place")))
+
     names = (
-        F.when(compound, F.col("field_names"))
-        .when(F.size("shape") <= 1, F.array(F.lit("value")))
-        .otherwise(wide)
+        F.when(compound, F.flatten(F.transform("field_names", lambda f: field_columns(catalog, f))))
+        .when(F.size("shape") <= 1, plain(F.array(F.lit("value"))))
+        .otherwise(plain(wide))
     )
-    field = F.when(F.col("kind") == "compound", F.col("column")).otherwise("")
-    own = F.filter("types", lambda t: t["field"] == F.col("field"))
+    own = F.filter("types", lambda t: t["field"] == F.col("named.field"))
     listed = (
-        catalog.select("prefix", "dataset_ord", "kind", "types", F.posexplode(names).alias("at", "column"))
-        .withColumn("field", field)
+        catalog.select("prefix", "dataset_ord", "kind", "types", F.posexplode(names).alias("at", "named"))
         .withColumn("type", F.coalesce(F.try_element_at(own, F.lit(1))["type"], F.lit("num")))
-        .groupBy("prefix", "column")
+        .groupBy("prefix", F.col("named.column").alias("column"))
         .agg(F.min("dataset_ord").alias("ord"), F.min("at").alias("at"), F.collect_set("type").alias("types"))
         .orderBy("ord", "prefix", "at", "column")
     )
@@ -176,12 +206,27 @@ def frames_from_raw(raw: DataFrame, columns: dict[str, dict[str, str]] | None =
     every = list(dict.fromkeys(c for names in columns.values() for c in names))
     landed = {t: (values, fields, sql) for t, (values, fields, sql) in TYPES.items() if values in raw.columns}
 
+    # Where a column's values lie: in which field, how far apart, and which of them is its first.
+    places = F.map_from_entries(F.transform(F.flatten(F.transform("field_names", lambda f: field_columns(raw, f))), lambda c: F.struct(c["column"], c)))
+    shaped = SHAPES in raw.columns
+
     def values_of(t: str, c: str) -> Column:
         _, fields, sql = landed[t]
-        return F.coalesce(F.col(fields)[c], F.array().cast(f"array<{sql}>")).alias(f"{t}~{c}")
+        none = F.array().cast(f"array<{sql}>")
+        if not shaped:
+            return F.coalesce(F.col(fields)[c], none).alias(f"{t}~{c}")
+        at = F.try_element_at("places~", F.lit(c))
+        values = F.coalesce(F.try_element_at(fields, at["field"]), none)
+        step = at["step"]
+        rows = F.filter(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.floor(F.size(values) / step), F.lit(1)) - 1), lambda i: i < F.floor(F.size(values) / step))
+        picked = F.transform(rows, lambda i: F.get(values, (i * step + at["place"]).cast("int")))
+        return F.when(step == 1, values).when(step > 1, picked).otherwise(none).alias(f"{t}~{c}")
 
     zipped = F.arrays_zip(*[values_of(t, c) for t in landed for c in every])
-    compound = named.where(F.col("kind") == "compound").select(
+    records = named.where(F.col("kind") == "compound")
+    if shaped:
+        records = records.withColumn("places~", places)
+    compound = records.select(
         *JOB,
         "`prefix~`",
         "chunk_offset",
@@ -225,25 +270,37 @@ def samples_from_raw(raw: DataFrame) -> DataFrame:
     landed = {t: (values, fields) for t, (values, fields, _) in TYPES.items() if values in raw.columns}
     named = raw.withColumns({"prefix": dataset_prefix(F.col("path_parts")), "group_name": _group(), "path": F.col("path_parts")})
     keys = [*JOB, "path", "prefix"]
-    records = named.where(F.col("kind") == "compound")
-    sizes = [F.transform(F.map_values(fields), F.size) for _, fields in landed.values()]
-    longest = F.array_max(F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<int>")) for x in sizes])))
-    rows = records.withColumn("pos", F.explode(F.sequence(F.lit(0), longest - 1))).where(longest > 0)
+    columns = F.flatten(F.transform("field_names", lambda f: field_columns(raw, f)))
+    records = named.where(F.col("kind") == "compound").withColumn("columns~", columns)
+
+    def rows_in(fields: str) -> Column:
+        """How many records the values of each field make up."""
+        def of(name: Column, values: Column) -> Column:
+            return F.floor(F.size(values) / F.greatest(F.coalesce(field_width(raw, name), F.lit(1)), F.lit(1))).cast("int")
+
+        return F.coalesce(F.map_values(F.transform_values(fields, of)), F.array().cast("array<int>"))
+
+    longest = F.array_max(F.flatten(F.array(*[rows_in(fields) for _, fields in landed.values()])))
+    rows = records.withColumn("rows~", longest).where("`rows~` > 0").withColumn("pos", F.explode(F.sequence(F.lit(0), F.col("`rows~`") - 1)))
 
-    def value(t: str, field: Column) -> Column:
-        return F.get(F.col(landed[t][1])[field], F.col("pos")) if t in landed else F.lit(None).cast(TYPES[t][2])
+    def value(t: str, field: Column, step: Column | None = None, place: Column | None = None) -> Column:
+        if t not in landed:
+            return F.lit(None).cast(TYPES[t][2])
+        at = F.col("pos") if step is None else (F.col("pos") * step + place).cast("int")
+        return F.get(F.try_element_at(landed[t][1], field), at)
 
-    def number(field: Column) -> Column:
-        return F.coalesce(value("num", field), value("int", field).cast("double"))
+    def number(field: Column, *at: Column) -> Column:
+        return F.coalesce(value("num", field, *at), value("int", field, *at).cast("double"))
 
-    def text(field: Column) -> Column:
-        return F.coalesce(value("text", field), value("flag", field).cast("string"))
+    def text(field: Column, *at: Column) -> Column:
+        return F.coalesce(value("text", field, *at), value("flag", field, *at).cast("string"))
 
-    def listed(kind: str, of: Callable[[Column], Column], *types: str) -> Column:
-        """The record's fields of these types; a field that is missing here may be there in another row."""
+    def listed(kind: str, of: Callable[..., Column], *types: str) -> Column:
+        """The record's columns of these types; a field that is missing here may be there in another row."""
         known = F.flatten(F.array(*[F.coalesce(F.map_keys(landed[t][1]), F.array().cast("array<string>")) for t in types if t in landed] or [F.array().cast("array<string>")]))
-        cells = F.transform("field_names", lambda name, at: F.struct(at.alias("at"), name.alias("metric"), of(name).alias("value")))
-        return F.filter(cells, lambda c: (c["metric"] != TIME) & F.array_contains(known, c["metric"])).cast(f"array<{kind}>")
+        cells = F.transform("columns~", lambda c, at: F.struct(at.alias("at"), c["column"].alias("metric"), of(c["field"], c["step"], c["place"]).alias("value"), c["field"].alias("field")))
+        kept = F.filter(cells, lambda c: (c["field"] != TIME) & F.array_contains(known, c["field"]))
+        return F.transform(kept, lambda c: F.struct(c["at"], c["metric"], c["value"])).cast(f"array<{kind}>")
 
     timed = F.array_contains("field_names", F.lit(TIME))
     seconds = number(F.lit(TIME))

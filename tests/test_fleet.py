@@ -13,7 +13,7 @@ from jouleloom.operators.samples import aligned_samples, job_columns, sample_fac
 from jouleloom.plans.fleet import fleet_profile, fleet_table
 from jouleloom.plans.jobs import job_profile, job_table
 from jouleloom.plans.segments import prepare
-from jouleloom.sources.datasets import RAW_SCHEMA, TYPED_SCHEMA, frames_from_raw, samples_from_raw
+from jouleloom.sources.datasets import RAW_SCHEMA, SHAPED_SCHEMA, TYPED_SCHEMA, dataset_catalog, dataset_columns, frames_from_raw, samples_from_raw
 from tests.helpers import frame
 
 DATASETS = {
@@ -161,6 +161,29 @@ def test_landed_records_and_arrays(spark):
     same(long_cells(aligned_samples(samples_from_raw(numbers))), wide_cells(fill(align(prepare(frames_from_raw(numbers))))))
 
 
+def test_fields_with_a_shape_become_columns(spark):
+    """In frames and in samples; matrices row by row, chunks of several records, and the field missing in one file."""
+    shapes = {"m": [2, 2], "one": [1], "none": [0]}
+    rows = [
+        ("f", ["g", "rec"], "compound", [TIME, "m", "x", "one", "tag"], [3], 0, None, {"m": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0], "x": [0.5, None]}, None, {TIME: [0, 5], "one": [7, 8]}, None, {"tag": ["a", "b", "c", "d"]}, None, None, shapes | {"tag": [2]}),
+        ("f", ["g", "rec"], "compound", [TIME, "m", "x", "one", "tag"], [3], 2, None, {"m": [9.0, 10.0, 11.0, None], "x": [1.5]}, None, {TIME: [6], "one": [9]}, None, {"tag": ["e", None]}, None, None, shapes | {"tag": [2]}),
+        ("h", ["g", "rec"], "compound", [TIME, "x", "none"], [1], 0, None, {"x": [4.0], "none": []}, None, {TIME: [2]}, None, None, None, None, shapes),
+    ]
+    raw = spark.createDataFrame(rows, SHAPED_SCHEMA)
+    columns = dataset_columns(dataset_catalog(raw))["rec"]
+    assert set(columns) == {TIME, "m_0", "m_1", "m_2", "m_3", "x", "one_0", "tag_0", "tag_1"}
+    assert columns["m_3"] == "num" and columns["one_0"] == "int" and columns["tag_1"] == "text"
+    frames = frames_from_raw(raw)
+    wide = {(r["file_label"], r[TIME]): r["rec"] for r in frames.df.collect()}
+    assert [wide["f", 5.0][c] for c in ("m_0", "m_3", "x", "one_0", "tag_0", "tag_1")] == [5.0, 8.0, None, 8, "c", "d"]
+    assert [wide["f", 6.0][c] for c in ("m_2", "m_3", "tag_0", "tag_1")] == [11.0, None, "e", None] and wide["h", 2.0]["m_0"] is None and wide["h", 2.0]["x"] == 4.0
+    long = samples_from_raw(raw)
+    cells = {(r["file_label"], r[TIME]): {c["metric"]: c["value"] for c in [*r["cells"], *r["texts"]]} for r in long.collect()}
+    for key, row in cells.items():
+        assert {c: v for c, v in row.items() if v is not None} == {c: (float(v) if isinstance(v, int) else v) for c, v in wide[key].asDict().items() if v is not None}
+    same(long_cells(aligned_samples(long)), wide_cells(fill(align(prepare(frames)))))
+
+
 def test_nothing_gives_nothing(spark):
     frames = random_frames(spark, 11)
     none = frames.with_df(frames.df.limit(0))

@@ -417,6 +417,12 @@ _paths = """pa as (select *, string_split(url,'/') parts, string_split(url,'/')[
   string_split(url,'/')[4:] below from pages)"""
 
 
+ORACLES["record_vectors"] = """with v as (select vec_id, label, embedding, len(embedding) n from embeddings),
+c as (select vec_id, unnest(range(n)) k, unnest(embedding) x from v)
+select (vec_id // 10)::varchar file_label, vec_id, (k + 1)::int "at", 'v_' || k metric, qz(x, 6) "value" from c
+union all select (vec_id // 10)::varchar, vec_id, (n + 1)::int, 'label', label::double from v"""
+
+
 def _prefix_sql(parts: str) -> str:
     named = f"list_filter(case when len({parts})>1 then {parts}[2:] else {parts} end, lambda p: p<>'')"
     return f"""array_to_string(list_transform(case when len({named})>0 then {named} else {parts} end,

@@ -51,7 +51,7 @@ from jouleloom.plans.jobs import job_report, job_table
 from jouleloom.plans.segments import dataset_positions, numbered, prepare
 from jouleloom.session import new_folder, tune, written
 from jouleloom.sinks.tables import read_jobs
-from jouleloom.sources.datasets import TYPED_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray, samples_from_raw
+from jouleloom.sources.datasets import SHAPED_SCHEMA, TYPED_SCHEMA, dataset_catalog, frames_from_raw, normalize_ndarray, samples_from_raw
 from jouleloom.sources.files import (
     discover_union,
     drop_batch_files,
@@ -539,6 +539,27 @@ def landed_frames(spark, sf):
     )
 
 
+@query
+def record_vectors(spark, sf):
+    """Embeddings as records, ten to a chunk: the vector is one field with a shape, and each record gets a column of each part."""
+    vectors = table(spark, sf, "embeddings").withColumn("chunk", F.floor(F.col("vec_id") / 10))
+    chunks = vectors.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v")))).alias("r"))
+    raw = chunks.select(
+        F.col("chunk").cast("string").alias("file_label"),
+        F.array(F.lit("g"), F.lit("vectors")).alias("path_parts"),
+        F.lit("compound").alias("kind"),
+        F.array(F.lit(TIME), F.lit("v"), F.lit("label")).alias("field_names"),
+        F.array(F.size("r").cast("bigint")).alias("shape"),
+        F.lit(0).cast("bigint").alias("chunk_offset"),
+        F.create_map(F.lit("v"), F.flatten(F.transform("r", lambda x: x["v"]))).alias("fields"),
+        F.create_map(F.lit(TIME), F.transform("r", lambda x: x["vec_id"].cast("bigint")), F.lit("label"), F.transform("r", lambda x: x["label"].cast("bigint"))).alias("int_fields"),
+        F.create_map(F.lit("v"), F.array(F.size(F.col("r")[0]["v"]).cast("bigint"))).alias("field_shapes"),
+    )
+    none = spark.createDataFrame([], SHAPED_SCHEMA)
+    rows = samples_from_raw(none.unionByName(raw, allowMissingColumns=True))
+    return rounded(rows.select("file_label", F.col(TIME).alias("vec_id"), F.inline("cells")), 6)
+
+
 @query
 def table_names(spark, sf):
     return _paths(spark, sf).select("page_id", table_name(F.array_join("below", "/")).alias("table_name"))
