@@ -98,10 +98,10 @@ def sample_facts(samples: DataFrame) -> DataFrame:
 def usable_samples(samples: DataFrame, groups: str = "all") -> DataFrame:
     """Samples of the files, groups and datasets that are used; the same rules as for frames."""
     facts = written(sample_facts(samples), "sample-facts")
-    special = written(special_jobs(facts, groups, SEGMENT_ROWS).where("skip or size(drop) > 0").drop("long"), "special-samples")
+    special = special_jobs(facts, groups, SEGMENT_ROWS).where("skip or size(drop) > 0").drop("long")
     if special.isEmpty():
         return samples
-    rows = samples.join(special, JOB, "left").where(~F.coalesce(F.col("skip"), F.lit(False)))
+    rows = samples.join(written(special, "special-samples"), JOB, "left").where(~F.coalesce(F.col("skip"), F.lit(False)))
     return rows.where(~F.coalesce(F.array_contains("drop", F.col("prefix")), F.lit(False))).drop("skip", "drop")
 
 

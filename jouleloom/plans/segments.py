@@ -67,13 +67,14 @@ def prepare(
 ) -> Prepared:
     """Validate frames and decide how jobs are split."""
     facts = written(job_facts(frames), "job-facts")
-    special = written(special_jobs(facts, groups, segment_rows), "special-jobs")
+    special = special_jobs(facts, groups, segment_rows)
     found = special.agg(
         F.count(F.lit(1)).alias("jobs"), F.sum("long").alias("long"), F.count_if(F.size("drop") > 0).alias("drops")
     ).first()
     frames = truncate_time(frames)
     if not found["jobs"]:
         return Prepared(frames, facts=facts)
+    special = written(special, "special-jobs")
 
     rows = frames.df.join(special, JOB, "left").where(~F.coalesce(F.col("skip"), F.lit(False)))
     if found["drops"]:
