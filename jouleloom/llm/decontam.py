@@ -1,89 +1,132 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every document is scanned once for word n-grams of the benchmark. Around each hit the passage is kept, as
-numbers of benchmark words; nothing else of the document is needed any more. Every n-gram hit is a seed: it
-joins the passage to all items that have it, whatever the rest of the corpus holds. Of these pairs, those
-that share enough words to reach the threshold at all are scored by local alignment, which tolerates words
-that were exchanged, left out or put in.
+A block of the benchmark goes to all workers, so documents are read once, where they lie, and nothing of them is
+shuffled. A passage is what lies around word n-grams that the benchmark has, too. Its n-grams are seeds, the rarest
+in the benchmark first: a passage and an item make a pair on the rarest n-gram both have, once. Of these pairs, those that
+share enough words to reach the threshold at all are scored by local alignment, which tolerates words
+that were exchanged, left out or put in. What is found in a document does not depend on the other documents.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jouleloom.llm.common import OWN, row_key, small_batches
+from jouleloom.llm.common import OWN, small_batches
 from jouleloom.session import written
 
-#: Words of an n-gram.
+#: Words of an n-gram; a shorter item is an n-gram of its own, and one word alone is no item.
 SIZE = 4
+LEAST_WORDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The lowest threshold that can be asked for, and how far passages reach for it, in longest items.
 LEAST = 0.3
 REACH = 3
 #: Characters of benchmark text that are searched in one scan; a larger benchmark takes several.
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 8_000_000
 #: Cells in a row of the alignment tables of one batch of pairs.
 CELLS = 250_000
-#: Words that the passages around neighbouring hits may grow by before they are divided.
+#: Words that the passages around neighbouring hits may grow by before they are divided, and pairs that are aligned together.
 LONG = 10_000
+TOGETHER = 256
 
-WORD = re.compile(r"[^\W_]+")
+# Blocks of scripts written without spaces, whose characters count as words: Thai and Lao, Myanmar, Khmer, kana,
+# Chinese characters with their extensions.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(f"(?=[{UNSPACED}])[^\\W_]|[^\\W_{UNSPACED}]+")
 
 
 def words(text: str) -> list[str]:
-    """Lower-case runs of letters and digits."""
+    """Lower-case runs of letters and digits; of scripts without spaces every character."""
     return WORD.findall(text.lower())
 
 
-def gram_keys(numbers: np.ndarray, known: int) -> np.ndarray:
-    """A key for the SIZE words from every place on; `known` is the number of different words."""
-    n = len(numbers) - SIZE + 1
-    keys = np.zeros(max(n, 0), np.uint64)
-    for k in range(SIZE if n > 0 else 0):
+def gram_keys(numbers: np.ndarray, known: int, size: int = SIZE) -> np.ndarray:
+    """A key for the `size` words from every place on; `known` is the number of different words."""
+    n = len(numbers) - size + 1
+    keys = np.full(max(n, 0), size, np.uint64)
+    for k in range(size if n > 0 else 0):
         keys = keys * np.uint64(known + 1) + numbers[k : n + k].astype(np.uint64)
     keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return (keys ^ (keys >> np.uint64(29))).view(np.int64)
 
 
+def listed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, where the values of each begin, and the values; pairs that repeat count once."""
+    pairs = np.unique(np.stack([keys, values], axis=1), axis=0) if len(keys) else np.zeros((0, 2), np.int64)
+    found, first = np.unique(pairs[:, 0], return_index=True)
+    return found, np.append(first, len(pairs)), pairs[:, 1].astype(np.int32)
+
+
 class Items:
-    """A block of the benchmark: a number for each of its words, and the keys of its n-grams."""
+    """A block of the benchmark: a number for each of its words, which items have a word and an n-gram."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: Sequence[str]):
         cut = [words(t) for t in texts]
         self.numbers = {w: i for i, w in enumerate(sorted({w for c in cut for w in c}))}
         self.items = [np.array([self.numbers[w] for w in c], np.int32) for c in cut]
-        self.grams = [gram_keys(i, len(self.numbers)) for i in self.items]
-        self.keys = np.unique(np.concatenate([*self.grams, np.zeros(0, np.int64)]))
-        self.longest = max(map(len, self.items), default=0)
-
-
-def passages(text: str, numbers: dict[str, int], keys: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        self.lengths = np.array([len(i) for i in self.items], np.int64)
+        known = len(self.numbers)
+        grams = [gram_keys(i, known, min(SIZE, len(i))) if len(i) >= LEAST_WORDS else np.zeros(0, np.int64) for i in self.items]
+        none = np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
+        self.keys, self.begin, self.owners = listed(np.concatenate([*grams, none]), owner)
+        self.sizes = sorted({min(SIZE, len(i)) for i in self.items if len(i) >= LEAST_WORDS})
+        # Of every word the items that have it, and how often.
+        word = np.concatenate([*self.items, none]).astype(np.int64)
+        own = np.repeat(np.arange(len(texts)), self.lengths)
+        pairs, self.times = np.unique(np.stack([word, own], axis=1), axis=0, return_counts=True)
+        self.word_owners = pairs[:, 1].astype(np.int32)
+        self.word_begin = np.searchsorted(pairs[:, 0], np.arange(known + 1))
+        self.longest = int(self.lengths.max(initial=0))
+
+    def pairs(self, passage: np.ndarray, grams: np.ndarray, threshold: float) -> np.ndarray:
+        """The items that share an n-gram with a passage and have enough words in it, those on the rarest n-grams first."""
+        at = np.searchsorted(self.keys, grams)
+        rarest = at[np.argsort(self.begin[at + 1] - self.begin[at], kind="stable")]
+        met = np.concatenate([self.owners[self.begin[g] : self.begin[g + 1]] for g in rarest])
+        found, first = np.unique(met, return_index=True)
+        found = found[np.argsort(first)]
+        own = np.unique(passage[passage >= 0])
+        places = np.concatenate([np.arange(self.word_begin[w], self.word_begin[w + 1]) for w in own])
+        held = np.bincount(self.word_owners[places], self.times[places], minlength=len(self.items))[found]
+        need = np.where(self.lengths[found] < SIZE, self.lengths[found], threshold * self.lengths[found])
+        return found[held >= need]
+
+
+def passages(text: str, numbers: dict[str, int], keys: np.ndarray, reach: int, sizes: Sequence[int] = (SIZE,)) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first word, word numbers or -1, n-gram keys hit) of the passages of a text: `reach` words around hits.
 
     A text of n words gives at most about 2 n words of passages.
     """
     found = words(text)
     own = np.fromiter(map(numbers.get, found, [-1] * len(found)), np.int32, len(found))
-    n = len(own) - SIZE + 1
-    if n < 1:
-        return
     run = np.cumsum(np.concatenate(([0], own < 0)))
-    at = np.flatnonzero(run[SIZE:] == run[:n])
-    if not len(at):
+    hits = []
+    for size in sizes:
+        n = len(own) - size + 1
+        if n < 1:
+            continue
+        at = np.flatnonzero(run[size:] == run[:n])  # all words are known
+        if not len(at):
+            continue
+        grams = gram_keys(own, len(numbers), size)[at]
+        hit = keys[np.minimum(np.searchsorted(keys, grams), len(keys) - 1)] == grams
+        hits.append((at[hit], np.full(int(hit.sum()), size), grams[hit]))
+    if not hits:
         return
-    grams = gram_keys(own, len(numbers))[at]
-    place = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-    hit = keys[place] == grams
-    at, grams = at[hit], grams[hit]
+    at, size, grams = (np.concatenate(x) for x in zip(*hits, strict=True))
     if not len(at):
         return
-    starts, stops = np.maximum(at - reach, 0), np.minimum(at + SIZE + reach, len(own))
+    order = np.argsort(at, kind="stable")
+    at, size, grams = at[order], size[order], grams[order]
+    starts, stops = np.maximum(at - reach, 0), np.maximum.accumulate(np.minimum(at + size + reach, len(own)))
     first = np.flatnonzero(np.concatenate(([True], starts[1:] > stops[:-1])))
     overlap = 2 * reach + SIZE
     for i, j in zip(first, np.append(first[1:], len(at)), strict=True):
@@ -91,31 +134,11 @@ def passages(text: str, numbers: dict[str, int], keys: np.ndarray, reach: int) -
         # Long ones are divided and overlap by as much as lies around a hit.
         for a in range(begin, max(end - overlap, begin + 1), LONG):
             b = min(a + LONG + overlap, end)
-            inside = grams[i:j][(at[i:j] >= a) & (at[i:j] + SIZE <= b)]
+            inside = grams[i:j][(at[i:j] >= a) & (at[i:j] + size[i:j] <= b)]
             if len(inside):
                 yield a, own[a:b], np.unique(inside)
 
 
-def scan(docs: DataFrame, items: Items) -> DataFrame:
-    """(one, two, id, start, words, grams): the passages of `docs` (one, two, id, text).
-
-    REACH times the longest item on either side of a hit has room for all that an alignment can skip and
-    still score LEAST: with matches for 2 and gaps for 1 it spans less than 2 - LEAST + 1 items.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((items.numbers, items.keys, REACH * items.longest))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, keys, reach = shared.value
-        for b in batches:
-            out = []
-            for one, two, name, text in zip(b["one"], b["two"], b["id"], b["text"], strict=True):
-                if text:
-                    out += [(one, two, name, *p) for p in passages(text, numbers, keys, reach)]
-            yield pd.DataFrame(out, columns=["one", "two", "id", "start", "words", "grams"])
-
-    return docs.mapInPandas(search, "one bigint, two bigint, id string, start bigint, words array<int>, grams array<bigint>")
-
-
 def align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int]]:
     """Best local alignment of each (passage, item): score, and the passage's words [start, stop) in it.
 
@@ -162,35 +185,48 @@ def _align_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int,
     return [(int(b >> 32), int(low - (b & low)), int(s)) if b else (0, 0, 0) for b, s in zip(best, stop, strict=True)]
 
 
-def enough(passage: np.ndarray, item: np.ndarray, threshold: float) -> bool:
-    """Whether so many words of the item occur in the passage that their alignment can reach the threshold."""
-    return np.isin(item, passage).sum() / len(item) >= threshold
+def found_in(text: str | None, items: Items, threshold: float) -> list[tuple[int, int, float, int, int]]:
+    """(item, its words, score, start, stop) of the items in a text: of each the best place, of equal ones the first.
 
+    REACH times the longest item on either side of a hit has room for all that an alignment can skip and
+    still score LEAST: with matches for 2 and gaps for 1 it spans less than 2 - LEAST + 1 items. Items of fewer than
+    SIZE words count only whole.
+    """
+    best: dict[int, tuple[float, int, int]] = {}
+    waiting: list[tuple[int, np.ndarray, int]] = []
 
-def aligned(found: DataFrame, block: DataFrame, threshold: float) -> DataFrame:
-    """(one, two, id, item, n_words, score, start, stop) of the passages and items that share an n-gram.
+    def score() -> None:
+        for (start, _, item), (points, x, y) in zip(waiting, align([(p, items.items[i]) for _, p, i in waiting]), strict=True):
+            n = int(items.lengths[item])
+            value = points / (MATCH * n)
+            if value >= (threshold if n >= SIZE else 1.0):
+                place = (value, -(start + x), start + y)
+                best[item] = max(best.get(item, place), place)
+        waiting.clear()
+
+    if text and len(items.keys):
+        for start, passage, grams in passages(text, items.numbers, items.keys, REACH * items.longest, items.sizes):
+            for item in items.pairs(passage, grams, threshold):
+                waiting.append((start, passage, int(item)))
+                if len(waiting) >= TOGETHER:
+                    score()
+        score()
+    return [(item, int(items.lengths[item]), value, -back, stop) for item, (value, back, stop) in sorted(best.items())]
 
-    `found` is a written `scan`, `block` has item (number), numbers (of its words) and grams, also written.
-    Pairs that can't reach `threshold` may be left out.
-    """
-    hits = found.select("one", "two", "start", F.explode("grams").alias("gram"))
-    grams = block.select("item", F.explode("grams").alias("gram")).distinct()
-    pairs = hits.join(grams, "gram").select("one", "two", "start", "item").distinct()
-    pairs = pairs.join(found.drop("grams"), ["one", "two", "start"]).join(block.select("item", "numbers"), "item")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b[np.array([enough(p, i, threshold) for p, i in zip(b["words"], b["numbers"], strict=True)], bool)]
-            best = align(list(zip(b["words"], b["numbers"], strict=True)))
-            out = b[["one", "two", "id", "item"]].copy()
-            out["n_words"] = [len(i) for i in b["numbers"]]
-            out["score"] = [s for s, _, _ in best]
-            out["start"] = b["start"] + np.array([x for _, x, _ in best], np.int64)
-            out["stop"] = b["start"] + np.array([x for _, _, x in best], np.int64)
-            yield out
-
-    schema = "one bigint, two bigint, id string, item bigint, n_words bigint, score bigint, start bigint, stop bigint"
-    return pairs.select("one", "two", "id", "item", "start", "words", "numbers").mapInPandas(score, schema)
+
+FOUND = "array<struct<item:bigint,n_words:bigint,score:double,start:bigint,stop:bigint>>"
+
+
+def found_column(spark: SparkSession, items: Items, threshold: float, text: Column) -> Column:
+    """What `found_in` finds in a text column."""
+    shared = spark.sparkContext.broadcast(items)
+
+    @F.pandas_udf(FOUND)
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([found_in(t, shared.value, threshold) for t in texts], dtype=object)
+
+    return search.asNondeterministic()(text)
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list]:
@@ -202,56 +238,42 @@ def blocks(benchmark: DataFrame) -> Iterator[list]:
         yield part.collect()
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float, item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(one, two, id, item, n_words, score, start, stop) of documents and items that align well.
-
-    `docs` has the keys one and two, id (as a string) and text. The score is that of the best local
-    alignment as a part of an item copied whole; at `threshold` or more, LEAST at least, it counts. Items of
-    fewer than SIZE words are not searched for, and neither null items nor null texts match anything. Copies
-    of an item (id and text) are one item.
-    """
+def known_items(benchmark: DataFrame, item: str, item_text: str, threshold: float) -> DataFrame:
     if threshold < LEAST:
         raise ValueError(f"passages are kept for scores of {LEAST} or more")
-    spark = docs.sparkSession
-    small_batches(spark)
-    known = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), F.col(item_text).alias("text")).distinct()
-    kind = known.schema["item"].dataType.simpleString()
-    out = None
-    for rows in blocks(known):
-        items = Items([r["text"] for r in rows])
-        parts = [(i, n.tolist(), g.tolist()) for i, (n, g) in enumerate(zip(items.items, items.grams, strict=True)) if len(g)]
-        block = written(spark.createDataFrame(parts, "item bigint, numbers array<int>, grams array<bigint>"), "benchmark-block")
-        names = spark.createDataFrame([(i, r["item"]) for i, r in enumerate(rows)], f"item bigint, name {kind}")
-        found = written(scan(docs, items), "benchmark-passages")
-        scored = aligned(found, block, threshold).withColumn("score", F.col("score") / (MATCH * F.col("n_words")))
-        place = F.struct("score", (-F.col("start")).alias("back"), "stop", "n_words", "id")
-        best = scored.where(F.col("score") >= threshold).groupBy("one", "two", "item").agg(F.max(place).alias("best"))
-        part = best.join(names, "item").select(
-            "one", "two", "best.id", F.col("name").alias("item"), "best.n_words", "best.score", (-F.col("best.back")).alias("start"), "best.stop"
-        )
-        part = written(part, "benchmark-matches")
-        out = part if out is None else out.union(part)
-    return out
-
-
-def keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
-    names = row_key(id_column, text, salt=1).alias("one"), row_key(id_column, text, salt=2).alias("two")
-    return df.select(*names, F.col(f"`{id_column}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
+    return benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), F.col(item_text).alias("text")).distinct()
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = 0.4, id_column: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item, n_words, score, start, stop): documents that hold a benchmark item, and where (words, from 0).
 
-    See `matches`. Rows that agree in id and text come out once per item. Other columns are not read. Empty
+    The score is that of the best local alignment as a part of an item copied whole; at `threshold` or more,
+    LEAST at least, it counts. Items of two or three words count only if they are copied whole; items of one word
+    are not searched for, and neither null items nor null texts match anything. Copies of an item (id and text)
+    are one item, and rows that agree in id and text come out once per item. Other columns are not read. Empty
     tables, of documents or of items, give an empty one.
     """
-    found = matches(keyed(df, id_column, text), benchmark, threshold, item, item_text)
-    return found.withColumn("id", F.col("id").cast(df.schema[id_column].dataType)).drop("one", "two")
+    spark = df.sparkSession
+    small_batches(spark)
+    known = known_items(benchmark, item, item_text, threshold)
+    kind = known.schema["item"].dataType.simpleString()
+    parts = []
+    for rows in blocks(known):
+        names = spark.createDataFrame([(i, r["item"]) for i, r in enumerate(rows)], f"number bigint, item {kind}")
+        found = df.select(F.col(f"`{id_column}`").alias("id"), found_column(spark, Items([r["text"] for r in rows]), threshold, F.col(f"`{text}`")).alias("found"))
+        # Matches are few; they are written so that documents are searched once.
+        each = written(found.select("id", F.inline("found")).distinct(), "benchmark-matches")
+        parts.append(each.withColumnRenamed("item", "number").join(names, "number").select("id", "item", "n_words", "score", "start", "stop"))
+    return reduce(DataFrame.union, parts)
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, threshold: float = 0.4, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df`, all columns as they are, that hold no benchmark item; see `matches`."""
-    one, two = OWN + "one", OWN + "two"
-    found = matches(keyed(df, id_column, text), benchmark, threshold).select(F.col("one").alias(one), F.col("two").alias(two)).distinct()
-    named = df.withColumns({one: row_key(id_column, text, salt=1), two: row_key(id_column, text, salt=2)})
-    return named.join(found.hint("shuffle_hash"), [one, two], "left_anti").drop(one, two)
+    """The rows of `df`, all columns as they are, that hold no benchmark item; see `leaks`. Nothing is shuffled."""
+    spark = df.sparkSession
+    small_batches(spark)
+    out = OWN + "found"
+    kept = df
+    for rows in blocks(known_items(benchmark, "item_id", "text", threshold)):
+        kept = kept.withColumn(out, found_column(spark, Items([r["text"] for r in rows]), threshold, F.col(f"`{text}`")))
+        kept = kept.where(F.size(out) == 0).drop(out)
+    return kept

@@ -152,7 +152,9 @@ def near_duplicates(docs, size=3, bits=2):
 
 
 def words(text):
-    return re.findall(r"[^\W_]+", text.lower())
+    """Runs of letters and digits; Chinese characters, kana and Thai letters one by one."""
+    alone = lambda c: "\u3040" <= c <= "\u30ff" or "\u4e00" <= c <= "\u9fff" or "\u0e00" <= c <= "\u0eff"
+    return [w for run in re.findall(r"[^\W_]+", text.lower()) for w in "".join(f" {c} " if alone(c) else c for c in run).split()]
 
 
 def smith_waterman(a, b, match=2, mismatch=-1, gap=-1):
@@ -172,8 +174,8 @@ def leaks(docs, items, threshold=0.4):
         found = words(text or "")
         for i, of in items:
             item = words(of or "")
-            if len(item) >= 4:
+            if len(item) >= 2:
                 score = smith_waterman(found, item) / (2 * len(item))
-                if score >= threshold:
+                if score >= (threshold if len(item) >= 4 else 1):
                     out[d, i] = score
     return out

@@ -70,6 +70,44 @@ def test_edited_copies_beside_exact_ones(spark, every):
     assert len(got) == 8 and got == pytest.approx(brute.leaks(docs, items))
 
 
+def test_scripts_without_spaces_and_short_items(spark):
+    rng = random.Random(12)
+    signs = "日月火水木金土山川田人口車門雨電気学校先生時間東西南北春夏秋冬犬猫鳥魚花草"
+    chinese = lambda n: "".join(rng.choice(signs) for _ in range(n))
+    items = [(0, chinese(30)), (1, "ก" + "".join(rng.choice("กขคงจฉชซ") for _ in range(24))), (2, "three word item"), (3, "two tokens"), (4, "single"), (5, chinese(3)), (6, "mixed 東京 text of 大阪")]
+    edited = "".join("空" if k % 9 == 4 else c for k, c in enumerate(items[0][1]))
+    docs = [
+        (0, chinese(200) + "。" + items[0][1] + chinese(50)), (1, chinese(90) + edited), (2, "x " + items[1][1] + " y"), (3, "a Three, word ITEM here"), (4, "three word and item"), (5, "of two tokens"),
+        (6, "two other tokens"), (7, "single"), (8, "犬" + items[5][1] + "猫"), (9, "so mixed 東京 text of 大阪 it is"), (10, chinese(400)), (11, "plain words only, nothing of it"),
+    ]
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["id"], r["item"]): r["score"] for r in decontam.leaks(*frames).collect()}
+    assert {(0, 0), (1, 0), (2, 1), (3, 2), (5, 3), (8, 5), (9, 6)} <= set(got) and not {d for d, _ in got} & {4, 6, 7, 11}
+    assert got == pytest.approx(brute.leaks(docs, items))
+    assert {r["doc_id"] for r in decontam.decontaminate(*frames).collect()} == {d for d, _ in docs} - {d for d, _ in got}
+
+
+def test_a_pair_is_made_once_on_its_rarest_ngram():
+    """A phrase of all items makes no pair that has not the words for it, and the rarest n-gram leads."""
+    phrase = "which of the following is"
+    items = decontam.Items([f"{phrase} " + " ".join(f"w{i}x{k}" for k in range(20)) for i in range(200)])
+    text = "so " + phrase + " " + " ".join(f"w7x{k}" for k in range(6, 18))
+    ((_, passage, grams),) = decontam.passages(text, items.numbers, items.keys, 100)
+    assert len(grams) > 8 and items.pairs(passage, grams, 0.4).tolist() == [7]
+    common = decontam.passages("now " + phrase + " true", items.numbers, items.keys, 100)
+    ((_, passage, grams),) = common
+    assert items.pairs(passage, grams, 0.4).tolist() == [] and len(items.pairs(passage, grams, 0.1)) == 200
+    two = decontam.Items([f"{phrase} {x}" for x in ("one more", "another one")])
+    ((_, passage, grams),) = decontam.passages(phrase + " another one", two.numbers, two.keys, 9)
+    assert two.pairs(passage, grams, 0.3).tolist() == [1, 0]
+
+
+def test_nothing_of_the_documents_is_shuffled(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string")
+    left = decontam.decontaminate(docs, spark.createDataFrame([(1, "a b c d e")], "item_id bigint, text string"))
+    assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString() and left.count() == 0
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     rng = random.Random(9)
     items = [(i, " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 9)) for _ in range(20))) for i in range(9)]
