@@ -168,7 +168,8 @@ def dedup_lines(df: DataFrame, min_chars: int = 100, id_column: str = "doc_id",
     keyed = df.withColumns({one: row_key(id_column, text, salt=1), two: row_key(id_column, text, salt=2)})
     docs = keyed.select(F.col(id_column).alias("order"), F.col(one).alias("one"), F.col(two).alias("two"), F.col(text).alias("text"))
     runs = later_runs(docs, min_chars).select(F.col("one").alias(one), F.col("two").alias(two), F.col("runs").alias("deleted"))
-    joined = keyed.join(runs.hint("shuffle_hash"), [one, two], "left").drop(one, two)
+    # Written, so that its size is known: texts stay where they are unless the list of runs is large.
+    joined = keyed.join(written(runs, "deleted-runs"), [one, two], "left").drop(one, two)
     lines, number = F.split(F.col(text), "\n", -1), F.size(F.split(F.col(text), "\n", -1)).cast("bigint")
     starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("deleted", lambda r: r["stop"]))
     stops = F.concat(F.transform("deleted", lambda r: r["start"]), F.array(number))

@@ -1,17 +1,19 @@
 """SimHash near-duplicates through an inverted index of byte positions with count filtering.
 
 A fingerprint of 64 bits is eight bytes at eight positions. Two fingerprints that differ in at most d bits
-differ in at most d bytes, so they share at least 8 - d positional bytes: the guaranteed minimum. The index
-lists fingerprints under every choice of that many positional bytes; two fingerprints reach the minimum
-exactly if they meet in a list. Lists by single bytes would hold 1/256 of the corpus and pairs would grow
-with its square; here a list can hold only what differs in the d bytes left free. Pairs are tallied over
-the lists and verified by their bit distance.
+differ in at most d bytes, so they share at least 8 - d positional bytes: the guaranteed minimum. Lists by single
+bytes would hold 1/256 of the corpus each and pairs would grow with its square, so the index has a list
+for every choice of 8 - d positions: two fingerprints that share m bytes meet in as many lists as there are choices
+out of m. Pairs are tallied over the lists, the tally gives the bytes they share, and those that reach the
+minimum are verified by their bit distance. Members of a list differ in d bytes only; in a list of more than
+CROWD of them each asks for the fingerprints it is near to instead of being paired with all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -73,14 +75,46 @@ def masks(max_bits: int) -> list[int]:
     return out
 
 
-def links(fingerprints: DataFrame, max_bits: int, column: str = "fingerprint") -> DataFrame:
-    """(a, b, lists, distance) of all pairs a < b of the distinct `fingerprints` at `max_bits` bits or fewer."""
-    own = F.col(column)
+#: Members of a list up to which all of its pairs are made.
+CROWD = 512
+
+
+def tallied(fingerprints: DataFrame, max_bits: int, column: str = "fingerprint") -> DataFrame:
+    """(a, b, lists) of the pairs a < b of distinct `fingerprints` that meet in the index, and in how many lists."""
+    spark, own = fingerprints.sparkSession, F.col(column)
+    at = ["choice", "bytes"]
     choices = F.array(*[F.struct(F.lit(i).alias("choice"), own.bitwiseAND(F.lit(m)).alias("bytes")) for i, m in enumerate(masks(max_bits))])
     postings = fingerprints.select(own.alias("a"), F.explode(choices).alias("posting")).select("a", "posting.*")
+    # Most lists have one member; they end here.
+    sizes = postings.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(postings.join(sizes, at), "simhash-lists")
+    few = shared.where(F.col("n") <= CROWD).drop("n")
+    met = few.join(few.withColumnRenamed("a", "b"), at).where("a < b").select("a", "b")
+    many = shared.where(F.col("n") > CROWD)
+    if not many.isEmpty():
+        near = spark.createDataFrame([(i, m) for i, free in enumerate(combinations(range(8), max_bits)) for m in variants(free, max_bits)], "choice int, mask bigint")
+        asked = many.join(near, "choice").select("a", F.col("a").bitwiseXOR(F.col("mask")).alias("b")).where("a < b")
+        met = met.union(asked.join(fingerprints.select(own.alias("b")), "b").select("a", "b"))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists"))
+
+
+def variants(free: tuple[int, ...], max_bits: int) -> list[int]:
+    """Signed masks of up to `max_bits` bits within the bytes `free`."""
+    places = [8 * (7 - byte) + bit for byte in free for bit in range(8)]
+    some = (c for k in range(1, max_bits + 1) for c in combinations(places, k))
+    return [int.from_bytes(sum(1 << p for p in c).to_bytes(8, "big"), "big", signed=True) for c in some]
+
+
+def links(fingerprints: DataFrame, max_bits: int, column: str = "fingerprint") -> DataFrame:
+    """(a, b, shared, distance) of all pairs a < b of the distinct `fingerprints` at `max_bits` bits or fewer."""
+    least = 8 - max_bits
+    # The bytes that as many lists stand for; pairs out of crowded lists may meet in fewer than all of theirs.
+    shared = F.lit(0)
+    for m in range(least, 8):
+        shared = F.when(F.col("lists") >= comb(m, least), m).otherwise(shared)
+    counted = tallied(fingerprints, max_bits, column).withColumn("shared", shared).where(F.col("shared") >= least)
     differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    met = postings.join(postings.withColumnRenamed("a", "b"), ["choice", "bytes"]).where((F.col("a") < F.col("b")) & (differ <= max_bits))
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists")).withColumn("distance", differ)
+    return counted.withColumn("distance", differ).where(F.col("distance") <= max_bits).select("a", "b", "shared", "distance")
 
 
 def near_duplicates(df: DataFrame, size: int = 3, max_bits: int = 2, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -118,6 +152,12 @@ def one_of_each(df: DataFrame, size: int = 3, max_bits: int = 2, id_column: str
     keyed = df.withColumns({one: row_key(*df.columns, salt=1), two: row_key(*df.columns, salt=2)})
     key = F.struct(F.col(id_column).isNotNull(), F.col(id_column), one, two).alias("key")
     rows = keyed.select(fingerprint(F.col(text), size).alias("fingerprint"), one, two, key)
-    grouped = _grouped(written(rows, "simhash-rows"), max_bits, "key", "first")
-    stay = grouped.where("key <=> first").select(one, two).distinct()
-    return keyed.join(stay.hint("shuffle_hash"), [one, two]).dropDuplicates([one, two]).drop(one, two)
+    rows = written(rows, "simhash-rows")
+    grouped = _grouped(rows, max_bits, "key", "first")
+    # Texts stay where they are unless these lists of keys are large.
+    gone = written(grouped.where("NOT (key <=> first)").select(one, two).distinct(), "simhash-gone")
+    twice = written(rows.groupBy(one, two).agg(F.count(F.lit(1)).alias(OWN + "n")).where(F.col(OWN + "n") > 1).select(one, two), "simhash-twice")
+    stay = keyed.join(gone, [one, two], "left_anti")
+    if not twice.isEmpty():
+        stay = stay.join(twice, [one, two], "left_anti").union(stay.join(twice, [one, two], "left_semi").dropDuplicates([one, two]))
+    return stay.drop(one, two)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jouleloom.llm import simhash
+from jouleloom.session import written
 from jouleloom.llm.components import components
 from jouleloom.llm.queries import REGISTRY
 from tests.llm import brute
@@ -57,3 +58,33 @@ def test_nulls_repeats_clashes_and_no_rows(spark):
     again = simhash.one_of_each(df.where("doc_id = 9")).collect()
     assert len(again) == 1
     assert simhash.one_of_each(df.limit(0)).count() == 0
+
+
+def flipped(x, bits):
+    for b in bits:
+        x ^= 1 << b
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+@pytest.mark.parametrize("crowd", [512, 3])
+def test_tally_filters_candidates_and_crowded_lists_lose_nothing(spark, monkeypatch, crowd):
+    """Candidates share six bytes or more; of those only pairs at two bits stay, out of small and crowded lists."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng = random.Random(3)
+    prints = {flipped(rng.getrandbits(64), []) for _ in range(300)}
+    base = rng.getrandbits(64)
+    prints |= {flipped(base, [rng.randrange(8), 8 + rng.randrange(8)]) for _ in range(60)} | {flipped(base, rng.sample(range(64), 2)) for _ in range(60)} | {flipped(base, [3, 4, 5, 6])}
+    df = written(spark.createDataFrame([(p,) for p in prints], "fingerprint bigint"), "prints")
+    ordered = sorted(prints)
+    pairs = [(a, b) for i, a in enumerate(ordered) for b in ordered[i + 1 :]]
+    shared = {p: sum(x == y for x, y in zip(*(v.to_bytes(8, "big", signed=True) for v in p), strict=True)) for p in pairs}
+    near = {(a, b) for a, b in pairs if ((a ^ b) & (2**64 - 1)).bit_count() <= 2}
+    got = {(r["a"], r["b"]): r for r in simhash.links(df, 2).collect()}
+    assert set(got) == near and all(r["distance"] == ((a ^ b) & (2**64 - 1)).bit_count() for (a, b), r in got.items())
+    candidates = {(r["a"], r["b"]): r["lists"] for r in simhash.tallied(df, 2).collect()}
+    assert near <= set(candidates) <= {p for p in pairs if shared[p] >= 6}
+    if crowd == 512:
+        assert set(candidates) == {p for p in pairs if shared[p] >= 6} and len(candidates) > len(near)
+        assert all(n == {6: 1, 7: 7}[shared[p]] for p, n in candidates.items()) and all(r["shared"] == shared[p] for p, r in got.items())
+    else:
+        assert len(candidates) < sum(s >= 6 for s in shared.values())
