@@ -7,7 +7,7 @@ windows, all of which are scored, and their probabilities are averaged by the le
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +29,9 @@ EPOCHS = 4
 BATCH = 64
 RATE = 0.004
 
+#: Windows that are scored together.
+TOGETHER = 1024
+
 UNKNOWN = "und"
 
 
@@ -88,37 +91,43 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Of the mean cross entropy, by filters, bias, dense weights and dense bias. They reach a filter only where its
+    largest response was."""
+    column = np.arange(net.filters[0].shape[2])
+    places, best = [], []
+    for r in net.responses(x):
+        at = r.argmax(axis=1)
+        places.append(at)
+        best.append(np.take_along_axis(r, at[:, None, :], axis=1)[:, 0, :])
+    raw = np.concatenate(best, axis=1) + net.bias
+    hidden = np.maximum(raw, 0)
+    error = softmax(hidden @ net.dense + net.dense_bias)
+    error[np.arange(len(x)), y] -= 1
+    error /= len(x)
+    back = (error @ net.dense.T) * (raw > 0)
+    grads = [np.zeros_like(w) for w in net.filters]
+    for j, (grad, at) in enumerate(zip(grads, places, strict=True)):
+        own = back[:, j * len(column) : (j + 1) * len(column)]
+        for k in range(len(grad)):
+            seen = np.take_along_axis(x, at + k, axis=1)
+            np.add.at(grad[k], (seen, np.broadcast_to(column, seen.shape)), own)
+    return [*grads, back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
+
+
 def fit(rows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 7) -> Network:
-    """Train by Adam on the cross entropy. Gradients reach a filter only where its largest response was."""
+    """Train by Adam on the cross entropy."""
     rng = np.random.default_rng(seed)
     filters = [rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS]
     size = FILTERS * len(WIDTHS)
     net = Network(languages, filters, np.zeros(size, np.float32), rng.normal(0, 0.1, (size, len(languages))).astype(np.float32), np.zeros(len(languages), np.float32))
     weights = [*net.filters, net.bias, net.dense, net.dense_bias]
     first, second = ([np.zeros_like(w) for w in weights] for _ in range(2))
-    step, column = 0, np.arange(FILTERS)
+    step = 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
-            x, y = rows[order[i : i + BATCH]], labels[order[i : i + BATCH]]
-            places, best = [], []
-            for r in net.responses(x):
-                at = r.argmax(axis=1)
-                places.append(at)
-                best.append(np.take_along_axis(r, at[:, None, :], axis=1)[:, 0, :])
-            raw = np.concatenate(best, axis=1) + net.bias
-            hidden = np.maximum(raw, 0)
-            error = softmax(hidden @ net.dense + net.dense_bias)
-            error[np.arange(len(x)), y] -= 1
-            error /= len(x)
-            back = (error @ net.dense.T) * (raw > 0)
-            grads = [np.zeros_like(w) for w in net.filters]
-            for j, (grad, at) in enumerate(zip(grads, places, strict=True)):
-                own = back[:, j * FILTERS : (j + 1) * FILTERS]
-                for k in range(len(grad)):
-                    seen = np.take_along_axis(x, at + k, axis=1)
-                    np.add.at(grad[k], (seen, np.broadcast_to(column, seen.shape)), own)
-            grads += [back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
+            grads = gradients(net, rows[order[i : i + BATCH]], labels[order[i : i + BATCH]])
             step += 1
             for w, g, m, v in zip(weights, grads, first, second, strict=True):
                 m += 0.1 * (g - m)
@@ -155,8 +164,9 @@ def labelled_windows(df: DataFrame, text: str, lang: str, per_language: int = SA
             yield pd.DataFrame(out, columns=["lang", "place", "bytes"])
 
     bound = 2 * per_language * len(languages) * SAMPLE_WINDOWS
-    got = drawn.mapInPandas(some, "lang string, place bigint, bytes binary").dropDuplicates().limit(bound).toPandas()
-    got = got.sort_values(["place", "lang", "bytes"], kind="stable")
+    # In order, so that a run over the bound takes the same windows; each task keeps no more than the bound.
+    drawn = drawn.mapInPandas(some, "lang string, place bigint, bytes binary").dropDuplicates()
+    got = drawn.orderBy("place", "lang", "bytes").limit(bound).toPandas()
     rows = np.frombuffer(b"".join(got["bytes"]), np.uint8).reshape(len(got), -1)
     number = {name: i for i, name in enumerate(languages)}
     return rows, got["lang"].map(number).to_numpy(np.int64), languages
@@ -171,15 +181,35 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", per_language: i
 
 def identify(net: Network, text: str | None) -> tuple[str, float]:
     """The language of a text and its probability; UNKNOWN and 0 without a letter or a language to choose."""
-    if not text or not net.languages or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
-    rows = windows(text)
-    if not len(rows):
-        return UNKNOWN, 0.0
-    weight = (rows[:, :WINDOW] != 32).sum(axis=1)
-    mean = (net.probabilities(rows) * weight[:, None]).sum(axis=0) / weight.sum()
-    best = int(mean.argmax())
-    return net.languages[best], float(min(1.0, mean[best]))
+    return identify_all(net, [text])[0]
+
+
+def identify_all(net: Network, texts: Sequence[str | None]) -> list[tuple[str, float]]:
+    """`identify` of several texts, whose windows are scored together, TOGETHER at once or those of one long text."""
+    out = [(UNKNOWN, 0.0)] * len(texts)
+    waiting: list[tuple[int, np.ndarray]] = []
+
+    def score() -> None:
+        rows = np.concatenate([r for _, r in waiting])
+        weight = (rows[:, :WINDOW] != 32).sum(axis=1)
+        begin = np.cumsum([0, *(len(r) for _, r in waiting[:-1])])
+        sums = np.add.reduceat(net.probabilities(rows) * weight[:, None], begin)
+        mean = sums / np.add.reduceat(weight, begin)[:, None]
+        for (i, _), own in zip(waiting, mean, strict=True):
+            best = int(own.argmax())
+            out[i] = net.languages[best], float(min(1.0, own[best]))
+        waiting.clear()
+
+    for i, text in enumerate(texts):
+        if text and net.languages and any(map(str.isalpha, text)):
+            rows = windows(text)
+            if len(rows):
+                waiting.append((i, rows))
+                if sum(len(r) for _, r in waiting) >= TOGETHER:
+                    score()
+    if waiting:
+        score()
+    return out
 
 
 def predict(text: Column, net: Network, spark) -> Column:
@@ -190,7 +220,7 @@ def predict(text: Column, net: Network, spark) -> Column:
     def identified(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Network(*parts.value)
         for texts in batches:
-            yield pd.DataFrame([identify(own, t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame(identify_all(own, texts.tolist()), columns=["lang_pred", "score"])
 
     return identified.asNondeterministic()(text)
 

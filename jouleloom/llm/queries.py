@@ -153,8 +153,9 @@ def op7_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op8_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    """A null doc_id counts as empty text, whose remainder is 0: such documents are held out."""
     docs = table(spark, sf, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     net = langid.train(docs.where(~held_out))
     return langid.identify_language(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
