@@ -1,8 +1,9 @@
 """Token counts and token ids of whole texts, in Arrow batches.
 
-Long texts are cut at safe boundaries: before a single space between two ASCII letters. The byte-level
-pattern of the tokenizer ends a word there whatever stands around it, so the ids of a text are the ids of
-its parts in order. Parts go to the tokenizer in batches of about equal bytes.
+Long texts are cut at safe boundaries: before a single space between two ASCII letters, and between East Asian
+punctuation and the character after it. The byte-level pattern of the tokenizer ends a word there whatever
+stands around it, so the ids of a text are the ids of its parts in order. Parts go to the tokenizer in batches
+of equal bytes.
 """
 
 from __future__ import annotations
@@ -14,15 +15,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from jouleloom.llm.common import small_batches
 
-SAFE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
-#: Characters of a part, and of the parts in one batch.
+SAFE = re.compile("(?<=[A-Za-z])(?= [A-Za-z])|(?<=[、。！，：；？])(?=[一-鿿ぁ-ゖァ-ヺ])")
+#: Characters of a part, and bytes of the parts in one batch, about.
 PART = 1 << 15
 BATCH = 1 << 18
 
@@ -32,12 +32,12 @@ PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 BOUNDARY = re.compile(r"(?<=[^ \t-\r])(?=[ \t-\r])")
 #: White space beyond ASCII, which may be one token with what follows.
 WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Pieces, and words, that a task remembers at most; a memo only saves work.
-MEMO = 400_000
+#: About how many bytes of pieces and counts a task remembers, and characters of a piece that is remembered.
+MEMO = 64 << 20
+SHORT = 32
 
 # Fixed value: the pattern of the byte-level tokenizer, which splits a text before merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD = regex.compile(PATTERN)
 
 
 def parts_of(text: str, size: int = PART) -> list[str]:
@@ -52,6 +52,21 @@ def parts_of(text: str, size: int = PART) -> list[str]:
     return [*out, text[start:]]
 
 
+def batches(parts: list[str]) -> Iterator[list[str]]:
+    """`parts` in order, in as few runs as BATCH bytes allow, which share the bytes equally but for longer parts."""
+    sizes = [len(p.encode()) for p in parts]
+    total = sum(sizes)
+    share = total / max(1, -(-total // BATCH))
+    start, given, made = 0, 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and given + n / 2 > share * (made + 1):
+            yield parts[start:i]
+            start, made = i, made + 1
+        given += n
+    if start < len(parts):
+        yield parts[start:]
+
+
 class Tokens:
     """The tokenizer of a file: tokenizers for .json, sentencepiece for .model. Nothing is added or cut off."""
 
@@ -70,7 +85,6 @@ class Tokens:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.merge = tokenizer.model.tokenize
         encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         self.encode = lambda texts: [e.ids for e in encode(texts)]
         self.count = lambda texts: list(map(len, encode(texts)))  # ids never become Python objects
@@ -105,17 +119,8 @@ class Tokens:
         yield from self.batch(waiting, what)
 
     def batch(self, texts: list[list[str]], what: Callable[[list[str]], list]) -> Iterator[list]:
-        """The parts of some texts, encoded together in runs of at most about BATCH characters."""
-        parts = [p for t in texts for p in t]
-        made: list = []
-        start = 0
-        while start < len(parts):
-            end, size = start, 0
-            while end < len(parts) and (size == 0 or size + len(parts[end]) <= BATCH):
-                size += len(parts[end])
-                end += 1
-            made += what(parts[start:end])
-            start = end
+        """The parts of some texts, encoded together."""
+        made = [x for some in batches([p for t in texts for p in t]) for x in what(some)]
         at = 0
         for t in texts:
             yield made[at : at + len(t)]
@@ -123,65 +128,64 @@ class Tokens:
 
 
 class Lengths:
-    """Token counts of texts by a byte-level tokenizer, its work shared among the texts of a task.
+    """Token counts of texts by a byte-level tokenizer: batch encoding, of each piece once as long as it is remembered.
 
     A piece is a run of ASCII white space and the run of other characters after it: where it begins is a
     safe boundary, as no token reaches from a non-space character into the space that follows, and the
-    pattern looks at nothing to the left. Pieces repeat, so each is counted once: it is cut into words by
-    the tokenizer's pattern and the words are merged by the tokenizer's model. Pieces that hold a special
-    string or other than PLAIN characters are encoded whole, and texts with other white space go to `Tokens`,
-    as do all texts of other tokenizers.
+    pattern looks at nothing to the left. Short pieces repeat; those that came up in the current or last half of MEMO bytes
+    are not encoded again. All others, and the parts of long ones, go to the tokenizer in batches of equal
+    bytes, as do texts with other white space and all texts of other tokenizers.
     """
 
     def __init__(self, path: str):
         self.tokens = Tokens(path)
-        self.letters = byte_letters()
-        self.pieces: dict[str, int] = {}
-        self.words: dict[str, int] = {}
+        self.recent: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.held = 0
 
     def of(self, texts: list[str | None]) -> list[int]:
+        out = [0] * len(texts)
         if not self.tokens.byte_level:
             return self.tokens.lengths(texts)
-        out = [0 if not t else None if WIDE.search(t) else self.text(t) for t in texts]
-        open_ = [i for i, n in enumerate(out) if n is None]
-        for i, n in zip(open_, self.tokens.lengths([texts[i] for i in open_]), strict=True):
+        whole = [i for i, t in enumerate(texts) if t and WIDE.search(t)]
+        for i, n in zip(whole, self.tokens.lengths([texts[i] for i in whole]), strict=True):
             out[i] = n
+        apart = set(whole)
+        waiting: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for a, b in self.blocks(text) if text and i not in apart else ():
+                waiting.append((i, PIECE.findall(text, a, b)))
+                size += b - a
+                if size >= BATCH:
+                    self.add(waiting, out)
+                    waiting, size = [], 0
+        self.add(waiting, out)
         return out
 
-    def text(self, text: str) -> int:
-        """A text in blocks of about BATCH characters, cut between pieces."""
-        total, start = 0, 0
+    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
+        """Places that cut a text between pieces into blocks of about BATCH characters."""
+        start = 0
         while start < len(text):
             stop = BOUNDARY.search(text, start + BATCH) if len(text) - start > BATCH else None
             end = stop.start() if stop else len(text)
-            total += self.block(PIECE.findall(text, start, end))
+            yield start, end
             start = end
-        return total
-
-    def block(self, pieces: list[str]) -> int:
-        if len(self.pieces) > MEMO:
-            self.pieces.clear()
-        if len(self.words) > MEMO:
-            self.words.clear()
-        known = list(map(self.pieces.get, pieces))
-        for i in [i for i, n in enumerate(known) if n is None]:
-            known[i] = self.pieces.get(pieces[i]) or self.piece(pieces[i])
-        return sum(known)
-
-    def piece(self, piece: str) -> int:
-        if PLAIN.fullmatch(piece) and not any(x in piece for x in self.tokens.special):
-            found = sum(self.words.get(w) or self.word(w) for w in WORD.findall(piece))
-        else:
-            found = self.tokens.lengths([piece])[0]
-        self.pieces[piece] = found
-        return found
-
-    def word(self, word: str) -> int:
-        found = self.words[word] = len(self.merge_of(word))
-        return found
-
-    def merge_of(self, word: str) -> list:
-        return self.tokens.merge(word.encode().decode("latin-1").translate(self.letters))
+
+    def add(self, waiting: list[tuple[int, list[str]]], out: list[int]) -> None:
+        """Add the counts of the pieces of some blocks to those of their texts."""
+        known = [list(map(self.recent.get, pieces)) for _, pieces in waiting]
+        fresh = {p: self.older.get(p) for (_, pieces), ns in zip(waiting, known, strict=True) if None in ns for p, n in zip(pieces, ns, strict=True) if n is None}
+        new = [p for p, n in fresh.items() if n is None]
+        fresh.update(zip(new, self.tokens.lengths(new), strict=True))
+        for (i, pieces), ns in zip(waiting, known, strict=True):
+            out[i] += sum(fresh[p] if n is None else n for p, n in zip(pieces, ns, strict=True)) if None in ns else sum(ns)
+        for p, n in fresh.items():
+            if len(p) <= SHORT:
+                if self.held > MEMO // 2:
+                    self.recent, self.older, self.held = {}, self.recent, 0
+                self.recent[p] = n
+                self.held += 150 + len(p)  # a string and its place in the dictionary; counts are small numbers
 
 
 class PlainIds:

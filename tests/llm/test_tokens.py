@@ -48,6 +48,32 @@ def test_counts_do_not_depend_on_blocks_and_memo(library, monkeypatch):
     assert tokens.Lengths(vocabulary()).of(texts) == [len(e) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_batches_share_the_bytes():
+    rng = random.Random(3)
+    parts = [rng.choice("aé日") * rng.randint(1, 3000) for _ in range(2000)]
+    got = list(tokens.batches(parts))
+    sizes = [sum(len(p.encode()) for p in b) for b in got]
+    assert [p for b in got for p in b] == parts and len(got) == -(-sum(sizes) // tokens.BATCH)
+    assert max(sizes) - min(sizes) <= 2 * 9000 and max(sizes) <= tokens.BATCH + 9000
+    assert list(tokens.batches([])) == [] and list(tokens.batches(["x" * 10**6, "y"])) == [["x" * 10**6], ["y"]]
+
+
+def test_memory_is_bounded_by_bytes(library, monkeypatch):
+    """Text without white space is cut at its punctuation, and what is remembered stays within its bytes."""
+    monkeypatch.setattr(tokens, "MEMO", 300_000)
+    rng = random.Random(4)
+    signs = [chr(c) for c in range(0x4E00, 0x5600)]
+    paragraphs = ["".join(rng.choices(signs, k=rng.randint(5, 40))) + rng.choice("。，！") for _ in range(3000)]
+    text, counter = "".join(paragraphs), tokens.Lengths(vocabulary())
+    parts = tokens.parts_of(text, 1000)
+    assert "".join(parts) == text and max(map(len, parts)) < 1100
+    want = len(library.encode(text, add_special_tokens=False))
+    words = [" ".join(f"{rng.choice(signs)}{rng.randint(0, 10**9)}" for _ in range(400)) for _ in range(60)]
+    assert counter.of([text, None, *words]) == [want, 0, *(len(e) for e in library.encode_batch(words, add_special_tokens=False))]
+    for memo in (counter.recent, counter.older):
+        assert memo and sum(150 + len(p) for p in memo) < 300_000 and max(map(len, memo)) <= tokens.SHORT
+
+
 def test_long_texts_are_cut_where_it_is_safe():
     text = "word and, word\n" * 10_000
     parts = tokens.parts_of(text, 1000)
