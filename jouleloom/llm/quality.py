@@ -19,14 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jouleloom.llm.common import OWN, small_batches
+from jouleloom.operators.describe import values_at_ranks
 from jouleloom.session import written
 
 #: Bytes in the longest n-gram; eight at most, as an n-gram is kept in a long.
 ORDER = 5
 #: Bits of the hash of language and n-gram that tell model entries apart.
 SLOT_BITS = 62
-#: A model of more entries, of eight bytes and up to four for the directory, is not sent to the workers.
-BROADCAST = 1 << 24
+#: A model of more entries, of eight bytes and up to four for the directory, is not sent to the workers: about as many as
+#: half a GB of text gives, which is what time and memory were measured with.
+BROADCAST = 1 << 22
 #: Bytes of text whose n-grams are looked up together by joins, but for a longer text; and model entries packed at once.
 PART_BYTES = 8 << 20
 PIECE = 1 << 16
@@ -442,16 +444,25 @@ def scored(df: DataFrame, entries: list, text: str, lang: str, out: str) -> Data
     return df.withColumn(out, score.asNondeterministic()(F.coalesce(F.col(lang), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
 
 
+def medians(rows: DataFrame, column: Column) -> DataFrame:
+    """(lang, v): the exact median of each language, of an even number the lower one of the two in the middle."""
+    values = written(rows.groupBy("lang", column.alias("v")).agg(F.count(F.lit(1)).alias("rows")), "quality-values")
+    counted = values.groupBy("lang").agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("values"))
+    targets = counted.select("lang", F.lit("median").alias("name"), F.floor((F.col("n") - 1) / 2).alias("rank"), "values")
+    return values_at_ranks(values, written(targets, "quality-targets"), ["lang"]).select("lang", "v")
+
+
 def bands(rows: DataFrame) -> DataFrame:
     """(lang, middle, scale) of the log perplexity: the median, and the median deviation of one word.
 
-    `rows` has lang, n_words and log_perplexity of the documents that the other rules keep.
+    `rows` has lang, n_words and log_perplexity of the documents that the other rules keep. Both are exact, so that a
+    verdict at the edge of a band does not depend on the order in which tasks end.
     """
     known = rows.where("log_perplexity IS NOT NULL")
-    middle = written(known.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle")), "quality-medians")
+    middle = written(medians(known, F.col("log_perplexity")).withColumnRenamed("v", "middle"), "quality-medians")
     away = F.abs(F.col("log_perplexity") - F.col("middle")) * F.sqrt("n_words")
-    spread = known.join(middle, "lang").groupBy("lang", "middle").agg(F.percentile_approx(away, 0.5, 10_000).alias("scale"))
-    return written(spread, "quality-bands")
+    scale = medians(known.join(middle, "lang"), away).withColumnRenamed("v", "scale")
+    return written(middle.join(scale, "lang"), "quality-bands")
 
 
 def quality(df: DataFrame, keep: list[str] | None = None, text: str = "text", lang: str = "lang", out: str = "quality", width: float = 5.0, least: float = 0.3) -> DataFrame:
