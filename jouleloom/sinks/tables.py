@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jouleloom.functions.text import table_name
 from jouleloom.keys import JOB, TIME
 from jouleloom.session import new_folder
 from jouleloom.sinks.registry import BUCKET, Registry, conformed, read_registry, write_registry
@@ -92,26 +92,31 @@ def write_job_jdbc(df: DataFrame, label: str, url: str, schema: str | None = Non
     return write_jobs_jdbc(df.where(F.col("file_label") == label), [label], url, schema, **options)[0]
 
 
-def write_jobs_jdbc(df: DataFrame, labels: Sequence[str], url: str, schema: str | None = None, **options: str) -> list[str]:
+def write_jobs_jdbc(df: DataFrame, labels: Sequence[str], url: str, schema: str | None = None, at_once: int = 8, **options: str) -> list[str]:
     """Replace the tables of the listed jobs in a database, one table each; returns their names.
 
-    The plan of `df` runs once: it is written by job, and every table is loaded from its job's partition.
+    The plan of `df` runs once: it is written by job, and every table is loaded from its job's partition, `at_once` tables
+    side by side, so that the cluster is not idle between small ones and the database not flooded.
     """
     spark = df.sparkSession
     folder = new_folder(spark, "jdbc")
     write_jobs(df.where(F.col("file_label").isin(*labels)), folder)
     written_jobs = read_jobs(spark, folder)
-    names = job_table_names(spark, labels)
-    for label, name in zip(labels, names, strict=True):
+
+    def load(label: str) -> str:
+        name = job_table_name(label)
         target = f'"{schema}"."{name}"' if schema else f'"{name}"'
         rows = written_jobs.where(F.col("file_label") == label).drop(*JOB)
         rows.write.format("jdbc").mode("overwrite").options(url=url, dbtable=target, **options).save()
-    return names
+        return name
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(load, labels))
 
 
-def job_table_names(spark: SparkSession, labels: Sequence[str]) -> list[str]:
-    names = F.array(*[table_name(F.lit(label)) for label in labels])
-    return spark.range(1).select(names.alias("names")).first()["names"]
+def job_table_name(label: str) -> str:
+    """What `table_name` makes of a label, without a job."""
+    return "job_" + label.replace("/", "_")
 
 
 def register_jobs(df: DataFrame, view: str = "jobs") -> DataFrame:

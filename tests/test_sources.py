@@ -5,13 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jouleloom.functions.text import table_name
 from jouleloom.keys import TIME
 from jouleloom.operators import describe
 from jouleloom.operators.describe import describe_columns
 from jouleloom.session import written
 from jouleloom.plans.jobs import job_profile, job_report, job_table
 from jouleloom.sinks.reports import write_report
-from jouleloom.sinks.tables import register_jobs, write_job_jdbc, write_jobs
+from jouleloom.sinks.tables import register_jobs, write_job_jdbc, write_jobs, write_jobs_jdbc
 from jouleloom.sources.datasets import RAW_SCHEMA, TYPED_SCHEMA, dataset_catalog, dataset_columns, frames_from_raw, normalize_ndarray
 from jouleloom.sources.containers import SIGNATURE
 from jouleloom.sources.files import (
@@ -185,6 +186,11 @@ def test_jdbc_table_is_replaced(spark):
         table_of_job = job_table(stack({"Energy": energy(spark, "1_a", power)})).select("file_label", "group_name", TIME, "NodePower")
         name = write_job_jdbc(table_of_job, "1_a", url, **options)
     assert name == "job_1_a"
+    many = job_table(stack({"Energy": energy(spark, "x/1", 3.0).unionByName(energy(spark, "y", 4.0))})).select("file_label", "group_name", TIME, "NodePower")
+    names = write_jobs_jdbc(many, ["y", "x/1"], url, **options)
+    assert names == ["job_y", "job_x_1"] == [r[0] for r in spark.createDataFrame([("y",), ("x/1",)], "l string").select(table_name(F.col("l"))).collect()]
+    for n, power in zip(names, (4.0, 3.0), strict=True):
+        assert {r[1] for r in spark.read.format("jdbc").options(url=url, dbtable=f'"{n}"', **options).load().collect()} == {power}
     read = spark.read.format("jdbc").options(url=url, dbtable=f'"{name}"', **options).load()
     assert [r[1] for r in read.collect()] == [9.0, 9.0]
 
