@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jouleloom.keys import JOB
@@ -29,6 +29,9 @@ class Report:
     prices: DataFrame | None
     cost: DataFrame | None
     counts: DataFrame
+    #: Files that have no part in it, with the reason; rows and columns of the combined table, observed while it was written.
+    quarantine: DataFrame
+    observed: dict[str, int]
 
 
 @dataclass(frozen=True)
@@ -90,8 +93,10 @@ def job_report(
     All parts start from the same wide rows, priced if there are prices, which are computed and written
     once. `prices` are those that cover the time of each job, `counts` the size of its combined table.
     """
-    profile = job_profile(frames, groups, segment_rows)
-    profile = profile.with_df(written(priced(profile.df, prices), "profile"))
+    prepared, seen = prepare(frames, groups, segment_rows), Observation("combined")
+    profile = profile_of(prepared)
+    rows = priced(profile.df, prices).observe(seen, F.count(F.lit(1)).alias("rows"))
+    profile = profile.with_df(written(rows, "profile"))
     combined = profile.visible()
     metrics = job_metrics(profile.df.where(has_energy_data(profile)))
     has_cost = "Cumulative_cost_EUR" in combined.columns
@@ -103,6 +108,8 @@ def job_report(
         prices=covering_prices(combined, prices) if has_cost else None,
         cost=job_cost(combined) if has_cost else None,
         counts=table_counts(stats),
+        quarantine=rejected_files(prepared.facts, groups == "first"),
+        observed={"rows": seen.get["rows"], "columns": len(combined.columns)},
     )
 
 

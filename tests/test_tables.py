@@ -205,6 +205,13 @@ def test_reports_are_one_named_file_per_job(spark, tmp_path):
         assert [r["Metric"] for r in csv.DictReader(f)][:2] == ["Energy-to-solution", "Time-to-solution"]
 
 
+def test_reports_tell_what_was_written_and_what_was_left_out(spark):
+    jobs = frame(spark, POWER, [(0.0, 5.0), (3.0, 5.0)], "1_a").unionByName(frame(spark, POWER, [(-1.0, 5.0)], "2_b")).unionByName(frame(spark, POWER, [(0.0, 0.0)], "3_c"))
+    report = job_report(stack({"Energy": jobs}))
+    assert report.observed == {"rows": report.combined.count(), "columns": len(report.combined.columns)} and report.observed["rows"] == 2
+    assert sorted(map(tuple, report.quarantine.collect())) == [("2_b", "invalid_elapsed"), ("3_c", "no_usable_data")]
+
+
 def test_nothing_is_visible_before_all_files_are_made(spark, tmp_path):
     spark.dataSource.register(NamedFiles)
     part = tmp_path / "part"
