@@ -32,6 +32,8 @@ BROADCAST = 1 << 22
 #: Bytes of text whose n-grams are looked up together by joins, but for a longer text; and model entries packed at once.
 PART_BYTES = 8 << 20
 PIECE = 1 << 16
+#: Different perplexities of a language that one task ranks at most.
+RANKED = 1 << 20
 #: n-grams that a task collects before it hands on what it has.
 FLUSH = 1_000_000
 #: Bytes of text whose n-grams are in memory at once, but for a longer text; and n-grams looked up at once.
@@ -333,12 +335,13 @@ def layout(tables: list[tuple[DataFrame, DataFrame]], counts: list[int]) -> list
             parts.append(t.toDF("lang", "key", "value").withColumn("array", F.lit(2 * k + is_context)).withColumn("bits", bits))
     found = reduce(DataFrame.union, parts).mapInPandas(slots, "array int, slot bigint, piece bigint, value double")
     packed = found.groupBy("array", "piece").applyInPandas(pack, "array int, piece bigint, slots binary, values binary")
-    got = sorted(packed.collect(), key=lambda r: (r["array"], r["piece"]))
+    got: dict[int, list] = {i: [] for i in range(2 * ORDER)}
+    for r in packed.collect():
+        got[r["array"]].append((r["piece"], bytes(r["slots"]), bytes(r["values"])))
     entries = []
-    for i in range(2 * ORDER):
-        own = [r for r in got if r["array"] == i]
-        joined = [np.frombuffer(b"".join(bytes(r[name]) for r in own), kind) for name, kind in (("slots", "<u8"), ("values", "<f4"))]
-        entries.append(sorted_hash_array(*joined))
+    for i in range(2 * ORDER):  # what came from the executors goes as soon as its array is there
+        own = sorted(got.pop(i))
+        entries.append(sorted_hash_array(np.frombuffer(b"".join(s for _, s, _ in own), "<u8"), np.frombuffer(b"".join(v for _, _, v in own), "<f4")))
     return entries
 
 
@@ -449,7 +452,7 @@ def medians(rows: DataFrame, column: Column) -> DataFrame:
     values = written(rows.groupBy("lang", column.alias("v")).agg(F.count(F.lit(1)).alias("rows")), "quality-values")
     counted = values.groupBy("lang").agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("values"))
     targets = counted.select("lang", F.lit("median").alias("name"), F.floor((F.col("n") - 1) / 2).alias("rank"), "values")
-    return values_at_ranks(values, written(targets, "quality-targets"), ["lang"]).select("lang", "v")
+    return values_at_ranks(values, written(targets, "quality-targets"), ["lang"], RANKED).select("lang", "v")
 
 
 def bands(rows: DataFrame) -> DataFrame:

@@ -107,9 +107,7 @@ def test_query_equals_brute_force(spark, sf):
 
 
 def test_medians_are_exact(spark, monkeypatch):
-    from jouleloom.operators import describe
-
-    monkeypatch.setattr(describe, "RANKED", 50)
+    monkeypatch.setattr(quality, "RANKED", 50)
     rng = random.Random(5)
     rows = [(k, rng.choice([rng.random(), 0.25])) for k in ("a", "b", None) for _ in range({"a": 2001, "b": 400, None: 1}[k])]
     df = spark.createDataFrame([(k or "", v) for k, v in rows], "lang string, x double")
