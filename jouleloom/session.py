@@ -102,7 +102,7 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return system.exists(path)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts lineage so that a lost executor never recomputes it, and gives Catalyst the real size in
@@ -112,5 +112,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
