@@ -5,17 +5,19 @@ one to four bytes, little-endian without leading zeros; the lengths of four rank
 control byte, and all control bytes of a block come before its data bytes. A reader looks up the four lengths
 of a control byte in a table and so finds where each rank begins without looking at the data.
 
-A block, all numbers little-endian:
-
-    magic "FRB1", int64 documents n, int64 control bytes, int64 data bytes
-    per document: int64[n] ids, uint8[n] whether the id is null, int64[n] first token in the corpus,
-        int64[n] tokens of the whole document, int64[n] tokens before those in this block, int64[n] tokens here
+A folder holds `ranks` (the ids in the order of their ranks) and `blocks`, files of blocks in ascending order of
+document ids. Blocks belong to parts, which are numbered in that order; the last block of a part is followed by
+the number of its tokens. The header of a block is big-endian, the lists are little-endian:
+
+    magic "FRB1", int32 part, int64 first token in the part, int64 documents n, int64 control bytes, int64 data bytes
+    per document: int64[n] ids, uint8[n] whether the id is null, int64[n] first token in the part (a document that
+        goes on from another block began there), int64[n] tokens of the whole document, int64[n] tokens before
+        those in this block, int64[n] tokens here
     control bytes: four ranks each; every document begins a new one
     data bytes
     uint32 CRC-32 of all of the above, line feed
 
-A folder holds `ranks` (the ids in the order of their ranks) and `blocks`, files of blocks in ascending order
-of document ids. A document too large for a block goes on in the next ones.
+    after a part: magic "FRBE", int32 part, int64 tokens, line feed
 """
 
 from __future__ import annotations
@@ -25,59 +27,71 @@ import os
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jouleloom.llm.common import OWN, small_batches
-from jouleloom.llm.tokens import PLAIN, SAFE
+from jouleloom.llm.common import small_batches
+from jouleloom.llm.tokens import SAFE, byte_letters
 from jouleloom.session import written
 
 #: Tokens in one row, about; tokens of a block, after which it is closed; blocks in a file at most.
 ROW_TOKENS = 1 << 16
 BLOCK_TOKENS = 1 << 18
 FILE_BLOCKS = 64
+#: Tokens that are coded at once, which bounds the memory, and rows from which the parts are found.
+GROUP_TOKENS = 1 << 19
+SAMPLE = 100_000
 
-MAGIC = b"FRB1"
-HEAD = "<4sqqq"
-HEAD_SIZE = struct.calcsize(HEAD)
+MAGIC, PART_END = b"FRB1", b"FRBE"
+HEAD, TAIL = ">4siqqqq", ">4siq"
+HEAD_SIZE, TAIL_SIZE = struct.calcsize(HEAD), struct.calcsize(TAIL)
 END = b"\n"
 
 #: Ranks up to which a number of bytes reaches, and the four lengths of every control byte.
 LIMITS = np.array([1 << 8, 1 << 16, 1 << 24], np.uint32)
-SHIFTS = np.array([0, 2, 4, 6], np.uint8)
-CONTROL_LENGTHS = ((np.arange(256)[:, None] >> SHIFTS) & 3) + 1
+CONTROL_LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 #: What of four bytes belongs to a rank of that length.
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
-# A normalizer and a splitter that drop white space, so that it never matters to what stands beside it.
+# A normalizer and a splitter that drop white space, so that it never matters to what stands beside it,
+# and the mark of a word's end.
 SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
-
-#: Characters of a piece that a worker remembers, about how many bytes its memo holds, and characters in a batch for the library.
-SHORT = 24
-MEMO_BYTES = 96 << 20
+WORD_END = "</w>"
+
+# White space, letters, numbers and other characters that all versions of Unicode and both lower-casings treat
+# alike: ASCII, Latin-1, Latin Extended-A without the dotted capital I, and Cyrillic.
+SPACES, LETTERS, NUMBERS = "\t-\r ", "A-Za-zªµºÀ-ÖØ-öø-įı-žЀ-џ", "0-9²³¹¼½¾"
+OTHERS = "!-/:-@\\[-`{-~¡-©«-±´¶-¸»¿×÷"
+PLAIN = re.compile(f"[{SPACES}{LETTERS}{NUMBERS}{OTHERS}]*")
+#: What a space is put around: numbers, runs of other characters, and pieces with an apostrophe, which are cut by SPLITS.
+APART = re.compile(f"[{OTHERS}]+|[{NUMBERS}]")
+APOSTROPHE = re.compile(rf"(?<!\S)[^{SPACES}']*+'\S*|{APART.pattern}")
+WORD = regex.compile(SPLITS)
+#: Texts with a word of more bytes are left to the library.
+LONG = 400
+#: Characters in a batch for the library.
 BATCH = 1 << 18
 
 
-class Encoder:
-    """Ids of texts (little-endian unsigned 32 bits) by a file of the library `tokenizers`, nothing added.
+class Vocabulary:
+    """A file of the library `tokenizers`, and whether words can be merged outside of it.
 
-    Where the file drops white space, pieces of PLAIN characters between it are looked up in a memo before the
-    library is asked; it holds what came up in its current or last half of MEMO_BYTES. Other texts are cut at spaces between letters and go to the library in batches of
-    about BATCH characters, as do all texts, uncut, of files that don't drop white space.
+    Texts can be cut at white space if the file drops it, by NORMALIZERS and SPLITS. The library merges the pair of symbols
+    whose merge stands first; another public encoder merges the pair whose bytes together have the lowest rank. With
+    ranks in the order of merges both do the same if each entry, cut by the merges before its own alone, comes
+    to the two symbols of its own merge: then no other two symbols that make it up ever stand beside each other when
+    its turn comes. `ranks` is None if that does not hold for every entry.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task, as Spark counts cores
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         first = ((said["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
@@ -86,66 +100,121 @@ class Encoder:
         self.apart = (
             (said["normalizer"] or {}).get("normalizers") == NORMALIZERS
             and first.get("pattern") == {"Regex": SPLITS}
-            and first.get("behavior") == "Removed"
+            and (first.get("behavior"), first.get("invert")) == ("Removed", True)
             and said["post_processor"] is None
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in added)
         )
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
+        model = said["model"]
+        self.size = max([*model.get("vocab", {"": 0}).values(), *(t["id"] for t in added)]) + 1
+        self.ranks, self.ids = self.merge_ranks(model) if self.apart else (None, None)
+
+    @staticmethod
+    def merge_ranks(model: dict) -> tuple[dict[bytes, int] | None, np.ndarray | None]:
+        """Bytes of every entry to a rank in the order of merges, and the id of every rank; a space marks a word's end."""
+        if model.get("type") != "BPE" or model.get("end_of_word_suffix") != WORD_END or any(
+            model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges", "byte_fallback")
+        ):
+            return None, None
+        vocabulary = model["vocab"]
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        letters = byte_letters()
+        single = [letters[b] for b in range(256)]
+        # Ends of words are merged first, as the library begins with them.
+        order = [c + WORD_END for c in single] + single + [a + b for a, b in merges]
+        if len(set(order)) != len(order) or not set(order) <= set(vocabulary):
+            return None, None
+        place = {m: i for i, m in enumerate(merges)}
+        if any(cut_by(a + b, place, i) != [a, b] for i, (a, b) in enumerate(merges)):
+            return None, None
+        byte_of = {c: b for b, c in letters.items()}
+
+        def raw(name: str) -> bytes:
+            stem = name.removesuffix(WORD_END)
+            return bytes(byte_of[c] for c in stem) + (b" " if name != stem else b"")
+
+        return {raw(name): i for i, name in enumerate(order)}, np.array([vocabulary[n] for n in order], np.uint32)
+
+
+def cut_by(name: str, place: dict[tuple[str, str], int], below: int) -> list[str]:
+    """The symbols of an entry after all merges that stand before `below`."""
+    stem = name.removesuffix(WORD_END)
+    parts = list(stem)
+    if name != stem:
+        parts[-1] += WORD_END
+    while len(parts) > 1:
+        at = [place.get(pair, below) for pair in zip(parts, parts[1:], strict=False)]
+        least = min(at)
+        if least >= below:
+            break
+        i = at.index(least)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
 
-    def library(self, parts: list[str]) -> list[bytes]:
-        """Every part by itself, in batches of about BATCH characters."""
-        out: list[bytes] = []
+class Encoder:
+    """Ids of texts by a vocabulary (little-endian unsigned 32 bits), nothing added.
+
+    Words of texts of PLAIN characters are merged by the other encoder where that does the same. Other texts are cut at
+    spaces between letters and go to the library in batches of about BATCH characters, as do all texts, uncut, of files that
+    don't drop white space.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.known = vocabulary
+        self.tokenizer = None
+        self.quick = None
+        if vocabulary.ranks:
+            import tiktoken
+
+            self.quick = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=vocabulary.ranks, special_tokens={})
+
+    def library(self, parts: list[str]) -> bytes:
+        """The ids of parts one after the other, encoded in batches of about BATCH characters."""
+        if self.tokenizer is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task, as Spark counts cores
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.known.path)
+            self.tokenizer.no_truncation()
+            self.tokenizer.no_padding()
+        out = []
         start = 0
         while start < len(parts):
             end, size = start, 0
             while end < len(parts) and (size == 0 or size + len(parts[end]) <= BATCH):
                 size += len(parts[end])
                 end += 1
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(parts[start:end], add_special_tokens=False)]
-            out += [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts[start:end], add_special_tokens=False)]
             start = end
-        return out
-
-    def of(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            if not text:
-                yield b""
-            elif not self.apart:
-                yield self.library([text])[0]
-            elif PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-                yield b"".join(self.pieces(p) for p in cut(text, BATCH, SPACE))
-            else:
-                yield b"".join(self.library(list(cut(text, BATCH // 8, SAFE))))
-
-    def pieces(self, text: str) -> bytes:
-        of = text.split()
-        known = list(map(self.memo.get, of))
-        if None in known:
-            fresh = dict.fromkeys(p for p, ids in zip(of, known, strict=True) if ids is None)
-            fresh.update((p, self.older[p]) for p in self.older.keys() & fresh.keys())
-            new = [p for p, ids in fresh.items() if ids is None]
-            fresh.update(zip(new, self.library(new), strict=True))
-            known = [fresh[p] if ids is None else ids for p, ids in zip(of, known, strict=True)]
-            if self.held > MEMO_BYTES // 2:
-                self.memo, self.older, self.held = {}, self.memo, 0
-            for p, ids in fresh.items():
-                if len(p) <= SHORT:
-                    self.memo[p] = ids
-                    self.held += 200 + len(ids)  # a string, bytes and their place in the dictionary
-        return b"".join(known)
-
-
-def encoder_of(path: str) -> Encoder:
-    """One encoder a worker and file. Workers are used again by later tasks, but this package travels to them by
-    value, anew for every task; so it is kept with the library's module."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_jouleloom_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+        return b"".join(out)
+
+    def of(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if not self.known.apart:
+            return self.library([text])
+        if self.quick and PLAIN.fullmatch(text) and not any(s in text for s in self.known.special):
+            parts = [spaced(p) for p in cut(text, BATCH, SPACE)]
+            if all(longest(p) <= LONG for p in parts):
+                ranks = [self.quick.encode_to_numpy(p, disallowed_special=()) for p in parts]
+                return self.known.ids[np.concatenate(ranks)].astype("<u4").tobytes()
+        return self.library(list(cut(text, BATCH // 8, SAFE)))
+
+
+def spaced(text: str) -> str:
+    """The words that SPLITS finds in a text of PLAIN characters, spaces after each and maybe more around them."""
+    text = text.lower()
+    for c in "\t\n\x0b\x0c\r":
+        text = text.replace(c, " ")
+    if "'" in text:
+        return APOSTROPHE.sub(lambda m: f" {' '.join(WORD.findall(m[0])) if "'" in m[0] else m[0]} ", text) + " "
+    return APART.sub(r" \g<0> ", text) + " "
+
+
+def longest(text: str) -> int:
+    """Bytes in the longest word of a text that ends with a space."""
+    spaces = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32)
+    return int(np.diff(spaces, prepend=-1).max()) - 1
 
 
 SPACE = re.compile(r"(?=[ \t-\r])")
@@ -164,45 +233,55 @@ def cut(text: str, size: int, where: re.Pattern) -> Iterator[str]:
 
 
 def encode_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes, np.ndarray, np.ndarray]:
-    """Control and data bytes of the ranks of some documents one after the other, and how many each has of both."""
-    ranks = np.ascontiguousarray(ranks, "<u4")
-    sizes = np.searchsorted(LIMITS, ranks, "right") + 1
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < sizes[:, None]]
+    """Control and data bytes of the ranks of some documents one after the other, and how many each has of both.
+
+    Every document has one rank at least.
+    """
+    widest = width(int(ranks.max(initial=0)))
+    sizes = np.ones(len(ranks), np.uint8)
+    for limit in LIMITS[: widest - 1]:
+        sizes += ranks >= limit
+    kept = np.ascontiguousarray(ranks, "<u2" if widest <= 2 else "<u4")
+    data = kept.view(np.uint8).reshape(len(ranks), -1)
+    data = data[np.arange(data.shape[1], dtype=np.uint8) < sizes[:, None]]
     controls = -(-counts // 4)
     slots = np.zeros(4 * int(controls.sum()), np.uint8)
-    slots[slot_places(counts, controls)] = sizes - 1
-    joined = np.bitwise_or.reduce(slots.reshape(-1, 4) << SHIFTS, axis=1)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return joined.astype(np.uint8).tobytes(), data.tobytes(), controls, np.bincount(owner, sizes, minlength=len(counts)).astype(np.int64)
+    slots[slot_places(counts, controls)] = sizes - np.uint8(1)
+    four = slots.reshape(-1, 4)
+    joined = four[:, 0] | four[:, 1] << np.uint8(2) | four[:, 2] << np.uint8(4) | four[:, 3] << np.uint8(6)
+    own = np.add.reduceat(sizes, np.cumsum(counts) - counts, dtype=np.int64) if len(counts) else counts
+    return joined.tobytes(), data.tobytes(), controls, own
+
+
+def width(rank: int) -> int:
+    """Bytes that a rank takes."""
+    return 1 + int((LIMITS <= rank).sum())
 
 
 def slot_places(counts: np.ndarray, controls: np.ndarray) -> np.ndarray:
     """Where the ranks lie among the slots of the control bytes, four each; a document's last ones may be empty."""
-    firsts = 4 * (np.cumsum(controls) - controls)
-    return np.repeat(firsts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+    empty = 4 * controls - counts
+    return np.arange(int(counts.sum())) + np.repeat(np.cumsum(empty) - empty, counts)
 
 
 def decode_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
-    """The ranks of all documents of a block: lengths by table, places by their sum, four bytes each, masked."""
+    """The ranks of all documents of a block: lengths by table, places by their sum, as many bytes as the longest, masked."""
     controls = -(-counts // 4)
     sizes = CONTROL_LENGTHS[np.frombuffer(control, np.uint8)].ravel()[slot_places(counts, controls)]
-    at = np.cumsum(sizes) - sizes
+    at = np.cumsum(sizes, dtype=np.int64) - sizes
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    four = raw[at].astype(np.uint32)
-    for k in (1, 2, 3):
-        four |= raw[at + k].astype(np.uint32) << np.uint32(8 * k)
-    return four & MASKS[sizes]
+    ranks = raw[at].astype(np.uint32)
+    for k in range(1, int(sizes.max(initial=1))):
+        ranks |= raw[k:][at].astype(np.uint32) << np.uint32(8 * k)
+    return ranks & MASKS[sizes]
 
 
-def pack_block(docs: list[tuple], control: list[bytes], data: list[bytes]) -> bytes:
-    """A block without the CRC; `docs` are (id, first token, tokens in all, tokens before, tokens here)."""
+def pack_block(part: int, first: int, docs: list[tuple], control: list[bytes], data: list[bytes]) -> bytes:
+    """A block; `docs` are (id, first token, tokens in all, tokens before, tokens here)."""
     ids, starts, totals, before, here = zip(*docs, strict=True)
     lists = [np.array([i or 0 for i in ids], "<i8"), np.array([i is None for i in ids], np.uint8), *(np.array(x, "<i8") for x in (starts, totals, before, here))]
-    body, tail = b"".join(control), b"".join(data)
-    return b"".join([struct.pack(HEAD, MAGIC, len(docs), len(body), len(tail)), *(x.tobytes() for x in lists), body, tail])
-
-
-def sealed(block: bytes) -> bytes:
+    sizes = len(docs), sum(map(len, control)), sum(map(len, data))
+    block = b"".join([struct.pack(HEAD, MAGIC, part, first, *sizes), *(x.tobytes() for x in lists), *control, *data])
     return block + struct.pack("<I", zlib.crc32(block))
 
 
@@ -210,7 +289,10 @@ def blocks_of(content: bytes) -> Iterator[tuple[dict[str, np.ndarray], bytes, by
     """(lists per document, control bytes, data bytes) of the blocks of a file; an error if one is damaged."""
     at = 0
     while at < len(content):
-        magic, n, controls, size = struct.unpack_from(HEAD, content, at)
+        if content[at : at + 4] == PART_END:
+            at += TAIL_SIZE + len(END)
+            continue
+        magic, _, _, n, controls, size = struct.unpack_from(HEAD, content, at)
         stop = at + HEAD_SIZE + 41 * n + controls + size
         if magic != MAGIC or struct.unpack_from("<I", content, stop)[0] != zlib.crc32(memoryview(content)[at:stop]):
             raise ValueError(f"damaged block at byte {at}")
@@ -223,47 +305,86 @@ def blocks_of(content: bytes) -> Iterator[tuple[dict[str, np.ndarray], bytes, by
         at = stop + 4 + len(END)
 
 
-def token_rows(df: DataFrame, path: str, end_id: int, id_column: str, text: str) -> DataFrame:
-    """(id, mark, piece, n, total, ids): the tokens of every row, in pieces of ROW_TOKENS at most."""
-    last = end_id.to_bytes(4, "little")
+TOKEN_ROWS = "id bigint, hash bigint, mark bigint, part int, piece bigint, n bigint, total bigint, ids binary"
+
+
+def token_rows(df: DataFrame, vocabulary: Vocabulary, end_id: int, bounds: list[tuple]) -> DataFrame:
+    """TOKEN_ROWS: the tokens of every row of `keyed`, in pieces of ROW_TOKENS at most, and a row of counts of each task.
+
+    Ids take two bytes if all of the vocabulary do. Rows of counts have piece -1 and, as ids, those that occur and how
+    often, as long integers.
+    """
+    kind = id_type(vocabulary, end_id)
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(vocabulary)
+        total = np.zeros(max(vocabulary.size, end_id + 1), np.int64)
+        last = end_id.to_bytes(4, "little")
+        for b in batches:
+            found = [encoder.of(t) for t in b["text"]]
+            ids = np.frombuffer(b"".join(x for own in found for x in (own, last)), "<u4")
+            total += np.bincount(ids, minlength=len(total))
+            raw = ids.astype(kind).tobytes()
+            width, at, out = np.dtype(kind).itemsize, 0, []
+            for i, h, mark, own in zip(b["id"], b["hash"], b["mark"], found, strict=True):
+                part = bisect_right(bounds, (False, 0, h, mark) if pd.isna(i) else (True, int(i), h, mark))
+                n = len(own) // 4 + 1
+                for k in range(0, n, ROW_TOKENS):
+                    stop = min(k + ROW_TOKENS, n)
+                    out.append((i, h, mark, part, k // ROW_TOKENS, stop - k, n, raw[width * (at + k) : width * (at + stop)]))
+                at += n
+            made = pd.DataFrame(out, columns=[c.split()[0] for c in TOKEN_ROWS.split(", ")])
+            yield made.astype({"id": "Int64"})
+        some = np.flatnonzero(total)
+        if len(some):
+            yield pd.DataFrame({"id": pd.array([pd.NA], "Int64"), "hash": 0, "mark": -1, "part": -1, "piece": -1, "n": 0, "total": 0, "ids": [np.stack([some, total[some]]).astype("<i8").tobytes()]})
 
-    @F.pandas_udf("array<struct<piece:bigint,n:bigint,total:bigint,ids:binary>>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = encoder_of(path)
-        for texts in batches:
-            out = []
-            for ids in encoder.of(texts.tolist()):
-                ids += last
-                cuts = range(0, len(ids), 4 * ROW_TOKENS)
-                out.append([(k, len(ids[s : s + 4 * ROW_TOKENS]) // 4, len(ids) // 4, ids[s : s + 4 * ROW_TOKENS]) for k, s in enumerate(cuts)])
-            yield pd.Series(out, dtype=object)
+    return df.mapInPandas(encode, TOKEN_ROWS)
 
+
+def keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(id, hash, mark, text): rows of one id come in the order of a hash of their text; rows that agree in both are
+    told apart by their place."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    # Rows of one id come in the order of a hash of their text; rows that agree in both are told apart by their place.
-    made = df.select(
-        F.col(id_column).cast("bigint").alias("id"), F.xxhash64(whole).alias("hash"), F.monotonically_increasing_id().alias("mark"), F.explode(encode.asNondeterministic()(whole)).alias("piece")
-    )
-    return made.select("id", "hash", "mark", "piece.*")
+    return df.select(F.col(id_column).cast("bigint").alias("id"), F.xxhash64(whole).alias("hash"), F.monotonically_increasing_id().alias("mark"), whole.alias("text"))
+
+
+def id_type(vocabulary: Vocabulary, end_id: int) -> str:
+    return "<u2" if max(vocabulary.size, end_id + 1) <= 1 << 16 else "<u4"
 
 
 def frequency_ranks(rows: DataFrame) -> np.ndarray:
-    """The ids that occur, the most frequent first, of equal ones the smaller; each task counts its own."""
+    """The ids that occur, the most frequent first, of equal ones the smaller; from the rows of counts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b["ids"]:
-                found = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(total))
-                found[: len(total)] += total
-                total = found
-        some = np.flatnonzero(total)
-        yield pd.DataFrame({"id": some, "n": total[some]})
+            for told in b["ids"]:
+                ids, n = np.frombuffer(told, "<i8").reshape(2, -1)
+                yield pd.DataFrame({"id": ids, "n": n})
 
-    counted = rows.select("ids").mapInPandas(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = rows.where("piece = -1").select("ids").mapInPandas(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     found = counted.toPandas()  # one row an id of the vocabulary
     return found.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.uint32)
 
 
+def part_bounds(rows: DataFrame, count: int, least: int) -> list[tuple]:
+    """Keys that cut the rows into parts of about FILE_BLOCKS full blocks, or into `least` smaller ones.
+
+    They come from a sample of SAMPLE rows, which bounds what the driver gets and so the number of parts; rows of
+    one id are cut by the hash of their text and their place. Null ids come first. Tokens are reckoned by bytes.
+    """
+    share = min(1.0, SAMPLE / max(count, 1))
+    some = rows if share == 1 else rows.sample(share, seed=1)
+    keys = some.select(F.col("id").isNotNull(), F.coalesce("id", F.lit(0)), "hash", "mark", (F.octet_length("text") / 2 + 1).alias("n"))
+    drawn = sorted(map(tuple, keys.collect()))
+    upto = np.cumsum([k[-1] for k in drawn])
+    total = upto[-1] / share if len(drawn) else 0
+    parts = int(max(total // (FILE_BLOCKS * BLOCK_TOKENS) + 1, min(least, total // BLOCK_TOKENS)))
+    parts = min(parts, len(drawn) // 8 + 1)
+    at = np.searchsorted(upto, [upto[-1] * i / parts for i in range(1, parts)]) if parts > 1 else []
+    return sorted({drawn[i][:-1] for i in at})
+
+
 def write_ids(df: DataFrame, path: str, folder: str, end_id: int, id_column: str = "doc_id", text: str = "text") -> None:
     """Write the ids of all texts, each with `end_id` after it, to `folder` in ascending order of the ids of the rows.
 
@@ -273,81 +394,55 @@ def write_ids(df: DataFrame, path: str, folder: str, end_id: int, id_column: str
     """
     spark = df.sparkSession
     small_batches(spark)
-    rows = written(token_rows(df, path, end_id, id_column, text), "ids-rows")
+    vocabulary = Vocabulary(path)
+    kind = id_type(vocabulary, end_id)
+    given = keyed(df, id_column, text)
+    bounds = part_bounds(given, df.count(), spark.sparkContext.defaultParallelism)
+    rows = written(token_rows(given, vocabulary, end_id, bounds), "ids-rows", "zstd")
     ranked = frequency_ranks(rows)
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // (4 * BLOCK_TOKENS)))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rank = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
         rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
-        for b in batches:
-            counts = b["n"].to_numpy(np.int64)
-            control, data, controls, sizes = encode_ranks(rank[np.frombuffer(b"".join(b["ids"]), "<u4")], counts)
-            for name, of, size in (("control", control, controls), ("data", data, sizes)):
-                stops = np.cumsum(size)
-                b[name] = [of[e - s : e] for s, e in zip(size, stops, strict=True)]
-            yield b.drop(columns="ids")
-
-    order = ["id", "hash", "mark", "piece"]
-    small = rows.mapInPandas(encode, "id bigint, hash bigint, mark bigint, piece bigint, n bigint, total bigint, control binary, data binary")
-    placed = small.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Blocks of a range; first tokens are counted from its beginning."""
-        docs, control, data, held, at, number = [], [], [], 0, 0, 0
-        first = 0
-
-        def block(part: int) -> pd.DataFrame:
-            return pd.DataFrame({"part": [part], "number": [number], "first": [first], "n": [held], "block": [pack_block(docs, control, data)]})
-
-        part = None
-        for b in batches:
-            for i, piece, n, total, c, d, part in zip(b["id"], b["piece"], b["n"], b["total"], b["control"], b["data"], b["part"], strict=True):
-                before = piece * ROW_TOKENS
-                docs.append((None if pd.isna(i) else int(i), at - before, total, before, n))
-                control.append(c)
-                data.append(d)
-                held, at = held + n, at + n
-                if held >= BLOCK_TOKENS:
-                    yield block(part)
-                    docs, control, data, held, number, first = [], [], [], 0, number + 1, at
-        if docs:
-            yield block(part)
-
-    columns = "part int, number int, first bigint, n bigint, block binary"
-    made = written(placed.select("id", "piece", "n", "total", "control", "data", "part").mapInPandas(build, columns), "ids-blocks")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    bases = made.groupBy("part").agg(F.sum("n").alias(OWN + "n")).select("part", F.coalesce(F.sum(OWN + "n").over(before), F.lit(0)).alias("base"))
-
-    @F.pandas_udf("binary")
-    def seal(blocks: pd.Series, base: pd.Series) -> pd.Series:
-        return pd.Series([sealed(moved(b, m)) for b, m in zip(blocks, base, strict=True)], dtype=object)
-
-    ordered = made.join(bases, "part").withColumn("first", F.col("first") + F.col("base"))
-    files = -(-total // (FILE_BLOCKS * BLOCK_TOKENS)) or 1
-    ordered = ordered.repartitionByRange(max(files, min(parts, spark.sparkContext.defaultParallelism)), "first").sortWithinPartitions("first")
+        docs, control, data, held, at, part = [], [], [], 0, 0, None
+        for whole in batches:
+            for _, b in whole.groupby(whole["n"].cumsum() // GROUP_TOKENS):
+                counts = b["n"].to_numpy(np.int64)
+                controls, datas, of_control, of_data = encode_ranks(rank[np.frombuffer(b"".join(b["ids"]), kind)], counts)
+                c, d = 0, 0
+                for i, piece, n, total, part, more_c, more_d in zip(b["id"], b["piece"], b["n"], b["total"], b["part"], of_control.tolist(), of_data.tolist(), strict=True):
+                    before = piece * ROW_TOKENS
+                    docs.append((None if pd.isna(i) else int(i), at - before, total, before, n))
+                    control.append(controls[c : c + more_c])
+                    data.append(datas[d : d + more_d])
+                    c, d, held, at = c + more_c, d + more_d, held + n, at + n
+                    if held >= BLOCK_TOKENS:
+                        yield pd.DataFrame({"block": [pack_block(part, at - held, docs, control, data)]})
+                        docs, control, data, held = [], [], [], 0
+        last = [pack_block(part, at - held, docs, control, data)] if docs else []
+        if part is not None:
+            yield pd.DataFrame({"block": [*last, struct.pack(TAIL, PART_END, part, at)]})
+
+    placed = rows.where("piece >= 0").repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("id", "hash", "mark", "piece")
+    blocks = placed.select("id", "part", "piece", "n", "total", "ids").mapInPandas(build, "block binary")
     # A text of bytes is written as it is; the line feed after it belongs to the format.
-    text_of = ordered.select(seal("block", "base").cast("string").alias("value"))
-    text_of.write.option("lineSep", END.decode()).option("maxRecordsPerFile", FILE_BLOCKS).option("compression", "none").text(f"{folder}/blocks")
+    as_text = blocks.select(F.col("block").cast("string").alias("value")).write.option("lineSep", END.decode()).option("compression", "none")
+    as_text.option("maxRecordsPerFile", FILE_BLOCKS).text(f"{folder}/blocks")
     ids = spark.createDataFrame([(ranked.astype("<u4").tobytes(),)], "value binary").select(F.col("value").cast("string"))
     ids.coalesce(1).write.option("lineSep", END.decode()).option("compression", "none").text(f"{folder}/ranks")
 
 
-def moved(block: bytes, base: int) -> bytes:
-    """The block with all first tokens moved by `base`."""
-    n = struct.unpack_from(HEAD, block)[1]
-    at = HEAD_SIZE + 9 * n
-    starts = np.frombuffer(block, "<i8", n, at) + base
-    return block[:at] + starts.astype("<i8").tobytes() + block[at + 8 * n :]
-
-
 def rank_file(spark: SparkSession, folder: str) -> np.ndarray:
     """The ids in the order of their ranks, one row of a few bytes an id of the vocabulary."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/ranks").select("content").collect()
     return np.frombuffer(b"".join(bytes(r["content"])[: -len(END)] for r in found), "<u4")
 
 
+def big_endian(content: str, at: int, size: int) -> Column:
+    """The whole number in `size` bytes of a binary column from byte `at` (from 1, or from the end if negative)."""
+    return F.conv(F.hex(F.substring(content, at, size)), 16, 10).cast("bigint")
+
+
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(id, start, total, before, ids): what each block holds of each document; ids are little-endian 32 bits.
 
@@ -355,20 +450,25 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """
     ids = rank_file(spark, folder)
     small_batches(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/blocks").select("content").where(F.length("content") > 0)
+    tail = TAIL_SIZE + len(END)
+    ends = files.where(F.substring("content", -tail, 4) == F.lit(PART_END)).select(big_endian("content", 4 - tail, 4).alias("part"), big_endian("content", 8 - tail, 8).alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    bases = written(ends.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")), "ids-bases")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for content in b["content"]:
+            for content, base in zip(b["content"], b["base"], strict=True):
                 for of, control, data in blocks_of(content):
                     raw = ids[decode_ranks(control, data, of["here"])].astype("<u4").tobytes()
                     stops = 4 * np.cumsum(of["here"])
                     parts = [raw[e - 4 * n : e] for n, e in zip(of["here"], stops, strict=True)]
                     names = pd.array(of["id"], dtype="Int64")
                     names[of["null"] == 1] = pd.NA
-                    yield pd.DataFrame({"id": names, "start": of["start"], "total": of["total"], "before": of["before"], "ids": parts})
+                    yield pd.DataFrame({"id": names, "start": of["start"] + base, "total": of["total"], "before": of["before"], "ids": parts})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/blocks")
-    return files.select("content").mapInPandas(decode, "id bigint, start bigint, total bigint, before bigint, ids binary")
+    numbered = files.withColumn("part", big_endian("content", 5, 4)).join(bases, "part")
+    return numbered.select("content", "base").mapInPandas(decode, "id bigint, start bigint, total bigint, before bigint, ids binary")
 
 
 def joined_crc(parts: list[tuple[int, int]]) -> int:
@@ -386,7 +486,7 @@ def document_digests(pieces: DataFrame) -> DataFrame:
     Documents in one block need no shuffle; of the others only lengths and CRCs meet.
     """
     here = (F.octet_length("ids") / 4).cast("bigint")
-    told = pieces.select("id", "start", "total", "before", here.alias("n"), F.crc32("ids").alias("crc"))
+    told = written(pieces.select("id", "start", "total", "before", here.alias("n"), F.crc32("ids").alias("crc")), "ids-digests")
     one = told.where("n = total").select("id", "start", F.col("total").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     several = told.where("n < total").groupBy("id", "start").agg(F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("before", "n", "crc"))).alias("parts"))
 

@@ -35,27 +35,51 @@ def test_ranks_come_back(docs):
 def test_block_layout_and_damage():
     control, data, _, _ = idfiles.encode_ranks(np.array([1, 256, 70000, 2**24, 5], np.uint32), np.array([5]))
     assert control == bytes([0b11100100, 0]) and data == b"\x01\x00\x01\x70\x11\x01\x00\x00\x00\x01\x05"
-    block = idfiles.sealed(idfiles.moved(idfiles.pack_block([(None, 2, 9, 4, 5)], [control], [data]), 10)) + b"\n"
+    block = idfiles.pack_block(3, 16, [(None, 12, 9, 4, 5)], [control], [data]) + b"\n"
+    assert struct.unpack_from(">4siq", block) == (b"FRB1", 3, 16)
+    block += struct.pack(">4siq", b"FRBE", 3, 21) + b"\n"
     ((lists, c, d),) = idfiles.blocks_of(block)
     assert (c, d) == (control, data) and {k: v.tolist() for k, v in lists.items()} == {"id": [0], "null": [1], "start": [12], "total": [9], "before": [4], "here": [5]}
     with pytest.raises(ValueError, match="damaged"):
-        list(idfiles.blocks_of(block[:-9] + b"\xff" + block[-8:]))
+        list(idfiles.blocks_of(block[:-30] + b"\xff" + block[-29:]))
 
 
-@pytest.mark.parametrize("memo", [idfiles.MEMO_BYTES, 2000])
-def test_ids_equal_the_library(library, monkeypatch, memo):
-    monkeypatch.setattr(idfiles, "MEMO_BYTES", memo)
-    texts = odd_texts() + ["ΟΔΟΣ ΑΣ. Σ", "İ ß", "a ́b", "'s 's't", "word, " * 60_000, "日本語。" * 9000, "x" * 30 + " <|ENDOFTEXT|>"]
-    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
-    encoder = idfiles.Encoder(PATH)
-    assert encoder.apart and list(encoder.of(texts)) == want and list(encoder.of([None, *texts])) == [b"", *want]
+@pytest.mark.parametrize("batch", [1 << 18, 60])
+def test_ids_equal_the_library(library, monkeypatch, batch):
+    monkeypatch.setattr(idfiles, "BATCH", batch)
+    rng = random.Random(8)
+    parts = ["a", "Be", "word", " ", "  ", "\n", ".", ",", "...", "'", "'s", "'LL", "l'eau", "12", "½", "é", "Ñ", "ß", "ж", "Щ", "\x0b", "€", "µ", "_", "\xad", "--", "Ð", "ĳ", "ŉ", "ſ"]
+    texts = odd_texts() + ["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(3000)]
+    texts += ["ΟΔΟΣ ΑΣ. Σ", "İ ß", "a ́b", "'s 's't", "word, " * 60_000, "日本語。" * 9000, "x" * 30 + " <|ENDOFTEXT|>", "y" * 900 + " z", " ", "\x00\x01 a"]
+    vocabulary = idfiles.Vocabulary(PATH)
+    encoder = idfiles.Encoder(vocabulary)
+    assert vocabulary.apart and encoder.quick is not None and encoder.of(None) == b""
+    ids = lambda raw: np.frombuffer(raw, "<u4").tolist()
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids(encoder.of(text)) == want.ids, text[:80]
 
 
-def test_files_of_other_tokenizers(spark):
+def test_all_words_of_the_corpus_equal_the_library(library, spark):
+    docs = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    encoder = idfiles.Encoder(idfiles.Vocabulary(PATH))
+    assert all(np.frombuffer(encoder.of(t), "<u4").tolist() == e.ids for t, e in zip(docs, library.encode_batch(docs, add_special_tokens=False), strict=True))
+
+
+def test_merges_that_differ_by_encoder_are_left_to_the_library():
+    """(a, bc) gives abc; merged by bytes alone, ab and c would give it, too."""
+    letters = idfiles.byte_letters()
+    single = [letters[b] for b in range(256)]
+    names = single + [c + "</w>" for c in single] + ["ab", "bc", "abc"]
+    good = {"type": "BPE", "end_of_word_suffix": "</w>", "vocab": {n: i for i, n in enumerate(names)}, "merges": [["b", "c"], ["a", "bc"], ["a", "b"]]}
+    assert idfiles.Vocabulary.merge_ranks(good)[0] is not None
+    assert idfiles.Vocabulary.merge_ranks(good | {"merges": [["a", "b"], ["b", "c"], ["a", "bc"]]}) == (None, None)
+
+
+def test_files_of_other_tokenizers():
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoder = idfiles.Encoder(path)
+    vocabulary = idfiles.Vocabulary(path)
     text = "Two  spaces,\n\nand lines"
-    assert not encoder.apart and list(encoder.of([text])) == [np.array(Tokenizer.from_file(path).encode(text).ids, "<u4").tobytes()]
+    assert not vocabulary.apart and np.frombuffer(idfiles.Encoder(vocabulary).of(text), "<u4").tolist() == Tokenizer.from_file(path).encode(text).ids
 
 
 def plain(docs, library, end):
@@ -97,8 +121,8 @@ def test_files_hold_nulls_long_texts_repeats_and_clashes(spark, library, tmp_pat
     assert sorted(((i is not None, i or 0), ids) for i, _, _, ids in joined) == want
     assert sorted(map(str, idfiles.document_digests(pieces).collect())) == sorted(str(type(r)(id=r.id, start=r.start, n_tokens=r.n_tokens, ids_crc32=r.ids_crc32)) for r in digests(spark, joined))
     # Files in the order of their names hold the blocks in ascending order.
-    firsts = [of["start"][0] + of["before"][0] for f in sorted((tmp_path / "ids/blocks").glob("part-*")) for of, _, _ in idfiles.blocks_of(f.read_bytes())]
-    assert firsts == sorted(firsts) and firsts[0] == 0
+    names = [(0 if n else -1, i) for f in sorted((tmp_path / "ids/blocks").glob("part-*")) for of, _, _ in idfiles.blocks_of(f.read_bytes()) for n, i in zip(1 - of["null"], of["id"], strict=True)]
+    assert names == sorted(names) and len(names) >= len(rows)
 
 
 def digests(spark, joined):
