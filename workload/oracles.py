@@ -71,10 +71,23 @@ nb as (select *, {', '.join(near)} from al
 it as (select f, g, t, rn, {flags}, {', '.join(fill)} from nb join hs using (f, g))"""
 
 
+def fixed(x: str) -> str:
+    """The sum of a column in whole numbers of 2^-64."""
+    return f"sum(({x} * 18446744073709551616.0::double)::hugeint)"
+
+
+def broken(s: str) -> str:
+    """What such a sum stands for: its whole part and the rest, each as a double, added."""
+    one, half = "18446744073709551616::hugeint", "4294967296"
+    below = f"((({s}) % {one} + {one}) % {one})"
+    small = f"({below} // {half})::double / {half}.0::double + ({below} % {half})::double / {half}.0::double / {half}.0::double"
+    return f"((({s}) - {below}) // {one})::double + ({small})"
+
+
 def profile(keep: str = "true") -> str:
     """CTEs up to `pr`: epoch, power and energy columns on the power branch.
 
-    Sums are compensated, as those they are held against are exact.
+    Sums are exact, as those they are held against are: of whole numbers of 2^-64.
     """
     return f"""{filled(keep)},
 st as (select *, case when h0 then c0 when h4 then c5 end w, h0 or h4 has_power,
@@ -82,8 +95,8 @@ st as (select *, case when h0 then c0 when h4 then c5 end w, h0 or h4 has_power,
   t - lag(t) over (partition by f, g order by rn) step from it),
 dd as (select *, case when has_power then coalesce(step, 0) end dt,
   case when has_power then coalesce(step, 0)*w end inc from st),
-pr as (select *, case when inc is not null then
-  fsum(inc) over (partition by f, g order by rn rows unbounded preceding) end used from dd)"""
+ss as (select *, {fixed("inc")} over (partition by f, g order by rn rows unbounded preceding) s from dd),
+pr as (select * exclude (s), case when inc is not null then {broken("s")} end used from ss)"""
 
 
 def nearest(rows: str, prices: str, x: str, by: str = "") -> str:
@@ -163,7 +176,8 @@ ORACLES["power_from_energy"] = f"""{filled(NO_POWER, "t*2.0+v")},
 m as (select *, t - lag(t) over w step, coalesce(c0 - lag(c0) over w, 0) gain from it
   window w as (partition by f, g order by rn)),
 n as (select *, case when h4 then coalesce(step, 0)*c5 end inc from m),
-o as (select *, fsum(inc) over (partition by f, g order by rn rows unbounded preceding) total from n)
+s as (select *, {fixed("inc")} over (partition by f, g order by rn rows unbounded preceding) s from n),
+o as (select * exclude (s), {broken("s")} total from s)
 select {AT}, case when h4 then qz(c5,4) when h0 and step>0 then qz(gain/step,4) end "NodePower",
   case when h4 then qz(inc,4) when h0 then qz(gain,4) end "Energy_Increment_J",
   case when h4 then case when inc is not null then qz(total,4) end when h0 then qz(c0,4) end "Energy_used_J" from o"""
@@ -313,7 +327,7 @@ _cost = "used/3600000.0*pp"
 ORACLES["nearest_price_of_job_rows"] = f"""{_priced}
 select {AT}, pe "PriceEpochTime", pp "Price_EUR_per_MWh", qz({_cost},4) "Cumulative_cost_EUR" from na"""
 ORACLES["job_costs"] = f"""{_priced}
-select {JOB}, qz(max({_cost}),4) total_cost_eur, qz(fsum(inc/3600000000.0*pp),4) cost_eur_integrated
+select {JOB}, qz(max({_cost}),4) total_cost_eur, qz({broken(fixed("inc/3600000000.0*pp"))},4) cost_eur_integrated
 from na group by f, g"""
 ORACLES["job_tables"] = f"""{profile()}, {EVENT_PRICES},
 fg as (select f, min(g) g from pr group by f),
@@ -375,7 +389,7 @@ _filled = "+".join(f"(count({x})>0)::int" for _, x in REPORT)
 ORACLES["job_report_counts"] = f"{_reported} select {JOB}, count(*) n_rows, {_filled} n_columns from na group by f, g"
 ORACLES["job_report_summary"] = f"{metrics(NO_ZERO)}, {_SUMMARY}"
 ORACLES["job_report_costs"] = f"""{_reported}
-select {JOB}, qz(max({_cost}),4) total_cost_eur, qz(fsum(inc/3600000000.0*pp),4) cost_eur_integrated
+select {JOB}, qz(max({_cost}),4) total_cost_eur, qz({broken(fixed("inc/3600000000.0*pp"))},4) cost_eur_integrated
 from na group by f, g"""
 ORACLES["job_report_prices"] = f"""{profile(NO_ZERO)}, {EVENT_PRICES},
 b as (select f, g, min(epoch) lo, max(epoch) hi from pr group by f, g having count(epoch)>0),
