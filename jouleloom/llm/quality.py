@@ -26,7 +26,7 @@ from jouleloom.session import written
 ORDER = 5
 #: Bits of the hash of language and n-gram that tell model entries apart.
 SLOT_BITS = 62
-#: A model of more entries, of eight bytes and up to four for the directory, is not sent to the workers: about as many as
+#: A model of more entries, of eight bytes and up to four for the directory, is not sent to the workers: up to twice as many as
 #: half a GB of text gives, which is what time and memory were measured with.
 BROADCAST = 1 << 22
 #: Bytes of text whose n-grams are looked up together by joins, but for a longer text; and model entries packed at once.
@@ -304,7 +304,7 @@ def language_seed(lang: str) -> int:
 
 
 def entry_counts(tables: list[tuple[DataFrame, DataFrame]]) -> list[int]:
-    """How many n-grams each order has; it has about as many contexts at most."""
+    """How many n-grams each order has; the contexts of the next order are about as many."""
     parts = [p.select(F.lit(k).alias("k")) for k, (p, _) in enumerate(tables)]
     found = {r["k"]: r["n"] for r in reduce(DataFrame.union, parts).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     return [found.get(k, 0) for k in range(len(tables))]
@@ -483,7 +483,7 @@ def quality(df: DataFrame, keep: list[str] | None = None, text: str = "text", la
     small_batches(df.sparkSession)
     tables = estimate(written(gram_counts(df, text, lang), "ngram-counts"))
     counts = entry_counts(tables)
-    rows = scored(df, layout(tables, counts), text, lang, own) if 2 * sum(counts) <= BROADCAST else scored_by_joins(df, tables, text, lang, own)
+    rows = scored(df, layout(tables, counts), text, lang, own) if sum(counts) + sum(counts[:-1]) <= BROADCAST else scored_by_joins(df, tables, text, lang, own)
     rows = rows.withColumn(group, F.coalesce(F.col(lang), F.lit("")))
     rows = rows.withColumn(failed, (F.col(own + ".n_words") < 10) | (100 * F.col(own + ".n_repeat_words") > 20 * F.col(own + ".n_words")))
     rows = written(rows.select(*[f"`{c}`" for c in keep], own, group, failed), "quality-scored")  # scored once, used twice
