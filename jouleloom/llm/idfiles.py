@@ -28,7 +28,7 @@ import re
 import struct
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -448,6 +448,16 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
     `before` is 0 and the ids are `total` for all but documents that reach over several blocks.
     """
+    return decoded(spark, folder, lambda parts: {"ids": parts}, "ids binary")
+
+
+def read_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """As `read_ids`, but of the ids only how many they are and their CRC-32: n and crc."""
+    return decoded(spark, folder, lambda parts: {"n": [len(p) // 4 for p in parts], "crc": [zlib.crc32(p) for p in parts]}, "n bigint, crc bigint")
+
+
+def decoded(spark: SparkSession, folder: str, of_parts: Callable[[list[bytes]], dict[str, list]], columns: str) -> DataFrame:
+    """(id, start, total, before) and `columns`, which are made of the ids that a block has of each document."""
     ids = rank_file(spark, folder)
     small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/blocks").select("content").where(F.length("content") > 0)
@@ -465,10 +475,10 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     parts = [raw[e - 4 * n : e] for n, e in zip(of["here"], stops, strict=True)]
                     names = pd.array(of["id"], dtype="Int64")
                     names[of["null"] == 1] = pd.NA
-                    yield pd.DataFrame({"id": names, "start": of["start"] + base, "total": of["total"], "before": of["before"], "ids": parts})
+                    yield pd.DataFrame({"id": names, "start": of["start"] + base, "total": of["total"], "before": of["before"], **of_parts(parts)})
 
     numbered = files.withColumn("part", big_endian("content", 5, 4)).join(bases, "part")
-    return numbered.select("content", "base").mapInPandas(decode, "id bigint, start bigint, total bigint, before bigint, ids binary")
+    return numbered.select("content", "base").mapInPandas(decode, f"id bigint, start bigint, total bigint, before bigint, {columns}")
 
 
 def joined_crc(parts: list[tuple[int, int]]) -> int:
@@ -481,12 +491,11 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
 
 
 def document_digests(pieces: DataFrame) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) of every document, from `read_ids`.
+    """(id, start, n_tokens, ids_crc32) of every document, from `read_digests`.
 
     Documents in one block need no shuffle; of the others only lengths and CRCs meet.
     """
-    here = (F.octet_length("ids") / 4).cast("bigint")
-    told = written(pieces.select("id", "start", "total", "before", here.alias("n"), F.crc32("ids").alias("crc")), "ids-digests")
+    told = written(pieces, "ids-digests")
     one = told.where("n = total").select("id", "start", F.col("total").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     several = told.where("n < total").groupBy("id", "start").agg(F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("before", "n", "crc"))).alias("parts"))
 

@@ -236,7 +236,7 @@ def op12_id_files(spark: SparkSession, sf: str) -> DataFrame:
     """The ids are written and read back; what comes out is made of the files alone."""
     folder = new_folder(spark, "id-files")
     idfiles.write_ids(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), folder, end_id=2)
-    found = idfiles.document_digests(idfiles.read_ids(spark, folder))
+    found = idfiles.document_digests(idfiles.read_digests(spark, folder))
     return found.withColumnRenamed("id", "doc_id")
 
 

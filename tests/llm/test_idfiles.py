@@ -119,7 +119,7 @@ def test_files_hold_nulls_long_texts_repeats_and_clashes(spark, library, tmp_pat
         at += n
     want = sorted(((d is not None, d or 0), struct.pack(f"<{len(x)}I", *x)) for d, t, _ in rows for x in [[*library.encode(t or "", add_special_tokens=False).ids, 2]])
     assert sorted(((i is not None, i or 0), ids) for i, _, _, ids in joined) == want
-    assert sorted(map(str, idfiles.document_digests(pieces).collect())) == sorted(str(type(r)(id=r.id, start=r.start, n_tokens=r.n_tokens, ids_crc32=r.ids_crc32)) for r in digests(spark, joined))
+    assert sorted(map(str, idfiles.document_digests(idfiles.read_digests(spark, str(tmp_path / "ids"))).collect())) == sorted(str(type(r)(id=r.id, start=r.start, n_tokens=r.n_tokens, ids_crc32=r.ids_crc32)) for r in digests(spark, joined))
     # Files in the order of their names hold the blocks in ascending order.
     names = [(0 if n else -1, i) for f in sorted((tmp_path / "ids/blocks").glob("part-*")) for of, _, _ in idfiles.blocks_of(f.read_bytes()) for n, i in zip(1 - of["null"], of["id"], strict=True)]
     assert names == sorted(names) and len(names) >= len(rows)
@@ -132,4 +132,4 @@ def digests(spark, joined):
 def test_no_rows(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     idfiles.write_ids(df, PATH, str(tmp_path / "ids"), end_id=2)
-    assert idfiles.document_digests(idfiles.read_ids(spark, str(tmp_path / "ids"))).count() == 0
+    assert idfiles.document_digests(idfiles.read_digests(spark, str(tmp_path / "ids"))).count() == 0 == idfiles.read_ids(spark, str(tmp_path / "ids")).count()
