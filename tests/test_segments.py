@@ -4,6 +4,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from jouleloom.operators.align import align, fill
 from jouleloom.operators.energy import energy_profile, job_metrics
@@ -144,3 +145,20 @@ def test_a_split_plan_reads_its_source_once(spark, tmp_path):
     assert len(set(files)) == len(list((tmp_path / "source").glob("*.parquet")))
     leaves = timeline.df._jdf.queryExecution().executedPlan().toString()
     assert leaves.count("/source") <= 1, plan
+
+
+def test_small_segments_take_no_task_each(spark, monkeypatch):
+    """Segments of a few rows are cut from ranges as large as a task takes."""
+    keys = "file_label string, group_name string, row_idx bigint, ElapsedTime double, NodePower double"
+    rows = [(f"{j}_x", "g", i, float(i // 2), i * 0.5) for j in range(20) for i in range(50)]
+    frames = stack({"Energy": spark.createDataFrame(rows, keys)})
+    kind = type(frames.df)
+    asked, plain = [], kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda df, n, *by: asked.append(n) or plain(df, n, *by))
+    split = prepare(frames, segment_rows=4)
+    assert asked == [1] and split.hot is None
+    sizes = [r["count"] for r in split.frames.df.groupBy("file_label", "seg_id").count().collect()]
+    assert len(sizes) >= 20 * 12 and max(sizes) <= 5
+    times = split.frames.df.groupBy("file_label", "ElapsedTime").agg(F.count_distinct("seg_id").alias("n"))
+    assert times.where("n > 1").isEmpty()
+    assert rows_of(fill(align(split)).visible()) == rows_of(fill(align(prepare(frames))).visible())
