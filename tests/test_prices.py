@@ -91,3 +91,18 @@ def test_every_row_with_a_time_has_a_price(spark):
     df = spark.range(-100, 1500, 7).select(F.when(F.col("id") % 5 != 0, F.col("id")).alias("x"))
     found = nearest_prices(df, prices, "x")
     assert found.where(F.col("x").isNull() != F.col(PRICE).isNull()).count() == 0
+
+
+def test_block_cover_moves_no_pair(spark):
+    """Every pair is found once, so pairs are not shuffled to be made distinct; only bounds with the same key need that."""
+    week = 7 * 86_400
+    blocks = spark.range(200).select((F.col("id") * week).alias("block"))
+    bounds = spark.range(30).select("id", (F.col("id") * week).alias("min_ts"), (F.col("id") * 5 * week + 3).alias("max_ts"))
+    found = price_block_cover(bounds, blocks, ["id"])
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == found.distinct().count() > 30 * 10
+    backwards = bounds.select("id", F.col("max_ts").alias("min_ts"), F.col("min_ts").alias("max_ts"))
+    assert price_block_cover(backwards, blocks, ["id"]).groupBy("id", "block").count().where("count > 1").isEmpty()
+    twice = bounds.unionByName(bounds.withColumn("max_ts", F.col("max_ts") + 20 * week))
+    again = price_block_cover(twice, blocks, ["id"])
+    assert again.count() == again.distinct().count() == price_block_cover(twice.where(F.col("max_ts") >= F.col("min_ts") + 20 * week), blocks, ["id"]).union(found).distinct().count()
