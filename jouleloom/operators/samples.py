@@ -96,13 +96,15 @@ def sample_facts(samples: DataFrame) -> DataFrame:
 
 
 def usable_samples(samples: DataFrame, groups: str = "all") -> DataFrame:
-    """Samples of the files, groups and datasets that are used; the same rules as for frames."""
+    """Samples of the files, groups and datasets that are used, written; the same rules as for frames."""
+    samples = written(samples, "samples")  # made once, read for the facts and for what is used
     facts = written(sample_facts(samples), "sample-facts")
     special = special_jobs(facts, groups, SEGMENT_ROWS).where("skip or size(drop) > 0").drop("long")
     if special.isEmpty():
         return samples
     rows = samples.join(written(special, "special-samples"), JOB, "left").where(~F.coalesce(F.col("skip"), F.lit(False)))
-    return rows.where(~F.coalesce(F.array_contains("drop", F.col("prefix")), F.lit(False))).drop("skip", "drop")
+    kept = rows.where(~F.coalesce(F.array_contains("drop", F.col("prefix")), F.lit(False))).drop("skip", "drop")
+    return written(kept, "usable-samples")
 
 
 def timeline_of(samples: DataFrame, limit: int = SEGMENT_ROWS) -> tuple[DataFrame, bool]:
@@ -168,6 +170,8 @@ def interpolated(placed: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
         each = of.select(*field, F.explode(F.sequence(start, stop)).alias("here"))
         return each.select(*DATASET, "at", "metric", here.alias(POSITION), value.alias("value"))
 
+    if (placed.agg(F.max(POSITION)).first()[0] or 0) <= GAP:  # no stretch of any job is longer
+        return lines(found, F.col("since") + 1, F.col(POSITION))
     near = F.col(POSITION) - F.col("since") <= GAP
     short = lines(found.where(near), F.col("since") + 1, F.col(POSITION))
     cuts = F.sequence(F.col("since") + 1, F.col(POSITION), F.lit(GAP).cast("bigint"))
@@ -176,13 +180,15 @@ def interpolated(placed: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
     return short.unionByName(lines(far, F.col("start"), F.least(F.col("start") + GAP - 1, F.col(POSITION))))
 
 
-def aligned_samples(samples: DataFrame, limit: int = SEGMENT_ROWS) -> DataFrame:
+def aligned_samples(samples: DataFrame, limit: int = SEGMENT_ROWS, stored: bool = False) -> DataFrame:
     """(job, position, ElapsedTime, values, texts): the rows of every job, from 0, with its numbers and texts by column.
 
     Columns are named `<prefix>__<field>`. A row holds the columns that have a value there; numbers are
-    interpolated by position, and stay open before the first and after the last one.
+    interpolated by position, and stay open before the first and after the last one. `stored` samples are read from
+    a table, as those of `usable_samples`; others are written first.
     """
-    samples = written(samples, "samples")
+    if not stored:
+        samples = written(samples, "samples")
     timeline, repeated = timeline_of(samples, limit)
     placed = written(placed_samples(samples, timeline, repeated).select(*DATASET, POSITION, "cells", "texts"), "placed-samples")
     rows = timeline.select(*JOB, TIME, F.explode(F.sequence(F.col("base"), F.col("base") + F.col("times") - 1)).alias(POSITION))
@@ -199,6 +205,7 @@ def _named(entries: str) -> Column:
     """A map of columns to values; of equal names the last dataset's counts."""
     names = F.transform(entries, lambda e: e["column"])
     last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["column"]))
+    last = F.when(F.size(F.array_distinct(names)) == F.size(names), F.col(entries)).otherwise(last)
     return F.map_from_entries(F.transform(last, lambda e: F.struct(e["column"], e["value"])))
 
 

@@ -26,9 +26,9 @@ def fleet_profile(samples: DataFrame, groups: str = "all", limit: int = SEGMENT_
     The rules are those of `energy_profile`: the first column of a job that is named as power gives its energy,
     otherwise the first one that is named as energy gives its power.
     """
-    used = written(usable_samples(samples, groups), "usable-samples")
+    used = usable_samples(samples, groups)
     chosen = written(job_columns(used).drop("columns"), "job-columns")
-    rows = aligned_samples(used, limit).join(chosen, JOB, "left")
+    rows = aligned_samples(used, limit, stored=True).join(chosen, JOB, "left")
     has_power, has_meter = F.col("power").isNotNull(), F.col("power").isNull() & F.col("meter").isNotNull()
 
     def named(column: str) -> Column:

@@ -189,3 +189,13 @@ def test_nothing_gives_nothing(spark):
     none = frames.with_df(frames.df.limit(0))
     assert fleet_table(samples_of(none)).count() == 0
     assert samples_from_raw(spark.createDataFrame([], TYPED_SCHEMA)).count() == 0
+
+
+def test_samples_are_made_once(spark, tmp_path):
+    """Facts and all that follows come from written samples; whatever made them is not run again."""
+    frames = stack({"Energy": spark.range(40).selectExpr("'a_x' file_label", "'g' group_name", "id row_idx", "id * 1.0D ElapsedTime", "id * 0.5D NodePower")})
+    samples_of(frames).write.parquet(str(tmp_path / "source"))
+    samples = spark.read.parquet(str(tmp_path / "source"))
+    used = usable_samples(samples)
+    assert used.count() == 40 and not [p for p in used.inputFiles() if "/source/" in p]
+    same(long_cells(aligned_samples(used, stored=True)), long_cells(aligned_samples(samples)))
