@@ -324,3 +324,13 @@ def test_the_key_notified_last_counts(spark, tmp_path):
         stream_objects(spark, str(tmp_path / "events"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     found = table(spark.read.parquet(str(tmp_path / "out" / "accepted")), "batch", "key", order=["batch"])
     assert found == [(0, "m/x.h5"), (1, "k/x.h5")]
+
+
+def test_values_of_a_key_are_ranked_once(spark, monkeypatch):
+    """Three quartiles of a key don't make three copies of its values."""
+    ranked, plain = [], describe._ranked
+    monkeypatch.setattr(describe, "_ranked", lambda values, by: ranked.append(values.count()) or plain(values, by))
+    rows = spark.range(900).selectExpr("id % 3 AS k", "CAST(id AS DOUBLE) v", "CAST(id % 7 AS DOUBLE) w")
+    found = {(r["k"], r["metric"]): r for r in describe_columns(rows, ["k"]).collect()}
+    assert ranked == [900 + 3 * 7]
+    assert [found[(1, "v")][q] for q in ("q25", "q50", "q75")] == [1 + 3 * 75, 1 + 3 * 150, 1 + 3 * 224]

@@ -6,13 +6,14 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jouleloom.keys import TIME
 from jouleloom.operators.frames import stack
 from jouleloom.plans.files import tables_of_files, write_tables
 from jouleloom.plans.jobs import job_report, job_table
-from jouleloom.session import intermediates, written
+from jouleloom.session import intermediates, tune, written
 from jouleloom.sinks.named import NamedFiles, write_report_files
 from jouleloom.sinks.registry import merged, read_registry, readable_as, unified
 from jouleloom.sinks.tables import read_jobs, register_job_function, write_jobs
@@ -236,3 +237,14 @@ def test_files_that_vanish_while_listed_are_reported(spark, tmp_path):
     found = {r["file_label"]: r["reason"] for r in container_files(spark, str(tmp_path)).collect()}
     (tmp_path / "1_a.h5").chmod(0o600)
     assert found["1_a"] in (None, "unreadable")  # the owner of the machine reads everything
+
+
+def test_tasks_follow_bytes(spark):
+    """A session of few shuffle partitions still gets tasks of bounded size, whatever the input."""
+    few = spark.newSession()
+    few.conf.set("spark.sql.shuffle.partitions", "2")
+    for key in ("initialPartitionNum", "parallelismFirst"):
+        few.conf.unset(f"spark.sql.adaptive.coalescePartitions.{key}")
+    rows = tune(few).range(8_000_000).select("id", F.rand(1).alias("v"))
+    sizes = [r["n"] for r in rows.repartition("id").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 8 and max(sizes) < 1_200_000
