@@ -29,10 +29,11 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,14 +71,13 @@ WORD_END = "</w>"
 SPACES, LETTERS, NUMBERS = "\t-\r ", "A-Za-zªµºÀ-ÖØ-öø-įı-žЀ-џ", "0-9²³¹¼½¾"
 OTHERS = "!-/:-@\\[-`{-~¡-©«-±´¶-¸»¿×÷"
 PLAIN = re.compile(f"[{SPACES}{LETTERS}{NUMBERS}{OTHERS}]*")
-#: What a space is put around: numbers, runs of other characters, and pieces with an apostrophe, which are cut by SPLITS.
-APART = re.compile(f"[{OTHERS}]+|[{NUMBERS}]")
-APOSTROPHE = re.compile(rf"(?<!\S)[^{SPACES}']*+'\S*|{APART.pattern}")
-WORD = regex.compile(SPLITS)
+#: SPLITS for texts of PLAIN characters in lower case.
+WORD = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[{OTHERS}]+")
 #: Texts with a word of more bytes are left to the library.
 LONG = 400
-#: Characters in a batch for the library.
+#: Characters in a batch for the library, and of texts whose words are merged together.
 BATCH = 1 << 18
+TOGETHER = 1 << 21
 
 
 class Vocabulary:
@@ -154,7 +154,8 @@ def cut_by(name: str, place: dict[tuple[str, str], int], below: int) -> list[str
 class Encoder:
     """Ids of texts by a vocabulary (little-endian unsigned 32 bits), nothing added.
 
-    Words of texts of PLAIN characters are merged by the other encoder where that does the same. Other texts are cut at
+    Words of texts of PLAIN characters are merged by the other encoder where that does the same, each different word of
+    about TOGETHER characters once. Other texts are cut at
     spaces between letters and go to the library in batches of about BATCH characters, as do all texts, uncut, of files that
     don't drop white space.
     """
@@ -167,6 +168,8 @@ class Encoder:
             import tiktoken
 
             self.quick = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=vocabulary.ranks, special_tokens={})
+            self.ends = np.zeros(len(vocabulary.ids), bool)  # whether a rank ends a word
+            self.ends[[i for name, i in vocabulary.ranks.items() if name.endswith(b" ")]] = True
 
     def library(self, parts: list[str]) -> bytes:
         """The ids of parts one after the other, encoded in batches of about BATCH characters."""
@@ -189,32 +192,54 @@ class Encoder:
         return b"".join(out)
 
     def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.known.apart:
-            return self.library([text])
-        if self.quick and PLAIN.fullmatch(text) and not any(s in text for s in self.known.special):
-            parts = [spaced(p) for p in cut(text, BATCH, SPACE)]
-            if all(longest(p) <= LONG for p in parts):
-                ranks = [self.quick.encode_to_numpy(p, disallowed_special=()) for p in parts]
-                return self.known.ids[np.concatenate(ranks)].astype("<u4").tobytes()
-        return self.library(list(cut(text, BATCH // 8, SAFE)))
-
-
-def spaced(text: str) -> str:
-    """The words that SPLITS finds in a text of PLAIN characters, spaces after each and maybe more around them."""
-    text = text.lower()
-    for c in "\t\n\x0b\x0c\r":
-        text = text.replace(c, " ")
-    if "'" in text:
-        return APOSTROPHE.sub(lambda m: f" {' '.join(WORD.findall(m[0])) if "'" in m[0] else m[0]} ", text) + " "
-    return APART.sub(r" \g<0> ", text) + " "
-
-
-def longest(text: str) -> int:
-    """Bytes in the longest word of a text that ends with a space."""
-    spaces = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32)
-    return int(np.diff(spaces, prepend=-1).max()) - 1
+        return self.batch([text])[0]
+
+    def batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text."""
+        found: dict[int, list[bytes] | None] = {}
+        waiting, size = [], 0
+        for i, text in enumerate(texts):
+            if text and self.quick and PLAIN.fullmatch(text) and not any(s in text for s in self.known.special):
+                found[i] = []
+                for part in cut(text, BATCH, SPACE):
+                    waiting.append((i, part))
+                    size += len(part)
+                    if size >= TOGETHER:
+                        self.merge(waiting, found)
+                        waiting, size = [], 0
+        self.merge(waiting, found)
+        out = []
+        for i, text in enumerate(texts):
+            own = found.get(i)
+            if own is not None or not text:
+                out.append(b"".join(own or []))
+            else:
+                out.append(self.library(list(cut(text, BATCH // 8, SAFE)) if self.known.apart else [text]))
+        return out
+
+    def merge(self, parts: list[tuple[int, str]], found: dict[int, list[bytes] | None]) -> None:
+        """Add the ids of parts of texts to those of their texts; a text with a word longer than LONG gets None."""
+        words = [WORD.findall(part.lower()) for _, part in parts]
+        coded = pa.array(chain.from_iterable(words), pa.string()).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if any(len(name) > LONG // 2 and len(name.encode()) > LONG for name in names):
+            long = {i for (i, _), own in zip(parts, words, strict=True) if any(len(w.encode()) > LONG for w in own)}
+            found.update(dict.fromkeys(long))
+            return self.merge([p for p in parts if p[0] not in long], found)
+        stops = np.zeros(1, np.int64)
+        raw = b""
+        if names:
+            ranks = self.quick.encode_to_numpy(" ".join(names) + " ", disallowed_special=())
+            upto = np.flatnonzero(self.ends[ranks]) + 1
+            sizes = np.diff(upto, prepend=0)
+            at = coded.indices.to_numpy()
+            n = sizes[at]
+            stops = np.concatenate([stops, np.cumsum(n)])
+            raw = self.known.ids[ranks][np.arange(stops[-1]) + np.repeat((upto - sizes)[at] - stops[:-1], n)].astype("<u4").tobytes()
+        last = (4 * stops[np.cumsum([0, *map(len, words)])]).tolist()
+        for (i, _), start, stop in zip(parts, last, last[1:], strict=False):
+            if found[i] is not None:
+                found[i].append(raw[start:stop])
 
 
 SPACE = re.compile(r"(?=[ \t-\r])")
@@ -321,7 +346,7 @@ def token_rows(df: DataFrame, vocabulary: Vocabulary, end_id: int, bounds: list[
         total = np.zeros(max(vocabulary.size, end_id + 1), np.int64)
         last = end_id.to_bytes(4, "little")
         for b in batches:
-            found = [encoder.of(t) for t in b["text"]]
+            found = encoder.batch(b["text"].tolist())
             ids = np.frombuffer(b"".join(x for own in found for x in (own, last)), "<u4")
             total += np.bincount(ids, minlength=len(total))
             raw = ids.astype(kind).tobytes()

@@ -59,6 +59,25 @@ def test_ids_equal_the_library(library, monkeypatch, batch):
         assert ids(encoder.of(text)) == want.ids, text[:80]
 
 
+@pytest.mark.parametrize("together", [1 << 21, 50])
+def test_a_word_of_many_texts_is_merged_once(library, monkeypatch, together):
+    monkeypatch.setattr(idfiles, "TOGETHER", together)
+    encoder = idfiles.Encoder(idfiles.Vocabulary(PATH))
+    given, quick = [], encoder.quick
+
+    class Counted:
+        def encode_to_numpy(self, text, **options):
+            given.append(text)
+            return quick.encode_to_numpy(text, **options)
+
+    encoder.quick = Counted()
+    texts = ["Erretihe, l'eau it's 12", None, "", " \n", "日本語 erretihe", "z" * 401 + " erretihe", "é" * 201 + " a", *["erretihe it's 12 " * 9] * 200, "erretihe <|endoftext|>"]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.batch(texts)] == [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    if together > 50:
+        assert sorted(" ".join(given).split()) == sorted(["erretihe", ",", "l", "'", "eau", "it", "'s", "1", "2"])
+    assert encoder.batch([]) == []
+
+
 def test_all_words_of_the_corpus_equal_the_library(library, spark):
     docs = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     encoder = idfiles.Encoder(idfiles.Vocabulary(PATH))
