@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from jouleloom.keys import TIME
 from jouleloom.operators.frames import stack
-from jouleloom.plans.files import tables_of_files, write_tables
-from jouleloom.plans.jobs import job_report, job_table
+from jouleloom.plans.files import tables_of_files, write_build, write_tables
+from jouleloom.plans.jobs import Build, job_report, job_table
 from jouleloom.session import intermediates, tune, written
 from jouleloom.sinks.named import NamedFiles, write_report_files
 from jouleloom.sinks.registry import merged, read_registry, readable_as, unified
@@ -120,6 +120,51 @@ def test_batches_with_other_columns_and_types_read_back_whole(spark, tmp_path, b
         read_jobs(spark, str(tmp_path / "none"))
 
 
+def test_labels_of_a_build_share_files(spark, tmp_path):
+    path = str(tmp_path / "jobs")
+    rows = "file_label string, group_name string, ElapsedTime bigint, x bigint"
+
+    def write(schema, *of, parts=1):
+        table_of = spark.createDataFrame(of, schema).coalesce(parts)
+        assert write_build(Build(table_of, table_of, table_of), path) == {"rows": len(of), "columns": len(table_of.columns)}
+
+    def read(*columns):
+        return sorted(table(read_jobs(spark, path), "file_label", *columns), key=str)
+
+    first = [(f"{i}_a", "g", t, i) for i in range(200) for t in range(2)]
+    write(rows, *first, parts=2)
+    assert len(list(Path(path).rglob("write-*/**/part-*"))) <= 2
+    assert read("ElapsedTime", "x") == sorted(((f, t, x) for f, _, t, x in first), key=str)
+    assert spark.read.parquet(path).count() == 400
+    for _ in range(2):  # whole labels are replaced, however often; null is one, too
+        write(rows, ("7_a", "g", 9, -7), (None, "g", 0, 1), (None, "g", 1, 1), ("", "g", 0, 2))
+    kept = [(f, t, x) for f, _, t, x in first if f != "7_a"] + [("7_a", 9, -7), (None, 0, 1), (None, 1, 1), ("", 0, 2)]
+    assert read("ElapsedTime", "x") == sorted(kept, key=str)
+    with pytest.raises(Exception):  # noqa: B017 -- not replaced rows as well
+        spark.read.parquet(path).count()
+    write(rows.replace("x bigint", "x string, y int"), ("9_a", "g", 0, "nine", 9))
+    write(rows, ("7_a", "g", 1, 70))
+    assert read("x", "y") == sorted([(f, str(x), None) for f, _, x in kept if f not in ("7_a", "9_a")] + [("7_a", "70", None), ("9_a", "nine", 9)], key=str)
+    assert len(read_registry(spark, path).generations) == 2 and read_jobs(spark, path).columns == ["file_label", "group_name", "ElapsedTime", "x", "y"]
+    seen = read("ElapsedTime", "x", "y")
+    broken = spark.createDataFrame([("8_a", "g", 0, "no number", 1)], rows.replace("x bigint", "x string, y int"))
+    with pytest.raises(Exception):  # noqa: B017 -- whatever the task raises
+        write_jobs(broken.withColumn("x", F.col("x").cast("int").cast("string")), path, together=True)
+    assert read("ElapsedTime", "x", "y") == seen and not list(Path(path).glob("_making*"))
+    with pytest.raises(ValueError):
+        write_jobs(broken, path, buckets=2, together=True)
+
+
+def test_a_table_keeps_its_layout(spark, tmp_path):
+    path = str(tmp_path / "jobs")
+    for x, together in ((1, False), (2, True)):
+        write_jobs(spark.createDataFrame([("a", "g", 0, x)], "file_label string, group_name string, ElapsedTime bigint, x bigint"), path, together=together)
+        assert table(read_jobs(spark, path), "file_label", "x") == table(spark.read.parquet(path), "file_label", "x") == [("a", x)]
+    nothing = spark.createDataFrame([], "file_label string, group_name string, ElapsedTime bigint")
+    write_jobs(nothing, f"{path}-none", together=True)
+    assert read_jobs(spark, f"{path}-none").count() == 0
+
+
 def test_a_job_function_reads_one_folder(spark, tmp_path):
     path = str(tmp_path / "jobs")
     both = frame(spark, POWER, [(0.0, 5.0), (1.0, 5.0)], "1_a").unionByName(frame(spark, POWER, [(0.0, 7.0)], "it's"))
