@@ -136,3 +136,16 @@ def test_nulls_long_texts_repeats_clashes_and_no_rows(spark):
         assert q["base_failed"] == (r["doc_id"] in (1, 2, 4, 5)) and (q["kept"] != q["base_failed"])
         assert (q["log_perplexity"] is None or math.isnan(q["log_perplexity"])) == (q["n_words"] == 0)
     assert quality.quality(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("entries", [quality.BROADCAST, 0])
+def test_texts_without_words_among_others_of_their_language(spark, monkeypatch, entries):
+    monkeypatch.setattr(quality, "BROADCAST", entries)
+    rng = random.Random(8)
+    rows = [(d, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(rng.randint(0, 99)) for _ in range(30)), "en") for d in range(20)]
+    df = spark.createDataFrame([*rows, (20, None, "en"), (21, "", "en"), (22, " \n\t", "en")], "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r["quality"] for r in quality.quality(df).collect()}
+    assert set(got) == set(range(23)) and any(got[d]["kept"] for d in range(20))
+    for d, q in got.items():
+        assert (q["n_words"], q["base_failed"]) == ((0, True) if d >= 20 else (30, False))
+        assert (q["low"] is None) == (q["high"] is None) == (d >= 20) and not (d >= 20 and q["kept"])
