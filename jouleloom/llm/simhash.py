@@ -85,11 +85,12 @@ def tallied(fingerprints: DataFrame, max_bits: int, column: str = "fingerprint")
     at = ["choice", "bytes"]
     choices = F.array(*[F.struct(F.lit(i).alias("choice"), own.bitwiseAND(F.lit(m)).alias("bytes")) for i, m in enumerate(masks(max_bits))])
     postings = fingerprints.select(own.alias("a"), F.explode(choices).alias("posting")).select("a", "posting.*")
-    # Most lists have one member; they end here.
+    # Most lists have one member; they end here. Spark takes the postings of a fingerprint for one row, and lists, whose
+    # places repeat, are many times smaller in files: without a hint it may send them to all workers as small tables.
     sizes = postings.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(postings.join(sizes, at), "simhash-lists")
+    shared = written(postings.join(sizes.hint("merge"), at), "simhash-lists")
     few = shared.where(F.col("n") <= CROWD).drop("n")
-    met = few.join(few.withColumnRenamed("a", "b"), at).where("a < b").select("a", "b")
+    met = few.join(few.withColumnRenamed("a", "b").hint("merge"), at).where("a < b").select("a", "b")
     many = shared.where(F.col("n") > CROWD)
     if not many.isEmpty():
         near = spark.createDataFrame([(i, m) for i, free in enumerate(combinations(range(8), max_bits)) for m in variants(free, max_bits)], "choice int, mask bigint")

@@ -88,3 +88,26 @@ def test_tally_filters_candidates_and_crowded_lists_lose_nothing(spark, monkeypa
         assert all(n == {6: 1, 7: 7}[shared[p]] for p, n in candidates.items()) and all(r["shared"] == shared[p] for p, r in got.items())
     else:
         assert len(candidates) < sum(s >= 6 for s in shared.values())
+
+
+def test_postings_and_lists_are_not_sent_to_all_workers(spark, monkeypatch):
+    """Of 20 000 fingerprints Spark expects less than a MB of postings, which are 560 000 rows."""
+    plans = {}
+
+    def seen(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name, *rest)
+
+    monkeypatch.setattr(simhash, "written", seen)
+    rng = random.Random(9)
+    prints = {rng.getrandbits(64) - 2**63 for _ in range(20_000)}
+    prints |= {p ^ 1 for p in list(prints)[:500]}
+    distinct = written(spark.createDataFrame([(p,) for p in prints], "fingerprint bigint"), "test-fingerprints")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        pairs = simhash.links(distinct, 2)
+        assert "Broadcast" not in plans["simhash-lists"] and "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+        assert pairs.where("b = a ^ 1 AND distance = 1 AND shared = 7").count() == 500 == pairs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
